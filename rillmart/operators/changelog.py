@@ -18,24 +18,25 @@ def parse_json(df: DataFrame, schema: str, on_error: str = "fail",
     ``on_error='fail'`` stops the job at the first record that is not JSON;
     ``on_error='drop'`` leaves such records out (take them with ``dirty_records``).
     """
-    text = df.where(F.col(value).isNotNull())
     if on_error == "fail":
-        parsed = text.withColumn("_r", F.from_json(value, schema, {"mode": "FAILFAST"}))
-    else:
-        parsed = _permissive(text, schema, value).where(F.col("_r._bad").isNull())
-    rest = [c for c in df.columns if c != value]
-    return parsed.select(*rest, "_r.*").drop("_bad")
+        rest = [c for c in df.columns if c != value]
+        text = df.where(F.col(value).isNotNull())
+        parsed = F.from_json(value, schema, {"mode": "FAILFAST"})
+        return text.select(*rest, parsed.alias("_r")).select(*rest, "_r.*")
+    return _permissive(df, schema, value).where(F.col("_bad").isNull()).drop(value, "_bad")
 
 
 def dirty_records(df: DataFrame, schema: str, value: str = "value") -> DataFrame:
     """The records ``parse_json(on_error='drop')`` leaves out, as received."""
-    text = df.where(F.col(value).isNotNull())
-    return _permissive(text, schema, value).where(F.col("_r._bad").isNotNull()).drop("_r")
+    return _permissive(df, schema, value).where(F.col("_bad").isNotNull()).select(*df.columns)
 
 
 def _permissive(df: DataFrame, schema: str, value: str) -> DataFrame:
+    """Parsed columns and ``_bad``.  The parser stands in a one-element ``inline``:
+    a filter on ``_bad`` is then not pushed below it, where it would parse again."""
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}
-    return df.withColumn("_r", F.from_json(value, f"{schema}, _bad string", options))
+    parsed = F.from_json(value, f"{schema}, _bad string", options)
+    return df.where(F.col(value).isNotNull()).select("*", F.inline(F.array(parsed)))
 
 
 def etl_gate(df: DataFrame, database: str) -> DataFrame:

@@ -17,13 +17,18 @@ HOME, DETAIL = "home", "good_detail"
 LOGIN, SEARCH, KEYWORD = "login", "search", "keyword"
 
 
+def times(page_log: DataFrame) -> list[str]:
+    """ts, and the event time with its watermark where a stream has set one."""
+    return [c for c in ("ts", "et") if c in page_log.columns]
+
+
 def visits(page_log: DataFrame) -> DataFrame:
     """Page views with their measures: sv opens a session, pv counts the page."""
     common, page = F.col("common"), F.col("page")
     return page_log.select(
         common["mid"].alias("mid"), *[common[k].alias(k) for k in VISIT_KEYS],
         F.when(is_blank(page["last_page_id"]), 1).otherwise(0).alias("sv"),
-        F.lit(1).alias("pv"), page["during_time"].try_cast("bigint").alias("dur"), "ts")
+        F.lit(1).alias("pv"), page["during_time"].try_cast("bigint").alias("dur"), *times(page_log))
 
 
 def page_view(page_log: DataFrame, size: str = REFERENCE_SIZE) -> DataFrame:
@@ -53,7 +58,7 @@ def page_view_windows(measures: DataFrame, size: str) -> DataFrame:
 def home_detail_views(page_log: DataFrame) -> DataFrame:
     page_id = F.col("page")["page_id"]
     return page_log.where(page_id.isin(HOME, DETAIL)).select(
-        F.col("common")["mid"].alias("mid"), page_id.alias("page_id"), "ts")
+        F.col("common")["mid"].alias("mid"), page_id.alias("page_id"), *times(page_log))
 
 
 def home_detail_uv(page_log: DataFrame, size: str = REFERENCE_SIZE) -> DataFrame:
@@ -74,7 +79,7 @@ def logins(page_log: DataFrame) -> DataFrame:
     """Signed-in page views that start a visit or come from the login page."""
     uid, last = F.col("common")["uid"], F.col("page")["last_page_id"]
     return page_log.where(~is_blank(uid) & (is_blank(last) | (last == LOGIN))).select(
-        uid.alias("uid"), "ts")
+        uid.alias("uid"), *times(page_log))
 
 
 def user_login(page_log: DataFrame, size: str = REFERENCE_SIZE) -> DataFrame:
@@ -90,14 +95,15 @@ def user_login_windows(days: DataFrame, size: str) -> DataFrame:
 def searches(page_log: DataFrame) -> DataFrame:
     page = F.col("page")
     return page_log.where((page["last_page_id"] == SEARCH) & (page["item_type"] == KEYWORD)
-                          & page["item"].isNotNull()).select(page["item"].alias("fullword"), "ts")
+                          & page["item"].isNotNull()).select(page["item"].alias("fullword"), *times(page_log))
 
 
 def keyword_pv(page_log: DataFrame, size: str = REFERENCE_SIZE,
-               dictionary: list[str] | None = None, delay: str = "0 seconds") -> DataFrame:
+               dictionary: list[str] | None = None) -> DataFrame:
     """How often each word was searched for."""
-    spoken = event_time(explode_words(searches(page_log), "fullword", dictionary=dictionary),
-                        delay=delay)
+    spoken = explode_words(searches(page_log), "fullword", dictionary=dictionary)
+    if "et" not in spoken.columns:
+        spoken = event_time(spoken)
     return tumble(spoken, size, ["keyword"], [F.count("*").alias("keyword_count")]
                   ).select(*schemas.KEYWORD_PV)
 

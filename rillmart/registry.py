@@ -13,7 +13,10 @@ from rillmart.functions.fields import amount, json_record
 from rillmart.operators import changelog, dims, joins, keyed, routing
 from rillmart.operators.windows import event_time
 from rillmart.plans import facts, trade, traffic
-from rillmart.session import tune
+from rillmart.session import shared_dir, tune
+from rillmart.sources import readers, sinks
+from rillmart.sources.readers import Topic
+from rillmart.streaming import jobs
 
 SECOND, HOUR, DAY = 1_000, 3_600_000, 86_400_000
 Query = Callable[[SparkSession, str], DataFrame]
@@ -394,3 +397,196 @@ def json_out(spark, sf):
     """Summary rows as the JSON lines a sink writes (text differs between engines)."""
     rows = traffic.page_view(fx.page_log(spark, sf), "1 day")
     return rows.select(json_record(*schemas.PAGE_VIEW).alias("value"))
+
+
+# --- streams ---------------------------------------------------------------------------------------------
+#
+# Each stream reads lines that Spark derives from the tables and has written to the
+# shared folder as a topic would hold them.  A last heartbeat line far in the future
+# moves the watermark over all windows; what it belongs to stays open and unseen.
+
+HEARTBEAT = 4_000_000_000
+
+
+def topic(spark, name, lines):
+    """Write lines of a topic and return where they are."""
+    where = shared_dir(spark, f"topic-{name}")
+    lines.write.text(where)
+    return Topic(where)
+
+
+def beat(df, **fields):
+    """One row of the same shape in the far future."""
+    one = df.sparkSession.range(1)
+    cols = [fields[f.name].cast(f.dataType).alias(f.name) if f.name in fields
+            else F.lit(None).cast(f.dataType).alias(f.name) for f in df.schema]
+    return df.unionByName(one.select(*cols))
+
+
+def page_topic(spark, sf):
+    word = F.create_map(F.lit("mid"), F.lit("beat"), F.lit("uid"), F.lit("beat"))
+    page = F.create_map(F.lit("page_id"), F.lit("home"))
+    rows = beat(fx.page_log(spark, sf), common=word, page=page, ts=F.lit(HEARTBEAT * 1000))
+    return topic(spark, "page", rows.select(json_record("common", "page", "ts").alias("value")))
+
+
+def page_stream(spark, sf):
+    return readers.read_page_log(spark, page_topic(spark, sf))
+
+
+@query("stream_page_view", sql.page_view(10 * SECOND))
+def stream_page_view(spark, sf):
+    return jobs.run_available(jobs.page_view(page_stream(spark, sf)), "page-view")
+
+
+@query("stream_home_detail_uv", sql.home_detail(HOUR))
+def stream_home_detail_uv(spark, sf):
+    return jobs.run_available(jobs.home_detail_uv(page_stream(spark, sf), "1 hour", slices=4),
+                              "home-detail")
+
+
+@query("stream_user_login", sql.user_login(HOUR))
+def stream_user_login(spark, sf):
+    return jobs.run_available(jobs.user_login(page_stream(spark, sf), "1 hour"), "user-login")
+
+
+@query("stream_cart_add_uu", sql.cart_uu(HOUR))
+def stream_cart_add_uu(spark, sf):
+    rows = beat(fx.cart_facts(spark, sf), user_id=F.lit("beat"), ts=F.lit(HEARTBEAT))
+    lines = topic(spark, "cart", rows.select(json_record(*schemas.CART_ADD).alias("value")))
+    cart = readers.read_fact(spark, lines, schemas.CART_ADD, delay="0 seconds")
+    return jobs.run_available(jobs.cart_add_uu(cart, "1 hour"), "cart-add-uu")
+
+
+@query("stream_keyword_pv", sql.keyword(10 * SECOND))
+def stream_keyword_pv(spark, sf):
+    page = F.create_map(*[F.lit(x) for x in ("last_page_id", "search", "item_type", "keyword",
+                                             "item", "beat")])
+    rows = beat(fx.search_log(fx.table(spark, sf, "documents")), page=page,
+                ts=F.lit(HEARTBEAT * 1000))
+    lines = topic(spark, "search", rows.select(json_record("common", "page", "ts").alias("value")))
+    return jobs.run_available(traffic.keyword_pv(readers.read_page_log(spark, lines)), "keyword")
+
+
+@query("stream_log_split", _SQL["log_fan_out"])
+def stream_log_split(spark, sf):
+    """The five facts, each line sent to its own target by one writer."""
+    lines = readers.read_lines(spark, topic(spark, "log", fx.raw_log(fx.table(spark, sf, "events"))))
+    where = jobs.run_batches(jobs.split_topics(lines), "log-split",
+                             lambda path: sinks.write_batches(path, "json", ["topic"]))
+    sent = spark.read.schema("value string, topic string").json(where)
+    return sent.groupBy("topic").agg(F.count("value").alias("lines"))
+
+
+@query("stream_log_dirty", _SQL["log_dirty"])
+def stream_log_dirty(spark, sf):
+    lines = readers.read_lines(spark, topic(spark, "log", fx.raw_log(fx.table(spark, sf, "events"))))
+    return jobs.run_available(jobs.dirty_lines(lines), "log-dirty")
+
+
+def change_topic(spark, sf, *tables):
+    rows = fx.change_log(spark, sf, *tables)
+    for name in tables:
+        ids = {f: F.lit("beat") for f in ("id", "order_id", "order_detail_id", "sku_id")}
+        data = F.create_map(*[x for f, v in ids.items() for x in (F.lit(f), v)])
+        rows = beat_row(rows, name, data)
+    return topic(spark, "db", rows.select(json_record(*rows.columns).alias("value")))
+
+
+def beat_row(rows, name, data):
+    return beat(rows, database=F.lit(fx.DATABASE), table=F.lit(name), type=F.lit("insert"),
+                data=data, ts=F.lit(HEARTBEAT))
+
+
+def change_stream(spark, sf, *tables):
+    return readers.read_changelog(spark, change_topic(spark, sf, *tables))
+
+
+def detail_stream(spark, sf):
+    rows = facts.published(detail_fact(spark, sf))
+    lines = topic(spark, "order-detail", rows.select(json_record(*rows.columns).alias("value")))
+    return readers.read_fact(spark, lines, schemas.ORDER_DETAIL, delay="3 seconds")
+
+
+@query("stream_order_detail", sql.ORDER_DETAIL)
+def stream_order_detail(spark, sf):
+    log = change_stream(spark, sf, "order_info", "order_detail", "order_detail_activity",
+                        "order_detail_coupon")
+    rows = jobs.run_available(facts.order_detail(log), "order-detail")
+    return facts.published(rows).where("id <> 'beat'")
+
+
+@query("stream_order_cancel", sql.ORDER_CANCEL)
+def stream_order_cancel(spark, sf):
+    both = facts.order_cancel(change_stream(spark, sf, "order_info"), detail_stream(spark, sf))
+    return facts.published(jobs.run_available(both, "order-cancel"))
+
+
+@query("stream_pay_success", sql.PAY_SUCCESS)
+def stream_pay_success(spark, sf):
+    both = facts.pay_success(change_stream(spark, sf, "payment_info"), detail_stream(spark, sf),
+                             fx.dictionary(spark))
+    return facts.published(jobs.run_available(both, "pay-success"))
+
+
+@query("stream_refund_pay", sql.REFUND_PAY)
+def stream_refund_pay(spark, sf):
+    log = change_stream(spark, sf, "order_info", "order_refund_info", "refund_payment")
+    return facts.published(jobs.run_available(facts.refund_pay(log, fx.dictionary(spark)),
+                                              "refund-pay"))
+
+
+def repeated_stream(spark, sf):
+    rows = beat(fx.repeated_details(spark, sf), id=F.lit("beat"), ts=F.lit(HEARTBEAT))
+    lines = topic(spark, "repeats", rows.select(json_record(*rows.columns).alias("value")))
+    read = readers.read_lines(spark, lines)
+    shape = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
+    return event_time(changelog.parse_json(read, shape), "s", "0 seconds")
+
+
+@query("stream_province_order", sql.province_order(DAY))
+def stream_province_order(spark, sf):
+    return jobs.run_available(jobs.province_order(
+        repeated_stream(spark, sf), fx.provinces(spark, sf), "1 day", fx.TIE_BREAK), "province")
+
+
+@query("stream_sku_order", sql.sku_order(DAY))
+def stream_sku_order(spark, sf):
+    return jobs.run_available(jobs.sku_order(
+        repeated_stream(spark, sf), products(spark, sf), "1 day", fx.TIE_BREAK), "sku")
+
+
+@query("stream_upsert", sql.LATEST)
+def stream_upsert(spark, sf):
+    """Keyed table of order details: the latest row of each id."""
+    order = ["ts", *fx.TIE_BREAK]
+    where = jobs.run_batches(repeated_stream(spark, sf).drop("et"), "upsert",
+                             lambda path: sinks.upsert(path, ["id"], order))
+    rows = sinks.read_upserted(spark, where, ["id"], order, deleted=F.col("id") == "beat")
+    return rows.select("id", "order_id", "sku_id", "province_id", "split_total_amount", "ts")
+
+
+@query("stream_dim_sync", sql.DIM_FOLD)
+def stream_dim_sync(spark, sf):
+    rows = fx.change_log(spark, sf, "customer_info")
+    lines = topic(spark, "db", rows.select(json_record(*rows.columns).alias("value")))
+    where = jobs.sync_dims(readers.read_changelog(spark, lines), lambda: fx.dim_rules(spark),
+                           fx.DATABASE)
+    return dims.dim_table(sinks.read_dims(spark, where, name="dim_customer"), "dim_customer",
+                          ["id", "name", "segment", "balance"])
+
+
+@query("stream_route_fact", f"SELECT sink_table, count(*) AS n FROM ({sql.ROUTE_FACT}) GROUP BY 1")
+def stream_route_fact(spark, sf):
+    """Routing by rules that are read again for every micro-batch."""
+    rows = fx.change_log(spark, sf, "order_info", "payment_info", "comment_info")
+    lines = topic(spark, "db", rows.select(json_record(*rows.columns).alias("value")))
+    config = fx.rule_log(spark, sf)
+    rule_lines = topic(spark, "rules", config.select(json_record(*config.columns).alias("value")))
+
+    def rules():
+        events = readers.read_config_changes(spark, rule_lines)
+        return routing.latest_rules(events, ["source_table", "source_type"])
+
+    where = jobs.sync_facts(readers.read_changelog(spark, lines), rules)
+    return spark.read.parquet(where).groupBy("sink_table").agg(F.count("*").alias("n"))

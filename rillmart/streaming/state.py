@@ -1,0 +1,206 @@
+"""Per-key state of the streaming operators.
+
+The processors hold a few values per key and read a batch's rows as an iterator.
+Dates are worked out in SQL beforehand, so no clock or zone of a worker matters.
+State that time has made useless is dropped by event-time timers.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator, Sequence
+from datetime import date, datetime, timezone
+
+from pyspark.sql import DataFrame, Row, functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.types import StructField, StructType, TimestampType
+
+from rillmart.functions.timefmt import DAY_MS, millis_to_date
+from rillmart.operators.keyed import RETURN_AFTER_DAYS
+
+
+def _rank(row: Row) -> tuple:
+    return tuple((value is not None, value) for value in row)
+
+
+class DayFirsts(StatefulProcessor):
+    """The first row of each key and day, days in order.  Holds the last day seen and
+    one row per day of the running batch.  ``ts`` is a row's first column."""
+
+    def __init__(self, forget_after_ms: int | None = 2 * DAY_MS):
+        self.forget_after_ms = forget_after_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.last = handle.getValueState("last", "day string, wake bigint")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        firsts: dict[str, Row] = {}
+        for row in rows:
+            best = firsts.get(row.day)
+            if best is None or _rank(row) < _rank(best):
+                firsts[row.day] = row
+        state = self.last.get() if self.last.exists() else None
+        last, wake = (state[0], state[1]) if state else (None, None)
+        newest = last
+        for day in sorted(firsts):
+            if day != newest:
+                yield self.emit(firsts[day], newest)
+            newest = day
+        if newest != last:
+            self.last.update((newest, self._rearm(wake, firsts[newest].ts)))
+
+    def emit(self, row: Row, day_before: str | None) -> Row:
+        return row
+
+    def _rearm(self, wake: int | None, ts: int) -> int | None:
+        if self.forget_after_ms is None:
+            return None
+        if wake is not None:
+            self.handle.deleteTimer(wake)
+        self.handle.registerTimer(ts + self.forget_after_ms)
+        return ts + self.forget_after_ms
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        self.last.clear()
+        return iter(())
+
+    def close(self) -> None:
+        pass
+
+
+class LoginDays(DayFirsts):
+    """One row per user and day with the unique and the returning mark.  The last
+    login day is never forgotten."""
+
+    def __init__(self):
+        super().__init__(forget_after_ms=None)
+
+    def emit(self, row: Row, day_before: str | None) -> Row:
+        back = day_before is not None and (
+            date.fromisoformat(row.day) - date.fromisoformat(day_before)).days >= RETURN_AFTER_DAYS
+        return Row(ts=row.ts, uid=row.uid, uu_ct=1, back_ct=int(back), et=row.et)
+
+
+class VisitorRepair(StatefulProcessor):
+    """Corrects the new-visitor flag.  Holds the device's first day.  Only a device
+    without one has the rows of its first batch held back to find the earliest."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.first = handle.getValueState("first", "day string")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        if not self.first.exists():
+            rows = sorted(rows, key=lambda r: (r.ts, r.is_new == "1"))
+            self.first.update((rows[0].day if rows[0].is_new == "1" else rows[0].day_before,))
+        first = self.first.get()[0]
+        for r in rows:
+            stale = r.is_new == "1" and r.day != first
+            yield Row(value=r.value, is_new_fixed="0" if stale else r.is_new, et=r.et)
+
+    def close(self) -> None:
+        pass
+
+
+class CancelOut(StatefulProcessor):
+    """Passes every row; a row that repeats its key within ``ttl`` seconds first sends
+    the row before it with negated measures.
+
+    The negated row belongs to the earlier row's window.  When the watermark has
+    passed that row's time, it is sent with the watermark's time, which lies in the
+    same window while the window is open; once it is closed the row would be late
+    and is not sent.
+    """
+
+    def __init__(self, columns: Sequence[str], measures: Sequence[str], order: Sequence[str],
+                 state: str, ttl: int, window_ms: int):
+        self.columns, self.measures, self.order = list(columns), set(measures), list(order)
+        self.state, self.ttl, self.window_ms = state, ttl, window_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.last = handle.getValueState("last", self.state)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        before = dict(zip(self.columns, self.last.get())) if self.last.exists() else None
+        old_wake = self._wake(before)
+        now = max(timerValues.getCurrentWatermarkInMs(), 0)
+        for row in sorted(rows, key=lambda r: (r["ts"], *[r[c] for c in self.order])):
+            if before is not None and row["ts"] - before["ts"] <= self.ttl:
+                ms = self._time_in_window(before["ts"] * 1000, now)
+                if ms is not None:
+                    yield self._row(before, ms, -1)
+            before = row.asDict(recursive=False)
+            yield self._row(before, before["ts"] * 1000, 1)
+        if old_wake is not None:
+            self.handle.deleteTimer(old_wake)
+        self.last.update(tuple(before[c] for c in self.columns))
+        self.handle.registerTimer(max(self._wake(before), now + 1))
+
+    def _wake(self, row) -> int | None:
+        return None if row is None else (row["ts"] + self.ttl) * 1000 + 1
+
+    def _time_in_window(self, ms: int, watermark: int) -> int | None:
+        end = ms - ms % self.window_ms + self.window_ms
+        at = ms if ms > watermark else watermark + 1
+        return at if at < end else None
+
+    def _row(self, row: dict, ms: int, sign: int) -> Row:
+        values = {c: -row[c] if sign < 0 and c in self.measures and row[c] is not None else row[c]
+                  for c in self.columns}
+        return Row(**values, et=datetime.fromtimestamp(ms / 1000, timezone.utc))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        self.last.clear()
+        return iter(())
+
+    def close(self) -> None:
+        pass
+
+
+def with_state(df: DataFrame, keys: Sequence[str], processor: StatefulProcessor,
+               output: str | StructType, event_time: str = "et") -> DataFrame:
+    return df.groupBy(*keys).transformWithState(
+        statefulProcessor=processor, outputStructType=output, outputMode="Append",
+        timeMode="EventTime", eventTimeColumnName=event_time)
+
+
+def day_firsts(df: DataFrame, keys: Sequence[str], carry: Sequence[str] = (),
+               slices: int = 1) -> DataFrame:
+    """Stream form of ``first_per_day``: rows (ts in ms, et) -> first row per day.
+
+    ``slices > 1`` cuts every key by a hash of its rows in a stage before: a hot
+    key's rows then meet in that many tasks, which pass on at most one row per day
+    each, and the last stage chooses among those.
+    """
+    rest = [*keys, *carry]
+    rows = df.select("ts", *rest, millis_to_date(F.col("ts")).alias("day"), "et")
+    if slices > 1:
+        cut = rows.withColumn("slice", F.pmod(F.xxhash64("ts", *rest), F.lit(slices)).cast("int"))
+        rows = with_state(cut, [*keys, "slice"], DayFirsts(), cut.schema).drop("slice")
+    return with_state(rows, keys, DayFirsts(), rows.schema)
+
+
+def login_days(df: DataFrame) -> DataFrame:
+    rows = df.select("ts", "uid", millis_to_date(F.col("ts")).alias("day"), "et")
+    return with_state(rows, ["uid"], LoginDays(),
+                      "ts bigint, uid string, uu_ct int, back_ct int, et timestamp")
+
+
+def repair_visitors(lines: DataFrame) -> DataFrame:
+    """Lines (value, mid, is_new, ts in ms, et) -> (value, is_new_fixed, et)."""
+    day = millis_to_date(F.col("ts"))
+    before = millis_to_date(F.col("ts") - DAY_MS)
+    rows = lines.select("value", "mid", "is_new", "ts", day.alias("day"),
+                        before.alias("day_before"), "et")
+    return with_state(rows, ["mid"], VisitorRepair(),
+                      "value string, is_new_fixed string, et timestamp")
+
+
+def cancel_out(df: DataFrame, key: str, measures: Sequence[str], order: Sequence[str],
+               ttl: int, window_ms: int) -> DataFrame:
+    """Stream form of ``keyed.cancel_out`` (ts in seconds), with ``et`` for a window."""
+    plain = df.drop("et")
+    state = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in plain.schema)
+    output = StructType([*plain.schema.fields, StructField("et", TimestampType())])
+    return with_state(df, [key], CancelOut(plain.columns, measures, order, state, ttl, window_ms),
+                      output)
