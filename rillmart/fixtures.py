@@ -25,8 +25,19 @@ DICTIONARY = [("1101", "wallet"), ("1102", "bank card"), ("1103", "union pay"),
 CATEGORY1 = [("0", "goods"), ("1", "services")]
 
 
+# Tables with enough work per row to be worth spreading.
+LARGE = {"lineitem", "orders", "events", "documents"}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A provided table.  One that is a single split (no more than
+    ``spark.sql.files.maxPartitionBytes``) would keep all but one core idle up to the
+    first shuffle, so its few rows are dealt out; a table of many splits is not."""
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    if name in LARGE and cores > 1 and df.rdd.getNumPartitions() == 1:
+        return df.repartition(cores)
+    return df
 
 
 def text(c: Column) -> Column:
@@ -89,7 +100,8 @@ def raw_log(events: DataFrame) -> DataFrame:
         items(k % 3, F.lit("item"), text(k)).alias("displays"),
         items(k % 2, F.lit("action_id"), F.lit("favor_add"), F.lit("ts"), text(ts)).alias("actions"),
         "ts"))
-    return v.select(F.when(F.col("event_id") % 97 == 0, "not json {").otherwise(line).alias("value"))
+    return v.select(F.when(F.col("event_id") % 97 == 0, "not json {").otherwise(
+        F.coalesce(line, F.lit(""))).alias("value"))
 
 
 def cart_facts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -33,6 +33,8 @@ def interval_join(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str
     in the (at most two) slices whose left rows it can meet.  The slice joins the
     key, so a hot key spreads over time and is never paired all with all.
     """
+    if sliced and how in ("right", "full"):
+        raise ValueError("a sliced right row stands in several slices; use sliced=False")
     bound = right.withColumnRenamed(right_time, "_rt")
     lt, rt = F.col(left_time), F.col("_rt")
     near = ((rt >= lt + _interval(lower, unit)) & (rt <= lt + _interval(upper, unit)))
@@ -50,7 +52,10 @@ def interval_join(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str
         for l, r in on:
             match &= left[l] == bound[r]
         return left.join(bound, match, how).drop("_slice", "_rslice", "_rt")
-    return left.join(bound, match, how).drop("_rt")
+    joined = left.join(bound, match, how)
+    if how in ("right", "full"):
+        joined = joined.withColumn(left_time, F.coalesce(left_time, "_rt"))
+    return joined.drop("_rt")
 
 
 _MICROS = {"MILLISECONDS": 1_000, "SECONDS": 1_000_000}

@@ -1,18 +1,18 @@
 """Batch forms of the keyed-state operators.
 
 Each of them could be written as one analytic window per key, which would put a
-hot key into one task.  None is: rows are reduced by (key, day) or by key before
-they are shuffled, or a key is cut along time, so that a key with a third of all
-rows still spreads.
+hot key into one task.  None is: rows are reduced by (key, day), (key, second) or key
+before they are shuffled, and a key is cut along time where order matters, so that a
+key with a third of all rows still spreads.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from rillmart.functions.timefmt import DATE, DAY_MS, from_millis, millis_to_date
+from rillmart.functions.timefmt import DATE, DAY_MS, millis_to_date
 
 RETURN_AFTER_DAYS = 8
 
@@ -72,34 +72,66 @@ def repair_new_visitors(df: DataFrame, device: Column, is_new: Column,
         .drop("_mid", "_first_day")
 
 
-def mark_superseded(df: DataFrame, key: str, order: Sequence[str], ttl: int | None,
-                    ts: str = "ts", slice_seconds: int = 3600) -> DataFrame:
-    """Add ``superseded``: true when the same key has a later row no more than
-    ``ttl`` seconds after this one (``ts`` in epoch seconds, ties in ``order``).
-
-    A key is cut into slices of time, and a row that lies within ``ttl`` of its
-    slice's start is also shown, as a hint, to the slice before.  That makes each
-    slice complete on its own: one shuffle, and a hot key spreads over as many
-    tasks as its rows span slices.  ``ttl=None`` keeps state for ever.
+def flag_first_of_day(df: DataFrame, keys: Sequence[str], order: Sequence[str],
+                      flag: str = "uv_ct", ts: str = "ts") -> DataFrame:
+    """Keep every row; ``flag`` is 1 on the first row of its key and day (``ts`` in
+    milliseconds, then ``order``, which must tell rows of one moment apart)."""
+    day = millis_to_date(F.col(ts))
+    rank = F.struct(ts, *order)
+    firsts = df.groupBy(*keys, day.alias("_day")).agg(F.min(rank).alias("_first"))
+    rows = df.withColumn("_day", day)
+    return (rows.join(firsts, [*keys, "_day"], "left")
+            .withColumn(flag, F.when(rank.eqNullSafe(F.col("_first")), 1).otherwise(0))
+            .select(*df.columns, flag))
+
+
+def moment_lasts(df: DataFrame, key: str, order: Sequence[str], ttl: int | None,
+                 carry: Sequence[str] = (), ts: str = "ts",
+                 slice_seconds: int = 600) -> DataFrame:
+    """The last row of each (key, second), with ``kept``: no later second of the key
+    follows within ``ttl`` seconds (``ttl=None``: no later second at all).
+
+    Rows of one second are reduced to one before the shuffle, so copies of a record
+    cost nothing.  Then a key is cut into slices of time; the first seconds of a slice
+    are shown to the slice before as well, which makes each slice complete on its own.
+    A window group therefore holds at most ``slice_seconds + ttl + 1`` rows.
     """
-    latest_first = [F.col(ts).asc(), *[F.col(c).asc() for c in order]]
+    last = F.max(F.struct(*order, *[c for c in carry if c not in order])).alias("_last")
+    moments = df.groupBy(key, ts).agg(last)
     if ttl is None:
-        # Only the last row survives: a per-key maximum, combined before the shuffle.
-        last = df.groupBy(key).agg(F.max(F.struct(ts, *order)).alias("_last"))
-        same = F.struct(ts, *order).eqNullSafe(F.col("_last"))
-        return df.join(last, key).withColumn("superseded", ~same).drop("_last")
+        newest = moments.groupBy(key).agg(F.max(ts).alias("_newest"))
+        return moments.join(newest, key).withColumn("kept", F.col(ts) == F.col("_newest")) \
+            .drop("_newest")
     width = max(slice_seconds, ttl + 1)
     home = F.floor(F.col(ts) / width)
-    copies = F.when(F.col(ts) - home * width <= ttl,
-                    F.array(home, home - 1)).otherwise(F.array(home))
-    spread = df.withColumn("_slice", F.explode(copies))
-    following = F.lead(ts).over(Window.partitionBy(key, "_slice").orderBy(*latest_first))
-    return (spread.withColumn("_next", following)
-            .where(F.col("_slice") == home)
-            .withColumn("superseded", F.coalesce(F.col("_next") - F.col(ts) <= ttl, F.lit(False)))
+    shown = F.when(F.col(ts) - home * width <= ttl, F.array(home, home - 1)).otherwise(F.array(home))
+    spread = moments.withColumn("_slice", F.explode(shown))
+    following = F.lead(ts).over(Window.partitionBy(key, "_slice").orderBy(ts))
+    return (spread.withColumn("_next", following).where(F.col("_slice") == home)
+            .withColumn("kept", F.coalesce(F.col("_next") - F.col(ts) > ttl, F.lit(True)))
             .drop("_slice", "_next"))
 
 
+def survivors(df: DataFrame, key: str, order: Sequence[str], ttl: int | None,
+              carry: Sequence[str], ts: str = "ts") -> DataFrame:
+    """Rows that no later row of their key replaces: key, ts and ``carry``."""
+    lasts = moment_lasts(df, key, order, ttl, carry, ts).where(F.col("kept"))
+    return lasts.select(key, ts, *[F.col("_last")[c].alias(c) for c in carry])
+
+
+def mark_superseded(df: DataFrame, key: str, order: Sequence[str], ttl: int | None,
+                    ts: str = "ts") -> DataFrame:
+    """Add ``superseded``: true when the same key has a later row no more than ``ttl``
+    seconds after this one (``ts`` in epoch seconds; ``order`` tells rows of one
+    second apart).  Many rows meet one mark per (key, second), so AQE can slice a hot
+    group of this join."""
+    marks = moment_lasts(df, key, order, ttl, ts=ts)
+    is_last = F.struct(*order).eqNullSafe(F.col("_last"))
+    return (df.join(marks, [key, ts])
+            .withColumn("superseded", ~(is_last & F.col("kept")))
+            .select(*df.columns, "superseded"))
+
+
 def cancel_out(df: DataFrame, key: str, measures: Sequence[str], order: Sequence[str],
                ttl: int | None = 10, ts: str = "ts") -> DataFrame:
     """Every row, plus a copy with negated measures of each row that a later row

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from rillmart import schemas
 from rillmart.functions.fields import amount, total
 from rillmart.operators.joins import enrich
-from rillmart.operators.keyed import first_per_day, mark_superseded
+from rillmart.operators.keyed import first_per_day, survivors
 from rillmart.operators.windows import REFERENCE_SIZE, event_time, tumble
 
 REPEAT_TTL = 10
@@ -32,25 +32,39 @@ def cart_add_windows(firsts: DataFrame, size: str) -> DataFrame:
                   ).select(*schemas.CART_ADD_UU)
 
 
+def net_measures(detail: DataFrame, by: Sequence[str], measures: dict[str, str],
+                 order: Sequence[str], ttl: int | None) -> DataFrame:
+    """Rows whose measures sum up to the amounts without repeats.
+
+    A repeated line cancels the one before it, in that one's window, so of all repeats
+    only the row nothing supersedes counts.  Every row is still there with zeros, since
+    a window whose lines were all cancelled is reported too.  Neither part looks at
+    single rows of a key after the shuffle.
+    """
+    read = {out: amount(F.col(src)) for out, src in measures.items()}
+    zero = {out: F.when(c.isNotNull(), 0).cast("decimal(20,4)") for out, c in read.items()}
+    carry = list(dict.fromkeys([*by, *measures.values()]))
+    kept = survivors(detail, "id", order, ttl, carry)
+    return detail.select(*by, "ts", *[c.alias(o) for o, c in zero.items()]).unionByName(
+        kept.select(*by, "ts", *[c.alias(o) for o, c in read.items()]))
+
+
 def province_order(detail: DataFrame, province: DataFrame, size: str = REFERENCE_SIZE,
                    order: Sequence[str] = (), ttl: int | None = REPEAT_TTL) -> DataFrame:
-    """Orders and order amount by province.
+    """Orders and order amount by province.  Amounts are summed per order first: that
+    makes the distinct count a plain count, with both steps combined before their
+    shuffles."""
+    rows = net_measures(detail, ["province_id", "order_id"],
+                        {"paid": "split_total_amount"}, order, ttl)
+    return with_province(count_orders(event_time(rows, "s"), size), province)
 
-    A repeated line cancels the one before it, in that one's window, so of all
-    repeats only the rows nothing supersedes carry their amount; every row counts
-    its order.  Amounts are summed per order first: that makes the distinct count a
-    plain count with both steps combined before their shuffles.
-    """
-    marked = mark_superseded(detail, "id", order, ttl)
-    paid = F.when(~F.col("superseded"), amount(F.col("split_total_amount"))).otherwise(
-        F.when(F.col("split_total_amount").isNotNull(), F.lit(0)))
-    orders = (event_time(marked, "s").groupBy(
-        F.window("et", size).alias("_w"), "province_id", "order_id")
-        .agg(F.sum(paid).alias("paid")))
-    summed = tumble(orders.withColumn("et", F.col("_w.start")).drop("_w"), size, ["province_id"],
-                    [F.count("order_id").alias("order_count"),
-                     total(F.col("paid")).alias("order_amount")])
-    return with_province(summed, province)
+
+def count_orders(rows: DataFrame, size: str) -> DataFrame:
+    orders = (rows.groupBy(F.window("et", size).alias("_w"), "province_id", "order_id")
+              .agg(F.sum("paid").alias("paid")))
+    return tumble(orders, size, ["province_id"],
+                  [F.count("order_id").alias("order_count"),
+                   total(F.col("paid")).alias("order_amount")], time="_w")
 
 
 def with_province(summed: DataFrame, province: DataFrame) -> DataFrame:
@@ -64,11 +78,9 @@ def sku_order(detail: DataFrame, products: DataFrame, size: str = REFERENCE_SIZE
               time_mode: str = "event") -> DataFrame:
     """Amounts by product, summed before the product attributes are joined.
     ``products`` is ``flatten_products`` output."""
-    marked = mark_superseded(detail, "id", order, ttl)
-    kept = {out: F.when(~F.col("superseded"), amount(F.col(src))).otherwise(
-        F.when(F.col(src).isNotNull(), F.lit(0))) for out, src in SKU_MEASURES.items()}
-    summed = tumble(event_time(marked, "s"), size, ["sku_id"],
-                    [total(m).alias(out) for out, m in kept.items()], time_mode=time_mode)
+    rows = net_measures(detail, ["sku_id"], SKU_MEASURES, order, ttl)
+    summed = tumble(event_time(rows, "s"), size, ["sku_id"],
+                    [total(F.col(m)).alias(m) for m in SKU_MEASURES], time_mode=time_mode)
     return with_products(summed, products)
 
 

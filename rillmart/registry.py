@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from rillmart import fixtures as fx, oracle as sql, schemas
 from rillmart.functions import timefmt
 from rillmart.functions.fields import amount, json_record
+from rillmart.functions.text import register_words
 from rillmart.operators import changelog, dims, joins, keyed, routing
 from rillmart.operators.windows import event_time
 from rillmart.plans import facts, trade, traffic
@@ -77,6 +78,30 @@ def keyword_pv(spark, sf):
     return traffic.keyword_pv(fx.search_log(fx.table(spark, sf, "documents")))
 
 
+@query("keyword_pv_sql", sql.keyword(10 * SECOND))
+def keyword_pv_sql(spark, sf):
+    """The same job written as SQL over views, with the segmenter as a table function."""
+    register_words(spark)
+    event_time(fx.search_log(fx.table(spark, sf, "documents"))).createOrReplaceTempView("page_log")
+    return spark.sql("""
+        SELECT date_format(w.start, 'yyyy-MM-dd HH:mm:ss') AS stt,
+               date_format(w.end, 'yyyy-MM-dd HH:mm:ss') AS edt,
+               date_format(w.start, 'yyyy-MM-dd') AS cur_date, keyword, keyword_count
+        FROM (SELECT window(et, '10 seconds') AS w, t.word AS keyword, count(*) AS keyword_count
+              FROM page_log, LATERAL segment_words(page['item']) AS t
+              WHERE page['last_page_id'] = 'search' AND page['item_type'] = 'keyword'
+                AND page['item'] IS NOT NULL
+              GROUP BY window(et, '10 seconds'), t.word)""")
+
+
+@query("daily_unique_flag", sql._with(sql.VISITS) + """SELECT event_id, mid, ms AS ts,
+    CAST(row_number() OVER (PARTITION BY mid, day ORDER BY ms, event_id) = 1 AS INT) AS uv_ct FROM v""")
+def daily_unique_flag(spark, sf):
+    rows = fx.visits(fx.table(spark, sf, "events")).select(
+        "event_id", F.col("common")["mid"].alias("mid"), "ts")
+    return keyed.flag_first_of_day(rows, ["mid"], ["event_id"])
+
+
 # --- client log -----------------------------------------------------------------------------
 
 def client_log(spark, sf):

@@ -17,6 +17,9 @@ RUNTIME_CONF = {
     # shuffle further up the plan.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Generated methods above 8,000 bytes of bytecode are never compiled by the JVM's
+    # JIT; wide map and window expressions run faster operator by operator then.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }

@@ -114,13 +114,11 @@ def _distinct_details(detail: DataFrame, measures: Sequence[str], order: Sequenc
 
 def province_order(detail: DataFrame, province: DataFrame, size: str = REFERENCE_SIZE,
                    order: Sequence[str] = (), ttl: int = trade.REPEAT_TTL) -> DataFrame:
-    """A window of one province holds its distinct order ids as a set, since a stream
-    may not count distinct values otherwise."""
+    """Orders are told apart by a first aggregate over (window, province, order), so
+    no set of order ids has to fit into one state row."""
     rows = detail.select("id", "order_id", "province_id", "split_total_amount", "ts", *order, "et")
     sent = _distinct_details(rows, ["split_total_amount"], order, size, ttl)
-    summed = tumble(sent, size, ["province_id"], [
-        F.size(F.collect_set("order_id")).cast("bigint").alias("order_count"),
-        total(F.col("split_total_amount")).alias("order_amount")])
+    summed = trade.count_orders(sent.withColumnRenamed("split_total_amount", "paid"), size)
     return trade.with_province(summed, province)
 
 

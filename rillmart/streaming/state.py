@@ -31,7 +31,7 @@ class DayFirsts(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.last = handle.getValueState("last", "day string, wake bigint")
+        self.last = handle.getValueState("last", "day string, ts bigint")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         firsts: dict[str, Row] = {}
@@ -39,29 +39,26 @@ class DayFirsts(StatefulProcessor):
             best = firsts.get(row.day)
             if best is None or _rank(row) < _rank(best):
                 firsts[row.day] = row
-        state = self.last.get() if self.last.exists() else None
-        last, wake = (state[0], state[1]) if state else (None, None)
-        newest = last
+        stored = self.last.get()
+        last = newest = stored[0] if stored else None
         for day in sorted(firsts):
             if day != newest:
                 yield self.emit(firsts[day], newest)
             newest = day
         if newest != last:
-            self.last.update((newest, self._rearm(wake, firsts[newest].ts)))
+            self.last.update((newest, firsts[newest].ts))
+            if stored is None and self.forget_after_ms is not None:
+                self.handle.registerTimer(firsts[newest].ts + self.forget_after_ms)
 
     def emit(self, row: Row, day_before: str | None) -> Row:
         return row
 
-    def _rearm(self, wake: int | None, ts: int) -> int | None:
-        if self.forget_after_ms is None:
-            return None
-        if wake is not None:
-            self.handle.deleteTimer(wake)
-        self.handle.registerTimer(ts + self.forget_after_ms)
-        return ts + self.forget_after_ms
-
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        self.last.clear()
+        wake = self.last.get()[1] + self.forget_after_ms
+        if wake > timerValues.getCurrentWatermarkInMs():
+            self.handle.registerTimer(wake)
+        else:
+            self.last.clear()
         return iter(())
 
     def close(self) -> None:
@@ -89,10 +86,12 @@ class VisitorRepair(StatefulProcessor):
         self.first = handle.getValueState("first", "day string")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        if not self.first.exists():
+        stored = self.first.get()
+        if stored is None:
             rows = sorted(rows, key=lambda r: (r.ts, r.is_new == "1"))
-            self.first.update((rows[0].day if rows[0].is_new == "1" else rows[0].day_before,))
-        first = self.first.get()[0]
+            stored = (rows[0].day if rows[0].is_new == "1" else rows[0].day_before,)
+            self.first.update(stored)
+        first = stored[0]
         for r in rows:
             stale = r.is_new == "1" and r.day != first
             yield Row(value=r.value, is_new_fixed="0" if stale else r.is_new, et=r.et)
@@ -121,8 +120,8 @@ class CancelOut(StatefulProcessor):
         self.last = handle.getValueState("last", self.state)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        before = dict(zip(self.columns, self.last.get())) if self.last.exists() else None
-        old_wake = self._wake(before)
+        stored = self.last.get()
+        before = dict(zip(self.columns, stored)) if stored else None
         now = max(timerValues.getCurrentWatermarkInMs(), 0)
         for row in sorted(rows, key=lambda r: (r["ts"], *[r[c] for c in self.order])):
             if before is not None and row["ts"] - before["ts"] <= self.ttl:
@@ -131,13 +130,12 @@ class CancelOut(StatefulProcessor):
                     yield self._row(before, ms, -1)
             before = row.asDict(recursive=False)
             yield self._row(before, before["ts"] * 1000, 1)
-        if old_wake is not None:
-            self.handle.deleteTimer(old_wake)
         self.last.update(tuple(before[c] for c in self.columns))
-        self.handle.registerTimer(max(self._wake(before), now + 1))
+        if stored is None:
+            self.handle.registerTimer(max(self._wake(before["ts"]), now + 1))
 
-    def _wake(self, row) -> int | None:
-        return None if row is None else (row["ts"] + self.ttl) * 1000 + 1
+    def _wake(self, ts: int) -> int:
+        return (ts + self.ttl) * 1000 + 1
 
     def _time_in_window(self, ms: int, watermark: int) -> int | None:
         end = ms - ms % self.window_ms + self.window_ms
@@ -150,7 +148,11 @@ class CancelOut(StatefulProcessor):
         return Row(**values, et=datetime.fromtimestamp(ms / 1000, timezone.utc))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        self.last.clear()
+        wake = self._wake(self.last.get()[self.columns.index("ts")])
+        if wake > timerValues.getCurrentWatermarkInMs():
+            self.handle.registerTimer(wake)
+        else:
+            self.last.clear()
         return iter(())
 
     def close(self) -> None:
