@@ -18,6 +18,21 @@ def broadcast_checked(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
 
 
+def attach_marks(rows: DataFrame, marks: DataFrame, keys: Sequence[str],
+                 how: str = "inner") -> DataFrame:
+    """Join every row with the one mark of its key, where ``marks`` was aggregated by
+    the same keys.
+
+    Such a side is already partitioned by the key, and AQE slices a hot key only
+    between two fresh shuffles.  The keys' hash as one more join key makes the planner
+    shuffle the (narrow) marks again, so that a hot key's rows can be sliced; marks that
+    turn out small are broadcast instead.
+    """
+    hashed = F.hash(*keys)
+    return (rows.withColumn("_h", hashed).join(marks.withColumn("_h", hashed), [*keys, "_h"], how)
+            .drop("_h"))
+
+
 def interval_join(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str]],
                   lower: int, upper: int, how: str = "inner", unit: str = "SECONDS",
                   left_time: str = "et", right_time: str = "et",

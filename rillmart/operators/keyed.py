@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from rillmart.functions.timefmt import DATE, DAY_MS, millis_to_date
+from rillmart.operators.joins import attach_marks
 
 RETURN_AFTER_DAYS = 8
 
@@ -63,10 +64,7 @@ def repair_new_visitors(df: DataFrame, device: Column, is_new: Column,
               .select("_mid", millis_to_date(
                   F.when(F.col("_f._new"), F.col("_f._ts"))
                   .otherwise(F.col("_f._ts") - DAY_MS)).alias("_first_day")))
-    # Many rows to one: AQE cuts a hot device's rows into slices, or broadcasts
-    # ``firsts`` when its measured size is below the limit.
-    rows = df.withColumn("_mid", device)
-    joined = rows.join(firsts, "_mid", "left")
+    joined = attach_marks(df.withColumn("_mid", device), firsts, ["_mid"], "left")
     stale = flagged & (F.col("_first_day") != millis_to_date(ts))
     return joined.withColumn("is_new_fixed", F.when(stale, "0").otherwise(is_new)) \
         .drop("_mid", "_first_day")
@@ -80,7 +78,7 @@ def flag_first_of_day(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     rank = F.struct(ts, *order)
     firsts = df.groupBy(*keys, day.alias("_day")).agg(F.min(rank).alias("_first"))
     rows = df.withColumn("_day", day)
-    return (rows.join(firsts, [*keys, "_day"], "left")
+    return (attach_marks(rows, firsts, [*keys, "_day"], "left")
             .withColumn(flag, F.when(rank.eqNullSafe(F.col("_first")), 1).otherwise(0))
             .select(*df.columns, flag))
 
@@ -96,11 +94,12 @@ def moment_lasts(df: DataFrame, key: str, order: Sequence[str], ttl: int | None,
     are shown to the slice before as well, which makes each slice complete on its own.
     A window group therefore holds at most ``slice_seconds + ttl + 1`` rows.
     """
-    last = F.max(F.struct(*order, *[c for c in carry if c not in order])).alias("_last")
+    rest = [c for c in carry if c not in (key, ts, *order)]
+    last = F.max(F.struct(*order, *rest)).alias("_last")
     moments = df.groupBy(key, ts).agg(last)
     if ttl is None:
         newest = moments.groupBy(key).agg(F.max(ts).alias("_newest"))
-        return moments.join(newest, key).withColumn("kept", F.col(ts) == F.col("_newest")) \
+        return attach_marks(moments, newest, [key]).withColumn("kept", F.col(ts) == F.col("_newest")) \
             .drop("_newest")
     width = max(slice_seconds, ttl + 1)
     home = F.floor(F.col(ts) / width)
@@ -116,18 +115,18 @@ def survivors(df: DataFrame, key: str, order: Sequence[str], ttl: int | None,
               carry: Sequence[str], ts: str = "ts") -> DataFrame:
     """Rows that no later row of their key replaces: key, ts and ``carry``."""
     lasts = moment_lasts(df, key, order, ttl, carry, ts).where(F.col("kept"))
-    return lasts.select(key, ts, *[F.col("_last")[c].alias(c) for c in carry])
+    return lasts.select(key, ts, *[F.col("_last")[c].alias(c) for c in carry
+                                   if c not in (key, ts)])
 
 
 def mark_superseded(df: DataFrame, key: str, order: Sequence[str], ttl: int | None,
                     ts: str = "ts") -> DataFrame:
     """Add ``superseded``: true when the same key has a later row no more than ``ttl``
     seconds after this one (``ts`` in epoch seconds; ``order`` tells rows of one
-    second apart).  Many rows meet one mark per (key, second), so AQE can slice a hot
-    group of this join."""
+    second apart)."""
     marks = moment_lasts(df, key, order, ttl, ts=ts)
     is_last = F.struct(*order).eqNullSafe(F.col("_last"))
-    return (df.join(marks, [key, ts])
+    return (attach_marks(df, marks, [key, ts])
             .withColumn("superseded", ~(is_last & F.col("kept")))
             .select(*df.columns, "superseded"))
 
