@@ -25,18 +25,40 @@ DICTIONARY = [("1101", "wallet"), ("1102", "bank card"), ("1103", "union pay"),
 CATEGORY1 = [("0", "goods"), ("1", "services")]
 
 
+# The columns of the provided tables.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, "
+                "c_mktsegment string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
+            "p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+                "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+                "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
+              "value double, props string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+}
 # Tables with enough work per row to be worth spreading.
 LARGE = {"lineitem", "orders", "events", "documents"}
+_splits: dict[str, int] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A provided table.  One that is a single split (no more than
     ``spark.sql.files.maxPartitionBytes``) would keep all but one core idle up to the
     first shuffle, so its few rows are dealt out; a table of many splits is not."""
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    path = f"{sf_dir}/{name}.parquet"
+    df = spark.read.schema(SCHEMAS[name]).parquet(path)
     cores = spark.sparkContext.defaultParallelism
-    if name in LARGE and cores > 1 and df.rdd.getNumPartitions() == 1:
-        return df.repartition(cores)
+    if name in LARGE and cores > 1:
+        if path not in _splits:
+            _splits[path] = df.rdd.getNumPartitions()
+        if _splits[path] == 1:
+            return df.repartition(cores)
     return df
 
 
@@ -195,6 +217,10 @@ def line_id() -> Column:
     return F.col("l_orderkey") * 10 + F.col("l_linenumber")
 
 
+def known(key: Column) -> Column:
+    return F.coalesce(text(key), F.lit(""))
+
+
 def dec(name: str) -> Column:
     return F.col(name).cast(MONEY)
 
@@ -216,30 +242,31 @@ def line_log(spark: SparkSession, sf_dir: str) -> Parts:
     refunds = lines.where((F.col("l_returnflag") == "R") & (F.col("o_orderstatus") == "P"))
     num, total = F.col("l_quantity").cast("int"), shares()["split_total_amount"]
     asked, back = t + 600 + n % 8, t + 1200 + n % 8
-    who = {"order_id": F.col("l_orderkey"), "sku_id": sku}
+    # Keys are never null; saying so lets the branches share one pass over the lines.
+    line, who = known(line_id()), {"order_id": known(F.col("l_orderkey")), "sku_id": known(sku)}
     return [
         ("order_detail", lambda: record(
             lines.join(part, sku == F.col("p_partkey")), "order_detail", "insert", at,
-            {"id": line_id(), **who, "sku_name": F.col("p_name"), "create_time": clock(at),
+            {"id": line, **who, "sku_name": F.col("p_name"), "create_time": clock(at),
              "sku_num": num, "order_price": dec("p_retailprice"), **shares()})),
         ("order_detail_activity", lambda: record(
             lines.where(sku % 3 == 0), "order_detail_activity", "insert", at + sku % 15,
-            {"order_detail_id": line_id(), "activity_id": sku % 10, "activity_rule_id": sku % 7})),
+            {"order_detail_id": line, "activity_id": sku % 10, "activity_rule_id": sku % 7})),
         ("order_detail_coupon", lambda: record(
             lines.where(coupon % 5 == 0), "order_detail_coupon", "insert", at + coupon % 12,
-            {"order_detail_id": line_id(), "coupon_id": coupon % 9})),
+            {"order_detail_id": line, "coupon_id": coupon % 9})),
         ("order_refund_info", lambda: record(
             refunds, "order_refund_info", "insert", asked,
-            {"id": line_id(), **who, "user_id": F.col("o_custkey"), "refund_type": 1501 + n % 2,
+            {"id": line, **who, "user_id": F.col("o_custkey"), "refund_type": 1501 + n % 2,
              "refund_reason_type": 1301 + sku % 4, "refund_reason_txt": F.lit("see type"),
              "refund_num": num, "refund_amount": total, "create_time": clock(asked)})),
         ("order_refund_info", lambda: record(
             refunds, "order_refund_info", "update", t + 1200 + (n * 3) % 8,
-            {"id": line_id(), **who, "refund_num": num, "refund_status": F.lit("0705")},
+            {"id": line, **who, "refund_num": num, "refund_status": F.lit("0705")},
             {"refund_status": F.lit("0702")})),
         ("refund_payment", lambda: record(
             refunds, "refund_payment", "update", back,
-            {"id": line_id(), **who, "payment_type": 1101 + n % 4, "callback_time": clock(back),
+            {"id": line, **who, "payment_type": 1101 + n % 4, "callback_time": clock(back),
              "total_amount": total, "refund_status": F.lit("1602")},
             {"refund_status": F.lit("1601")})),
     ]
@@ -268,10 +295,14 @@ def comment_log(spark: SparkSession, sf_dir: str) -> Parts:
 
 def change_log(spark: SparkSession, sf_dir: str, *tables: str) -> DataFrame:
     """Change-log records of the named tables, or of all."""
-    logs = (order_log, line_log, cart_log, comment_log, customer_log)
+    logs = {order_log: {"order_info", "payment_info"},
+            line_log: {"order_detail", "order_detail_activity", "order_detail_coupon",
+                       "order_refund_info", "refund_payment"},
+            cart_log: {"cart_info"}, comment_log: {"comment_info"},
+            customer_log: {"customer_info"}}
     return reduce(DataFrame.unionByName, [
-        build() for log in logs for name, build in log(spark, sf_dir)
-        if not tables or name in tables])
+        build() for log, made in logs.items() if not tables or made & set(tables)
+        for name, build in log(spark, sf_dir) if not tables or name in tables])
 
 
 def mixed_log(spark: SparkSession, sf_dir: str) -> DataFrame:
