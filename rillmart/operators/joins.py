@@ -57,12 +57,16 @@ def interval_join(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str
     for l, r in on:
         match &= left[l] == bound[r]
     if sliced and not left.isStreaming:
-        width = max(upper - lower, 1) * _MICROS[unit]
-        micros = F.unix_micros
-        left = left.withColumn("_slice", F.floor(micros(left_time) / width))
-        lo = F.floor((micros("_rt") - upper * _MICROS[unit]) / width)
-        hi = F.floor((micros("_rt") - lower * _MICROS[unit]) / width)
-        bound = bound.withColumn("_rslice", F.explode(F.sequence(lo, hi)))
+        micros = _MICROS[unit]
+        width = max(upper - lower, 1) * micros
+
+        def start(at: Column) -> Column:
+            return at - F.pmod(at, F.lit(width))
+
+        left = left.withColumn("_slice", start(F.unix_micros(left_time)))
+        met = F.sequence(start(F.unix_micros("_rt") - upper * micros),
+                         start(F.unix_micros("_rt") - lower * micros), F.lit(width))
+        bound = bound.withColumn("_rslice", F.explode(met))
         match = near & (F.col("_slice") == F.col("_rslice"))
         for l, r in on:
             match &= left[l] == bound[r]

@@ -102,8 +102,9 @@ def moment_lasts(df: DataFrame, key: str, order: Sequence[str], ttl: int | None,
         return attach_marks(moments, newest, [key]).withColumn("kept", F.col(ts) == F.col("_newest")) \
             .drop("_newest")
     width = max(slice_seconds, ttl + 1)
-    home = F.floor(F.col(ts) / width)
-    shown = F.when(F.col(ts) - home * width <= ttl, F.array(home, home - 1)).otherwise(F.array(home))
+    into = F.pmod(F.col(ts), F.lit(width))
+    home = F.col(ts) - into
+    shown = F.when(into <= ttl, F.array(home, home - width)).otherwise(F.array(home))
     spread = moments.withColumn("_slice", F.explode(shown))
     following = F.lead(ts).over(Window.partitionBy(key, "_slice").orderBy(ts))
     return (spread.withColumn("_next", following).where(F.col("_slice") == home)

@@ -30,9 +30,13 @@ class Topic:
     options: dict[str, str] = field(default_factory=dict)
 
 
-def read_lines(spark: SparkSession, topic: Topic, stream: bool = True) -> DataFrame:
+def read_lines(spark: SparkSession, topic: Topic, stream: bool = True,
+               positions: bool = False) -> DataFrame:
     """Lines of a topic as ``value``; null messages are left out.  A stream starts
-    at the latest offset of a Kafka topic unless its options say otherwise."""
+    at the latest offset of a Kafka topic unless its options say otherwise.
+
+    ``positions`` keeps Kafka's ``partition`` and ``offset``: records of one key share a
+    partition, so (ts, offset) orders changes of the same second."""
     reader = spark.readStream if stream else spark.read
     if topic.format == "kafka":
         start = {"startingOffsets": "latest" if stream else "earliest"}
@@ -40,14 +44,16 @@ def read_lines(spark: SparkSession, topic: Topic, stream: bool = True) -> DataFr
                .options(**{**start, **topic.options}).load())
     else:
         raw = reader.format(topic.format).options(**topic.options).load(topic.where)
-    return raw.select(F.col("value").cast("string").alias("value")).where(
+    where = ["partition", "offset"] if positions and topic.format == "kafka" else []
+    return raw.select(F.col("value").cast("string").alias("value"), *where).where(
         F.col("value").isNotNull())
 
 
 def read_changelog(spark: SparkSession, topic: Topic, stream: bool = True,
-                   on_error: str = "fail", delay: str = CHANGELOG_DELAY) -> DataFrame:
+                   on_error: str = "fail", delay: str = CHANGELOG_DELAY,
+                   positions: bool = False) -> DataFrame:
     """Change log with event time ``et`` and processing time ``pt``."""
-    log = parse_json(read_lines(spark, topic, stream), schemas.CHANGELOG, on_error)
+    log = parse_json(read_lines(spark, topic, stream, positions), schemas.CHANGELOG, on_error)
     return event_time(log.withColumn("pt", F.current_timestamp()), "s", delay)
 
 

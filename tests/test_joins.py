@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from rillmart.operators import joins, keyed
 from rillmart.operators.windows import event_time
 from rillmart.plans import facts
+from rillmart.sources import readers
 from rillmart.streaming import jobs
 
 
@@ -162,7 +163,7 @@ def test_streamed_outer_join(spark, tmp_path, how):
     (tmp_path / "d" / "1.csv").write_text("10,x,1005\n40,y,1000\n99,z,9000000\n")
 
     def read(name, schema):
-        src = spark.readStream.schema(schema).csv(str(tmp_path / name))
+        src = readers.read_csv_records(spark, str(tmp_path / name), schema)
         return event_time(src, "ms", "0 seconds").drop("ts")
 
     out = joins.ttl_join(read("e", "empno int, ename string, deptno int, ts bigint"),

@@ -167,3 +167,9 @@ def test_processing_time_windows(spark):
     df = event_time(spark.range(10).select(F.lit(0).alias("ts")))
     out = tumble(df, "1 day", [], [F.count("*").alias("n")], time_mode="processing").collect()
     assert sum(r.n for r in out) == 10 and all(r.cur_date != "1970-01-01" for r in out)
+
+
+def test_table_reads(spark):
+    where = "/root/testdata/sf0.001/nation.parquet"
+    rules = readers.read_table(spark, where, columns=["n_nationkey", "n_name"], to_camel=True)
+    assert rules.columns == ["nNationkey", "nName"] and rules.count() == 25
