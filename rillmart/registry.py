@@ -554,6 +554,18 @@ def stream_pay_success(spark, sf):
     return facts.published(jobs.run_available(both, "pay-success"))
 
 
+@query("stream_comment", sql.COMMENT)
+def stream_comment(spark, sf):
+    rows = facts.comment(change_stream(spark, sf, "comment_info"), fx.dictionary(spark))
+    return jobs.run_available(rows, "comment")
+
+
+@query("stream_refund", sql.REFUND)
+def stream_refund(spark, sf):
+    log = change_stream(spark, sf, "order_info", "order_refund_info")
+    return facts.published(jobs.run_available(facts.refund(log, fx.dictionary(spark)), "refund"))
+
+
 @query("stream_refund_pay", sql.REFUND_PAY)
 def stream_refund_pay(spark, sf):
     log = change_stream(spark, sf, "order_info", "order_refund_info", "refund_payment")

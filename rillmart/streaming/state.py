@@ -104,38 +104,45 @@ class CancelOut(StatefulProcessor):
     """Passes every row; a row that repeats its key within ``ttl`` seconds first sends
     the row before it with negated measures.
 
+    Keys live a few seconds only, so they share buckets: a bucket's state is the list of
+    last rows still young enough to be replaced, read and written once per batch.
+
     The negated row belongs to the earlier row's window.  When the watermark has
     passed that row's time, it is sent with the watermark's time, which lies in the
     same window while the window is open; once it is closed the row would be late
     and is not sent.
     """
 
-    def __init__(self, columns: Sequence[str], measures: Sequence[str], order: Sequence[str],
-                 state: str, ttl: int, window_ms: int):
-        self.columns, self.measures, self.order = list(columns), set(measures), list(order)
+    def __init__(self, columns: Sequence[str], key: str, measures: Sequence[str],
+                 order: Sequence[str], state: str, ttl: int, window_ms: int):
+        self.columns, self.key = list(columns), key
+        self.measures, self.order = set(measures), list(order)
         self.state, self.ttl, self.window_ms = state, ttl, window_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.last = handle.getValueState("last", self.state)
+        self.young = handle.getListState("young", self.state)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        stored = self.last.get()
-        before = dict(zip(self.columns, stored)) if stored else None
         now = max(timerValues.getCurrentWatermarkInMs(), 0)
+        last = {}
+        for stored in self.young.get():
+            row = dict(zip(self.columns, stored))
+            last[row[self.key]] = row
         for row in sorted(rows, key=lambda r: (r["ts"], *[r[c] for c in self.order])):
+            before = last.get(row[self.key])
             if before is not None and row["ts"] - before["ts"] <= self.ttl:
                 ms = self._time_in_window(before["ts"] * 1000, now)
                 if ms is not None:
                     yield self._row(before, ms, -1)
-            before = row.asDict(recursive=False)
-            yield self._row(before, before["ts"] * 1000, 1)
-        self.last.update(tuple(before[c] for c in self.columns))
-        if stored is None:
-            self.handle.registerTimer(max(self._wake(before["ts"]), now + 1))
-
-    def _wake(self, ts: int) -> int:
-        return (ts + self.ttl) * 1000 + 1
+            last[row[self.key]] = current = {c: row[c] for c in self.columns}
+            yield self._row(current, current["ts"] * 1000, 1)
+        # A row older than this can only be repeated by a row that is late itself.
+        young = [tuple(row.values()) for row in last.values()
+                 if (row["ts"] + self.ttl) * 1000 >= now]
+        if young:
+            self.young.put(young)
+        else:
+            self.young.clear()
 
     def _time_in_window(self, ms: int, watermark: int) -> int | None:
         end = ms - ms % self.window_ms + self.window_ms
@@ -147,14 +154,6 @@ class CancelOut(StatefulProcessor):
                   for c in self.columns}
         return Row(**values, et=datetime.fromtimestamp(ms / 1000, timezone.utc))
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        wake = self._wake(self.last.get()[self.columns.index("ts")])
-        if wake > timerValues.getCurrentWatermarkInMs():
-            self.handle.registerTimer(wake)
-        else:
-            self.last.clear()
-        return iter(())
-
     def close(self) -> None:
         pass
 
@@ -199,10 +198,12 @@ def repair_visitors(lines: DataFrame) -> DataFrame:
 
 
 def cancel_out(df: DataFrame, key: str, measures: Sequence[str], order: Sequence[str],
-               ttl: int, window_ms: int) -> DataFrame:
-    """Stream form of ``keyed.cancel_out`` (ts in seconds), with ``et`` for a window."""
+               ttl: int, window_ms: int, buckets: int = 1024) -> DataFrame:
+    """Stream form of ``keyed.cancel_out`` (ts in seconds), with ``et`` for a window.
+    ``buckets`` is part of the state's layout: keep it when a query is restarted."""
     plain = df.drop("et")
     state = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in plain.schema)
     output = StructType([*plain.schema.fields, StructField("et", TimestampType())])
-    return with_state(df, [key], CancelOut(plain.columns, measures, order, state, ttl, window_ms),
-                      output)
+    bucket = F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+    processor = CancelOut(plain.columns, key, measures, order, state, ttl, window_ms)
+    return with_state(df.withColumn("_bucket", bucket), ["_bucket"], processor, output)
