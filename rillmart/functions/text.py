@@ -5,6 +5,10 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from rillmart.session import ship_with_tasks
+
+ship_with_tasks(__name__)
+
 # A run of letters and digits of alphabetic scripts ...
 ALPHABETIC = r"[\p{L}\p{N}&&[^\p{IsHan}]]+"
 # ... or one Chinese character; with a dictionary, a whole run of them.

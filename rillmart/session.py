@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import sys
 import tempfile
 import uuid
 
+from pyspark import cloudpickle
 from pyspark.sql import SparkSession
 
 DEFAULT_TIME_ZONE = "Asia/Shanghai"
@@ -44,6 +46,12 @@ def tune(spark: SparkSession, time_zone: str | None = None) -> SparkSession:
     return spark
 
 
+def ship_with_tasks(module: str) -> None:
+    """Send a module's classes and functions along with the tasks that use them, so that
+    Python workers need not have this package installed or on their path."""
+    cloudpickle.register_pickle_by_value(sys.modules[module])
+
+
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder below ``spark.checkpoint.dir``, visible to every executor.
 

@@ -16,6 +16,9 @@ from pyspark.sql.types import StructField, StructType, TimestampType
 
 from rillmart.functions.timefmt import DAY_MS, millis_to_date
 from rillmart.operators.keyed import RETURN_AFTER_DAYS
+from rillmart.session import ship_with_tasks
+
+ship_with_tasks(__name__)
 
 
 def _rank(row: Row) -> tuple:
