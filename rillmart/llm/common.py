@@ -6,7 +6,7 @@ import sys
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from rillmart.session import shared_dir, tune
 
@@ -14,7 +14,7 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 # Rows and bytes of one Arrow batch, so that a Python worker's memory does not follow the
 # length of the texts.
 BATCH_CONF = {"spark.sql.execution.arrow.maxRecordsPerBatch": "512",
-              "spark.sql.execution.arrow.maxBytesPerBatch": str(16 << 20)}
+              "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20)}
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -39,13 +39,18 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` below ``spark.checkpoint.dir`` and read it back.
 
     The table cuts the lineage; it outlives lost executors and goes when the application ends.
+    Nothing needs the job's shuffle files any more, and Spark deletes them once the driver's
+    garbage is collected.
     """
     spark = df.sparkSession
     path = shared_dir(spark, name)
     where, files = _path(spark, path)
     files.deleteOnExit(where)
-    df.write.parquet(path)
-    out = spark.read.schema(df.schema).parquet(path)
+    schema = df.schema
+    df.write.option("compression", "zstd").parquet(path)
+    del df
+    spark.sparkContext._jvm.System.gc()
+    out = spark.read.schema(schema).parquet(path)
     out.stored_at = path
     return out
 
@@ -66,10 +71,35 @@ def texts_of(column: pa.Array) -> list[bytes]:
     return [v or b"" for v in column.cast(pa.binary()).to_pylist()]
 
 
-def with_columns(batch: pa.RecordBatch, **columns: pa.Array) -> pa.RecordBatch:
-    """The batch's own columns and the given ones."""
-    return pa.RecordBatch.from_arrays(batch.columns + list(columns.values()),
-                                      batch.schema.names + list(columns))
+def add_columns(df: DataFrame, added: dict[str, T.DataType], compute, *needs: str) -> DataFrame:
+    """``df`` with new columns made batch by batch.
+
+    ``compute`` takes an iterator of tuples, the Arrow columns named in ``needs``, and yields for
+    each the new columns' arrays.  A new column whose name is taken gets underscores in front.
+    """
+    own = df.columns
+    places = [own.index(n) for n in needs]
+    names = [f"c{k}" for k in range(len(own) + len(added))]
+    schema = T.StructType([T.StructField(n, t) for n, t in zip(
+        names, [f.dataType for f in df.schema.fields] + list(added.values()))])
+
+    def run(batches):
+        kept = []
+
+        def columns():
+            for batch in batches:
+                kept.append(batch)
+                yield tuple(batch.column(p) for p in places)
+
+        for new in compute(columns()):
+            yield pa.RecordBatch.from_arrays(kept.pop(0).columns + list(new), names)
+
+    out = df.toDF(*names[:len(own)]).mapInArrow(run, schema)
+    return out.toDF(*own, *new_names(df, *added))
+
+
+def new_names(df: DataFrame, *names: str) -> list[str]:
+    return [free_name(df.columns, n) for n in names]
 
 
 def free_name(taken: list[str], name: str) -> str:

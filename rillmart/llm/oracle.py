@@ -9,3 +9,40 @@ SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
        doc_id = max(doc_id) OVER g AS kept, sha256(t) AS text_sha256
 FROM d WINDOW g AS (PARTITION BY t)
 """
+
+WORDS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
+DECONTAMINATE = f"""
+WITH d AS (SELECT doc_id, regexp_extract_all({LOWERED}, '{WORDS}') AS w FROM documents),
+i AS (SELECT item_id, regexp_extract_all({LOWERED}, '{WORDS}') AS w FROM benchmark),
+iw AS (SELECT DISTINCT coalesce(CAST(item_id AS VARCHAR), '') AS item, least(len(w), 13) AS n,
+         array_to_string(list_slice(w, k, k + least(len(w), 13) - 1), ' ') AS win
+       FROM i, unnest(range(1, len(w) - least(len(w), 13) + 2)) AS r(k) WHERE len(w) > 0),
+n AS (SELECT DISTINCT n FROM iw),
+dw AS (SELECT doc_id, k, n, array_to_string(list_slice(w, k, k + n - 1), ' ') AS win
+       FROM d, n, unnest(range(1, len(w) - n + 2)) AS r(k) WHERE len(w) >= n),
+m AS (SELECT doc_id, k, n, item FROM dw JOIN iw USING (n, win)),
+h AS (SELECT doc_id, count(DISTINCT p) AS n_hit
+      FROM (SELECT DISTINCT doc_id, k, n FROM m), unnest(range(k, k + n)) AS r(p) GROUP BY doc_id),
+s AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+      FROM (SELECT DISTINCT doc_id, item FROM m) GROUP BY doc_id)
+SELECT d.doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN h USING (doc_id) LEFT JOIN s USING (doc_id)
+"""
+
+CHAT = r"""
+WITH t AS (
+  SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-7, 0, 'user', '\### Assistant: </turn> ok'),
+                   (-7, 1, 'assistant', '\### Assistant: </turn> ok')),
+e AS (SELECT *, length(role || text) + length('<turn ></turn>') + 1
+        + length(regexp_replace(role || text, '[^\\<>#]', '', 'g')) AS n FROM t),
+c AS (SELECT conv_id, count(*) AS n_turns, string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn) AS said,
+        coalesce(string_agg(text, '' ORDER BY turn) FILTER (role = 'assistant'), '') AS loss, sum(n) AS chars
+      FROM e GROUP BY conv_id)
+SELECT conv_id, n_turns, sha256(said) AS turns_sha256, length(loss) AS loss_chars,
+       sha256(loss) AS loss_sha256, CAST(chars AS BIGINT) AS formatted_chars
+FROM c
+"""

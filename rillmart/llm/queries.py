@@ -8,7 +8,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from . import exact, oracle
+import public_tokenizers
+
+from . import bytebpe, chat, decontam, exact, oracle
 from .common import table, texts_of
 
 
@@ -27,5 +29,50 @@ def op1_exact_dedup(spark, sf_dir) -> DataFrame:
         _lower_digests, "doc_id long, keep_id long, group_size long, kept boolean, text_sha256 string")
 
 
-QUERIES = {"op1_exact_dedup": op1_exact_dedup}
-ORACLE_SQL = {"op1_exact_dedup": oracle.EXACT}
+def op2_decontaminate(spark, sf_dir) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    marked = decontam.mark(docs, table(spark, sf_dir, "benchmark"))
+    return marked.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        decontam.contaminated(F.col("n_hit"), F.col("n_words")).alias("contaminated"))
+
+
+RANKS = "byte_bpe_multi_50k.tiktoken"
+
+
+def op4_byte_bpe(spark, sf_dir) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    path = public_tokenizers.path(RANKS)
+    coded = bytebpe.decode(bytebpe.encode(docs, path, offsets=False), path)
+    return coded.select(
+        "doc_id", F.size("token_ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join("token_ids", ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+EXTRA_TURN = "\\### Assistant: </turn> ok"
+
+
+def op10_chat_format(spark, sf_dir) -> DataFrame:
+    """A conversation whose texts look like marks goes through the same template."""
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    extra = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(EXTRA_TURN).alias("text"))
+    out = chat.render(chat.fold(chat.log_of_turns(turns.unionByName(extra))))
+    read = out.select("conv_id", "n_turns", "formatted", chat.parse(F.col("formatted")).alias("turns"),
+                      chat.loss_text(F.col("formatted"), F.col("loss_spans")).alias("loss"))
+    said = F.transform("turns", lambda t: F.concat(t.role, F.lit("\n"), t.text, F.lit("\n")))
+    return read.select(
+        "conv_id", F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(F.array_join(said, ""), 256).alias("turns_sha256"),
+        F.char_length("loss").cast("long").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"),
+        F.char_length("formatted").cast("long").alias("formatted_chars"))
+
+
+QUERIES = {"op1_exact_dedup": op1_exact_dedup, "op2_decontaminate": op2_decontaminate,
+           "op4_byte_bpe": op4_byte_bpe, "op10_chat_format": op10_chat_format}
+ORACLE_SQL = {"op1_exact_dedup": oracle.EXACT, "op2_decontaminate": oracle.DECONTAMINATE,
+              "op10_chat_format": oracle.CHAT}
