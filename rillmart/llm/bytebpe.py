@@ -273,12 +273,14 @@ def encode(docs: DataFrame, vocabulary: str, text_col: str = "text", offsets: bo
     New columns whose names are taken get underscores in front.
     """
     sc = docs.sparkSession.sparkContext
-    parts = sc.broadcast((load_ranks(vocabulary), code_classes(), automaton()))
+    ranks = load_ranks(vocabulary)
+    parts = sc.broadcast((ranks, code_classes(), automaton()))
+    key = f"bpe-{hash(frozenset(ranks.items()))}"      # what pieces were merged to depends on it
     names = ["token_ids", "piece_starts", "piece_tokens"] if offsets else ["token_ids"]
 
     def compute(columns):
         ranks, classes, machine = parts.value
-        cache = worker_cache("bpe")
+        cache = worker_cache(key)
         for (column,) in columns:
             texts = [t.decode("utf-8", "surrogatepass") for t in texts_of(column)]
             coded = encode_texts(texts, ranks, classes, machine, cache)

@@ -35,6 +35,13 @@ def _path(spark: SparkSession, path: str):
     return where, where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
 
 
+def temporary(spark: SparkSession, path: str) -> str:
+    """``path``, which is deleted when the application ends."""
+    where, files = _path(spark, path)
+    files.deleteOnExit(where)
+    return path
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` below ``spark.checkpoint.dir`` and read it back.
 
@@ -43,9 +50,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     garbage is collected.
     """
     spark = df.sparkSession
-    path = shared_dir(spark, name)
-    where, files = _path(spark, path)
-    files.deleteOnExit(where)
+    path = temporary(spark, shared_dir(spark, name))
     schema = df.schema
     df.write.option("compression", "zstd").parquet(path)
     del df

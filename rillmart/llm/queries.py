@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import zlib
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -10,8 +11,8 @@ from pyspark.sql import DataFrame, functions as F
 
 import public_tokenizers
 
-from . import bytebpe, chat, decontam, exact, oracle
-from .common import table, texts_of
+from . import bytebpe, chat, decontam, exact, oracle, simhash, tokenfile
+from .common import shared_dir, table, temporary, texts_of
 
 
 def _lower_digests(batches):
@@ -51,6 +52,31 @@ def op4_byte_bpe(spark, sf_dir) -> DataFrame:
         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op6_simhash(spark, sf_dir) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    prints = simhash.fingerprints(docs).select("doc_id", "simhash")
+    return simhash.near_duplicates(prints).select(
+        "doc_id", F.lower(F.lpad(F.hex("simhash"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+TOKENIZER = "word_bpe_49k.json"
+
+
+def _id_digests(batches):
+    for batch in batches:
+        crc = [zlib.crc32(i) for i in batch.column(3).to_pylist()]
+        yield pa.RecordBatch.from_arrays(batch.columns[:3] + [pa.array(crc, pa.int64())],
+                                         ["doc_id", "start", "n_tokens", "ids_crc32"])
+
+
+def op7_token_files(spark, sf_dir) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    path = temporary(spark, shared_dir(spark, "token-files"))
+    tokenfile.write_tokens(docs, public_tokenizers.path(TOKENIZER), path)
+    return tokenfile.read_tokens(spark, path).mapInArrow(
+        _id_digests, "doc_id long, start long, n_tokens long, ids_crc32 long")
+
+
 EXTRA_TURN = "\\### Assistant: </turn> ok"
 
 
@@ -73,6 +99,7 @@ def op10_chat_format(spark, sf_dir) -> DataFrame:
 
 
 QUERIES = {"op1_exact_dedup": op1_exact_dedup, "op2_decontaminate": op2_decontaminate,
-           "op4_byte_bpe": op4_byte_bpe, "op10_chat_format": op10_chat_format}
+           "op4_byte_bpe": op4_byte_bpe, "op6_simhash": op6_simhash,
+           "op7_token_files": op7_token_files, "op10_chat_format": op10_chat_format}
 ORACLE_SQL = {"op1_exact_dedup": oracle.EXACT, "op2_decontaminate": oracle.DECONTAMINATE,
               "op10_chat_format": oracle.CHAT}
