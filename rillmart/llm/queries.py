@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame, functions as F
 
 import public_tokenizers
 
-from . import bytebpe, chat, decontam, exact, oracle, simhash, tokenfile
+from . import bytebpe, chat, decontam, exact, oracle, quality, simhash, tokenfile, toxicity
+from .sampling import fold
 from .common import shared_dir, table, temporary, texts_of
 
 
@@ -77,6 +78,21 @@ def op7_token_files(spark, sf_dir) -> DataFrame:
         _id_digests, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
+def _scored(spark, sf_dir, module) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = module.train(docs, table(spark, sf_dir, "labels"))
+    held_out = (fold(F.col("doc_id"), module.FOLDS) == module.HELD_OUT).alias("held_out")
+    return module.score(docs, model).select("doc_id", held_out, "score", "predicted")
+
+
+def op5_quality(spark, sf_dir) -> DataFrame:
+    return _scored(spark, sf_dir, quality)
+
+
+def op8_toxicity(spark, sf_dir) -> DataFrame:
+    return _scored(spark, sf_dir, toxicity)
+
+
 EXTRA_TURN = "\\### Assistant: </turn> ok"
 
 
@@ -99,7 +115,8 @@ def op10_chat_format(spark, sf_dir) -> DataFrame:
 
 
 QUERIES = {"op1_exact_dedup": op1_exact_dedup, "op2_decontaminate": op2_decontaminate,
-           "op4_byte_bpe": op4_byte_bpe, "op6_simhash": op6_simhash,
-           "op7_token_files": op7_token_files, "op10_chat_format": op10_chat_format}
+           "op4_byte_bpe": op4_byte_bpe, "op5_quality": op5_quality, "op6_simhash": op6_simhash,
+           "op7_token_files": op7_token_files, "op8_toxicity": op8_toxicity,
+           "op10_chat_format": op10_chat_format}
 ORACLE_SQL = {"op1_exact_dedup": oracle.EXACT, "op2_decontaminate": oracle.DECONTAMINATE,
               "op10_chat_format": oracle.CHAT}
