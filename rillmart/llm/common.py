@@ -42,17 +42,17 @@ def temporary(spark: SparkSession, path: str) -> str:
     return path
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
     """Write ``df`` below ``spark.checkpoint.dir`` and read it back.
 
     The table cuts the lineage; it outlives lost executors and goes when the application ends.
     Nothing needs the job's shuffle files any more, and Spark deletes them once the driver's
-    garbage is collected.
+    garbage is collected.  ``by``: a column whose values get folders of their own.
     """
     spark = df.sparkSession
     path = temporary(spark, shared_dir(spark, name))
     schema = df.schema
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.option("compression", "zstd").parquet(path, partitionBy=by)
     del df
     spark.sparkContext._jvm.System.gc()
     out = spark.read.schema(schema).parquet(path)
@@ -60,9 +60,9 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
-def discard(df: DataFrame) -> None:
-    """Delete a table of ``stored`` that no later step reads."""
-    where, files = _path(df.sparkSession, df.stored_at)
+def discard(df: DataFrame, folder: str = "") -> None:
+    """Delete a table of ``stored``, or one folder of it, that no later step reads."""
+    where, files = _path(df.sparkSession, f"{df.stored_at}/{folder}")
     files.delete(where, True)
 
 

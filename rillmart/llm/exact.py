@@ -15,7 +15,7 @@ import functools
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import ascii_lower, free_name, stored
+from .common import ascii_lower, discard, free_name, stored
 
 FIRST_WIDTH, GROWTH, MAX_WIDTH = 32, 8, 1 << 20
 
@@ -49,13 +49,15 @@ def duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         F.struct(*own, F.col(f"`{id_col}`").alias("_id"), text.alias("_text")).alias("_doc"),
         F.monotonically_increasing_id().alias("_row"), F.char_length(text).alias("_chars"))
     rows = rows.withColumn("_group", F.col("_chars").cast("long"))
-    done, at, width = [], 0, first_width
+    done, at, width, before = [], 0, first_width, None
     while True:
-        level = stored(_split(rows, at, width), "radix")
-        at, width = at + width, min(width * GROWTH, MAX_WIDTH)
-        ended = (F.col("_size") == 1) | (F.col("_chars") <= at)
-        done.append(level.where(ended))
-        live = level.where(~ended)
+        ended = (F.col("_size") == 1) | (F.col("_chars") <= at + width)
+        level = stored(_split(rows, at, width).withColumn("_ended", ended), "radix", by="_ended")
+        if before is not None:
+            discard(before, "_ended=false")
+        at, width, before = at + width, min(width * GROWTH, MAX_WIDTH), level
+        done.append(level.where("_ended"))
+        live = level.where("NOT _ended")
         if live.isEmpty():
             break
         rows = live.select("_doc", "_row", "_chars", F.col("_into").alias("_group"))
