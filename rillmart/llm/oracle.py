@@ -46,3 +46,19 @@ SELECT conv_id, n_turns, sha256(said) AS turns_sha256, length(loss) AS loss_char
        sha256(loss) AS loss_sha256, CAST(chars AS BIGINT) AS formatted_chars
 FROM c
 """
+
+PHRASES = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+win AS (SELECT doc_id, k, array_to_string(list_slice(w, k, k + 49), ' ') AS win
+        FROM d, unnest(range(1, len(w) - 48)) AS r(k) WHERE len(w) >= 50),
+f AS (SELECT win, min(doc_id) AS first FROM win GROUP BY win HAVING min(doc_id) < max(doc_id)),
+h AS (SELECT doc_id, array_agg(DISTINCT p) AS gone
+      FROM (SELECT doc_id, k FROM win JOIN f USING (win) WHERE first < doc_id), unnest(range(k, k + 50)) AS r(p)
+      GROUP BY doc_id),
+l AS (SELECT d.doc_id, w, coalesce(gone, []) AS gone FROM d LEFT JOIN h USING (doc_id)),
+x AS (SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS kept
+      FROM (SELECT doc_id, gone, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM l)
+      WHERE NOT list_contains(gone, p) GROUP BY doc_id)
+SELECT l.doc_id, len(w) AS n_words, len(gone) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM l LEFT JOIN x USING (doc_id)
+"""

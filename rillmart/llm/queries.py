@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 
 import public_tokenizers
 
-from . import bytebpe, chat, decontam, exact, oracle, quality, simhash, tokenfile, toxicity
+from . import bytebpe, chat, decontam, exact, oracle, phrases, pii, quality, simhash, tokenfile, toxicity
 from .sampling import fold
 from .common import shared_dir, table, temporary, texts_of
 
@@ -40,6 +40,12 @@ def op2_decontaminate(spark, sf_dir) -> DataFrame:
         decontam.contaminated(F.col("n_hit"), F.col("n_words")).alias("contaminated"))
 
 
+def op3_phrase_dedup(spark, sf_dir) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return phrases.remove_repeats(docs).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 RANKS = "byte_bpe_multi_50k.tiktoken"
 
 
@@ -93,6 +99,17 @@ def op8_toxicity(spark, sf_dir) -> DataFrame:
     return _scored(spark, sf_dir, toxicity)
 
 
+def op9_personal_data(spark, sf_dir) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.personal_data(docs)
+    kinds = F.transform("pii", lambda s: s.kind)
+    counts = [(F.size(kinds) - F.size(F.array_remove(kinds, k))).cast("long").alias(f"n_{k}")
+              for k in pii.KINDS]
+    base = pii.span_list(F.filter("pii", lambda s: s.base))
+    return found.select("doc_id", *counts, F.sha2(base, 256).alias("base_sha256"),
+                        pii.span_list(F.col("pii")).alias("spans"))
+
+
 EXTRA_TURN = "\\### Assistant: </turn> ok"
 
 
@@ -115,8 +132,9 @@ def op10_chat_format(spark, sf_dir) -> DataFrame:
 
 
 QUERIES = {"op1_exact_dedup": op1_exact_dedup, "op2_decontaminate": op2_decontaminate,
-           "op4_byte_bpe": op4_byte_bpe, "op5_quality": op5_quality, "op6_simhash": op6_simhash,
+           "op3_phrase_dedup": op3_phrase_dedup, "op4_byte_bpe": op4_byte_bpe, "op5_quality": op5_quality, "op6_simhash": op6_simhash,
            "op7_token_files": op7_token_files, "op8_toxicity": op8_toxicity,
-           "op10_chat_format": op10_chat_format}
+           "op9_personal_data": op9_personal_data, "op10_chat_format": op10_chat_format}
 ORACLE_SQL = {"op1_exact_dedup": oracle.EXACT, "op2_decontaminate": oracle.DECONTAMINATE,
+              "op3_phrase_dedup": oracle.PHRASES,
               "op10_chat_format": oracle.CHAT}
