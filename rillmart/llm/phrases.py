@@ -228,25 +228,23 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     smaller ids.  New columns whose names are taken get underscores in front.
     """
     own = docs.columns
-    names = [free_name(own, n) for n in ("row", "anchors")]
-    keyed = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text")) \
-        .where("id IS NOT NULL")
+    inner = docs.toDF(*[f"c{k}" for k in range(len(own))])
+    key, text = (F.col(f"c{own.index(c)}") for c in (id_col, text_col))
+    keyed = inner.select(key.cast("long").alias("id"), text.alias("text")).where("id IS NOT NULL")
     seen = stored(keyed.mapInArrow(_occurrences, "anchor long, id long"), "anchors")
     shared = seen.groupBy("anchor").agg(F.min("id").alias("a"), F.max("id").alias("b"),
                                         F.count("*").alias("n")).where("a < b")
     salts = F.ceil(F.col("n") / SALT_ROWS).cast("int")
     held = seen.join(shared.select("anchor", salts.alias("salts")), "anchor").groupBy("id").agg(
         F.collect_list(F.struct("anchor", "salts")).alias("held"))
-    rows = docs.withColumn(names[0], F.monotonically_increasing_id())
-    held = held.select(F.col("id").alias("_id"), F.col("held").alias(names[1]))
-    rows = rows.join(held, F.col(f"`{id_col}`").cast("long") == F.col("_id"), "left").drop("_id")
-    rows = rows.withColumn("_live", F.col(f"`{names[1]}`").isNotNull())
-    table = stored(rows, "phrases", by="_live")
+    rows = inner.withColumn("row", F.monotonically_increasing_id()) \
+        .join(held, key.cast("long") == F.col("id"), "left").drop("id") \
+        .withColumn("live", F.col("held").isNotNull())
+    table = stored(rows, "phrases", by="live")
     discard(seen)
-    live = table.where("_live").select(
-        F.col(f"`{names[0]}`").alias("row"), F.col(f"`{id_col}`").cast("long").alias("id"),
-        F.col(f"`{text_col}`").alias("text"), F.col(f"`{names[1]}`.anchor").alias("anchors"),
-        F.col(f"`{names[1]}`.salts").alias("salts"))
+    live = table.where("live").select(
+        "row", key.cast("long").alias("id"), text.alias("text"), F.col("held.anchor").alias("anchors"),
+        F.col("held.salts").alias("salts"))
 
     windows = live.select("id", "text", "anchors").mapInArrow(_windows, "window long, id long")
     recurring = stored(windows.groupBy("window").agg(F.min("id").alias("first"), F.max("id").alias("last"))
@@ -261,14 +259,11 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         "shard", F.pmod(F.xxhash64("anchor", "salt"), F.lit(shards)).cast("int"))
     spans = dealt.repartition("shard").sortWithinPartitions("shard", "stream") \
         .mapInArrow(_search, "row long, start long, stop long")
-    cuts = spans.groupBy("row").agg(F.collect_list(F.struct("start", "stop")).alias("_cuts"))
-    cuts = stored(cuts, "cuts")
-    cut = table.where("_live").join(cuts.withColumnRenamed("row", "_row"), F.col(f"`{names[0]}`") == F.col("_row"), "left")
-    whole = table.where("NOT _live").withColumn("_cuts", F.lit(None).cast(cuts.schema["_cuts"].dataType))
-    columns = [*(F.col(f"`{c}`") for c in own), F.col("_cuts")]
-    both = cut.select(*columns).unionAll(whole.select(*columns))
-    cuts_name = free_name(own, "cuts")
-    both = both.toDF(*own, cuts_name)
+    cuts = stored(spans.groupBy("row").agg(F.collect_list(F.struct("start", "stop")).alias("cuts")), "cuts")
+    cut = table.where("live").join(cuts, "row", "left")
+    whole = table.where("NOT live").withColumn("cuts", F.lit(None).cast(cuts.schema["cuts"].dataType))
+    columns = [*inner.columns, "cuts"]
+    both = cut.select(*columns).unionAll(whole.select(*columns)).toDF(*own, free_name(own, "cuts"))
     out = add_columns(both, {"n_words": T.LongType(), "n_removed": T.LongType(), "kept_text": T.StringType()},
-                      _remove, text_col, cuts_name)
-    return out.drop(cuts_name)
+                      _remove, text_col, both.columns[-1])
+    return out.drop(both.columns[-1])

@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from .common import add_columns, free_name, stored, texts_of
+from .common import add_columns, new_names, stored, texts_of
 from .components import components
 
 SHINGLE, RADIUS, SEED = 3, 3, 42
@@ -163,11 +163,11 @@ def near_duplicates(prints: DataFrame, id_col: str = "doc_id", print_col: str =
     other.  An empty table gives an empty table; names that are taken get underscores in front.
     """
     own = prints.columns
-    row, into = free_name(own, "row"), free_name(own, "into")
-    table = stored(prints.withColumn(row, F.monotonically_increasing_id()), "simhash")
-    groups = table.groupBy(F.col(f"`{print_col}`").alias("simhash")).agg(
-        F.min(f"`{id_col}`").alias("least"),
-        F.coalesce(F.min_by(f"`{row}`", f"`{id_col}`"), F.min(f"`{row}`")).alias("stays"))
+    inner = prints.toDF(*[f"c{k}" for k in range(len(own))])
+    key, value = (f"c{own.index(c)}" for c in (id_col, print_col))
+    table = stored(inner.withColumn("row", F.monotonically_increasing_id()), "simhash")
+    groups = table.groupBy(F.col(value).alias("simhash")).agg(
+        F.min(key).alias("least"), F.coalesce(F.min_by("row", key), F.min("row")).alias("stays"))
     groups = stored(groups, "simhash-groups")
     linked = components(links(groups.select("simhash"), radius))
     rooted = groups.join(linked, groups.simhash == linked.node).select("root", "simhash", "least", "stays")
@@ -176,12 +176,10 @@ def near_duplicates(prints: DataFrame, id_col: str = "doc_id", print_col: str =
         F.coalesce(F.min_by("stays", "least"), F.min("stays")).alias("stays"))
     merged = rooted.select("root", "simhash").join(best, "root").select("simhash", "least", "stays")
     alone = groups.join(linked, groups.simhash == linked.node, "left_anti")
-    into = alone.select("simhash", "least", "stays").unionAll(merged) \
-        .toDF("_print", "_least", "_stays")
-    names = [free_name(own, n) for n in ("component_id", "kept")]
-    out = table.join(into, F.col(f"`{print_col}`") == F.col("_print"))
-    return out.select(*[F.col(f"`{c}`") for c in own], F.col("_least").alias(names[0]),
-                      (F.col(f"`{row}`") == F.col("_stays")).alias(names[1]))
+    into = alone.select("simhash", "least", "stays").unionAll(merged)
+    out = table.join(into, F.col(value) == F.col("simhash"))
+    return out.select(*inner.columns, "least", F.col("row") == F.col("stays")) \
+        .toDF(*own, *new_names(prints, "component_id", "kept"))
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
