@@ -14,6 +14,7 @@ within a part, ascend with doc_id.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 
 import numpy as np
@@ -24,7 +25,9 @@ from .common import discard, stored, texts_of, worker_cache
 
 END_ID = 1
 MAX_VOCABULARY_BYTES = 64 << 20
-CACHED_WORDS = 600_000
+CACHED_WORDS = 900_000
+# A digit or Latin-1 letter in lower case, then signs up to white space.
+SIGNS = re.compile(rb"([0-9a-z]|\xc3[\x9f-\xb6\xb8-\xbf])([!-&(-/:-@\[-`{-~]+)(?=[ \t\n\r]|\Z)")
 
 # Bytes of each of the four ranks under a control byte.
 LENGTHS = ((np.arange(256)[:, None] >> np.array([0, 2, 4, 6])) & 3).astype(np.uint8) + 1
@@ -64,10 +67,13 @@ def _load(path: str) -> bytes:
 
 
 def encode_texts(texts: list[bytes], tokenizer, cache: dict, kind: str) -> list[bytes]:
-    """Ids of each text, as integers of ``kind``.  The tokenizer drops white space and never joins
-    across it, so it is given each distinct run of other characters once, and what it said is
-    remembered."""
-    split = [t.split() for t in texts]
+    """Ids of each text, as integers of ``kind``.
+
+    The tokenizer drops white space, folds case and never joins across white space or from a letter
+    or digit to other signs than an apostrophe.  So it is given each distinct run of characters once,
+    in lower case and without its last signs, and what it said is remembered.
+    """
+    split = [SIGNS.sub(rb"\1 \2", t.lower()).split() for t in texts]
     words = set().union(*split)
     missing = list(words - cache.keys())
     known = cache

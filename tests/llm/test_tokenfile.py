@@ -4,7 +4,7 @@ import uuid
 
 import numpy as np
 import public_tokenizers
-from hypothesis import given, strategies as st
+from hypothesis import given, settings, strategies as st
 from tokenizers import Tokenizer
 
 from rillmart.llm import tokenfile
@@ -23,9 +23,20 @@ def test_coding(ranks):
     assert (tokenfile.unpack(control, data, len(ranks)) == values).all()
 
 
+LIBRARY = Tokenizer.from_file(PATH)
+LIBRARY.encode_special_tokens = True
+
+
+@settings(max_examples=500, deadline=None)
+@given(st.lists(st.text(st.one_of(st.sampled_from("ab'sSé É.!?-_ \n\t1'TK\u0301\u0307İß¼“"), st.characters(codec="utf-8")),
+                        max_size=40), max_size=3))
+def test_same_ids_as_the_library(texts):
+    got = tokenfile.encode_texts([t.encode() for t in texts], LIBRARY, {}, "<u2")
+    assert [np.frombuffer(g, "<u2").tolist() for g in got] == \
+        [e.ids for e in LIBRARY.encode_batch(texts, add_special_tokens=False)]
+
+
 def test_files(spark):
-    library = Tokenizer.from_file(PATH)
-    library.encode_special_tokens = True
     rows = [*ODD, (20, "it's  DON'T\x1c1\x1f2 Σας <|endoftext|> ﬁ ½\u0085z")]
     path = shared_dir(spark, f"files-{uuid.uuid4().hex}")
     tokenfile.write_tokens(docs(spark, rows), PATH, path)
@@ -34,7 +45,7 @@ def test_files(spark):
     assert ids == sorted(-1 if i is None else i for i, _ in rows)
     at, texts = 0, {}
     for i, t in rows:
-        texts.setdefault(i, []).append(library.encode(t or "", add_special_tokens=False).ids + [1])
+        texts.setdefault(i, []).append(LIBRARY.encode(t or "", add_special_tokens=False).ids + [1])
     for r in got:
         found = np.frombuffer(r.ids, "<u4").tolist()
         assert r.start == at and r.n_tokens == len(found) and found in texts[r.doc_id]
