@@ -5,15 +5,13 @@ are not used as negatives.  The risk of a linear model under logistic loss is es
 with class prior ``p``, R = p R+(toxic) + max(0, R-(all) - p R-(toxic)), where R+ and R- are the mean losses of calling a
 set's texts toxic or clean.  When the second part falls below zero the step goes against it, so the
 model cannot gain by fitting toxic texts out of the unlabelled ones.  A model weighs words
-and word beginnings; its vocabulary is those whose share of toxic texts differs from that of all texts by at least
+and word beginnings, known by their hashes; its vocabulary is those whose share of toxic texts differs from that of all texts by at least
 ``DEVIATIONS`` standard deviations.
 """
 
 from __future__ import annotations
 
 import itertools
-import zlib
-from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -29,63 +27,79 @@ PREFIXES = (4, 5, 6, 7)
 RARE = 0.01                # share of texts up to which a word tells texts apart
 STEPS, RATE, DECAY = 400, 0.1, 1e-4
 FOLDS, HELD_OUT = 5, 0
-Model = tuple[dict[bytes, float], float]
+# Hashes in ascending order, their weights, the bias.
+Model = tuple[np.ndarray, np.ndarray, float]
 
 
-def _matrix(texts: list[list[bytes]], index: dict[bytes, int]):
-    places = [np.array(sorted(index[w] for w in t if w in index), np.int64) for t in texts]
-    row = np.repeat(np.arange(len(places)), [len(p) for p in places])
-    return row, np.concatenate(places) if places else np.zeros(0, np.int64), len(texts)
+def features(text: bytes) -> np.ndarray:
+    """Hashes of a text's words and, marked, of the first ``PREFIXES`` bytes of longer ones."""
+    from xxhash import xxh3_64_intdigest
 
-
-def features(text: bytes) -> set[bytes]:
-    """A text's words and, marked, the first ``PREFIXES`` bytes of longer ones."""
     words = set(words_of(text))
-    return words.union(*[{b"^" + w[:n] for w in words if len(w) > n} for n in PREFIXES])
+    found = words.union(*[{b"^" + w[:n] for w in words if len(w) > n} for n in PREFIXES])
+    return np.unique(np.fromiter(map(xxh3_64_intdigest, found), np.uint64, len(found)))
+
+
+def _counts(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """(features, number of texts of each)."""
+    return np.unique(np.concatenate([np.zeros(0, np.uint64), *texts]), return_counts=True)
+
 
+def _at(known: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(whether each is known, places of the known ones)."""
+    if not len(known):
+        return np.zeros(len(wanted), bool), np.zeros(0, np.int64)
+    places = np.minimum(np.searchsorted(known, wanted), len(known) - 1)
+    there = known[places] == wanted
+    return there, places[there]
 
-def _apart(texts: list[list[bytes]], seen: Counter, total: int) -> list[list[bytes]]:
+
+def _apart(texts: list[np.ndarray], known: np.ndarray, seen: np.ndarray, total: int) -> list[np.ndarray]:
     """``texts`` without later near copies, which would make their own words look telling: those
-    that share two of their first three rare words, by hash, with an earlier text."""
-    kept, known = [], set()
-    for words in texts:
-        rare = sorted((w for w in words if seen[w] <= max(RARE * total, 2)), key=zlib.crc32)[:3]
-        keys = set(itertools.combinations(rare, 2)) or {tuple(words)}
-        if not keys & known:
-            kept.append(words)
-        known |= keys
+    that share two of their first three rare features, by hash, with an earlier text."""
+    kept, met = [], set()
+    for text in texts:
+        rare = text[seen[_at(known, text)[1]] <= max(RARE * total, 2)][:3].tolist()
+        keys = set(itertools.combinations(rare, 2)) or {tuple(text.tolist())}
+        if not keys & met:
+            kept.append(text)
+        met |= keys
     return kept
 
 
-def _telling(toxic: list[list[bytes]], unlabelled: list[list[bytes]]) -> list[bytes]:
-    """Words whose document shares differ clearly between the sets, clearest first."""
-    seen, all_seen = (Counter(w for t in s for w in t) for s in (toxic, unlabelled))
+def _telling(toxic: list[np.ndarray], unlabelled: list[np.ndarray]) -> np.ndarray:
+    """Features whose document shares differ clearly between the sets."""
+    (words, counts), (all_words, all_counts) = _counts(toxic), _counts(unlabelled)
+    either = np.union1d(words[counts >= MIN_TEXTS], all_words[all_counts >= MIN_TEXTS])
+    a, b = np.zeros(len(either)), np.zeros(len(either))
+    for into, (w, c) in ((a, (words, counts)), (b, (all_words, all_counts))):
+        there, places = _at(w, either)
+        into[there] = c[places]
     n, m = len(toxic), len(unlabelled)
-    found = []
-    for word in {w for w, k in seen.items() if k >= MIN_TEXTS} | {w for w, k in all_seen.items() if k >= MIN_TEXTS}:
-        a, b = seen[word], all_seen[word]
-        share = (a + b) / (n + m)
-        spread = (share * (1 - share) * (1 / n + 1 / m)) ** 0.5
-        if spread and abs(a / n - b / m) >= DEVIATIONS * spread:
-            found.append((-abs(a / n - b / m) / spread, word))
-    return [w for _, w in sorted(found)]
+    share = (a + b) / (n + m)
+    spread = np.sqrt(share * (1 - share) * (1 / n + 1 / m))
+    z = np.abs(a / n - b / m) / np.maximum(spread, 1e-12)
+    best = np.argsort(-z, kind="stable")[:VOCABULARY]
+    return np.sort(either[best[(z[best] >= DEVIATIONS) & (spread[best] > 0)]])
 
 
-def fit(toxic: list[list[bytes]], unlabelled: list[list[bytes]], prior: float, steps: int = STEPS) -> Model:
-    """Word weights and bias from the distinct words of each text.
+def fit(toxic: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, steps: int = STEPS) -> Model:
+    """Feature weights and bias from the features of each text.
 
     Without toxic texts nothing is toxic; without any text the score is one half everywhere.
     """
     if not toxic or not unlabelled:
-        return {}, -5.0 if unlabelled else 5.0 if toxic else 0.0
-    seen = Counter(w for t in itertools.chain(toxic, unlabelled) for w in t)
+        return np.zeros(0, np.uint64), np.zeros(0), -5.0 if unlabelled else 5.0 if toxic else 0.0
+    known, seen = _counts([*toxic, *unlabelled])
     total = len(toxic) + len(unlabelled)
-    toxic, unlabelled = _apart(toxic, seen, total), _apart(unlabelled, seen, total)
+    toxic, unlabelled = (_apart(t, known, seen, total) for t in (toxic, unlabelled))
     chosen = _telling(toxic, unlabelled)
-    index = {w: k for k, w in enumerate(chosen[:VOCABULARY])}
-    sets = [_matrix(t, index) for t in (toxic, unlabelled)]
-    weights, bias = np.zeros(len(index)), float(np.log(prior / (1 - prior)))
-    moments = [np.zeros(len(index) + 1), np.zeros(len(index) + 1)]
+    sets = []
+    for texts in (toxic, unlabelled):
+        places = [_at(chosen, t)[1] for t in texts]
+        sets.append((np.repeat(np.arange(len(places)), [len(p) for p in places]), np.concatenate(places), len(texts)))
+    weights, bias = np.zeros(len(chosen)), float(np.log(prior / (1 - prior)))
+    moments = [np.zeros(len(chosen) + 1), np.zeros(len(chosen) + 1)]
 
     def margin(rows):
         row, column, n = rows
@@ -93,7 +107,7 @@ def fit(toxic: list[list[bytes]], unlabelled: list[list[bytes]], prior: float, s
 
     def gradient(rows, slope):
         row, column, n = rows
-        g = np.bincount(column, slope[row] / n, minlength=len(index))
+        g = np.bincount(column, slope[row] / n, minlength=len(chosen))
         return np.append(g, slope.sum() / n)
 
     for step in range(1, steps + 1):
@@ -107,12 +121,17 @@ def fit(toxic: list[list[bytes]], unlabelled: list[list[bytes]], prior: float, s
         moments[1] = 0.999 * moments[1] + 0.001 * g * g
         move = RATE * (moments[0] / (1 - 0.9 ** step)) / (np.sqrt(moments[1] / (1 - 0.999 ** step)) + 1e-8)
         weights, bias = weights - move[:-1], bias - float(move[-1])
-    return dict(zip(index, weights.tolist())), bias
+    return chosen, weights, bias
+
+
+def margin_of(text: bytes, model: Model) -> float:
+    known, weights, bias = model
+    return bias + float(weights[_at(known, features(text))[1]].sum())
 
 
-def _distinct(columns):
+def _features(columns):
     for (column,) in columns:
-        yield [pa.array([sorted(features(t)) for t in texts_of(column)], pa.list_(pa.binary()))]
+        yield [pa.array([features(t).tobytes() for t in texts_of(column)], pa.binary())]
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -126,9 +145,10 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     for chosen in (first_ids(ids.where("label = 1").select("id"), toxic_sample),
                    first_ids(docs.select(F.col(f"`{id_col}`").alias("id")), all_sample)):
         texts = texts_by_id(docs, chosen, id_col, text_col)
-        rows = add_columns(texts, {"words": T.ArrayType(T.BinaryType())}, _distinct, "text").select("id", "words")
-        samples.append([r["words"] for r in sorted(rows.collect(), key=lambda r: r["id"])])
-    return fit([[bytes(w) for w in t] for t in samples[0]], [[bytes(w) for w in t] for t in samples[1]], prior)
+        rows = add_columns(texts, {"features": T.BinaryType()}, _features, "text").select("id", "features")
+        samples.append([np.frombuffer(r["features"], np.uint64) for r in
+                        sorted(rows.toLocalIterator(), key=lambda r: r["id"])])
+    return fit(*samples, prior)
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
@@ -139,11 +159,8 @@ def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def compute(columns):
-        weights, bias = shared.value
-        known = weights.keys()
         for (column,) in columns:
-            margins = np.array([bias + sum(weights[w] for w in sorted(known & features(t)))
-                                for t in texts_of(column)])
+            margins = np.array([margin_of(t, shared.value) for t in texts_of(column)])
             scores = 1 / (1 + np.exp(-np.clip(margins, -700, 700)))
             yield [pa.array(scores, pa.float64()), pa.array((scores >= 0.5).astype(np.int32), pa.int32())]
 

@@ -56,8 +56,8 @@ def test_coordinate_descent_separates():
 
 def test_positive_unlabelled_learning():
     rng = np.random.default_rng(2)
-    clean = lambda: [b"w%d" % k for k in rng.integers(0, 300, 20)]
-    toxic = [clean() + [b"bad"] for _ in range(100)]
-    unlabelled = [clean() for _ in range(450)] + [clean() + [b"bad"] for _ in range(50)]
-    weights, bias = toxicity.fit(toxic, unlabelled, 0.1)
-    assert weights[b"bad"] + bias > 0 > bias
+    clean = lambda: b" ".join(b"w%d" % k for k in rng.integers(0, 300, 20))
+    toxic = [clean() + b" bad" for _ in range(100)]
+    unlabelled = [clean() for _ in range(450)] + [clean() + b" bad" for _ in range(50)]
+    model = toxicity.fit([toxicity.features(t) for t in toxic], [toxicity.features(t) for t in unlabelled], 0.1)
+    assert toxicity.margin_of(b"w1 bad w2", model) > 0 > toxicity.margin_of(b"w1 w2", model)
