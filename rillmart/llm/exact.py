@@ -15,7 +15,7 @@ import functools
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import ascii_lower, discard, free_name, stored
+from .common import ascii_lower, discard, free_name, new_names, stored
 
 FIRST_WIDTH, GROWTH, MAX_WIDTH = 32, 8, 1 << 20
 
@@ -24,14 +24,13 @@ def _digit(text: Column, at: int, width: int) -> Column:
     return ascii_lower(F.substring(text, at + 1, width)).cast("binary")
 
 
-def _split(rows: DataFrame, at: int, width: int) -> DataFrame:
+def _split(rows: DataFrame, key: str, text: Column, at: int, width: int) -> DataFrame:
     """Rows with their digit's group: its size, largest id and the row number that names it."""
-    keyed = rows.withColumn("_digit", _digit(F.col("_doc._text"), at, width))
+    keyed = rows.withColumn("_digit", _digit(text, at, width))
     groups = keyed.groupBy("_group", "_digit").agg(
-        F.count("*").alias("_size"), F.max("_doc._id").alias("_keep"),
-        F.coalesce(F.max_by("_row", "_doc._id"), F.max("_row")).alias("_into"))
-    found = keyed.join(groups, ["_group", "_digit"])
-    return found.select("_doc", "_row", "_chars", "_size", "_keep", "_into")
+        F.count("*").alias("_size"), F.max(key).alias("_keep"),
+        F.coalesce(F.max_by("_row", key), F.max("_row")).alias("_into"))
+    return keyed.join(groups, ["_group", "_digit"]).drop("_group", "_digit")
 
 
 def duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -43,16 +42,16 @@ def duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     than any other.  All columns of ``docs`` stay; a new column whose name is taken gets
     underscores in front.  An empty table gives an empty table.
     """
-    own = [F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(docs.columns)]
-    text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
-    rows = docs.select(
-        F.struct(*own, F.col(f"`{id_col}`").alias("_id"), text.alias("_text")).alias("_doc"),
-        F.monotonically_increasing_id().alias("_row"), F.char_length(text).alias("_chars"))
-    rows = rows.withColumn("_group", F.col("_chars").cast("long"))
+    own = [f"c{k}" for k in range(len(docs.columns))]
+    key = own[docs.columns.index(id_col)]
+    text = F.coalesce(F.col(own[docs.columns.index(text_col)]), F.lit(""))
+    rows = docs.toDF(*own).withColumns({
+        "_row": F.monotonically_increasing_id(), "_chars": F.char_length(text),
+        "_group": F.char_length(text).cast("long")})
     done, at, width, before = [], 0, first_width, None
     while True:
         ended = (F.col("_size") == 1) | (F.col("_chars") <= at + width)
-        level = stored(_split(rows, at, width).withColumn("_ended", ended), "radix", by="_ended")
+        level = stored(_split(rows, key, text, at, width).withColumn("_ended", ended), "radix", by="_ended")
         if before is not None:
             discard(before, "_ended=false")
         at, width, before = at + width, min(width * GROWTH, MAX_WIDTH), level
@@ -60,12 +59,11 @@ def duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         live = level.where("NOT _ended")
         if live.isEmpty():
             break
-        rows = live.select("_doc", "_row", "_chars", F.col("_into").alias("_group"))
+        rows = live.select(*own, "_row", "_chars", F.col("_into").alias("_group"))
     new = {"keep_id": F.col("_keep"), "group_size": F.col("_size"),
            "kept": F.col("_row") == F.col("_into")}
     return functools.reduce(DataFrame.unionAll, done).select(
-        *[F.col(f"_doc.c{k}").alias(c) for k, c in enumerate(docs.columns)],
-        *[v.alias(free_name(docs.columns, k)) for k, v in new.items()])
+        *own, *new.values()).toDF(*docs.columns, *new_names(docs, *new))
 
 
 def drop_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
