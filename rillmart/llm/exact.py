@@ -24,12 +24,10 @@ def _digit(text: Column, at: int, width: int) -> Column:
     return ascii_lower(F.substring(text, at + 1, width)).cast("binary")
 
 
-def _split(rows: DataFrame, key: str, text: Column, at: int, width: int) -> DataFrame:
-    """Rows with their digit's group: its size, largest id and the row number that names it."""
+def _split(rows: DataFrame, text: Column, at: int, width: int, *measures: Column) -> DataFrame:
+    """Rows with the size of their digit's group and what else is measured of it."""
     keyed = rows.withColumn("_digit", _digit(text, at, width))
-    groups = keyed.groupBy("_group", "_digit").agg(
-        F.count("*").alias("_size"), F.max(key).alias("_keep"),
-        F.coalesce(F.max_by("_row", key), F.max("_row")).alias("_into"))
+    groups = keyed.groupBy("_group", "_digit").agg(F.count("*").alias("_size"), *measures)
     return keyed.join(groups, ["_group", "_digit"]).drop("_group", "_digit")
 
 
@@ -45,24 +43,30 @@ def duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     own = [f"c{k}" for k in range(len(docs.columns))]
     key = own[docs.columns.index(id_col)]
     text = F.coalesce(F.col(own[docs.columns.index(text_col)]), F.lit(""))
+    keep = F.max(key).alias("_keep")
     rows = docs.toDF(*own).withColumns({
-        "_row": F.monotonically_increasing_id(), "_chars": F.char_length(text),
-        "_group": F.char_length(text).cast("long")})
-    done, at, width, before = [], 0, first_width, None
-    while True:
+        "_chars": F.char_length(text), "_group": F.char_length(text).cast("long")})
+    # The first round only takes single rows out.  The others start again with a wider digit, now
+    # that each has a number that stays, as the written table has it.
+    number = F.monotonically_increasing_id()
+    level = stored(_split(rows, text, 0, first_width, keep).withColumns({
+        "_row": number, "_ended": F.col("_size") == 1}).withColumn("_into", F.col("_row")), "radix", by="_ended")
+    done, live = [level.where("_ended")], level.where("NOT _ended")
+    rows = live.select(*own, "_row", "_chars", F.col("_chars").cast("long").alias("_group"))
+    at, width = 0, first_width * GROWTH
+    name = F.coalesce(F.max_by("_row", key), F.max("_row")).alias("_into")
+    while not live.isEmpty():
         ended = (F.col("_size") == 1) | (F.col("_chars") <= at + width)
-        level = stored(_split(rows, key, text, at, width).withColumn("_ended", ended), "radix", by="_ended")
-        if before is not None:
-            discard(before, "_ended=false")
-        at, width, before = at + width, min(width * GROWTH, MAX_WIDTH), level
+        before, level = level, stored(
+            _split(rows, text, at, width, keep, name).withColumn("_ended", ended), "radix", by="_ended")
+        discard(before, "_ended=false")
         done.append(level.where("_ended"))
         live = level.where("NOT _ended")
-        if live.isEmpty():
-            break
         rows = live.select(*own, "_row", "_chars", F.col("_into").alias("_group"))
+        at, width = at + width, min(width * GROWTH, MAX_WIDTH)
     new = {"keep_id": F.col("_keep"), "group_size": F.col("_size"),
            "kept": F.col("_row") == F.col("_into")}
-    return functools.reduce(DataFrame.unionAll, done).select(
+    return functools.reduce(DataFrame.unionByName, done).select(
         *own, *new.values()).toDF(*docs.columns, *new_names(docs, *new))
 
 
