@@ -42,24 +42,11 @@ SCHEMAS = {
               "value double, props string",
     "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
 }
-# Tables with enough work per row to be worth spreading.
-LARGE = {"lineitem", "orders", "events", "documents"}
-_splits: dict[str, int] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A provided table.  One that is a single split (no more than
-    ``spark.sql.files.maxPartitionBytes``) would keep all but one core idle up to the
-    first shuffle, so its few rows are dealt out; a table of many splits is not."""
-    path = f"{sf_dir}/{name}.parquet"
-    df = spark.read.schema(SCHEMAS[name]).parquet(path)
-    cores = spark.sparkContext.defaultParallelism
-    if name in LARGE and cores > 1:
-        if path not in _splits:
-            _splits[path] = df.rdd.getNumPartitions()
-        if _splits[path] == 1:
-            return df.repartition(cores)
-    return df
+    """A provided table, with its schema declared."""
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def text(c: Column) -> Column:

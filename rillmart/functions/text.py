@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -39,8 +41,14 @@ def dictionary_words(text: Column, dictionary: list[str]) -> Column:
     return cut(F.regexp_extract_all(F.lower(text), F.lit(RUN), F.lit(0)))
 
 
+def _is_han(c: str) -> bool:
+    """The script of ``\\p{IsHan}``: ideographs of all planes and the signs used with them."""
+    return unicodedata.name(c, "").startswith(("CJK UNIFIED", "CJK COMPATIBILITY IDEOGRAPH", "CJK RADICAL",
+                                               "KANGXI RADICAL")) or c in "\u3005\u3007"
+
+
 def _longest_match(run: str, known: frozenset, longest: int) -> list[str]:
-    if not "\u4e00" <= run[0] <= "\u9fff":
+    if not _is_han(run[0]):
         return [run]
     out, start = [], 0
     while start < len(run):

@@ -14,14 +14,15 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from rillmart.functions.fields import is_blank
-from rillmart.operators.joins import broadcast_checked, enrich
+from rillmart.operators.joins import enrich
 
 CELL = ["sink_table", "row_key", "column"]
 
 
-def to_cells(routed: DataFrame, order: Sequence[str] = ("ts",)) -> DataFrame:
+def to_cells(routed: DataFrame, order: Sequence[str]) -> DataFrame:
     """Routed changes to folded cells.  A put writes its non-empty fields only; a
-    delete leaves a marker whose column is null."""
+    delete leaves a marker whose column is null.  ``order`` starts with the time in seconds
+    and must tell a row's changes of one second apart by their arrival: (ts, offset)."""
     at = F.struct(*order).alias("at")
     puts = (routed.where(F.col("op") != "delete")
             .select("sink_table", "row_key", F.explode("data").alias("column", "value"), at)
@@ -33,7 +34,7 @@ def to_cells(routed: DataFrame, order: Sequence[str] = ("ts",)) -> DataFrame:
 
 
 def merge_cells(cells: DataFrame) -> DataFrame:
-    newest = F.max(F.struct("at", "value")).alias("_n")
+    newest = F.max_by(F.struct("at", "value"), "at").alias("_n")
     return cells.groupBy(*CELL).agg(newest).select(*CELL, "_n.*")
 
 
@@ -46,7 +47,7 @@ def rows_of(cells: DataFrame, resets: DataFrame | None = None,
     seconds).  One group holds no more rows than the dimension has columns.
     """
     if resets is not None:
-        cells = (cells.join(broadcast_checked(resets), "sink_table", "left")
+        cells = (cells.join(resets, "sink_table", "left")
                  .where(F.col("reset_ms").isNull()
                         | (F.col("at")[ts] * 1000 > F.col("reset_ms"))).drop("reset_ms"))
     deleted = F.max(F.when(F.col("column").isNull(), F.col("at"))).alias("_deleted")
@@ -60,7 +61,7 @@ def rows_of(cells: DataFrame, resets: DataFrame | None = None,
             .where(F.size("data") > 0))
 
 
-def fold_dims(routed: DataFrame, order: Sequence[str] = ("ts",),
+def fold_dims(routed: DataFrame, order: Sequence[str],
               resets: DataFrame | None = None) -> DataFrame:
     return rows_of(to_cells(routed, order), resets, order[0])
 

@@ -1,7 +1,6 @@
 """Time-bounded, lookup and plain joins.
 
-No join here carries a broadcast hint except behind ``broadcast_checked``: the
-planner broadcasts a side whose size, estimated or measured at run time, is below
+No join here carries a broadcast hint: the planner broadcasts a side whose size, estimated or measured at run time, is below
 ``spark.sql.autoBroadcastJoinThreshold``, and shuffles otherwise.
 """
 
@@ -12,12 +11,6 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 
-def broadcast_checked(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """Mark a configuration-sized table for broadcast if it really has no more
-    than ``max_rows`` rows; a larger one is left to the planner."""
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
-
-
 def attach_marks(rows: DataFrame, marks: DataFrame, keys: Sequence[str],
                  how: str = "inner") -> DataFrame:
     """Join every row with the one mark of its key, where ``marks`` was aggregated by

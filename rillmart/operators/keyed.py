@@ -144,7 +144,11 @@ def cancel_out(df: DataFrame, key: str, measures: Sequence[str], order: Sequence
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """The last row of each key, combined before the shuffle."""
-    rest = [c for c in df.columns if c not in keys and c not in order]
-    last = F.max(F.struct(*order, *rest)).alias("_last")
+    """The last row of each key, combined before the shuffle.
+
+    ``order`` must tell a key's rows apart, for instance (ts, offset).  The other columns are
+    carried, not compared, so they may be of any type, maps too.
+    """
+    carried = [c for c in df.columns if c not in keys]
+    last = F.max_by(F.struct(*carried), F.struct(*order)).alias("_last")
     return df.groupBy(*keys).agg(last).select(*keys, "_last.*").select(*df.columns)

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from rillmart.functions.fields import keep_listed
-from rillmart.operators.joins import broadcast_checked
+from rillmart.operators.keyed import latest_per_key
 
 # Fixed value: configuration changes that empty the dimension they are about.
 EMPTYING_OPS = ["u", "d"]
@@ -22,12 +22,12 @@ def rule_events(config: DataFrame) -> DataFrame:
 
 
 def latest_rules(events: DataFrame, keys: Sequence[str],
-                 order: Sequence[str] = ("ts_ms",)) -> DataFrame:
-    """The rules in force: the last event of each key, unless it removes the rule."""
+                 order: Sequence[str]) -> DataFrame:
+    """The rules in force: the last event of each key, unless it removes the rule.  ``order``
+    must tell the events of one moment apart, for instance (ts_ms, offset)."""
     rest = [c for c in events.columns if c not in keys and c not in order]
-    last = F.max(F.struct(*order, *rest)).alias("_last")
-    return (events.groupBy(*keys).agg(last).where(F.col("_last.op") != "d")
-            .select(*keys, *[F.col("_last")[c].alias(c) for c in rest if c != "op"]))
+    last = latest_per_key(events, keys, order)
+    return last.where(F.col("op") != "d").select(*keys, *[c for c in rest if c != "op"])
 
 
 def dim_resets(events: DataFrame) -> DataFrame:
@@ -36,10 +36,10 @@ def dim_resets(events: DataFrame) -> DataFrame:
             .groupBy("sink_table").agg(F.max("ts_ms").alias("reset_ms")))
 
 
-def route_dims(log: DataFrame, rules: DataFrame, keep: Sequence[str] = ("ts",)) -> DataFrame:
+def route_dims(log: DataFrame, rules: DataFrame, keep: Sequence[str]) -> DataFrame:
     """Change-log rows whose table has a dimension rule: target, row key, operation
-    and the payload fields the rule lists."""
-    ruled = log.join(broadcast_checked(rules), F.col("table") == F.col("source_table"))
+    and the payload fields the rule lists.  ``keep``: the columns that order changes."""
+    ruled = log.join(rules, F.col("table") == F.col("source_table"))
     return ruled.select(
         "sink_table", F.element_at("data", F.col("sink_row_key")).alias("row_key"),
         F.col("type").alias("op"), keep_listed(F.col("data"), F.col("sink_columns")).alias("data"),
@@ -49,7 +49,7 @@ def route_dims(log: DataFrame, rules: DataFrame, keep: Sequence[str] = ("ts",))
 def route_facts(log: DataFrame, rules: DataFrame) -> DataFrame:
     """Change-log rows whose (table, type) has a fact rule: target and payload, with
     the record's ts added to the payload."""
-    ruled = log.join(broadcast_checked(rules), (F.col("table") == F.col("source_table"))
+    ruled = log.join(rules, (F.col("table") == F.col("source_table"))
                      & (F.col("type") == F.col("source_type")))
     listed = keep_listed(F.col("data"), F.col("sink_columns"))
     without_ts = F.map_filter(listed, lambda name, _: name != "ts")

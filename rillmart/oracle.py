@@ -304,3 +304,8 @@ ETL_GATE = _with(ORDERS, MIXED) + """SELECT id, type, ts FROM m WHERE database =
 DROP_BOOTSTRAP = _with(ORDERS, MIXED) + """
   SELECT CASE WHEN no_fields OR no_data THEN NULL ELSE id END AS id, type, database, ts
   FROM m WHERE NOT starts_with(type, 'bootstrap-')"""
+
+JSON_OUT = """SELECT '{"event_id":' || event_id || ',"user_id":' || user_id
+    || CASE WHEN event_id % 7 <> 0 THEN ',"event_type":"' || event_type || '"' ELSE '' END
+    || ',"text":' || CAST(to_json('say "' || event_type || '" \\ ' || props) AS VARCHAR) || '}' AS value
+    FROM events"""

@@ -368,10 +368,19 @@ def route_fact(spark, sf):
         "id", "user_id", "order_id", "order_status", "appraise")])
 
 
+ORDER = ["ts", "offset"]
+
+
+def numbered(log):
+    """Change-log rows of the tables with the offset a topic would give them."""
+    return log.withColumn("offset", F.xxhash64("table", "type", "ts", F.to_json("data")))
+
+
 def dim_changes(spark, sf):
     log = changelog.etl_gate(fx.change_log(spark, sf, "customer_info", "order_info"),
                              fx.DATABASE)
-    return routing.route_dims(log, fx.dim_rules(spark))
+    log = numbered(log)
+    return routing.route_dims(log, fx.dim_rules(spark), ORDER)
 
 
 @query("route_dim", sql.ROUTE_DIM)
@@ -382,7 +391,7 @@ def route_dim(spark, sf):
 
 def folded_customers(spark, sf, resets=None):
     routed = dim_changes(spark, sf).where("sink_table = 'dim_customer'")
-    return dims.dim_table(dims.fold_dims(routed, resets=resets), "dim_customer",
+    return dims.dim_table(dims.fold_dims(routed, ORDER, resets), "dim_customer",
                           ["id", "name", "segment", "balance"])
 
 
@@ -417,11 +426,14 @@ def time_functions(spark, sf):
                     F.unix_seconds(timefmt.from_millis(ms)).alias("seconds"))
 
 
-@query("json_out")
+@query("json_out", sql.JSON_OUT)
 def json_out(spark, sf):
-    """Summary rows as the JSON lines a sink writes (text differs between engines)."""
-    rows = traffic.page_view(fx.page_log(spark, sf), "1 day")
-    return rows.select(json_record(*schemas.PAGE_VIEW).alias("value"))
+    """Rows as the JSON lines a sink writes, with nulls and quoted texts among them."""
+    e = fx.table(spark, sf, "events")
+    rare = F.when(F.col("event_id") % 7 != 0, F.col("event_type"))
+    quoted = F.concat(F.lit('say "'), F.col("event_type"), F.lit('" \\ '), F.col("props"))
+    rows = e.select("event_id", "user_id", rare.alias("event_type"), quoted.alias("text"))
+    return rows.select(json_record("event_id", "user_id", "event_type", "text").alias("value"))
 
 
 # --- streams ---------------------------------------------------------------------------------------------
@@ -605,7 +617,7 @@ def stream_upsert(spark, sf):
 
 @query("stream_dim_sync", sql.DIM_FOLD)
 def stream_dim_sync(spark, sf):
-    rows = fx.change_log(spark, sf, "customer_info")
+    rows = numbered(fx.change_log(spark, sf, "customer_info"))
     lines = topic(spark, "db", rows.select(json_record(*rows.columns).alias("value")))
     where = jobs.sync_dims(readers.read_changelog(spark, lines), lambda: fx.dim_rules(spark),
                            fx.DATABASE)
@@ -618,12 +630,12 @@ def stream_route_fact(spark, sf):
     """Routing by rules that are read again for every micro-batch."""
     rows = fx.change_log(spark, sf, "order_info", "payment_info", "comment_info")
     lines = topic(spark, "db", rows.select(json_record(*rows.columns).alias("value")))
-    config = fx.rule_log(spark, sf)
+    config = fx.rule_log(spark, sf).withColumnRenamed("event_id", "offset")
     rule_lines = topic(spark, "rules", config.select(json_record(*config.columns).alias("value")))
 
     def rules():
         events = readers.read_config_changes(spark, rule_lines)
-        return routing.latest_rules(events, ["source_table", "source_type"])
+        return routing.latest_rules(events, ["source_table", "source_type"], ["ts_ms", "offset"])
 
     where = jobs.sync_facts(readers.read_changelog(spark, lines), rules)
     return spark.read.parquet(where).groupBy("sink_table").agg(F.count("*").alias("n"))

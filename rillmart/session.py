@@ -53,7 +53,8 @@ def ship_with_tasks(module: str) -> None:
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder below ``spark.checkpoint.dir``, visible to every executor.
+    """A fresh folder below ``spark.checkpoint.dir``, visible to every executor and deleted
+    when the application ends.
 
     Only a local session without that setting gets a temporary folder; on a
     cluster a missing setting is an error, since a machine-local folder would be
@@ -67,4 +68,7 @@ def shared_dir(spark: SparkSession, name: str) -> str:
         root = tempfile.mkdtemp(prefix="rillmart-")
         spark.conf.set("spark.checkpoint.dir", root)
         context.setCheckpointDir(root)
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    where = f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(where)
+    path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).deleteOnExit(path)
+    return where

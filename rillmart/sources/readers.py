@@ -35,8 +35,9 @@ def read_lines(spark: SparkSession, topic: Topic, stream: bool = True,
     """Lines of a topic as ``value``; null messages are left out.  A stream starts
     at the latest offset of a Kafka topic unless its options say otherwise.
 
-    ``positions`` keeps Kafka's ``partition`` and ``offset``: records of one key share a
-    partition, so (ts, offset) orders changes of the same second."""
+    ``positions`` adds ``partition`` and ``offset``: records of one key share a Kafka
+    partition, so (ts, offset) orders changes of the same second.  A folder has no offsets;
+    there they are a field of that name in each record."""
     reader = spark.readStream if stream else spark.read
     if topic.format == "kafka":
         start = {"startingOffsets": "latest" if stream else "earliest"}
@@ -44,14 +45,17 @@ def read_lines(spark: SparkSession, topic: Topic, stream: bool = True,
                .options(**{**start, **topic.options}).load())
     else:
         raw = reader.format(topic.format).options(**topic.options).load(topic.where)
-    where = ["partition", "offset"] if positions and topic.format == "kafka" else []
+    where = ["partition", "offset"] if positions else []
+    if positions and topic.format != "kafka":
+        raw = raw.select("value", F.lit(0).alias("partition"),
+                         F.get_json_object("value", "$.offset").cast("bigint").alias("offset"))
     return raw.select(F.col("value").cast("string").alias("value"), *where).where(
         F.col("value").isNotNull())
 
 
 def read_changelog(spark: SparkSession, topic: Topic, stream: bool = True,
                    on_error: str = "fail", delay: str = CHANGELOG_DELAY,
-                   positions: bool = False) -> DataFrame:
+                   positions: bool = True) -> DataFrame:
     """Change log with event time ``et`` and processing time ``pt``."""
     log = parse_json(read_lines(spark, topic, stream, positions), schemas.CHANGELOG, on_error)
     return event_time(log.withColumn("pt", F.current_timestamp()), "s", delay)
@@ -71,8 +75,10 @@ def read_page_log(spark: SparkSession, topic: Topic, stream: bool = True,
 
 def read_config_changes(spark: SparkSession, topic: Topic, rule: str = schemas.FACT_RULE,
                         stream: bool = False) -> DataFrame:
-    """Configuration changes ({op, before, after, ts_ms} lines) as flat rule events."""
-    return rule_events(parse_json(read_lines(spark, topic, stream), schemas.config_change(rule)))
+    """Configuration changes ({op, before, after, ts_ms} lines) as flat rule events,
+    with the ``offset`` that orders events of one moment."""
+    lines = read_lines(spark, topic, stream, positions=True).drop("partition")
+    return rule_events(parse_json(lines, schemas.config_change(rule)))
 
 
 def read_table(spark: SparkSession, where: str, fmt: str = "parquet", to_camel: bool = False,

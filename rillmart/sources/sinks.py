@@ -87,7 +87,7 @@ def compact_upserted(spark: SparkSession, where: str, into: str, keys: Sequence[
     read_upserted(spark, where, keys, order).write.parquet(f"{into}/batch_id=-1")
 
 
-def store_dims(where: str, order: Sequence[str] = ("ts",)) -> Writer:
+def store_dims(where: str, order: Sequence[str]) -> Writer:
     """Dimension sink: each micro-batch of routed changes adds its folded cells,
     laid out by dimension so that a reader of one opens only its files."""
     inner = write_batches(where, split_by=["sink_table"])

@@ -40,17 +40,10 @@ def run_batches(stream: DataFrame, name: str, writer: Callable[[str], sinks.Writ
 
 
 def _run(writer, root: str, spark: SparkSession) -> None:
-    # The number of state partitions is fixed when a query first starts; one per core
-    # of the cluster keeps every core busy without tiny state stores.
-    setting = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(setting)
-    spark.conf.set(setting, str(spark.sparkContext.defaultParallelism))
-    try:
-        query = (writer.outputMode("append").option("checkpointLocation", f"{root}/checkpoint")
-                 .trigger(availableNow=True).start())
-    finally:
-        spark.conf.set(setting, before)
-    query.awaitTermination()
+    # The number of state partitions is ``spark.sql.shuffle.partitions`` when a query first
+    # starts, and stays: set it for the cluster the query will grow to.
+    writer.outputMode("append").option("checkpointLocation", f"{root}/checkpoint") \
+        .trigger(availableNow=True).start().awaitTermination()
 
 
 # --- traffic --------------------------------------------------------------------------------
@@ -135,7 +128,7 @@ def sku_order(detail: DataFrame, products: DataFrame, size: str = REFERENCE_SIZE
 # --- routing ------------------------------------------------------------------------------------
 
 def sync_dims(log: DataFrame, rules: Callable[[], DataFrame], database: str, name: str = "dims",
-              order: Sequence[str] = ("ts",), root: str | None = None) -> str:
+              order: Sequence[str] = ("ts", "offset"), root: str | None = None) -> str:
     """Keep dimension tables up to date.  ``rules`` is called for every micro-batch, so
     a rule change takes effect with the next one."""
     def writer(where: str) -> sinks.Writer:

@@ -103,6 +103,10 @@ class VisitorRepair(StatefulProcessor):
         pass
 
 
+def row_of(row: Row, columns: Sequence[str]) -> dict:
+    return {c: row[c] for c in columns}
+
+
 class CancelOut(StatefulProcessor):
     """Passes every row; a row that repeats its key within ``ttl`` seconds first sends
     the row before it with negated measures.
@@ -133,11 +137,19 @@ class CancelOut(StatefulProcessor):
             last[row[self.key]] = row
         for row in sorted(rows, key=lambda r: (r["ts"], *[r[c] for c in self.order])):
             before = last.get(row[self.key])
+            if before is not None and row["ts"] < before["ts"]:
+                # An older row that comes late: a newer one already stands for the key.
+                yield self._row(row_of(row, self.columns), row["ts"] * 1000, 1)
+                if before["ts"] - row["ts"] <= self.ttl:
+                    ms = self._time_in_window(row["ts"] * 1000, now)
+                    if ms is not None:
+                        yield self._row(row_of(row, self.columns), ms, -1)
+                continue
             if before is not None and row["ts"] - before["ts"] <= self.ttl:
                 ms = self._time_in_window(before["ts"] * 1000, now)
                 if ms is not None:
                     yield self._row(before, ms, -1)
-            last[row[self.key]] = current = {c: row[c] for c in self.columns}
+            last[row[self.key]] = current = row_of(row, self.columns)
             yield self._row(current, current["ts"] * 1000, 1)
         # A row older than this can only be repeated by a row that is late itself.
         young = [tuple(row.values()) for row in last.values()

@@ -44,21 +44,30 @@ def test_fold_equals_store(spark):
     for seed in (1, 2):
         events = history(seed)
         df = spark.createDataFrame(events, SHAPE).repartition(7)
-        assert shown(dims.fold_dims(df)) == model(events)
+        assert shown(dims.fold_dims(df, ["ts"])) == model(events)
+
+
+def test_changes_of_one_second_go_by_arrival(spark):
+    shape = SHAPE + ", offset bigint"
+    events = [("d", "k", "insert", {"name": "zzz", "x": "1"}, 5, 1), ("d", "k", "update", {"name": "aaa"}, 5, 2),
+              ("d", "j", "insert", {"name": "old", "x": "1"}, 5, 3), ("d", "j", "delete", {"name": "old"}, 5, 4),
+              ("d", "j", "insert", {"name": "new"}, 5, 5)]
+    out = dims.fold_dims(spark.createDataFrame(events, shape).repartition(5), ["ts", "offset"])
+    assert shown(out) == [("d", "j", [("name", "new")]), ("d", "k", [("name", "aaa"), ("x", "1")])]
 
 
 def test_reset_empties_one_dimension(spark):
     events = history(3)
     changes = spark.createDataFrame([("r", "dim_x", 1), ("u", "dim_x", 200_000), ("c", "dim_y", 9)],
                                     "op string, sink_table string, ts_ms bigint")
-    out = dims.fold_dims(spark.createDataFrame(events, SHAPE), resets=routing.dim_resets(changes))
+    out = dims.fold_dims(spark.createDataFrame(events, SHAPE), ["ts"], resets=routing.dim_resets(changes))
     assert shown(out) == model(events, ("dim_x", 200_000))
 
 
 def test_batches_fold_like_one(spark, tmp_path):
     """Micro-batches, one of them written twice, then a compaction."""
     events = history(4)
-    write = sinks.store_dims(str(tmp_path / "dims"))
+    write = sinks.store_dims(str(tmp_path / "dims"), ["ts"])
     for n in range(4):
         batch = spark.createDataFrame(events[n * 100:(n + 1) * 100], SHAPE)
         write(batch, n)
@@ -85,6 +94,12 @@ def test_upserts(spark, tmp_path):
     assert sinks.read_upserted(spark, str(tmp_path / "up2"), ["id"], ["ts"]).count() == 3
 
 
+def test_upserts_carry_any_type(spark, tmp_path):
+    shape = "id string, ts bigint, data map<string,string>"
+    sinks.upsert(str(tmp_path / "m"), ["id"], ["ts"])(spark.createDataFrame([("a", 1, {"x": "1"}), ("a", 2, {"y": "2"})], shape), 0)
+    assert [r.data for r in sinks.read_upserted(spark, str(tmp_path / "m"), ["id"], ["ts"]).collect()] == [{"y": "2"}]
+
+
 def test_missing_hop_gives_nulls_behind_it(spark):
     def dim(data, cols):
         return spark.createDataFrame(data, ", ".join(f"{c} string" for c in cols))

@@ -103,12 +103,6 @@ def test_lookup_drops_and_enrich_keeps(spark):
         ("1", "one"), ("2", None), (None, None)]
 
 
-def test_big_rule_table_is_not_broadcast(spark):
-    df = spark.range(20)
-    assert "broadcast" in joins.broadcast_checked(df, 20)._jdf.queryExecution().toString()
-    assert "broadcast" not in joins.broadcast_checked(df, 19)._jdf.queryExecution().toString()
-
-
 def hot_rows(spark):
     """A third of the rows share a key and a second; the payload does not compress."""
     n = F.col("id")
