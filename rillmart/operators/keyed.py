@@ -48,22 +48,29 @@ def login_days(df: DataFrame, user: str = "uid", ts: str = "ts") -> DataFrame:
                        F.when(gap >= RETURN_AFTER_DAYS, 1).otherwise(0).alias("back_ct"))
 
 
-def repair_new_visitors(df: DataFrame, device: Column, is_new: Column,
-                        ts: Column) -> DataFrame:
-    """Add ``is_new_fixed``: the flag '1' becomes '0' on every day but the
-    device's first.  A device whose first row is not flagged new was known before,
-    so its first day counts as the day before that row.
+def first_days(df: DataFrame, device: Column, is_new: Column, ts: Column) -> DataFrame:
+    """(_mid, _first_day) of each device.  A device whose first row is not flagged new was known
+    before, so its first day counts as the day before that row.
 
     Rows with the same ts and device are ordered with the flag '1' last.
     """
     flagged = F.coalesce(is_new, F.lit("")) == "1"
     seen = df.select(device.alias("_mid"), flagged.alias("_new"), ts.alias("_ts"))
-    firsts = (seen.where(F.col("_mid").isNotNull())
+    return (seen.where(F.col("_mid").isNotNull())
               .groupBy("_mid", "_new").agg(F.min("_ts").alias("_ts"))
               .groupBy("_mid").agg(F.min(F.struct("_ts", "_new")).alias("_f"))
               .select("_mid", millis_to_date(
                   F.when(F.col("_f._new"), F.col("_f._ts"))
                   .otherwise(F.col("_f._ts") - DAY_MS)).alias("_first_day")))
+
+
+def repair_new_visitors(df: DataFrame, device: Column, is_new: Column, ts: Column,
+                        firsts: DataFrame | None = None) -> DataFrame:
+    """Add ``is_new_fixed``: the flag '1' becomes '0' on every day but the device's first.
+    ``firsts`` gives the first days where they are known from elsewhere.  Rows without a device
+    keep their flag."""
+    flagged = F.coalesce(is_new, F.lit("")) == "1"
+    firsts = first_days(df, device, is_new, ts) if firsts is None else firsts
     joined = attach_marks(df.withColumn("_mid", device), firsts, ["_mid"], "left")
     stale = flagged & (F.col("_first_day") != millis_to_date(ts))
     return joined.withColumn("is_new_fixed", F.when(stale, "0").otherwise(is_new)) \

@@ -12,6 +12,7 @@ from rillmart.functions import timefmt
 from rillmart.functions.fields import amount, json_record
 from rillmart.functions.text import register_words
 from rillmart.operators import changelog, dims, joins, keyed, routing
+from rillmart.operators.logsplit import split_log_json
 from rillmart.operators.windows import event_time
 from rillmart.plans import facts, trade, traffic
 from rillmart.session import shared_dir, tune
@@ -168,16 +169,32 @@ def log_split_page(spark, sf):
         F.col("actions").isNotNull().alias("empty_actions"), "ts")
 
 
-@query("log_fan_out", sql.log("""
-    SELECT topic, count(*) AS lines FROM (
-      SELECT 'err' AS topic FROM log WHERE has_err
-      UNION ALL SELECT CASE WHEN has_start THEN 'start' ELSE 'page' END FROM log
-      UNION ALL SELECT 'display' FROM log, (VALUES (1), (2)) p(pos) WHERE NOT has_start AND pos <= k % 3
-      UNION ALL SELECT 'action' FROM log WHERE NOT has_start AND k % 2 = 1) GROUP BY topic"""))
+SENT_LOG = sql.log("""
+    SELECT 'err' AS topic, mid, fixed AS is_new, page_id, CAST(k AS VARCHAR) AS detail, ms AS ts FROM log WHERE has_err
+    UNION ALL SELECT 'start', mid, fixed, page_id, 'icon', ms FROM log WHERE has_start
+    UNION ALL SELECT 'page', mid, fixed, page_id, CAST(dur AS VARCHAR), ms FROM log WHERE NOT has_start
+    UNION ALL SELECT 'display', mid, fixed, page_id, k || ':' || pos, ms
+      FROM log, (VALUES (1), (2)) p(pos) WHERE NOT has_start AND pos <= k % 3
+    UNION ALL SELECT 'action', mid, fixed, page_id, 'favor_add', ms FROM log WHERE NOT has_start AND k % 2 = 1""")
+
+
+def sent_log(lines):
+    """What the five targets were sent, parsed again."""
+    text = "map<string,string>"
+    fact = F.from_json("value", f"common {text}, page {text}, start {text}, err {text}, display {text}, "
+                                f"action {text}, ts bigint").alias("r")
+    common, page, topic = F.col("r.common"), F.col("r.page"), F.col("topic")
+    detail = (F.when(topic == "err", F.col("r.err")["code"]).when(topic == "start", F.col("r.start")["entry"])
+              .when(topic == "page", page["during_time"]).when(topic == "action", F.col("r.action")["action_id"])
+              .otherwise(F.concat_ws(":", F.col("r.display")["item"], F.col("r.display")["pos"])))
+    ts = F.coalesce(F.col("r.ts"), F.col("r.action")["ts"].cast("bigint"))
+    return lines.select("topic", fact).select("topic", common["mid"].alias("mid"), common["is_new"].alias("is_new"),
+                                              page["page_id"].alias("page_id"), detail.alias("detail"), ts.alias("ts"))
+
+
+@query("log_fan_out", SENT_LOG)
 def log_fan_out(spark, sf):
-    from rillmart.operators.logsplit import split_log_json
-    lines = split_log_json(traffic.repaired_log(client_log(spark, sf)))
-    return lines.groupBy("topic").agg(F.count("value").alias("lines"))
+    return sent_log(split_log_json(traffic.repaired_log(client_log(spark, sf))))
 
 
 # --- change log filters -----------------------------------------------------------------------
@@ -445,11 +462,27 @@ def json_out(spark, sf):
 HEARTBEAT = 4_000_000_000
 
 
-def topic(spark, name, lines):
-    """Write lines of a topic and return where they are."""
+FILES = 4
+
+
+def topic_in_turn(spark, name, parts):
+    """Write a topic of one file for each part, which a stream reads one after another."""
     where = shared_dir(spark, f"topic-{name}")
-    lines.write.text(where)
-    return Topic(where)
+    for lines in parts:
+        lines.coalesce(1).write.mode("append").text(where)
+    return Topic(where, options={"maxFilesPerTrigger": "1"})
+
+
+def topic(spark, name, lines):
+    """Write lines of a topic in ``FILES`` slices of time and return where they are."""
+    at = F.coalesce(F.get_json_object("value", "$.ts"), F.get_json_object("value", "$.ts_ms")).cast("bigint")
+    timed = lines.withColumn("at", F.coalesce(at, F.lit(0))).persist()
+    try:
+        cuts = timed.approxQuantile("at", [k / FILES for k in range(1, FILES)], 0.01)
+        part = sum((F.col("at") > F.lit(int(c))).cast("int") for c in cuts)
+        return topic_in_turn(spark, name, [timed.where(part == k).select("value") for k in range(FILES)])
+    finally:
+        timed.unpersist()
 
 
 def beat(df, **fields):
@@ -505,14 +538,28 @@ def stream_keyword_pv(spark, sf):
     return jobs.run_available(traffic.keyword_pv(readers.read_page_log(spark, lines)), "keyword")
 
 
-@query("stream_log_split", _SQL["log_fan_out"])
+def split_lines(spark, where):
+    return sent_log(spark.read.schema("value string, topic string").json(f"{where}/facts"))
+
+
+@query("stream_log_split", SENT_LOG)
 def stream_log_split(spark, sf):
     """The five facts, each line sent to its own target by one writer."""
     lines = readers.read_lines(spark, topic(spark, "log", fx.raw_log(fx.table(spark, sf, "events"))))
-    where = jobs.run_batches(jobs.split_topics(lines), "log-split",
-                             lambda path: sinks.write_batches(path, "json", ["topic"]))
-    sent = spark.read.schema("value string, topic string").json(where)
-    return sent.groupBy("topic").agg(F.count("value").alias("lines"))
+    return split_lines(spark, jobs.split_log(lines))
+
+
+@query("stream_log_split_late", SENT_LOG)
+def stream_log_split_late(spark, sf):
+    """Four files: every device's first record, then the other rows in no order of time."""
+    events = fx.table(spark, sf, "events")
+    rows = fx.visits(events).select("event_id", F.col("common")["mid"].alias("mid"), "ts")
+    firsts = rows.where("event_id % 97 <> 0").groupBy("mid").agg(F.min("ts").alias("first"))
+    part = F.when(F.col("ts") == F.col("first"), 0).otherwise(1 + F.pmod(F.xxhash64("event_id"), F.lit(3)))
+    parts = rows.join(firsts, "mid").select("event_id", part.alias("part"))
+    dealt = events.join(parts, "event_id")
+    where = topic_in_turn(spark, "log", [fx.raw_log(dealt.where(F.col("part") == k)) for k in range(4)])
+    return split_lines(spark, jobs.split_log(readers.read_lines(spark, where)))
 
 
 @query("stream_log_dirty", _SQL["log_dirty"])
@@ -625,7 +672,7 @@ def stream_dim_sync(spark, sf):
                           ["id", "name", "segment", "balance"])
 
 
-@query("stream_route_fact", f"SELECT sink_table, count(*) AS n FROM ({sql.ROUTE_FACT}) GROUP BY 1")
+@query("stream_route_fact", sql.ROUTE_FACT)
 def stream_route_fact(spark, sf):
     """Routing by rules that are read again for every micro-batch."""
     rows = fx.change_log(spark, sf, "order_info", "payment_info", "comment_info")
@@ -638,4 +685,6 @@ def stream_route_fact(spark, sf):
         return routing.latest_rules(events, ["source_table", "source_type"], ["ts_ms", "offset"])
 
     where = jobs.sync_facts(readers.read_changelog(spark, lines), rules)
-    return spark.read.parquet(where).groupBy("sink_table").agg(F.count("*").alias("n"))
+    routed = spark.read.schema("sink_table string, data map<string,string>, ts bigint").parquet(where)
+    return routed.select("sink_table", "ts", *[F.col("data")[c].alias(c) for c in (
+        "id", "user_id", "order_id", "order_status", "appraise")])

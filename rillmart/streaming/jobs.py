@@ -10,10 +10,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rillmart import schemas
 from rillmart.functions.fields import amount, total
+from rillmart.operators import keyed
 from rillmart.operators.changelog import dirty_records, etl_gate, parse_json
 from rillmart.operators.logsplit import split_log_json
 from rillmart.operators.routing import route_dims, route_facts
-from rillmart.operators.windows import REFERENCE_SIZE, event_time, tumble
+from rillmart.operators.windows import REFERENCE_SIZE, tumble
 from rillmart.plans import trade, traffic
 from rillmart.session import shared_dir
 from rillmart.sources import sinks
@@ -75,22 +76,44 @@ def cart_add_uu(cart: DataFrame, size: str = REFERENCE_SIZE, slices: int = 1) ->
     return trade.cart_add_windows(state.day_firsts(rows, ["user_id"], slices=slices), size)
 
 
-def repaired_lines(lines: DataFrame, delay: str = "0 seconds") -> DataFrame:
-    """Raw client-log lines to parsed records with the visitor flag corrected.  State
-    sees the line and three fields of it; the rest is parsed behind it."""
-    head = parse_json(lines.withColumn("line", F.col("value")), schemas.CLIENT_LOG, "drop")
-    common = F.col("common")
-    keyed = event_time(head.select(
-        F.col("line").alias("value"), common["mid"].alias("mid"),
-        common["is_new"].alias("is_new"), "ts"), "ms", delay)
-    fixed = parse_json(state.repair_visitors(keyed), schemas.CLIENT_LOG)
-    return fixed.withColumn("common", traffic.with_flag(common, F.col("is_new_fixed"))) \
-        .drop("is_new_fixed", "et")
+FIRST_DAYS = "_mid string, _first_day string"
 
 
-def split_topics(lines: DataFrame, delay: str = "0 seconds") -> DataFrame:
-    """Raw client-log lines to (topic, value) lines of the five traffic facts."""
-    return split_log_json(repaired_lines(lines, delay))
+def split_log(lines: DataFrame, name: str = "log-split", root: str | None = None,
+              fmt: str = "json") -> str:
+    """Raw client-log lines to the five traffic facts, below ``facts/topic=...``, and lines that
+    are not records to ``dirty``, in one job.  Returns the folder.
+
+    No line is late: a micro-batch's visitor flags are corrected as a whole, against the first
+    days stored so far.  A device's first micro-batch sets its first day, a row per device is
+    all that is kept, and rows without a device pass.  Nothing is held in a Python worker.
+    """
+    def writer(where: str) -> sinks.Writer:
+        spark, first_folder = lines.sparkSession, f"{where}/first_days"
+        spark.createDataFrame([], FIRST_DAYS).write.mode("ignore").parquet(f"{first_folder}/batch_id=-1")
+        facts, dirty = sinks.write_batches(f"{where}/facts", fmt, ["topic"]), sinks.write_batches(f"{where}/dirty", "text")
+
+        def write(batch: DataFrame, batch_id: int) -> None:
+            batch = batch.persist()
+            try:
+                log = parse_json(batch, schemas.CLIENT_LOG, "drop")
+                mid, is_new, ts = F.col("common")["mid"], F.col("common")["is_new"], F.col("ts")
+                # Folders of a batch that is run again are not read.
+                stored = batch.sparkSession.read.schema(FIRST_DAYS + ", batch_id int").parquet(first_folder) \
+                    .where(F.col("batch_id") < batch_id).drop("batch_id")
+                here = log.select(mid.alias("_mid")).distinct()
+                known = stored.join(here, "_mid", "left_semi")
+                fresh = keyed.first_days(log, mid, is_new, ts).join(known, "_mid", "left_anti")
+                fresh.write.mode("overwrite").parquet(f"{first_folder}/batch_id={batch_id}")
+                added = batch.sparkSession.read.schema(FIRST_DAYS).parquet(f"{first_folder}/batch_id={batch_id}")
+                fixed = keyed.repair_new_visitors(log, mid, is_new, ts, known.unionByName(added))
+                fixed = fixed.withColumn("common", traffic.with_flag(F.col("common"), F.col("is_new_fixed")))
+                facts(split_log_json(fixed.drop("is_new_fixed")), batch_id)
+                dirty(dirty_lines(batch), batch_id)
+            finally:
+                batch.unpersist()
+        return write
+    return run_batches(lines, name, writer, root)
 
 
 def dirty_lines(lines: DataFrame) -> DataFrame:

@@ -81,28 +81,6 @@ class LoginDays(DayFirsts):
         return Row(ts=row.ts, uid=row.uid, uu_ct=1, back_ct=int(back), et=row.et)
 
 
-class VisitorRepair(StatefulProcessor):
-    """Corrects the new-visitor flag.  Holds the device's first day.  Only a device
-    without one has the rows of its first batch held back to find the earliest."""
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.first = handle.getValueState("first", "day string")
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        stored = self.first.get()
-        if stored is None:
-            rows = sorted(rows, key=lambda r: (r.ts, r.is_new == "1"))
-            stored = (rows[0].day if rows[0].is_new == "1" else rows[0].day_before,)
-            self.first.update(stored)
-        first = stored[0]
-        for r in rows:
-            stale = r.is_new == "1" and r.day != first
-            yield Row(value=r.value, is_new_fixed="0" if stale else r.is_new, et=r.et)
-
-    def close(self) -> None:
-        pass
-
-
 def row_of(row: Row, columns: Sequence[str]) -> dict:
     return {c: row[c] for c in columns}
 
@@ -202,16 +180,6 @@ def login_days(df: DataFrame) -> DataFrame:
                       "ts bigint, uid string, uu_ct int, back_ct int, et timestamp")
 
 
-def repair_visitors(lines: DataFrame) -> DataFrame:
-    """Lines (value, mid, is_new, ts in ms, et) -> (value, is_new_fixed, et)."""
-    day = millis_to_date(F.col("ts"))
-    before = millis_to_date(F.col("ts") - DAY_MS)
-    rows = lines.select("value", "mid", "is_new", "ts", day.alias("day"),
-                        before.alias("day_before"), "et")
-    return with_state(rows, ["mid"], VisitorRepair(),
-                      "value string, is_new_fixed string, et timestamp")
-
-
 def cancel_out(df: DataFrame, key: str, measures: Sequence[str], order: Sequence[str],
                ttl: int, window_ms: int, buckets: int = 1024) -> DataFrame:
     """Stream form of ``keyed.cancel_out`` (ts in seconds), with ``et`` for a window.

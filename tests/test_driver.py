@@ -23,5 +23,5 @@ def test_streams_run_outside_the_repository(tmp_path):
     done = subprocess.run([sys.executable, "-c", SCRIPT], cwd=tmp_path, env=env, text=True,
                           capture_output=True, timeout=300)
     found = [l.split("ROWS ")[1] for l in done.stdout.splitlines() if "ROWS " in l]
-    assert found == ["stream_home_detail_uv 252", "stream_log_split 5",
+    assert found == ["stream_home_detail_uv 252", "stream_log_split 2504",
                      "stream_province_order 1451"], done.stderr[-2000:]

@@ -65,18 +65,23 @@ def test_returning_users_between_runs(spark, tmp_path):
     assert sorted(got) == [("2024-01-01", 0, 2), ("2024-01-08", 0, 1), ("2024-01-09", 1, 1)]
 
 
-def test_visitor_repair_and_dirty_lines(spark, tmp_path):
+def test_visitor_repair_loses_no_line(spark, tmp_path):
+    """Rows days behind, rows without a device and dirty lines over three micro-batches."""
     feed, root = Feed(tmp_path / "in"), shared_dir(spark, "repair")
     feed.send(page("a", BASE + DAY, is_new="1"), page("a", BASE, is_new="1"), "not json {",
-              page("b", BASE, is_new="0"))
-    job = lambda: jobs.repaired_lines(readers.read_lines(spark, feed.topic), "1000 days")
-    jobs.run_available(job(), "repair", root)
-    feed.send(page("a", BASE + 1, is_new="1"), page("b", BASE + 1, is_new="1"))
-    out = jobs.run_available(job(), "repair", root)
-    got = sorted((r.common["mid"], r.ts - BASE, r.common["is_new"]) for r in out.collect())
-    assert got == [("a", 0, "1"), ("a", 1, "1"), ("a", DAY, "0"), ("b", 0, "0"), ("b", 1, "0")]
-    dirty = jobs.run_available(jobs.dirty_lines(readers.read_lines(spark, feed.topic)), "dirty")
-    assert rows(dirty) == [("not json {",)]
+              page("b", BASE + 90 * DAY, is_new="0"))
+    job = lambda: jobs.split_log(readers.read_lines(spark, feed.topic), "repair", root)
+    job()
+    feed.send(page("a", BASE + 1, is_new="1"), page("b", BASE + 1, is_new="1"), page(None, BASE, is_new="1"))
+    job()
+    feed.send(page("c", BASE - 40 * DAY, is_new="1"), page(None, BASE + DAY, is_new="1"), "[1")
+    where = job()
+    out = spark.read.schema("value string, topic string").json(f"{where}/facts").select(
+        F.from_json("value", schemas.CLIENT_LOG).alias("r")).select("r.*")
+    got = sorted((r.common.get("mid") or "", r.ts - BASE, r.common["is_new"]) for r in out.collect())
+    assert got == [("", 0, "1"), ("", DAY, "1"), ("a", 0, "1"), ("a", 1, "1"), ("a", DAY, "0"),
+                   ("b", 1, "0"), ("b", 90 * DAY, "0"), ("c", -40 * DAY, "1")]
+    assert rows(spark.read.text(f"{where}/dirty").select("value")) == [("[1",), ("not json {",)]
 
 
 def details(*lines):
