@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import sys
 
 import numpy as np
@@ -46,20 +47,25 @@ def stored(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
     """Write ``df`` below ``spark.checkpoint.dir`` and read it back.
 
     The table cuts the lineage; it outlives lost executors and goes when the application ends.
-    Nothing needs the job's shuffle files any more, and Spark deletes them once the driver's
-    garbage is collected.  ``by``: a column whose values get folders of their own.
+    ``by``: a column whose values get folders of their own.
     """
     spark = df.sparkSession
     path = temporary(spark, shared_dir(spark, name))
     schema = df.schema
+    free(spark)
     df.write.option("compression", "zstd").parquet(path, partitionBy=by)
-    del df
-    spark.sparkContext._jvm.System.gc()
     out = spark.read.schema(schema).parquet(path)
     out.stored_at = path
     return out
 
 
+def free(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of finished jobs, which it does once the driver's
+    garbage is collected."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def discard(df: DataFrame, folder: str = "") -> None:
     """Delete a table of ``stored``, or one folder of it, that no later step reads."""
     where, files = _path(df.sparkSession, f"{df.stored_at}/{folder}")

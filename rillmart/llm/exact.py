@@ -15,7 +15,7 @@ import functools
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import ascii_lower, discard, free_name, new_names, stored
+from .common import ascii_lower, discard, free, free_name, new_names, stored
 
 FIRST_WIDTH, GROWTH, MAX_WIDTH = 32, 8, 1 << 20
 
@@ -64,6 +64,7 @@ def duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         live = level.where("NOT _ended")
         rows = live.select(*own, "_row", "_chars", F.col("_into").alias("_group"))
         at, width = at + width, min(width * GROWTH, MAX_WIDTH)
+    free(docs.sparkSession)
     new = {"keep_id": F.col("_keep"), "group_size": F.col("_size"),
            "kept": F.col("_row") == F.col("_into")}
     return functools.reduce(DataFrame.unionByName, done).select(

@@ -26,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from .common import add_columns, discard, free_name, stored, texts_of
+from .common import add_columns, discard, free, free_name, stored, texts_of
 
 WINDOW, PHRASE = 50, 10
 SHARD_WINDOWS = 20_000        # recurring windows under one automaton, about
@@ -184,17 +184,19 @@ class Shard:
 
 
 def _search(batches):
-    held, shard = None, Shard()
+    held, shard, last, found = None, Shard(), None, []
     for batch in batches:
         out = []
         for number, stream, row, doc, at, passage, marked in zip(
                 *(batch.column(c).to_pylist() for c in ("shard", "stream", "row", "id", "at", "words", "marked"))):
             if number != held:
-                held, shard = number, Shard()
+                held, shard, last = number, Shard(), None
             if not stream:
                 shard.add(doc, passage, marked)
                 continue
-            hits = sorted(w for w, first in shard.search(passage) if first < doc)
+            if passage != last:               # equal passages follow each other
+                last, found = passage, shard.search(passage)
+            hits = sorted([w for w, first in found if first < doc])
             if hits:
                 starts = [hits[0]] + [b for a, b in itertools.pairwise(hits) if b != a + 1]
                 stops = [a for a, b in itertools.pairwise(hits) if b != a + 1] + [hits[-1]]
@@ -242,6 +244,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         .withColumn("live", F.col("held").isNotNull())
     table = stored(rows, "phrases", by="live")
     discard(seen)
+    del seen, shared, held, rows
     live = table.where("live").select(
         "row", key.cast("long").alias("id"), text.alias("text"), F.col("held.anchor").alias("anchors"),
         F.col("held.salts").alias("salts"))
@@ -249,6 +252,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     windows = live.select("id", "text", "anchors").mapInArrow(_windows, "window long, id long")
     recurring = stored(windows.groupBy("window").agg(F.min("id").alias("first"), F.max("id").alias("last"))
                        .where("first < last").drop("last"), "windows")
+    del windows
+    free(docs.sparkSession)
     count = recurring.count()
     owners = recurring.groupBy(F.col("first").alias("id")).agg(F.collect_list("window").alias("windows"))
     patterns = live.join(owners, "id").select("id", "text", "anchors", "salts", "windows") \
@@ -257,9 +262,11 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     shards = count // SHARD_WINDOWS + int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = patterns.unionAll(streams).withColumn(
         "shard", F.pmod(F.xxhash64("anchor", "salt"), F.lit(shards)).cast("int"))
-    spans = dealt.repartition("shard").sortWithinPartitions("shard", "stream") \
+    spans = dealt.repartition("shard").sortWithinPartitions("shard", "stream", "words") \
         .mapInArrow(_search, "row long, start long, stop long")
     cuts = stored(spans.groupBy("row").agg(F.collect_list(F.struct("start", "stop")).alias("cuts")), "cuts")
+    del spans, dealt, streams, patterns, owners
+    free(docs.sparkSession)
     cut = table.where("live").join(cuts, "row", "left")
     whole = table.where("NOT live").withColumn("cuts", F.lit(None).cast(cuts.schema["cuts"].dataType))
     columns = [*inner.columns, "cuts"]

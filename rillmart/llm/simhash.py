@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from .common import add_columns, new_names, stored, texts_of
+from .common import add_columns, free, new_names, stored, texts_of
 from .components import components
 
 SHINGLE, RADIUS, SEED = 3, 3, 42
@@ -175,6 +175,7 @@ def near_duplicates(prints: DataFrame, id_col: str = "doc_id", print_col: str =
         F.min("least").alias("least"),
         F.coalesce(F.min_by("stays", "least"), F.min("stays")).alias("stays"))
     merged = rooted.select("root", "simhash").join(best, "root").select("simhash", "least", "stays")
+    free(prints.sparkSession)
     alone = groups.join(linked, groups.simhash == linked.node, "left_anti")
     into = alone.select("simhash", "least", "stays").unionAll(merged)
     out = table.join(into, F.col(value) == F.col("simhash"))

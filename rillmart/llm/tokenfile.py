@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from .common import discard, stored, texts_of, worker_cache
+from .common import discard, free, stored, texts_of, worker_cache
 
 END_ID = 1
 MAX_VOCABULARY_BYTES = 64 << 20
@@ -181,6 +181,7 @@ def write_tokens(docs: DataFrame, tokenizer_path: str, path: str, **options) ->
     tokens.mapInArrow(code, "part int, before long, doc_id long, n_tokens long, control binary, data binary") \
         .write.option("compression", "zstd").parquet(f"{path}/blocks")
     discard(tokens)
+    free(spark)
 
 
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:
