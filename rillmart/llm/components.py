@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from rillmart.operators.joins import attach_marks
+
 from .common import discard, stored
 
 
@@ -18,7 +20,7 @@ def _stars(edges: DataFrame, large: bool) -> DataFrame:
         sides = edges.unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = sides.groupBy("a").agg(F.min("b").alias("m")).select(
         F.col("a").alias("a"), F.least("a", "m").alias("m"))
-    tied = sides.join(least, "a")
+    tied = attach_marks(sides, least, ["a"])
     if large:
         return tied.where(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("m").alias("b"))
     return tied.select(F.explode(F.array(

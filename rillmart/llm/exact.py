@@ -15,6 +15,8 @@ import functools
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from rillmart.operators.joins import attach_marks
+
 from .common import ascii_lower, discard, free, free_name, new_names, stored
 
 FIRST_WIDTH, GROWTH, MAX_WIDTH = 32, 8, 1 << 20
@@ -28,7 +30,7 @@ def _split(rows: DataFrame, text: Column, at: int, width: int, *measures: Column
     """Rows with the size of their digit's group and what else is measured of it."""
     keyed = rows.withColumn("_digit", _digit(text, at, width))
     groups = keyed.groupBy("_group", "_digit").agg(F.count("*").alias("_size"), *measures)
-    return keyed.join(groups, ["_group", "_digit"]).drop("_group", "_digit")
+    return attach_marks(keyed, groups, ["_group", "_digit"]).drop("_group", "_digit")
 
 
 def duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",

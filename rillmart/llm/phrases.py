@@ -26,6 +26,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from rillmart.operators.joins import attach_marks
+
 from .common import add_columns, discard, free, free_name, stored, texts_of
 
 WINDOW, PHRASE = 50, 10
@@ -237,7 +239,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     shared = seen.groupBy("anchor").agg(F.min("id").alias("a"), F.max("id").alias("b"),
                                         F.count("*").alias("n")).where("a < b")
     salts = F.ceil(F.col("n") / SALT_ROWS).cast("int")
-    held = seen.join(shared.select("anchor", salts.alias("salts")), "anchor").groupBy("id").agg(
+    held = attach_marks(seen, shared.select("anchor", salts.alias("salts")), ["anchor"]).groupBy("id").agg(
         F.collect_list(F.struct("anchor", "salts")).alias("held"))
     rows = inner.withColumn("row", F.monotonically_increasing_id()) \
         .join(held, key.cast("long") == F.col("id"), "left").drop("id") \

@@ -18,6 +18,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from rillmart.operators.joins import attach_marks
+
 from .common import add_columns, free, new_names, stored, texts_of
 from .components import components
 
@@ -106,7 +108,7 @@ def links(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
     sizes = filed.groupBy("choice", "key", "ones").count().groupBy("choice", "key").agg(
         F.sum("count").alias("size"),
         F.collect_list(F.struct("ones", F.ceil(F.col("count") / TILE).cast("int").alias("tiles"))).alias("by"))
-    found = filed.join(sizes.where("size > 1"), ["choice", "key"])
+    found = attach_marks(filed, sizes.where("size > 1"), ["choice", "key"])
     # A tile is ``ones << 32 | place``; small files have the one tile -1.
     own = F.get(F.filter("by", lambda g: g.ones == F.col("ones")), 0)
     tile = (F.shiftleft(F.col("ones").cast("long"), 32)
