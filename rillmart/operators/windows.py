@@ -26,8 +26,13 @@ def tumble(df: DataFrame, size: str, keys: Sequence[str], aggregates: Sequence[C
 
     Partial aggregation runs before the shuffle, so neither a global window nor
     a hot key puts more than one row per task and group on the wire.
-    ``time_mode='processing'`` takes the wall clock instead of ``time``.
+    ``time_mode='processing'`` takes the wall clock instead of ``time``; on a stream, that of
+    the micro-batch, and a window is sent once a later micro-batch starts after its end.
     """
-    clock = F.current_timestamp() if time_mode == "processing" else F.col(time)
+    if time_mode == "processing":
+        df, time = df.withColumn("_pt", F.current_timestamp()), "_pt"
+        if df.isStreaming:
+            df = df.withWatermark("_pt", "0 seconds")
+    clock = F.col(time)
     return (df.groupBy(F.window(clock, size).alias("_w"), *keys).agg(*aggregates)
             .select(*window_text(F.col("_w")), "*").drop("_w"))

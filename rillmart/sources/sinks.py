@@ -17,10 +17,15 @@ from rillmart.operators.keyed import latest_per_key
 Writer = Callable[[DataFrame, int], None]
 
 
-def to_lines(df: DataFrame, key: str | None = None, topic: str | Column | None = None) -> DataFrame:
+def to_lines(df: DataFrame, key: str | None = None, topic: str | Column | None = None,
+             deleted: Column | None = None) -> DataFrame:
     """Rows as (topic, key, value) messages: value is the JSON of all columns.  The
-    topic may be a constant or a column, which sends each row to its own target."""
-    out = [json_record(*df.columns).alias("value")]
+    topic may be a constant or a column, which sends each row to its own target.  A row for
+    which ``deleted`` holds is a tombstone: its key with a null value."""
+    value = json_record(*df.columns)
+    if deleted is not None:
+        value = F.when(~F.coalesce(deleted, F.lit(False)), value)
+    out = [value.alias("value")]
     if key:
         out.insert(0, json_record(key).alias("key"))
     if topic is not None:
@@ -45,8 +50,11 @@ def console(df: DataFrame, name: str):
 
 
 def write_batches(where: str, fmt: str = "parquet", split_by: Sequence[str] = ()) -> Writer:
-    """Append every micro-batch as files, optionally split by target columns."""
+    """Append every micro-batch as files, optionally split by target columns.  Rows are gathered
+    by target first, so that a batch adds few files, and a target with many rows is cut."""
     def write(batch: DataFrame, batch_id: int) -> None:
+        if split_by:
+            batch = batch.hint("rebalance", *split_by)
         writer = batch.write.mode("overwrite").format(fmt)
         if split_by:
             writer = writer.partitionBy(*split_by)

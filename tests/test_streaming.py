@@ -1,6 +1,7 @@
 """Streams over several micro-batches, compared with their batch forms."""
 
 import json
+import time
 
 from conftest import rows
 from pyspark.sql import functions as F
@@ -174,6 +175,32 @@ def test_processing_time_windows(spark):
     assert sum(r.n for r in out) == 10 and all(r.cur_date != "1970-01-01" for r in out)
 
 
+def test_processing_time_windows_of_a_stream(spark, tmp_path):
+    feed, root = Feed(tmp_path / "in"), shared_dir(spark, "clock")
+
+    def job():
+        lines = readers.read_lines(spark, feed.topic)
+        return tumble(lines, "1 second", [], [F.count("*").alias("n")], time_mode="processing")
+
+    for n in range(3):
+        feed.send(*[{"id": str(k)} for k in range(n + 1)])
+        out = jobs.run_available(job(), "clock", root)
+        time.sleep(1.1)
+    assert sum(r.n for r in out.collect()) >= 1
+
+
+def test_tombstones(spark):
+    df = spark.createDataFrame([("1", "x"), ("2", None)], "id string, v string")
+    got = sinks.to_lines(df, key="id", deleted=F.col("v").isNull()).collect()
+    assert [tuple(r) for r in got] == [('{"id":"1"}', '{"id":"1","v":"x"}'), ('{"id":"2"}', None)]
+
+
+def test_a_batch_writes_few_files(spark, tmp_path):
+    df = spark.range(200).selectExpr("id % 4 AS topic", "id AS value").repartition(16)
+    sinks.write_batches(str(tmp_path / "out"), "json", ["topic"])(df, 0)
+    assert len(list((tmp_path / "out").glob("*/topic=*/part-*"))) == 4
+
+
 def test_table_reads(spark):
     where = "/root/testdata/sf0.001/nation.parquet"
     rules = readers.read_table(spark, where, columns=["n_nationkey", "n_name"], to_camel=True)
