@@ -22,7 +22,8 @@ from pyspark.sql import DataFrame, types as T
 from .common import add_columns, texts_of, worker_cache
 
 MAX_VOCABULARY_BYTES = 64 << 20   # what is broadcast: a vocabulary, never data
-CACHED_PIECES, CACHED_LENGTH = 400_000, 64
+CACHED_PIECES, CACHED_LENGTH = 300_000, 64
+STRETCH = 1 << 20                 # characters scanned together
 SHORT_PIECE = 48                  # bytes up to which pairs are searched one after another
 ROW = 64
 
@@ -234,8 +235,18 @@ def _merge_long(piece: bytes, ranks: dict[bytes, int]) -> tuple[int, ...]:
 
 
 def encode_texts(texts: list[str], ranks, classes, machine, cache: dict) -> list[tuple[list, list]]:
-    """For each text its token ids and the code point at which each piece's tokens end in the list:
-    (ids, piece offsets, token counts)."""
+    """For each text (ids, places of its pieces in code points, tokens of each piece)."""
+    out, part, size = [], [], 0
+    for text in texts:
+        if part and size + len(text) > STRETCH:
+            out += _encode_part(part, ranks, classes, machine, cache)
+            part, size = [], 0
+        part.append(text)
+        size += len(text)
+    return out + _encode_part(part, ranks, classes, machine, cache) if part else out
+
+
+def _encode_part(texts: list[str], ranks, classes, machine, cache: dict) -> list[tuple[list, list]]:
     starts, begins = piece_starts(texts, classes, machine)
     joined = "\n".join(texts + [""])
     places = starts.tolist()
@@ -286,7 +297,29 @@ def encode(docs: DataFrame, vocabulary: str, text_col: str = "text", offsets: bo
             coded = encode_texts(texts, ranks, classes, machine, cache)
             yield [_int_lists([c[k] for c in coded]) for k in range(len(names))]
 
-    return add_columns(docs, dict.fromkeys(names, T.ArrayType(T.IntegerType())), compute, text_col)
+    return add_columns(docs, dict.fromkeys(names, T.ArrayType(T.IntegerType())), compute, text_col, cache=key)
+
+
+def encode_decode(docs: DataFrame, vocabulary: str, text_col: str = "text") -> DataFrame:
+    """``docs`` with ``token_ids`` and ``decoded``, by one worker: ``decode`` of ``encode``."""
+    ranks = load_ranks(vocabulary)
+    parts = docs.sparkSession.sparkContext.broadcast((ranks, code_classes(), automaton()))
+    key = f"bpe-{hash(frozenset(ranks.items()))}"
+
+    def compute(columns):
+        ranks, classes, machine = parts.value
+        cache, token = worker_cache(key), {i: t for t, i in ranks.items()}
+        for (column,) in columns:
+            texts = [t.decode("utf-8", "surrogatepass") for t in texts_of(column)]
+            coded = [c[0] for c in encode_texts(texts, ranks, classes, machine, cache)]
+            yield [_int_lists(coded), pa.array([decode_ids(ids, token) for ids in coded], pa.binary())]
+
+    return add_columns(docs, {"token_ids": T.ArrayType(T.IntegerType()), "decoded": T.BinaryType()},
+                       compute, text_col, cache=key)
+
+
+def decode_ids(ids: list[int], token: dict[int, bytes]) -> bytes:
+    return b"".join([token[i] for i in ids])
 
 
 def decode(coded: DataFrame, vocabulary: str, ids_col: str = "token_ids") -> DataFrame:
@@ -297,7 +330,6 @@ def decode(coded: DataFrame, vocabulary: str, ids_col: str = "token_ids") -> Dat
     def compute(columns):
         token = words.value
         for (column,) in columns:
-            yield [pa.array([b"".join([token[i] for i in ids]) if ids else b""
-                             for ids in column.to_pylist()], pa.binary())]
+            yield [pa.array([decode_ids(ids or [], token) for ids in column.to_pylist()], pa.binary())]
 
     return add_columns(coded, {"decoded": T.BinaryType()}, compute, ids_col)

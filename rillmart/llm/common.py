@@ -82,11 +82,13 @@ def texts_of(column: pa.Array) -> list[bytes]:
     return [v or b"" for v in column.cast(pa.binary()).to_pylist()]
 
 
-def add_columns(df: DataFrame, added: dict[str, T.DataType], compute, *needs: str) -> DataFrame:
+def add_columns(df: DataFrame, added: dict[str, T.DataType], compute, *needs: str,
+                cache: str | None = None) -> DataFrame:
     """``df`` with new columns made batch by batch.
 
     ``compute`` takes an iterator of tuples, the Arrow columns named in ``needs``, and yields for
     each the new columns' arrays.  A new column whose name is taken gets underscores in front.
+    ``cache`` names what ``compute`` remembers between tasks; a worker forgets the rest first.
     """
     own = df.columns
     places = [own.index(n) for n in needs]
@@ -95,6 +97,8 @@ def add_columns(df: DataFrame, added: dict[str, T.DataType], compute, *needs: st
         names, [f.dataType for f in df.schema.fields] + list(added.values()))])
 
     def run(batches):
+        if cache is None or cache not in sys.__dict__.get("_rillmart_cache", {}):
+            sys.__dict__.pop("_rillmart_cache", None)
         kept = []
 
         def columns():

@@ -52,8 +52,7 @@ RANKS = "byte_bpe_multi_50k.tiktoken"
 def op4_byte_bpe(spark, sf_dir) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     path = public_tokenizers.path(RANKS)
-    coded = bytebpe.decode(bytebpe.encode(docs, path, offsets=False), path)
-    return coded.select(
+    return bytebpe.encode_decode(docs, path).select(
         "doc_id", F.size("token_ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join("token_ids", ","), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"))

@@ -32,4 +32,13 @@ def test_tables(spark):
     for r in bytebpe.decode(coded, PATH).collect():
         assert list(r.token_ids) == LIBRARY.encode_ordinary(r.text or "")
         assert bytes(r.decoded) == (r.text or "").encode() and sum(r.piece_tokens) == len(r.token_ids)
+    for r in bytebpe.encode_decode(docs(spark, ODD), PATH).collect():
+        assert list(r.token_ids) == LIBRARY.encode_ordinary(r.text or "") and bytes(r.decoded) == (r.text or "").encode()
     assert bytebpe.encode(docs(spark, EMPTY), PATH).count() == 0
+
+
+def test_long_batches_are_cut(monkeypatch):
+    monkeypatch.setattr(bytebpe, "STRETCH", 20)
+    texts = ["a b c " * k for k in range(9)] + [""] * 3
+    got = bytebpe.encode_texts(texts, RANKS, CLASSES, MACHINE, {})
+    assert [g[0] for g in got] == LIBRARY.encode_ordinary_batch(texts)
