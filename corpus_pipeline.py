@@ -44,7 +44,7 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     prepare(spark)
     path = public_tokenizers.path(RANKS)
     rows = docs.select("doc_id", "text", "lang", "source", "n_chars")
-    coded = bytebpe.decode(bytebpe.encode(rows, path, offsets=False), path)
+    coded = bytebpe.encode_decode(rows, path)
     exact_bytes = F.col("decoded") == F.coalesce("text", F.lit("")).cast("binary")
     return coded.select("doc_id", "lang", "source", "n_chars", "token_ids",
                         F.size("token_ids").cast("long").alias("n_tokens"), exact_bytes.alias("round_trip"))
