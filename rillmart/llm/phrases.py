@@ -98,26 +98,25 @@ def _windows(batches):
                                      batch.column(2).to_pylist()):
             runs, window = _wanted(text.split(), listed)
             if runs:
-                of = np.concatenate([window[f:l + 1] for _, f, l in runs])
+                of = np.unique(np.concatenate([window[f:l + 1] for _, f, l in runs]))
                 found.append(of)
                 ids.append(np.full(len(of), doc, np.int64))
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.concatenate(x), pa.int64()) for x in (found, ids)], ["window", "id"])
 
 
-PASSAGE = "anchor long, salt int, stream boolean, row long, id long, at long, words binary, marked array<int>"
+PASSAGE = "anchor long, salt int, stream boolean, row long, id long, words binary, places array<int>"
 
 
 def _rows(out: list[tuple]) -> pa.RecordBatch:
-    kinds = (pa.int64(), pa.int32(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.binary(),
-             pa.list_(pa.int32()))
+    kinds = (pa.int64(), pa.int32(), pa.bool_(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int32()))
     names = [c.split()[0] for c in PASSAGE.split(", ")]
     return pa.RecordBatch.from_arrays(
         [pa.array([r[k] for r in out], t) for k, t in enumerate(kinds)], names)
 
 
 def _patterns(batches):
-    """A first document's passages, with the windows that recur."""
+    """A first document's different passages, with the places of windows that recur."""
     for batch in batches:
         out = []
         for doc, text, listed, salts, recurring in zip(
@@ -126,25 +125,29 @@ def _patterns(batches):
             words = text.split()
             runs, window = _wanted(words, listed)
             recurs = np.isin(window, np.array(recurring, np.int64))
+            passages = {}
             for k, f, l in runs:
                 marked = np.flatnonzero(recurs[f:l + 1])
                 if len(marked):
-                    row = (None, doc, f, b" ".join(words[f:l + WINDOW]), marked.tolist())
-                    out += [(listed[k], s, False, *row) for s in range(salts[k])]
+                    passages[b" ".join(words[f:l + WINDOW])] = k, marked.tolist()
+            for passage, (k, marked) in passages.items():
+                out += [(listed[k], s, False, None, doc, passage, marked) for s in range(salts[k])]
         yield _rows(out)
 
 
 def _streams(batches):
-    """Every document's passages."""
+    """Every document's different passages, with the places where each stands."""
     for batch in batches:
         out = []
         for row, doc, text, listed, salts in zip(
                 batch.column(0).to_pylist(), batch.column(1).to_pylist(), texts_of(batch.column(2)),
                 *(batch.column(k).to_pylist() for k in (3, 4))):
             words = text.split()
+            passages = {}
             for k, f, l in _wanted(words, listed)[0]:
-                out.append((listed[k], row % salts[k], True, row, doc, f,
-                            b" ".join(words[f:l + WINDOW]), None))
+                passages.setdefault(b" ".join(words[f:l + WINDOW]), (k, []))[1].append(f)
+            for passage, (k, places) in passages.items():
+                out.append((listed[k], row % salts[k], True, row, doc, passage, places))
         yield _rows(out)
 
 
@@ -189,12 +192,12 @@ def _search(batches):
     held, shard, last, found = None, Shard(), None, []
     for batch in batches:
         out = []
-        for number, stream, row, doc, at, passage, marked in zip(
-                *(batch.column(c).to_pylist() for c in ("shard", "stream", "row", "id", "at", "words", "marked"))):
+        for number, stream, row, doc, passage, places in zip(
+                *(batch.column(c).to_pylist() for c in ("shard", "stream", "row", "id", "words", "places"))):
             if number != held:
                 held, shard, last = number, Shard(), None
             if not stream:
-                shard.add(doc, passage, marked)
+                shard.add(doc, passage, places)
                 continue
             if passage != last:               # equal passages follow each other
                 last, found = passage, shard.search(passage)
@@ -202,7 +205,7 @@ def _search(batches):
             if hits:
                 starts = [hits[0]] + [b for a, b in itertools.pairwise(hits) if b != a + 1]
                 stops = [a for a, b in itertools.pairwise(hits) if b != a + 1] + [hits[-1]]
-                out += [(row, at + a, at + b + WINDOW) for a, b in zip(starts, stops)]
+                out += [(row, at + a, at + b + WINDOW) for at in places for a, b in zip(starts, stops)]
         yield pa.RecordBatch.from_arrays([pa.array([o[k] for o in out], pa.int64()) for k in range(3)],
                                          ["row", "start", "stop"])
 

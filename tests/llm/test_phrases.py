@@ -45,5 +45,15 @@ def test_many_shards_for_one_anchor(spark, monkeypatch):
     assert got == brute(rows)
 
 
+def test_a_passage_repeated_in_a_text_is_one_row(spark):
+    text = ("over and again " * 400).encode()
+    listed = phrases.anchors(text.split())[0].tolist()
+    import pyarrow as pa
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array([1]), pa.array([1]), pa.array([text]), pa.array([sorted(set(listed))]),
+         pa.array([[1] * len(set(listed))])], list("abcde"))
+    assert len(listed) > 100 and sum(b.num_rows for b in phrases._streams([batch])) < 60
+
+
 def test_empty_table(spark):
     assert phrases.remove_repeats(docs(spark, EMPTY)).count() == 0
