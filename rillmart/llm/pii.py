@@ -3,8 +3,9 @@
 A transducer rewrites disguises (look-alike characters, other scripts' digits, invisible characters,
 spelled digits, ``(at)`` and ``dot``) and keeps for every output character the stretch of source it
 came from.  The same detectors run over both readings; what they find in the normalised one is
-mapped back to source characters and added where it covers a rewritten character and no identifier
-of its kind that was already found.
+mapped back to source characters and added where it covers a rewritten character and does not lie
+within an identifier of its kind that was already found.  One that reaches beyond what the plain
+reading found of it is added next to that fragment.
 """
 
 from __future__ import annotations
@@ -179,7 +180,7 @@ def find(text: str) -> list[tuple[str, int, int, bool]]:
             for kind, detect in DETECTORS.items():
                 for a, b in detect(plain):
                     s, e = starts[a], ends[b - 1]
-                    if any(changed[a:b]) and all(e <= x or y <= s for x, y in base[kind] + added[kind]):
+                    if any(changed[a:b]) and not any(x <= s and e <= y for x, y in base[kind] + added[kind]):
                         added[kind].append((s, e))
     return [(k, s, e, b) for k in KINDS for s, e, b in sorted(
         [(*x, True) for x in base[k]] + [(*x, False) for x in added[k]])]

@@ -50,6 +50,27 @@ def test_disguises(text, kind, hidden):
     assert found[0] == kind and text[found[1]:found[2]] == hidden
 
 
+@pytest.mark.parametrize("text, kind, fragment", [
+    ("jоhn.smith@host.com", "email", "hn.smith@host.com"),
+    ("john (dot) smith@host.com", "email", "smith@host.com"),
+    ("john@mail.example (dot) com", "email", "john@mail.example"),
+    ("192.168.1.1２", "ip", "192.168.1.1"),
+])
+def test_disguises_around_a_plain_fragment(text, kind, fragment):
+    """The fragment stays a base span, the whole identifier is added."""
+    at = text.index(fragment)
+    for before, after in (("", ""), ("see ", " now")):
+        found = pii.find(before + text + after)
+        k = len(before)
+        assert sorted(found) == sorted([(kind, k, k + len(text), False),
+                                        (kind, k + at, k + at + len(fragment), True)])
+
+
+@pytest.mark.parametrize("text", ["é jane@host.com", "1.2.3.4 é", "jane@host.com at noon dot"])
+def test_plain_identifiers_are_not_added_again(text):
+    assert [s[3] for s in pii.find(text)] == [True]
+
+
 @pytest.mark.parametrize("text", ["look at this. That is it", "one two three steps", "at noon dot", "a dot b", "Éé at è.è"])
 def test_plain_texts_stay_clean(text):
     assert pii.find(text) == []
