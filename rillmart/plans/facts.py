@@ -21,6 +21,10 @@ UNPAID, CANCELLED, REFUNDING, REFUNDED = "1001", "1003", "1005", "1006"
 PAID, REFUND_DONE = "1602", "0705"
 DETAIL_TTL, CANCEL_TTL, REFUND_TTL = 10, 30 * 60 + 5, 5
 PAY_EARLIEST, PAY_LATEST = -30 * 60, 5
+# The most seconds between two rows that one row of the fact depends on: its sides lie within the
+# times above of the left-most row, so on both sides of it.
+REACH = {"order_detail": 2 * DETAIL_TTL, "order_cancel": CANCEL_TTL, "pay_success": -PAY_EARLIEST,
+         "refund": REFUND_TTL, "refund_pay": 2 * REFUND_TTL}
 
 
 def comment(log: DataFrame, dic: DataFrame) -> DataFrame:

@@ -586,50 +586,63 @@ def change_stream(spark, sf, *tables):
     return readers.read_changelog(spark, change_topic(spark, sf, *tables))
 
 
-def detail_stream(spark, sf):
-    rows = facts.published(detail_fact(spark, sf))
-    lines = topic(spark, "order-detail", rows.select(json_record(*rows.columns).alias("value")))
-    return readers.read_fact(spark, lines, schemas.ORDER_DETAIL, delay="3 seconds")
+def out_of_order(spark, name, lines):
+    """Write lines of a topic in ``FILES`` files with no order of time between them."""
+    part = F.pmod(F.xxhash64("value"), F.lit(FILES))
+    return topic_in_turn(spark, name, [lines.where(part == k) for k in range(FILES)])
 
 
-@query("stream_order_detail", sql.ORDER_DETAIL)
-def stream_order_detail(spark, sf):
-    log = change_stream(spark, sf, "order_info", "order_detail", "order_detail_activity",
-                        "order_detail_coupon")
-    rows = jobs.run_available(facts.order_detail(log), "order-detail")
-    return facts.published(rows).where("id <> 'beat'")
+def joined_stream(spark, sf, fact, tables, plan, deal, with_detail=False):
+    """A fact joined from the change log of some tables, and from order details as a topic."""
+    log = fx.change_log(spark, sf, *tables)
+    lines = deal(spark, "db", log.select(json_record(*log.columns).alias("value")))
+    sides = {"log": readers.read_changelog(spark, lines, delay=None)}
+    if with_detail:
+        rows = facts.published(detail_fact(spark, sf))
+        details = deal(spark, "order-detail", rows.select(json_record(*rows.columns).alias("value")))
+        sides["detail"] = readers.read_fact(spark, details, schemas.ORDER_DETAIL)
+    where = jobs.join_facts(sides, lambda **s: facts.published(plan(**s)), facts.REACH[fact], fact)
+    return sinks.read_counted(spark, where)
 
 
-@query("stream_order_cancel", sql.ORDER_CANCEL)
-def stream_order_cancel(spark, sf):
-    both = facts.order_cancel(change_stream(spark, sf, "order_info"), detail_stream(spark, sf))
-    return facts.published(jobs.run_available(both, "order-cancel"))
+def order_detail_stream(spark, sf, deal=topic):
+    tables = ["order_info", "order_detail", "order_detail_activity", "order_detail_coupon"]
+    return joined_stream(spark, sf, "order_detail", tables, facts.order_detail, deal)
 
 
-@query("stream_pay_success", sql.PAY_SUCCESS)
-def stream_pay_success(spark, sf):
-    both = facts.pay_success(change_stream(spark, sf, "payment_info"), detail_stream(spark, sf),
-                             fx.dictionary(spark))
-    return facts.published(jobs.run_available(both, "pay-success"))
+def order_cancel_stream(spark, sf, deal=topic):
+    return joined_stream(spark, sf, "order_cancel", ["order_info"], facts.order_cancel, deal, True)
 
 
-@query("stream_comment", sql.COMMENT)
-def stream_comment(spark, sf):
-    rows = facts.comment(change_stream(spark, sf, "comment_info"), fx.dictionary(spark))
-    return jobs.run_available(rows, "comment")
+def pay_success_stream(spark, sf, deal=topic):
+    plan = functools.partial(facts.pay_success, dic=fx.dictionary(spark))
+    return joined_stream(spark, sf, "pay_success", ["payment_info"], plan, deal, True)
+
+
+def refund_stream(spark, sf, deal=topic):
+    plan = functools.partial(facts.refund, dic=fx.dictionary(spark))
+    return joined_stream(spark, sf, "refund", ["order_info", "order_refund_info"], plan, deal)
 
 
-@query("stream_refund", sql.REFUND)
-def stream_refund(spark, sf):
-    log = change_stream(spark, sf, "order_info", "order_refund_info")
-    return facts.published(jobs.run_available(facts.refund(log, fx.dictionary(spark)), "refund"))
+def refund_pay_stream(spark, sf, deal=topic):
+    plan = functools.partial(facts.refund_pay, dic=fx.dictionary(spark))
+    return joined_stream(spark, sf, "refund_pay", ["order_info", "order_refund_info", "refund_payment"], plan, deal)
 
 
-@query("stream_refund_pay", sql.REFUND_PAY)
-def stream_refund_pay(spark, sf):
-    log = change_stream(spark, sf, "order_info", "order_refund_info", "refund_payment")
-    return facts.published(jobs.run_available(facts.refund_pay(log, fx.dictionary(spark)),
-                                              "refund-pay"))
+for _name, _stream, _twin in (
+        ("stream_order_detail", order_detail_stream, sql.ORDER_DETAIL),
+        ("stream_order_cancel", order_cancel_stream, sql.ORDER_CANCEL),
+        ("stream_pay_success", pay_success_stream, sql.PAY_SUCCESS),
+        ("stream_refund", refund_stream, sql.REFUND),
+        ("stream_refund_pay", refund_pay_stream, sql.REFUND_PAY)):
+    query(_name, _twin)(_stream)
+    query(f"{_name}_late", _twin)(functools.partial(_stream, deal=out_of_order))
+
+
+@query("stream_comment", sql.COMMENT)
+def stream_comment(spark, sf):
+    rows = facts.comment(change_stream(spark, sf, "comment_info"), fx.dictionary(spark))
+    return jobs.run_available(rows, "comment")
 
 
 def repeated_stream(spark, sf):

@@ -54,9 +54,10 @@ def read_lines(spark: SparkSession, topic: Topic, stream: bool = True,
 
 
 def read_changelog(spark: SparkSession, topic: Topic, stream: bool = True,
-                   on_error: str = "fail", delay: str = CHANGELOG_DELAY,
+                   on_error: str = "fail", delay: str | None = CHANGELOG_DELAY,
                    positions: bool = True) -> DataFrame:
-    """Change log with event time ``et`` and processing time ``pt``."""
+    """Change log with event time ``et`` and processing time ``pt``.  ``delay=None`` is for jobs
+    to which no row is late."""
     log = parse_json(read_lines(spark, topic, stream, positions), schemas.CHANGELOG, on_error)
     return event_time(log.withColumn("pt", F.current_timestamp()), "s", delay)
 

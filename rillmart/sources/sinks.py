@@ -95,6 +95,21 @@ def compact_upserted(spark: SparkSession, where: str, into: str, keys: Sequence[
     read_upserted(spark, where, keys, order).write.parquet(f"{into}/batch_id=-1")
 
 
+COUNT = "_count"
+
+
+def count_rows(rows: DataFrame) -> DataFrame:
+    """Equal rows as one with the sum of their counts; those that cancel out are left out."""
+    own = [c for c in rows.columns if c != COUNT]
+    return rows.groupBy(*own).agg(F.sum(COUNT).alias(COUNT)).where(F.col(COUNT) != 0)
+
+
+def read_counted(spark: SparkSession, where: str) -> DataFrame:
+    """Current rows of a table whose batches add and take back rows, each as often as it counts."""
+    rows = count_rows(spark.read.parquet(where).drop("batch_id"))
+    return rows.withColumn(COUNT, F.explode(F.sequence(F.lit(1), F.col(COUNT)))).drop(COUNT)
+
+
 def store_dims(where: str, order: Sequence[str]) -> Writer:
     """Dimension sink: each micro-batch of routed changes adds its folded cells,
     laid out by dimension so that a reader of one opens only its files."""

@@ -4,7 +4,8 @@ when their window, or the wait for a join partner, is over.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -12,6 +13,7 @@ from rillmart import schemas
 from rillmart.functions.fields import amount, total
 from rillmart.operators import keyed
 from rillmart.operators.changelog import dirty_records, etl_gate, parse_json
+from rillmart.operators.joins import attach_marks
 from rillmart.operators.logsplit import split_log_json
 from rillmart.operators.routing import route_dims, route_facts
 from rillmart.operators.windows import REFERENCE_SIZE, tumble
@@ -120,6 +122,48 @@ def dirty_lines(lines: DataFrame) -> DataFrame:
     return dirty_records(lines, schemas.CLIENT_LOG)
 
 
+# --- facts ----------------------------------------------------------------------------------
+
+def join_facts(sides: Mapping[str, DataFrame], plan: Callable[..., DataFrame], reach: int,
+               name: str, root: str | None = None) -> str:
+    """A fact joined from streams with ``et``, row for row the batch ``plan`` of all their rows so
+    far.  Returns the folder; ``sinks.read_counted`` reads it.
+
+    No row is late: sides are stored, and a micro-batch joins its rows with all stored ones near
+    them in event time.  ``reach`` is the most seconds between two rows that one result row, or its
+    being unmatched, depends on.  What the micro-batch adds to the result is written with a count
+    above zero, what it takes back (an unmatched row of a left join whose match came) below.
+    """
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [
+        side.select(F.struct(*side.columns).alias(s), F.unix_seconds("et").alias("_at"))
+        for s, side in sides.items()])
+    stored = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema) + ", batch_id int"
+    at, number = F.col("_at"), F.col("batch_id")
+    time_slice = F.floor(at / reach)
+
+    def result(near: DataFrame, sign: int) -> DataFrame:
+        parts = {s: near.where(F.col(s).isNotNull()).select(f"{s}.*") for s in sides}
+        return plan(**parts).withColumn(sinks.COUNT, F.lit(sign).cast("bigint"))
+
+    def writer(where: str) -> sinks.Writer:
+        store, facts = sinks.write_batches(f"{where}/sides"), sinks.write_batches(f"{where}/facts")
+
+        def write(batch: DataFrame, batch_id: int) -> None:
+            store(batch, batch_id)
+            # Later folders are left from a run that is repeated.
+            seen = batch.sparkSession.read.schema(stored).parquet(f"{where}/sides").where(number <= batch_id)
+            new = seen.where(number == batch_id)
+            first, last = new.agg(F.min(at), F.max(at)).first()
+            cut = seen.where(at.between((first or 0) - reach, (last or 0) + reach))
+            slices = new.select(time_slice.alias("_s")).distinct().select(
+                F.explode(F.sequence(F.col("_s") - 1, F.col("_s") + 1)).alias("_slice")).distinct()
+            near = attach_marks(cut.withColumn("_slice", time_slice), slices, ["_slice"])
+            both = result(near, 1).unionByName(result(near.where(number < batch_id), -1))
+            facts(sinks.count_rows(both), batch_id)
+        return write
+    return run_batches(rows, name, writer, root) + "/facts"
+
+
 # --- trade ------------------------------------------------------------------------------------
 
 def _distinct_details(detail: DataFrame, measures: Sequence[str], order: Sequence[str],
