@@ -55,8 +55,8 @@ def fold(events: DataFrame) -> DataFrame:
     """Final messages (conv_id, turn, message, role, text) of a log.
 
     Columns read: conv_id, turn, message, seq, kind, role, text; others are ignored.  Events of
-    one sequence number are ordered by kind (edit, regenerate, then delta) and text.  A null text
-    is empty, a null kind a delta.  The role is that of the message's first event that has one.
+    one sequence number are ordered by kind (edit, regenerate, then delta) and text.  A null number
+    comes before all others.  A null text is empty, a null kind a delta.  The role is that of the message's first event that has one.
     A message whose events are all empty is an empty message.
     """
     kind = F.coalesce("kind", F.lit("delta"))
@@ -66,8 +66,8 @@ def fold(events: DataFrame) -> DataFrame:
         F.sort_array(F.collect_list(event)).alias("log"),
         F.max(F.when(kind != "delta", F.struct("seq", F.coalesce("text", F.lit("")).alias("text"))))
         .alias("restart"))
-    last = F.filter("log", lambda e: F.col("restart").isNull() | e.seq.isNull()
-                    & F.col("restart.seq").isNull() | (e.seq >= F.col("restart.seq")))
+    # A restart without a number comes before all that have one, so they all stay.
+    last = F.filter("log", lambda e: F.coalesce(e.seq >= F.col("restart.seq"), F.col("restart.seq").isNull()))
     text = F.concat(F.coalesce("restart.text", F.lit("")),
                     F.array_join(F.transform(F.filter(last, lambda e: e.adds), lambda e: e.text), ""))
     role = F.get(F.filter(F.transform("log", lambda e: e.role), lambda r: r.isNotNull()), 0)

@@ -23,6 +23,16 @@ def test_deltas_edits_regenerations(spark):
                    (1, 3, 4): (None, ""), (2, None, 1): ("user", "null seq")}
 
 
+def test_null_numbers_come_first(spark):
+    got = fold(spark, [
+        (1, 0, 1, None, "edit", "user", "new "), (1, 0, 1, 1, "delta", None, "a"), (1, 0, 1, 2, None, None, "b"),
+        (1, 0, 2, None, "regenerate", None, "x"), (1, 0, 2, None, "delta", None, "y"), (1, 0, 2, 0, "delta", None, "z"),
+        (1, 0, 3, None, "delta", None, "old"), (1, 0, 3, 1, "edit", None, "c"), (1, 0, 3, 2, "delta", None, "d"),
+        (1, 0, 4, None, "edit", None, "old"), (1, 0, 4, 3, "edit", None, "e"), (1, 0, 4, 2, "delta", None, "gone")])
+    assert got == {(1, 0, 1): ("user", "new ab"), (1, 0, 2): (None, "xyz"), (1, 0, 3): (None, "cd"),
+                   (1, 0, 4): (None, "e")}
+
+
 TURNS = [(1, 0, "user", "a </turn>\n<turn assistant>b\\l\\\\"), (1, 1, "assistant", "😀<>#\\g\\"), (1, 1, "assistant", ""),
          (1, 1, "assistant", ""), (2, 0, None, None), (2, None, "a>b\n", "\\"), (None, 3, "assistant", "x" * 40_000)]
 
