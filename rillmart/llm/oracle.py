@@ -62,3 +62,42 @@ x AS (SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS kept
 SELECT l.doc_id, len(w) AS n_words, len(gone) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
 FROM l LEFT JOIN x USING (doc_id)
 """
+
+# CRC-32 bit by bit; the number is the reversed polynomial.
+CRC32 = """xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split({}, ''), lambda c: ord(c)::BIGINT)),
+  lambda crc, b: list_reduce(list_prepend(xor(crc, b), [1, 2, 3, 4, 5, 6, 7, 8]::BIGINT[]),
+    lambda x, i: xor(x >> 1, CASE WHEN x % 2 = 1 THEN 3988292384 ELSE 0 END::BIGINT))), 4294967295)"""
+
+
+def _field(c):
+    return f"coalesce(strlen({c}::VARCHAR) || ':' || {c}, '-')"
+
+
+def _leaf(n_chars):
+    return "sha256(" + " || ".join(_field(c) for c in ("doc_id", "source", "lang", n_chars, "text")) + ")"
+
+
+MERKLE = f"""
+WITH RECURSIVE raw AS (SELECT doc_id, lang, {_leaf('n_chars')} AS leaf,
+    CASE WHEN {CRC32.format('CAST(doc_id AS VARCHAR)')} % 7 = 0 THEN {_leaf('(n_chars + 1)')} END AS forged FROM documents),
+d AS (SELECT *, row_number() OVER () AS r, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place,
+    count(*) OVER (PARTITION BY lang) AS n FROM raw),
+t AS (SELECT coalesce('=' || lang, '') AS tree, 0 AS lvl, place, leaf AS h, n FROM d
+  UNION ALL SELECT tree, lvl + 1, place // 2, sha256(string_agg(h, '' ORDER BY place)), (n + 1) // 2
+  FROM t WHERE n > 1 GROUP BY tree, lvl, place // 2, n),
+s AS (SELECT tree, h, lvl AS height, row_number() OVER (ORDER BY tree) - 1 AS place, count(*) OVER () AS n FROM t WHERE n = 1),
+u AS (SELECT 0 AS lvl, place, h, n FROM s
+  UNION ALL SELECT lvl + 1, place // 2, sha256(string_agg(h, '' ORDER BY place)), (n + 1) // 2
+  FROM u WHERE n > 1 GROUP BY lvl, place // 2, n),
+p AS (SELECT r, t.lvl, d.place >> t.lvl AS spot, o.h FROM d JOIN t ON t.tree = coalesce('=' || lang, '') AND t.place = d.place >> t.lvl AND t.n > 1
+    LEFT JOIN t o ON o.tree = t.tree AND o.lvl = t.lvl AND o.place = xor(t.place, 1)
+  UNION ALL SELECT r, height + u.lvl, s.place >> u.lvl, o.h FROM d JOIN s ON s.tree = coalesce('=' || lang, '')
+    JOIN u ON u.place = s.place >> u.lvl AND u.n > 1 LEFT JOIN u o ON o.lvl = u.lvl AND o.place = xor(u.place, 1)),
+proofs AS (SELECT r, string_agg(h, '' ORDER BY lvl) AS proof, max(lvl) AS top FROM p GROUP BY r),
+f AS (SELECT r, 0 AS lvl, coalesce(forged, leaf) AS h FROM d
+  UNION ALL SELECT f.r, f.lvl + 1, sha256(CASE WHEN spot % 2 = 1 THEN coalesce(p.h, '') || f.h ELSE f.h || coalesce(p.h, '') END)
+  FROM f JOIN p ON p.r = f.r AND p.lvl = f.lvl)
+SELECT doc_id, leaf, s.h AS subroot, u.h AS root, sha256(coalesce(proof, '')) AS proof_sha256, f.h AS folded_root, f.h = u.h AS verified
+FROM d JOIN s ON s.tree = coalesce('=' || lang, '') JOIN u ON u.n = 1 LEFT JOIN proofs USING (r)
+JOIN f ON f.r = d.r AND f.lvl = coalesce(top + 1, 0)
+"""

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 
 import public_tokenizers
 
-from . import bytebpe, chat, decontam, exact, oracle, phrases, pii, quality, simhash, tokenfile, toxicity
+from . import bytebpe, chat, decontam, exact, merkle, oracle, phrases, pii, quality, simhash, tokenfile, toxicity
 from .sampling import fold
 from .common import shared_dir, table, temporary, texts_of
 
@@ -130,10 +130,23 @@ def op10_chat_format(spark, sf_dir) -> DataFrame:
         F.char_length("formatted").cast("long").alias("formatted_chars"))
 
 
+def op11_merkle(spark, sf_dir) -> DataFrame:
+    """Every row's proof, checked against its row with ``n_chars`` changed in one row of seven."""
+    docs = table(spark, sf_dir, "documents")
+    changed = F.col("doc_id").isNotNull() & (fold(F.col("doc_id"), 7) == 0)
+    forged = merkle.leaf_digest(F.col("doc_id"), F.col("source"), F.col("lang"), F.col("n_chars") + 1, F.col("text"))
+    made = merkle.manifest(docs, carry={"forged": F.when(changed, forged)})
+    folded = made.withColumn("folded_root", merkle.fold(
+        F.coalesce("forged", "leaf"), F.col("sides"), F.col("path")))
+    return folded.select("doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("path")).alias("proof_sha256"),
+                         "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
 QUERIES = {"op1_exact_dedup": op1_exact_dedup, "op2_decontaminate": op2_decontaminate,
            "op3_phrase_dedup": op3_phrase_dedup, "op4_byte_bpe": op4_byte_bpe, "op5_quality": op5_quality, "op6_simhash": op6_simhash,
            "op7_token_files": op7_token_files, "op8_toxicity": op8_toxicity,
-           "op9_personal_data": op9_personal_data, "op10_chat_format": op10_chat_format}
+           "op9_personal_data": op9_personal_data, "op10_chat_format": op10_chat_format,
+           "op11_merkle": op11_merkle}
 ORACLE_SQL = {"op1_exact_dedup": oracle.EXACT, "op2_decontaminate": oracle.DECONTAMINATE,
               "op3_phrase_dedup": oracle.PHRASES,
-              "op10_chat_format": oracle.CHAT}
+              "op10_chat_format": oracle.CHAT, "op11_merkle": oracle.MERKLE}
