@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 
 import public_tokenizers
 
-from . import bytebpe, chat, covertree, decontam, exact, merkle, oracle, phrases, pii, quality, simhash, tokenfile, toxicity
+from . import bytebpe, chat, covertree, decontam, exact, merkle, oracle, phrases, pii, quality, simhash, suffix, tokenfile, toxicity
 from .sampling import fold
 from .common import shared_dir, table, temporary, texts_of
 
@@ -148,11 +148,18 @@ def op12_hard_negatives(spark, sf_dir) -> DataFrame:
     return covertree.hard_negatives(rows.withColumn("label", label), F.col("vec_id") % 100 == 0)
 
 
+def op13_suffix_dedup(spark, sf_dir) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return suffix.remove_repeats(docs).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept_bytes", 256).alias("kept_sha256"))
+
+
 QUERIES = {"op1_exact_dedup": op1_exact_dedup, "op2_decontaminate": op2_decontaminate,
            "op3_phrase_dedup": op3_phrase_dedup, "op4_byte_bpe": op4_byte_bpe, "op5_quality": op5_quality, "op6_simhash": op6_simhash,
            "op7_token_files": op7_token_files, "op8_toxicity": op8_toxicity,
            "op9_personal_data": op9_personal_data, "op10_chat_format": op10_chat_format,
-           "op11_merkle": op11_merkle, "op12_hard_negatives": op12_hard_negatives}
+           "op11_merkle": op11_merkle, "op12_hard_negatives": op12_hard_negatives,
+           "op13_suffix_dedup": op13_suffix_dedup}
 ORACLE_SQL = {"op1_exact_dedup": oracle.EXACT, "op2_decontaminate": oracle.DECONTAMINATE,
               "op3_phrase_dedup": oracle.PHRASES,
               "op10_chat_format": oracle.CHAT, "op11_merkle": oracle.MERKLE,
