@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from rillmart.functions.timefmt import DATE, DAY_MS, millis_to_date
+from rillmart.operators.changelog import parse_json
 from rillmart.operators.joins import attach_marks
 
 RETURN_AFTER_DAYS = 8
@@ -64,6 +65,14 @@ def first_days(df: DataFrame, device: Column, is_new: Column, ts: Column) -> Dat
                   .otherwise(F.col("_f._ts") - DAY_MS)).alias("_first_day")))
 
 
+def device_rows(lines: DataFrame, value: str = "value") -> DataFrame:
+    """(_mid, _is_new, ts) of raw client-log lines that are records of a device.  Only these three
+    fields are parsed."""
+    narrow = parse_json(lines.select(value), "common struct<mid: string, is_new: string>, ts bigint", "drop", value)
+    return narrow.select(F.col("common.mid").alias("_mid"), F.col("common.is_new").alias("_is_new"), "ts") \
+        .where("_mid IS NOT NULL")
+
+
 def repair_new_visitors(df: DataFrame, device: Column, is_new: Column, ts: Column,
                         firsts: DataFrame | None = None) -> DataFrame:
     """Add ``is_new_fixed``: the flag '1' becomes '0' on every day but the device's first.

@@ -208,10 +208,10 @@ def province_order(size: int) -> str:
     LEFT JOIN nation ON province_id = CAST(n_nationkey AS VARCHAR) AND n_nationkey <> 24"""
 
 
-def sku_order(size: int) -> str:
+def sku_order(size: int, *rep: str) -> str:
     def total(c):
         return f"CAST(sum(CASE WHEN gone THEN 0 ELSE {c} END) AS DECIMAL(38,4))"
-    return _with(ORDERS, REPEATS, f"""s AS (SELECT {_bounds('ts * 1000', size)}, sku_id,
+    return _with(ORDERS, *(rep or (REPEATS,)), f"""s AS (SELECT {_bounds('ts * 1000', size)}, sku_id,
         {total('orig')} AS original_amount, {total('act')} AS activity_reduce_amount,
         {total('cou')} AS coupon_reduce_amount, {total('tot')} AS order_amount
       FROM rep GROUP BY stt, edt, cur_date, sku_id)""") + """
@@ -227,6 +227,13 @@ def sku_order(size: int) -> str:
     LEFT JOIN region ON n_regionkey = r_regionkey"""
 
 
+def detail_to_sku(size: int) -> str:
+    """Product windows over the order details themselves, which do not repeat."""
+    return sku_order(size, LINES, DETAIL, """rep AS (SELECT id, sku_id, ts, false AS gone,
+      CAST(split_original_amount AS DECIMAL(20,4)) AS orig, CAST(split_activity_amount AS DECIMAL(20,4)) AS act,
+      CAST(split_coupon_amount AS DECIMAL(20,4)) AS cou, CAST(split_total_amount AS DECIMAL(20,4)) AS tot FROM det)""")
+
+
 CANCEL_OUT = _with(ORDERS, REPEATS) + """
   SELECT id, order_id, sku_id, ts, CAST(sign * orig AS DECIMAL(20,4)) AS split_original_amount,
     CAST(sign * act AS DECIMAL(20,4)) AS split_activity_amount,

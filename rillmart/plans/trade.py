@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from rillmart import schemas
 from rillmart.functions.fields import amount, total
@@ -27,9 +27,10 @@ def cart_add_uu(cart: DataFrame, size: str = REFERENCE_SIZE) -> DataFrame:
     return cart_add_windows(event_time(firsts), size)
 
 
-def cart_add_windows(firsts: DataFrame, size: str) -> DataFrame:
-    return tumble(firsts, size, [], [F.count("*").alias("cart_add_uu_ct")]
-                  ).select(*schemas.CART_ADD_UU)
+def cart_add_windows(firsts: DataFrame, size: str, times: Column | None = None) -> DataFrame:
+    """``times``: how often a row counts; below zero where it is taken back."""
+    users = F.sum(F.lit(1) if times is None else times).cast("bigint").alias("cart_add_uu_ct")
+    return tumble(firsts, size, [], [users]).select(*schemas.CART_ADD_UU)
 
 
 def net_measures(detail: DataFrame, by: Sequence[str], measures: dict[str, str],
@@ -51,12 +52,16 @@ def net_measures(detail: DataFrame, by: Sequence[str], measures: dict[str, str],
 
 def province_order(detail: DataFrame, province: DataFrame, size: str = REFERENCE_SIZE,
                    order: Sequence[str] = (), ttl: int | None = REPEAT_TTL) -> DataFrame:
+    return with_province(province_windows(detail, size, order, ttl), province)
+
+
+def province_windows(detail: DataFrame, size: str, order: Sequence[str], ttl: int | None) -> DataFrame:
     """Orders and order amount by province.  Amounts are summed per order first: that
     makes the distinct count a plain count, with both steps combined before their
     shuffles."""
     rows = net_measures(detail, ["province_id", "order_id"],
                         {"paid": "split_total_amount"}, order, ttl)
-    return with_province(count_orders(event_time(rows, "s"), size), province)
+    return count_orders(event_time(rows, "s"), size)
 
 
 def count_orders(rows: DataFrame, size: str) -> DataFrame:
@@ -78,10 +83,14 @@ def sku_order(detail: DataFrame, products: DataFrame, size: str = REFERENCE_SIZE
               time_mode: str = "event") -> DataFrame:
     """Amounts by product, summed before the product attributes are joined.
     ``products`` is ``flatten_products`` output."""
+    return with_products(sku_windows(detail, size, order, ttl, time_mode), products)
+
+
+def sku_windows(detail: DataFrame, size: str, order: Sequence[str], ttl: int | None,
+                time_mode: str = "event") -> DataFrame:
     rows = net_measures(detail, ["sku_id"], SKU_MEASURES, order, ttl)
-    summed = tumble(event_time(rows, "s"), size, ["sku_id"],
-                    [total(F.col(m)).alias(m) for m in SKU_MEASURES], time_mode=time_mode)
-    return with_products(summed, products)
+    return tumble(event_time(rows, "s"), size, ["sku_id"],
+                  [total(F.col(m)).alias(m) for m in SKU_MEASURES], time_mode=time_mode)
 
 
 def with_products(summed: DataFrame, products: DataFrame) -> DataFrame:

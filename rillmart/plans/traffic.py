@@ -67,9 +67,10 @@ def home_detail_uv(page_log: DataFrame, size: str = REFERENCE_SIZE) -> DataFrame
     return home_detail_windows(event_time(firsts), size)
 
 
-def home_detail_windows(firsts: DataFrame, size: str) -> DataFrame:
+def home_detail_windows(firsts: DataFrame, size: str, times: Column | None = None) -> DataFrame:
+    """``times``: how often a row counts; below zero where it is taken back."""
     def hits(page: str) -> Column:
-        return F.sum(F.when(F.col("page_id") == page, 1).otherwise(0))
+        return F.sum(F.when(F.col("page_id") == page, F.lit(1) if times is None else times).otherwise(0))
     return tumble(firsts, size, [], [hits(HOME).alias("home_uv_ct"),
                                      hits(DETAIL).alias("good_detail_uv_ct")]
                   ).select(*schemas.HOME_DETAIL_UV)
@@ -87,9 +88,9 @@ def user_login(page_log: DataFrame, size: str = REFERENCE_SIZE) -> DataFrame:
     return user_login_windows(event_time(login_days(logins(page_log))), size)
 
 
-def user_login_windows(days: DataFrame, size: str) -> DataFrame:
-    return tumble(days, size, [], [F.sum("back_ct").alias("back_ct"),
-                                   F.sum("uu_ct").alias("uu_ct")]).select(*schemas.USER_LOGIN)
+def user_login_windows(days: DataFrame, size: str, times: Column | None = None) -> DataFrame:
+    sums = [F.sum(F.col(c) if times is None else F.col(c) * times).alias(c) for c in ("back_ct", "uu_ct")]
+    return tumble(days, size, [], sums).select(*schemas.USER_LOGIN)
 
 
 def searches(page_log: DataFrame) -> DataFrame:

@@ -462,25 +462,34 @@ def json_out(spark, sf):
 HEARTBEAT = 4_000_000_000
 
 
-FILES = 4
+PARTS, FILES = 4, 4
 
 
 def topic_in_turn(spark, name, parts):
-    """Write a topic of one file for each part, which a stream reads one after another."""
+    """Write a topic of ``FILES`` files for each part; a stream reads one part after another."""
     where = shared_dir(spark, f"topic-{name}")
     for lines in parts:
-        lines.coalesce(1).write.mode("append").text(where)
-    return Topic(where, options={"maxFilesPerTrigger": "1"})
+        lines.repartition(FILES).write.mode("append").text(where)
+    return Topic(where, options={"maxFilesPerTrigger": str(FILES)})
+
+
+def in_parts(spark, name, lines, part):
+    """Deal lines (``value`` and what ``part`` reads) out to the parts of a topic; they are derived once."""
+    dealt = lines.withColumn("part", part).persist()
+    try:
+        return topic_in_turn(spark, name, [dealt.where(F.col("part") == k).select("value") for k in range(PARTS)])
+    finally:
+        dealt.unpersist()
 
 
 def topic(spark, name, lines):
-    """Write lines of a topic in ``FILES`` slices of time and return where they are."""
+    """Write lines of a topic in ``PARTS`` slices of time and return where they are."""
     at = F.coalesce(F.get_json_object("value", "$.ts"), F.get_json_object("value", "$.ts_ms")).cast("bigint")
     timed = lines.withColumn("at", F.coalesce(at, F.lit(0))).persist()
     try:
-        cuts = timed.approxQuantile("at", [k / FILES for k in range(1, FILES)], 0.01)
+        cuts = timed.approxQuantile("at", [k / PARTS for k in range(1, PARTS)], 0.01)
         part = sum((F.col("at") > F.lit(int(c))).cast("int") for c in cuts)
-        return topic_in_turn(spark, name, [timed.where(part == k).select("value") for k in range(FILES)])
+        return in_parts(spark, name, timed, part)
     finally:
         timed.unpersist()
 
@@ -493,39 +502,34 @@ def beat(df, **fields):
     return df.unionByName(one.select(*cols))
 
 
-def page_topic(spark, sf):
-    word = F.create_map(F.lit("mid"), F.lit("beat"), F.lit("uid"), F.lit("beat"))
-    page = F.create_map(F.lit("page_id"), F.lit("home"))
-    rows = beat(fx.page_log(spark, sf), common=word, page=page, ts=F.lit(HEARTBEAT * 1000))
-    return topic(spark, "page", rows.select(json_record("common", "page", "ts").alias("value")))
+def page_stream(spark, sf, deal=None):
+    rows = fx.page_log(spark, sf).select(json_record("common", "page", "ts").alias("value"))
+    return readers.read_page_log(spark, (deal or topic)(spark, "page", rows), delay=None)
 
 
-def page_stream(spark, sf):
-    return readers.read_page_log(spark, page_topic(spark, sf))
+def summed(spark, where, columns, sums):
+    return sinks.read_summed(spark, where, [c for c in columns if c not in sums], sums).select(*columns)
 
 
-@query("stream_page_view", sql.page_view(10 * SECOND))
-def stream_page_view(spark, sf):
-    return jobs.run_available(jobs.page_view(page_stream(spark, sf)), "page-view")
+def page_view_stream(spark, sf, deal=None):
+    where = jobs.page_view(page_stream(spark, sf, deal))
+    return summed(spark, where, schemas.PAGE_VIEW, ["uv_ct", "sv_ct", "pv_ct", "dur_sum"])
 
 
-@query("stream_home_detail_uv", sql.home_detail(HOUR))
-def stream_home_detail_uv(spark, sf):
-    return jobs.run_available(jobs.home_detail_uv(page_stream(spark, sf), "1 hour", slices=4),
-                              "home-detail")
+def home_detail_stream(spark, sf, deal=None):
+    where = jobs.home_detail_uv(page_stream(spark, sf, deal), "1 hour")
+    return summed(spark, where, schemas.HOME_DETAIL_UV, ["home_uv_ct", "good_detail_uv_ct"])
 
 
-@query("stream_user_login", sql.user_login(HOUR))
-def stream_user_login(spark, sf):
-    return jobs.run_available(jobs.user_login(page_stream(spark, sf), "1 hour"), "user-login")
+def user_login_stream(spark, sf, deal=None):
+    where = jobs.user_login(page_stream(spark, sf, deal), "1 hour")
+    return summed(spark, where, schemas.USER_LOGIN, ["back_ct", "uu_ct"])
 
 
-@query("stream_cart_add_uu", sql.cart_uu(HOUR))
-def stream_cart_add_uu(spark, sf):
-    rows = beat(fx.cart_facts(spark, sf), user_id=F.lit("beat"), ts=F.lit(HEARTBEAT))
-    lines = topic(spark, "cart", rows.select(json_record(*schemas.CART_ADD).alias("value")))
-    cart = readers.read_fact(spark, lines, schemas.CART_ADD, delay="0 seconds")
-    return jobs.run_available(jobs.cart_add_uu(cart, "1 hour"), "cart-add-uu")
+def cart_add_uu_stream(spark, sf, deal=None):
+    lines = fx.cart_facts(spark, sf).select(json_record(*schemas.CART_ADD).alias("value"))
+    cart = readers.read_fact(spark, (deal or topic)(spark, "cart", lines), schemas.CART_ADD)
+    return summed(spark, jobs.cart_add_uu(cart, "1 hour"), schemas.CART_ADD_UU, ["cart_add_uu_ct"])
 
 
 @query("stream_keyword_pv", sql.keyword(10 * SECOND))
@@ -557,8 +561,11 @@ def stream_log_split_late(spark, sf):
     firsts = rows.where("event_id % 97 <> 0").groupBy("mid").agg(F.min("ts").alias("first"))
     part = F.when(F.col("ts") == F.col("first"), 0).otherwise(1 + F.pmod(F.xxhash64("event_id"), F.lit(3)))
     parts = rows.join(firsts, "mid").select("event_id", part.alias("part"))
-    dealt = events.join(parts, "event_id")
-    where = topic_in_turn(spark, "log", [fx.raw_log(dealt.where(F.col("part") == k)) for k in range(4)])
+    dealt = events.join(parts, "event_id").persist()
+    try:
+        where = topic_in_turn(spark, "log", [fx.raw_log(dealt.where(F.col("part") == k)) for k in range(PARTS)])
+    finally:
+        dealt.unpersist()
     return split_lines(spark, jobs.split_log(readers.read_lines(spark, where)))
 
 
@@ -587,22 +594,28 @@ def change_stream(spark, sf, *tables):
 
 
 def out_of_order(spark, name, lines):
-    """Write lines of a topic in ``FILES`` files with no order of time between them."""
-    part = F.pmod(F.xxhash64("value"), F.lit(FILES))
-    return topic_in_turn(spark, name, [lines.where(part == k) for k in range(FILES)])
+    """Write lines of a topic in parts with no order of time between them."""
+    return in_parts(spark, name, lines, F.pmod(F.xxhash64("value"), F.lit(PARTS)))
 
 
-def joined_stream(spark, sf, fact, tables, plan, deal, with_detail=False):
+# The provided orders lie thin over seven years, so their parts are wide.
+WIDTH = 90 * 86_400
+
+
+def joined_folder(spark, sf, fact, tables, plan, deal, with_detail=False):
     """A fact joined from the change log of some tables, and from order details as a topic."""
     log = fx.change_log(spark, sf, *tables)
     lines = deal(spark, "db", log.select(json_record(*log.columns).alias("value")))
-    sides = {"log": readers.read_changelog(spark, lines, delay=None)}
+    sides = {"log": readers.read_changelog(spark, lines, delay=None).drop("pt")}
     if with_detail:
         rows = facts.published(detail_fact(spark, sf))
         details = deal(spark, "order-detail", rows.select(json_record(*rows.columns).alias("value")))
         sides["detail"] = readers.read_fact(spark, details, schemas.ORDER_DETAIL)
-    where = jobs.join_facts(sides, lambda **s: facts.published(plan(**s)), facts.REACH[fact], fact)
-    return sinks.read_counted(spark, where)
+    return jobs.join_facts(sides, lambda **s: facts.published(plan(**s)), facts.REACH[fact], fact, width=WIDTH)
+
+
+def joined_stream(spark, *args):
+    return sinks.read_counted(spark, joined_folder(spark, *args))
 
 
 def order_detail_stream(spark, sf, deal=topic):
@@ -645,24 +658,47 @@ def stream_comment(spark, sf):
     return jobs.run_available(rows, "comment")
 
 
-def repeated_stream(spark, sf):
-    rows = beat(fx.repeated_details(spark, sf), id=F.lit("beat"), ts=F.lit(HEARTBEAT))
-    lines = topic(spark, "repeats", rows.select(json_record(*rows.columns).alias("value")))
-    read = readers.read_lines(spark, lines)
+for _name, _stream, _twin in (
+        ("stream_page_view", page_view_stream, sql.page_view(10 * SECOND)),
+        ("stream_home_detail_uv", home_detail_stream, sql.home_detail(HOUR)),
+        ("stream_user_login", user_login_stream, sql.user_login(HOUR)),
+        ("stream_cart_add_uu", cart_add_uu_stream, sql.cart_uu(HOUR))):
+    query(_name, _twin)(_stream)
+    query(f"{_name}_late", _twin)(functools.partial(_stream, deal=out_of_order))
+
+
+def repeated_stream(spark, sf, deal=topic):
+    rows = fx.repeated_details(spark, sf)
+    lines = deal(spark, "repeats", rows.select(json_record(*rows.columns).alias("value")))
     shape = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
-    return event_time(changelog.parse_json(read, shape), "s", "0 seconds")
+    return event_time(changelog.parse_json(readers.read_lines(spark, lines), shape), "s")
 
 
-@query("stream_province_order", sql.province_order(DAY))
-def stream_province_order(spark, sf):
-    return jobs.run_available(jobs.province_order(
-        repeated_stream(spark, sf), fx.provinces(spark, sf), "1 day", fx.TIE_BREAK), "province")
+def province_stream(spark, sf, size, deal=topic):
+    where = jobs.province_order(repeated_stream(spark, sf, deal), size, fx.TIE_BREAK, width=WIDTH)
+    return trade.with_province(sinks.read_counted(spark, where), fx.provinces(spark, sf))
 
 
-@query("stream_sku_order", sql.sku_order(DAY))
-def stream_sku_order(spark, sf):
-    return jobs.run_available(jobs.sku_order(
-        repeated_stream(spark, sf), products(spark, sf), "1 day", fx.TIE_BREAK), "sku")
+def sku_stream(spark, sf, size, deal=topic):
+    where = jobs.sku_order(repeated_stream(spark, sf, deal), size, fx.TIE_BREAK, width=WIDTH)
+    return trade.with_products(sinks.read_counted(spark, where), products(spark, sf))
+
+
+for _label, _size, _ms in (("", "1 day", DAY), ("_w10", "10 seconds", 10 * SECOND)):
+    for _name, _stream, _twin in (("stream_province_order", province_stream, sql.province_order),
+                                  ("stream_sku_order", sku_stream, sql.sku_order)):
+        query(_name + _label, _twin(_ms))(functools.partial(_stream, size=_size))
+        query(f"{_name}{_label}_late", _twin(_ms))(functools.partial(_stream, size=_size, deal=out_of_order))
+
+
+@query("stream_order_detail_to_sku", sql.detail_to_sku(DAY))
+def stream_order_detail_to_sku(spark, sf):
+    """Change log to order details to product windows: what the join takes back, the windows lose."""
+    tables = ["order_info", "order_detail", "order_detail_activity", "order_detail_coupon"]
+    details = joined_folder(spark, sf, "order_detail", tables, facts.order_detail, out_of_order)
+    changes = readers.read_counted_changes(spark, details, schemas.fact_ddl(schemas.ORDER_DETAIL), maxFilesPerTrigger="4")
+    where = jobs.sku_order(changes, "1 day", name="detail-sku", width=WIDTH)
+    return trade.with_products(sinks.read_counted(spark, where), products(spark, sf))
 
 
 @query("stream_upsert", sql.LATEST)

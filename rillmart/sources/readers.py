@@ -19,6 +19,8 @@ from rillmart.operators.routing import rule_events
 from rillmart.operators.windows import event_time
 
 CHANGELOG_DELAY = "3 seconds"
+# The column that says how often a row is added, or taken back.
+COUNT = "_count"
 PAGE_DELAY = "0 seconds"
 
 
@@ -69,8 +71,15 @@ def read_fact(spark: SparkSession, topic: Topic, columns: Sequence[str], stream:
     return event_time(fact, "s", delay)
 
 
+def read_counted_changes(spark: SparkSession, where: str, schema: str, **options: str) -> DataFrame:
+    """What the batches of a counted table add and take back, as a stream: the rows, their count
+    (below zero for what is taken back) and ``et`` from ``ts`` in seconds."""
+    rows = spark.readStream.schema(f"{schema}, {COUNT} bigint, batch_id int").options(**options).parquet(where)
+    return event_time(rows.drop("batch_id"), "s")
+
+
 def read_page_log(spark: SparkSession, topic: Topic, stream: bool = True,
-                  delay: str = PAGE_DELAY) -> DataFrame:
+                  delay: str | None = PAGE_DELAY) -> DataFrame:
     return event_time(parse_json(read_lines(spark, topic, stream), schemas.PAGE_LOG), "ms", delay)
 
 

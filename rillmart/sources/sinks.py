@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from rillmart.functions.fields import json_record
 from rillmart.operators.dims import merge_cells, rows_of, to_cells
 from rillmart.operators.keyed import latest_per_key
+from rillmart.sources.readers import COUNT
 
 Writer = Callable[[DataFrame, int], None]
 
@@ -95,9 +96,6 @@ def compact_upserted(spark: SparkSession, where: str, into: str, keys: Sequence[
     read_upserted(spark, where, keys, order).write.parquet(f"{into}/batch_id=-1")
 
 
-COUNT = "_count"
-
-
 def count_rows(rows: DataFrame) -> DataFrame:
     """Equal rows as one with the sum of their counts; those that cancel out are left out."""
     own = [c for c in rows.columns if c != COUNT]
@@ -110,6 +108,16 @@ def read_counted(spark: SparkSession, where: str) -> DataFrame:
     return rows.withColumn(COUNT, F.explode(F.sequence(F.lit(1), F.col(COUNT)))).drop(COUNT)
 
 
+def read_summed(spark: SparkSession, where: str, keys: Sequence[str], sums: Sequence[str]) -> DataFrame:
+    """Current rows of a summary whose batches add to sums, or take from them.  A row all of whose
+    sums came to nothing is no row."""
+    rows = spark.read.parquet(where).groupBy(*keys).agg(*[F.sum(c).alias(c) for c in sums])
+    left = F.lit(False)
+    for c in sums:
+        left |= F.coalesce(F.col(c) != 0, F.lit(False))
+    return rows.where(left)
+
+
 def store_dims(where: str, order: Sequence[str]) -> Writer:
     """Dimension sink: each micro-batch of routed changes adds its folded cells,
     laid out by dimension so that a reader of one opens only its files."""

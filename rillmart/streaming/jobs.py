@@ -1,26 +1,27 @@
-"""The jobs as streams.  Inputs carry ``et`` with a watermark; outputs are appended
-when their window, or the wait for a join partner, is over.
+"""The jobs as streams.
+
+Stateless ones are plain stream plans.  What needs earlier rows works on whole micro-batches
+against tables of its own (``store.PartStore``): no watermark, no late row, no state in Python.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
-from functools import reduce
+from functools import reduce as fold
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from rillmart import schemas
-from rillmart.functions.fields import amount, total
 from rillmart.operators import keyed
 from rillmart.operators.changelog import dirty_records, etl_gate, parse_json
 from rillmart.operators.joins import attach_marks
 from rillmart.operators.logsplit import split_log_json
 from rillmart.operators.routing import route_dims, route_facts
-from rillmart.operators.windows import REFERENCE_SIZE, tumble
+from rillmart.operators.windows import REFERENCE_SIZE, event_time
 from rillmart.plans import trade, traffic
 from rillmart.session import shared_dir
 from rillmart.sources import sinks
-from rillmart.streaming import state
+from rillmart.streaming.store import PartStore, publish
 
 MILLIS = {"10 seconds": 10_000, "1 hour": 3_600_000, "1 day": 86_400_000}
 
@@ -49,69 +50,146 @@ def _run(writer, root: str, spark: SparkSession) -> None:
         .trigger(availableNow=True).start().awaitTermination()
 
 
-# --- traffic --------------------------------------------------------------------------------
+# --- daily-unique rows ------------------------------------------------------------------------
+
+Rows = Callable[[DataFrame], DataFrame]
+
+
+def keyed_changes(rows: DataFrame, batch_id: int, held: PartStore, keys: Sequence[str], reduce: Rows,
+                  derive: Rows) -> DataFrame:
+    """What a micro-batch adds to and takes back from ``derive(reduce(all rows so far))``, with counts.
+
+    ``reduce`` keeps few rows of each key, and the same few of its own results; ``held`` stores those,
+    in parts whose columns ``reduce`` gives too.  ``derive`` looks at one key at a time.
+    """
+    held.clean(batch_id)
+    where = f"{held.where}/fresh"
+    reduce(rows).select(*held.schema.names).write.mode("overwrite").parquet(where)
+    fresh = rows.sparkSession.read.schema(held.schema).parquet(where)
+    wanted = held.part_names(fresh)
+    old = held.read(batch_id, wanted)
+    marks = fresh.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]).distinct()
+    same = fold(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)])
+    touched = old.join(marks, same, "left_semi")
+    now = derive(reduce(touched.unionByName(fresh))).withColumn(sinks.COUNT, F.lit(1).cast("bigint"))
+    was = derive(touched).withColumn(sinks.COUNT, F.lit(-1).cast("bigint"))
+    changed = sinks.count_rows(now.unionByName(was))
+    held.replace(batch_id, reduce(old.unionByName(fresh)), wanted)
+    return changed
+
+
+def daily(stream: DataFrame, name: str, root: str | None, kept: str, by: Sequence[str], keys: Sequence[str],
+          prepare: Rows, reduce: Rows, derive: Rows, windows: Callable[[DataFrame, DataFrame], DataFrame]) -> str:
+    """A summary of daily-unique rows, kept up to date without a watermark: a row that comes late
+    takes back what a later row of its key and day has added.  Returns the folder of the windows'
+    changes; ``sinks.read_summed`` reads it."""
+    def writer(where: str) -> sinks.Writer:
+        held = PartStore(stream.sparkSession, f"{where}/keys", kept, by)
+
+        def write(batch: DataFrame, batch_id: int) -> None:
+            rows = prepare(batch).where("ts IS NOT NULL").persist()
+            try:
+                changed = keyed_changes(rows, batch_id, held, keys, reduce, derive)
+                publish(windows(rows, changed), f"{where}/windows", batch_id)
+            finally:
+                rows.unpersist()
+        return write
+    return run_batches(stream, name, writer, root) + "/windows"
+
+
+def bucket(buckets: int, *keys: str) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+
+
+def _firsts(keys: Sequence[str], carry: Sequence[str], buckets: int) -> Rows:
+    return lambda rows: keyed.first_per_day(rows, keys, carry).withColumn("bucket", bucket(buckets, *keys))
+
+
+def _same(rows: DataFrame) -> DataFrame:
+    return rows
+
+
+def page_view(page_log: DataFrame, size: str = REFERENCE_SIZE, name: str = "page-view", root: str | None = None,
+              buckets: int = 1) -> str:
+    """Views, sessions and durations are summed straight away; only each device's first view of a
+    day is kept, in parts by day and by ``buckets`` of devices."""
+    def windows(views: DataFrame, firsts: DataFrame) -> DataFrame:
+        zero = F.lit(0).cast("bigint")
+        plain = views.select("ts", *traffic.VISIT_KEYS, "sv", "pv", "dur", zero.alias("uv"))
+        unique = firsts.select("ts", *traffic.VISIT_KEYS, zero.alias("sv"), zero.alias("pv"), zero.alias("dur"),
+                               F.col(sinks.COUNT).alias("uv"))
+        return traffic.page_view_windows(event_time(plain.unionByName(unique)), size)
 
-def page_view(page_log: DataFrame, size: str = REFERENCE_SIZE, slices: int = 1) -> DataFrame:
-    """Only the unique-visitor part goes through keyed state; views, sessions and
-    durations are summed straight away and meet it in the window."""
-    zero = F.lit(0).cast("bigint")
-    views = traffic.visits(page_log)
-    plain = views.select(*traffic.VISIT_KEYS, "sv", "pv", "dur", zero.alias("uv"), "et")
-    firsts = state.day_firsts(views, ["mid"], traffic.VISIT_KEYS, slices).select(
-        *traffic.VISIT_KEYS, zero.alias("sv"), zero.alias("pv"), zero.alias("dur"),
-        F.lit(1).cast("bigint").alias("uv"), "et")
-    return traffic.page_view_windows(plain.unionByName(firsts), size)
+    kept = "mid string, day string, ts bigint, vc string, ch string, ar string, is_new string, bucket int"
+    return daily(page_log, name, root, kept, ["day", "bucket"], ["mid", "day"], traffic.visits,
+                 _firsts(["mid"], traffic.VISIT_KEYS, buckets), _same, windows)
 
 
-def home_detail_uv(page_log: DataFrame, size: str = REFERENCE_SIZE, slices: int = 1) -> DataFrame:
-    firsts = state.day_firsts(traffic.home_detail_views(page_log), ["mid", "page_id"],
-                              slices=slices)
-    return traffic.home_detail_windows(firsts, size)
+def home_detail_uv(page_log: DataFrame, size: str = REFERENCE_SIZE, name: str = "home-detail",
+                   root: str | None = None, buckets: int = 1) -> str:
+    def windows(_, firsts: DataFrame) -> DataFrame:
+        return traffic.home_detail_windows(event_time(firsts), size, F.col(sinks.COUNT))
 
+    return daily(page_log, name, root, "mid string, page_id string, day string, ts bigint, bucket int",
+                 ["day", "bucket"], ["mid", "page_id", "day"], traffic.home_detail_views,
+                 _firsts(["mid", "page_id"], [], buckets), _same, windows)
 
-def user_login(page_log: DataFrame, size: str = REFERENCE_SIZE) -> DataFrame:
-    return traffic.user_login_windows(state.login_days(traffic.logins(page_log)), size)
 
+def user_login(page_log: DataFrame, size: str = REFERENCE_SIZE, name: str = "user-login",
+               root: str | None = None, buckets: int = 1) -> str:
+    """Login days are kept for good, in parts by ``buckets`` of users: a user may come back at any time."""
+    def windows(_, days: DataFrame) -> DataFrame:
+        return traffic.user_login_windows(event_time(days), size, F.col(sinks.COUNT))
 
-def cart_add_uu(cart: DataFrame, size: str = REFERENCE_SIZE, slices: int = 1) -> DataFrame:
-    rows = cart.select("user_id", (F.col("ts") * 1000).alias("ts"), "et")
-    return trade.cart_add_windows(state.day_firsts(rows, ["user_id"], slices=slices), size)
+    return daily(page_log, name, root, "uid string, day string, ts bigint, bucket int", ["bucket"], ["uid"],
+                 traffic.logins, _firsts(["uid"], [], buckets), keyed.login_days, windows)
 
 
-FIRST_DAYS = "_mid string, _first_day string"
+def cart_add_uu(cart: DataFrame, size: str = REFERENCE_SIZE, name: str = "cart-add-uu", root: str | None = None,
+                buckets: int = 1) -> str:
+    def windows(_, firsts: DataFrame) -> DataFrame:
+        return trade.cart_add_windows(event_time(firsts), size, F.col(sinks.COUNT))
 
+    return daily(cart, name, root, "user_id string, day string, ts bigint, bucket int", ["day", "bucket"],
+                 ["user_id", "day"], lambda rows: rows.select("user_id", (F.col("ts") * 1000).alias("ts")),
+                 _firsts(["user_id"], [], buckets), _same, windows)
 
-def split_log(lines: DataFrame, name: str = "log-split", root: str | None = None,
-              fmt: str = "json") -> str:
+
+# --- client log -------------------------------------------------------------------------------
+
+FIRST_DAYS = "_mid string, _first_day string, bucket int"
+
+
+def split_log(lines: DataFrame, name: str = "log-split", root: str | None = None, fmt: str = "json",
+              buckets: int = 1) -> str:
     """Raw client-log lines to the five traffic facts, below ``facts/topic=...``, and lines that
     are not records to ``dirty``, in one job.  Returns the folder.
 
     No line is late: a micro-batch's visitor flags are corrected as a whole, against the first
     days stored so far.  A device's first micro-batch sets its first day, a row per device is
-    all that is kept, and rows without a device pass.  Nothing is held in a Python worker.
+    all that is kept, in ``buckets`` of devices of one folder each, and rows without a device pass.
     """
     def writer(where: str) -> sinks.Writer:
-        spark, first_folder = lines.sparkSession, f"{where}/first_days"
-        spark.createDataFrame([], FIRST_DAYS).write.mode("ignore").parquet(f"{first_folder}/batch_id=-1")
+        held = PartStore(lines.sparkSession, f"{where}/first_days", FIRST_DAYS, ["bucket"])
         facts, dirty = sinks.write_batches(f"{where}/facts", fmt, ["topic"]), sinks.write_batches(f"{where}/dirty", "text")
 
         def write(batch: DataFrame, batch_id: int) -> None:
             batch = batch.persist()
             try:
+                held.clean(batch_id)
                 log = parse_json(batch, schemas.CLIENT_LOG, "drop")
                 mid, is_new, ts = F.col("common")["mid"], F.col("common")["is_new"], F.col("ts")
-                # Folders of a batch that is run again are not read.
-                stored = batch.sparkSession.read.schema(FIRST_DAYS + ", batch_id int").parquet(first_folder) \
-                    .where(F.col("batch_id") < batch_id).drop("batch_id")
-                here = log.select(mid.alias("_mid")).distinct()
-                known = stored.join(here, "_mid", "left_semi")
-                fresh = keyed.first_days(log, mid, is_new, ts).join(known, "_mid", "left_anti")
-                fresh.write.mode("overwrite").parquet(f"{first_folder}/batch_id={batch_id}")
-                added = batch.sparkSession.read.schema(FIRST_DAYS).parquet(f"{first_folder}/batch_id={batch_id}")
-                fixed = keyed.repair_new_visitors(log, mid, is_new, ts, known.unionByName(added))
+                firsts = keyed.first_days(keyed.device_rows(batch), F.col("_mid"), F.col("_is_new"), ts)
+                firsts.withColumn("bucket", bucket(buckets, "_mid")).write.mode("overwrite").parquet(f"{where}/fresh")
+                fresh = batch.sparkSession.read.schema(FIRST_DAYS).parquet(f"{where}/fresh")
+                wanted = held.part_names(fresh)
+                old = held.read(batch_id, wanted)
+                known = old.join(fresh, "_mid", "left_semi").unionByName(fresh.join(old, "_mid", "left_anti"))
+                fixed = keyed.repair_new_visitors(log, mid, is_new, ts, known.drop("bucket"))
                 fixed = fixed.withColumn("common", traffic.with_flag(F.col("common"), F.col("is_new_fixed")))
                 facts(split_log_json(fixed.drop("is_new_fixed")), batch_id)
                 dirty(dirty_lines(batch), batch_id)
+                held.replace(batch_id, old.unionByName(fresh.join(old, "_mid", "left_anti")), wanted)
             finally:
                 batch.unpersist()
         return write
@@ -124,72 +202,108 @@ def dirty_lines(lines: DataFrame) -> DataFrame:
 
 # --- facts ----------------------------------------------------------------------------------
 
-def join_facts(sides: Mapping[str, DataFrame], plan: Callable[..., DataFrame], reach: int,
-               name: str, root: str | None = None) -> str:
-    """A fact joined from streams with ``et``, row for row the batch ``plan`` of all their rows so
-    far.  Returns the folder; ``sinks.read_counted`` reads it.
-
-    No row is late: sides are stored, and a micro-batch joins its rows with all stored ones near
-    them in event time.  ``reach`` is the most seconds between two rows that one result row, or its
-    being unmatched, depends on.  What the micro-batch adds to the result is written with a count
-    above zero, what it takes back (an unmatched row of a left join whose match came) below.
+def join_facts(sides: Mapping[str, DataFrame], plan: Callable[..., DataFrame], reach: int, name: str,
+               root: str | None = None, width: int = 86_400, keep: int | None = None,
+               keys: Mapping[str, Column] | None = None, buckets: int = 1) -> str:
+    """Rows derived from streams with ``et``, row for row the batch ``plan`` of all their rows so far.
+    Returns the folder; ``sinks.read_counted`` reads it, ``readers.read_counted_changes`` as a stream.
+
+    No row is late: sides are stored, and a micro-batch puts its rows together with all stored ones
+    near them in event time.  ``reach`` is the most seconds between two rows that one result row, or
+    its being unmatched, depends on.  What the micro-batch adds to the result is written with a count
+    above zero, what it takes back (an unmatched row of a left join whose match came) below.  A side
+    may carry such counts itself: rows it takes back disappear from the stored ones.
+
+    Stored rows lie in parts by ``width`` seconds (``reach`` at least) and, where ``keys`` names a
+    value that all sides' rows of one result share, by ``buckets`` of it.  A micro-batch reads the
+    parts near its rows and rewrites those its rows fall in.  With ``keep``, parts more than that many
+    seconds older than the newest row of the batches before are deleted, and rows that old are
+    written to ``late`` instead.
     """
-    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [
-        side.select(F.struct(*side.columns).alias(s), F.unix_seconds("et").alias("_at"))
-        for s, side in sides.items()])
-    stored = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema) + ", batch_id int"
-    at, number = F.col("_at"), F.col("batch_id")
-    time_slice = F.floor(at / reach)
+    width = max(width, reach)
+    counted = {s for s, side in sides.items() if sinks.COUNT in side.columns}
+    hashed = {s: F.xxhash64((keys or {}).get(s, F.lit(0))) for s in sides}
+    rows = fold(lambda a, b: a.unionByName(b, allowMissingColumns=True), [
+        side.select(F.struct(*[c for c in side.columns if c != sinks.COUNT]).alias(s), F.unix_seconds("et").alias("_at"),
+                    F.pmod(hashed[s], F.lit(buckets)).cast("int").alias("bucket"),
+                    (F.col(sinks.COUNT) if s in counted else F.lit(1).cast("bigint")).alias("_n"))
+        for s, side in sides.items()]).withColumn("part", F.floor(F.col("_at") / width).cast("int"))
+    rows = rows.where("_at IS NOT NULL")
+    at, time_slice = F.col("_at"), F.floor(F.col("_at") / reach)
+
+    def summed(some: DataFrame) -> DataFrame:
+        """One row for equal rows of the sides that are counted, none where nothing is left."""
+        parts = [some.where(F.col(s).isNotNull()) for s in sides if s not in counted]
+        for s in counted:
+            own = some.where(F.col(s).isNotNull())
+            others = [c for c in some.columns if c != "_n"]
+            parts.append(own.groupBy(*[c for c in others if c in (s, "_at", "bucket", "part")])
+                         .agg(F.sum("_n").alias("_n")).where("_n <> 0"))
+        return fold(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts).select(*some.columns)
 
     def result(near: DataFrame, sign: int) -> DataFrame:
-        parts = {s: near.where(F.col(s).isNotNull()).select(f"{s}.*") for s in sides}
+        parts = {}
+        for s in sides:
+            own = near.where(F.col(s).isNotNull())
+            if s in counted:
+                own = own.where("_n > 0").withColumn("_n", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_n"))))
+            parts[s] = own.select(f"{s}.*")
         return plan(**parts).withColumn(sinks.COUNT, F.lit(sign).cast("bigint"))
 
     def writer(where: str) -> sinks.Writer:
-        store, facts = sinks.write_batches(f"{where}/sides"), sinks.write_batches(f"{where}/facts")
+        held = PartStore(rows.sparkSession, f"{where}/sides", rows.schema, ["part", "bucket"])
 
         def write(batch: DataFrame, batch_id: int) -> None:
-            store(batch, batch_id)
-            # Later folders are left from a run that is repeated.
-            seen = batch.sparkSession.read.schema(stored).parquet(f"{where}/sides").where(number <= batch_id)
-            new = seen.where(number == batch_id)
-            first, last = new.agg(F.min(at), F.max(at)).first()
-            cut = seen.where(at.between((first or 0) - reach, (last or 0) + reach))
-            slices = new.select(time_slice.alias("_s")).distinct().select(
-                F.explode(F.sequence(F.col("_s") - 1, F.col("_s") + 1)).alias("_slice")).distinct()
-            near = attach_marks(cut.withColumn("_slice", time_slice), slices, ["_slice"])
-            both = result(near, 1).unionByName(result(near.where(number < batch_id), -1))
-            facts(sinks.count_rows(both), batch_id)
+            spark = batch.sparkSession
+            held.clean(batch_id)
+            batch.write.mode("overwrite").parquet(f"{where}/incoming")
+            new = spark.read.schema(rows.schema).parquet(f"{where}/incoming")
+            newest = held.index(batch_id)["notes"].get("newest")
+            horizon = None if keep is None or newest is None else newest - keep
+            if horizon is not None:
+                new.where(at < horizon).write.mode("overwrite").parquet(f"{where}/late/batch_id={batch_id}")
+                new = new.where(at >= horizon)
+            slices = new.select(time_slice.alias("_s"), "bucket").distinct().select(
+                F.explode(F.sequence(F.col("_s") - 1, F.col("_s") + 1)).alias("_slice"), "bucket").distinct()
+            ends = F.array(F.col("_slice") * reach, (F.col("_slice") + 1) * reach - 1)
+            near_parts = slices.select(F.explode(ends).alias("_end"), "bucket").select(
+                F.floor(F.col("_end") / width).cast("int").alias("part"), "bucket")
+            wanted, own = held.part_names(near_parts), held.part_names(new)
+            old = held.read(batch_id, wanted).withColumn("_slice", time_slice)
+            near = attach_marks(old, slices, ["_slice", "bucket"]).select(*rows.columns)
+            now = near.unionByName(new)
+            both = result(summed(now) if counted else now, 1).unionByName(result(near, -1))
+            publish(sinks.count_rows(both), f"{where}/facts", batch_id)
+            last = new.agg(F.max(at)).first()[0]
+            newest = max((n for n in (last, newest) if n is not None), default=None)
+            # A row at the horizon still needs what lies ``reach`` behind it.
+            end = None if keep is None or newest is None else newest - keep - reach
+            kept = held.read(batch_id, own).unionByName(new)
+            held.replace(batch_id, summed(kept) if counted else kept, own, {"newest": newest},
+                         None if end is None else lambda p: (int(p["part"]) + 1) * width <= end, ["_at"])
         return write
     return run_batches(rows, name, writer, root) + "/facts"
 
 
 # --- trade ------------------------------------------------------------------------------------
-
-def _distinct_details(detail: DataFrame, measures: Sequence[str], order: Sequence[str],
-                      size: str, ttl: int) -> DataFrame:
-    typed = detail.withColumns({m: amount(F.col(m)) for m in measures})
-    return state.cancel_out(typed, "id", measures, order, ttl, MILLIS[size])
-
-
-def province_order(detail: DataFrame, province: DataFrame, size: str = REFERENCE_SIZE,
-                   order: Sequence[str] = (), ttl: int = trade.REPEAT_TTL) -> DataFrame:
-    """Orders are told apart by a first aggregate over (window, province, order), so
-    no set of order ids has to fit into one state row."""
-    rows = detail.select("id", "order_id", "province_id", "split_total_amount", "ts", *order, "et")
-    sent = _distinct_details(rows, ["split_total_amount"], order, size, ttl)
-    summed = trade.count_orders(sent.withColumnRenamed("split_total_amount", "paid"), size)
-    return trade.with_province(summed, province)
-
-
-def sku_order(detail: DataFrame, products: DataFrame, size: str = REFERENCE_SIZE,
-              order: Sequence[str] = (), ttl: int = trade.REPEAT_TTL) -> DataFrame:
-    measures = list(trade.SKU_MEASURES.values())
-    rows = detail.select("id", "sku_id", *measures, "ts", *order, "et")
-    sent = _distinct_details(rows, measures, order, size, ttl)
-    summed = tumble(sent, size, ["sku_id"], [total(F.col(src)).alias(out)
-                                             for out, src in trade.SKU_MEASURES.items()])
-    return trade.with_products(summed, products)
+#
+# A micro-batch works the windows its rows fall in out again, from the stored rows, and takes the
+# windows back as they were: repeats and taken-back lines need no state of their own.
+
+def province_order(detail: DataFrame, size: str = REFERENCE_SIZE, order: Sequence[str] = (),
+                   ttl: int = trade.REPEAT_TTL, name: str = "province", **store) -> str:
+    """Windows by province; ``trade.with_province`` names the provinces when they are read."""
+    def plan(detail: DataFrame) -> DataFrame:
+        return trade.province_windows(detail, size, order, ttl)
+    return join_facts({"detail": detail}, plan, MILLIS[size] // 1000 + ttl, name, **store)
+
+
+def sku_order(detail: DataFrame, size: str = REFERENCE_SIZE, order: Sequence[str] = (),
+              ttl: int = trade.REPEAT_TTL, name: str = "sku", **store) -> str:
+    """Windows by product; ``trade.with_products`` adds the attributes when they are read."""
+    def plan(detail: DataFrame) -> DataFrame:
+        return trade.sku_windows(detail, size, order, ttl)
+    return join_facts({"detail": detail}, plan, MILLIS[size] // 1000 + ttl, name, **store)
 
 
 # --- routing ------------------------------------------------------------------------------------
