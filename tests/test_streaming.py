@@ -7,13 +7,12 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from rillmart import schemas
-from rillmart.operators import keyed
 from rillmart.operators.windows import event_time, tumble
-from rillmart.plans import traffic
+from rillmart.plans import trade, traffic
 from rillmart.session import shared_dir
 from rillmart.sources import readers, sinks
 from rillmart.sources.readers import Topic
-from rillmart.streaming import jobs, state
+from rillmart.streaming import jobs
 
 BASE, DAY = 1_704_067_200_000, 86_400_000
 
@@ -40,30 +39,68 @@ def page(mid, ts, uid="", last=None, is_new="0", **more):
             "page": {"page_id": "home", "last_page_id": last, "during_time": "5"}, "ts": ts, **more}
 
 
-def test_daily_state_lasts_between_runs(spark, tmp_path):
+def all_pages(spark, batches):
+    lines = spark.createDataFrame([(json.dumps(r),) for b in batches for r in b], "value string")
+    return lines.select(F.from_json("value", schemas.PAGE_LOG).alias("r")).select("r.*")
+
+
+def test_daily_rows_last_between_runs(spark, tmp_path):
+    """In order, late within a day, days late, without a device, and the same file once more."""
     feed, root = Feed(tmp_path / "in"), shared_dir(spark, "daily")
-    batches = [[page("a", BASE + 5), page("a", BASE + 9), page("b", BASE + 7)],
-               [page("a", BASE + 60_000), page("b", BASE + DAY)],
-               [page("a", BASE + DAY + 5), page("beat", BASE + 400 * DAY)]]
+    batches = [[page("a", BASE + 5), page("a", BASE + 9), page("b", BASE + 7), page(None, BASE + 8)],
+               [page("a", BASE + 60_000), page("b", BASE + DAY), page(None, BASE + 1)],
+               [page("a", BASE + 2), page("b", BASE + 400 * DAY), page("a", BASE - 9 * DAY)],
+               [page("b", BASE + DAY - 1), page("b", BASE + DAY + 1), page("b", BASE + 6)], []]
+    seen = []
+    for batch in batches:
+        feed.send(*batch)
+        seen.append(batch)
+        where = jobs.page_view(readers.read_page_log(spark, feed.topic, delay=None), root=root, buckets=2)
+        sums = ["uv_ct", "sv_ct", "pv_ct", "dur_sum"]
+        got = sinks.read_summed(spark, where, [c for c in schemas.PAGE_VIEW if c not in sums], sums)
+        assert rows(got.select(*schemas.PAGE_VIEW)) == rows(traffic.page_view(all_pages(spark, seen)))
+
+
+def test_a_hot_device(spark, tmp_path):
+    """A third of all rows from one device: it comes to one row a day and batch before any join."""
+    feed, root = Feed(tmp_path / "in"), shared_dir(spark, "hot")
+    batches = [[page("hot" if k % 3 == 0 else f"m{k}", BASE + n * DAY // 2 + k) for k in range(300)] for n in range(3)]
     for batch in batches:
         feed.send(*batch)
-        out = jobs.run_available(jobs.page_view(readers.read_page_log(spark, feed.topic), slices=2),
-                                 "daily", root)
-    everything = spark.createDataFrame([(json.dumps(r),) for b in batches for r in b], "value string")
-    log = everything.select(F.from_json("value", schemas.PAGE_LOG).alias("r")).select("r.*")
-    want = traffic.page_view(log.where("ts < 1800000000000 and common['mid'] <> 'beat'"))
-    assert rows(out.select(*schemas.PAGE_VIEW)) == rows(want)
+        where = jobs.home_detail_uv(readers.read_page_log(spark, feed.topic, delay=None), "1 hour", root=root)
+    fresh = spark.read.parquet(f"{where.removesuffix('/windows')}/keys/fresh")
+    assert fresh.where("mid = 'hot'").count() == 1
+    got = sinks.read_summed(spark, where, schemas.BOUNDS, ["home_uv_ct", "good_detail_uv_ct"])
+    want = traffic.home_detail_uv(all_pages(spark, batches), "1 hour")
+    assert rows(got) == rows(want)
 
 
 def test_returning_users_between_runs(spark, tmp_path):
     feed, root = Feed(tmp_path / "in"), shared_dir(spark, "login")
-    feed.send(page("m", BASE, "u"), page("m", BASE + 3, "w"))
-    jobs.run_available(jobs.user_login(readers.read_page_log(spark, feed.topic)), "login", root)
-    feed.send(page("m", BASE + 7 * DAY, "w"), page("m", BASE + 8 * DAY, "u"),
-              page("m", BASE + 400 * DAY, "beat"))
-    out = jobs.run_available(jobs.user_login(readers.read_page_log(spark, feed.topic)), "login", root)
-    got = [(r.cur_date, r.back_ct, r.uu_ct) for r in out.collect()]
-    assert sorted(got) == [("2024-01-01", 0, 2), ("2024-01-08", 0, 1), ("2024-01-09", 1, 1)]
+
+    def run(*records):
+        feed.send(*records)
+        where = jobs.user_login(readers.read_page_log(spark, feed.topic, delay=None), root=root, buckets=2)
+        out = sinks.read_summed(spark, where, schemas.BOUNDS, ["back_ct", "uu_ct"])
+        return sorted((r.cur_date, r.back_ct, r.uu_ct) for r in out.collect())
+
+    run(page("m", BASE, "u"), page("m", BASE + 3, "w"))
+    got = run(page("m", BASE + 7 * DAY, "w"), page("m", BASE + 8 * DAY, "u"))
+    assert got == [("2024-01-01", 0, 2), ("2024-01-08", 0, 1), ("2024-01-09", 1, 1)]
+    # A day between comes late: the user was not away for eight days.
+    got = run(page("m", BASE + 4 * DAY, "u"))
+    assert got == [("2024-01-01", 0, 2), ("2024-01-05", 0, 1), ("2024-01-08", 0, 1), ("2024-01-09", 0, 1)]
+
+
+def test_cart_users_between_runs(spark, tmp_path):
+    feed, root = Feed(tmp_path / "in"), shared_dir(spark, "carts")
+    for batch in ([("u", 100), ("v", 101)], [("u", 90_000), ("v", 50)], [("w", 101)]):
+        feed.send(*[{"id": "1", "user_id": u, "sku_id": "s", "sku_num": "1", "ts": t} for u, t in batch])
+        cart = readers.read_fact(spark, feed.topic, schemas.CART_ADD)
+        where = jobs.cart_add_uu(cart, root=root)
+    got = sinks.read_summed(spark, where, schemas.BOUNDS, ["cart_add_uu_ct"])
+    batch = readers.read_fact(spark, feed.topic, schemas.CART_ADD, False)
+    assert rows(got) == rows(trade.cart_add_uu(batch))
 
 
 def test_visitor_repair_loses_no_line(spark, tmp_path):
@@ -85,48 +122,29 @@ def test_visitor_repair_loses_no_line(spark, tmp_path):
     assert rows(spark.read.text(f"{where}/dirty").select("value")) == [("[1",), ("not json {",)]
 
 
-def details(*lines):
-    return [{"id": i, "sku_id": "s", "split_total_amount": a, "ts": t} for i, a, t in lines]
+def detail(i, ts, paid, sku="s", order="o"):
+    return {"id": i, "order_id": order, "sku_id": sku, "province_id": "p", "split_total_amount": paid,
+            "split_original_amount": paid, "split_activity_amount": None, "split_coupon_amount": "0", "ts": ts}
 
 
-def test_cancel_out_between_runs(spark, tmp_path):
-    """The replaced row is taken back while its window is open, and not any more once
-    the window is closed."""
-    feed, root = Feed(tmp_path / "in"), shared_dir(spark, "cancel")
-
-    def job():
-        fact = readers.read_fact(spark, feed.topic, ["id", "sku_id", "split_total_amount", "ts"],
-                                 delay="0 seconds")
-        typed = fact.withColumn("paid", F.col("split_total_amount").cast("decimal(20,4)"))
-        sent = state.cancel_out(typed.drop("split_total_amount"), "id", ["paid"], [], 10, 10_000)
-        return tumble(sent, "10 seconds", ["sku_id"], [F.sum("paid").alias("paid")])
-
-    feed.send(*details(("a", "3", 100), ("b", "5", 101), ("c", "7", 104)))
-    jobs.run_available(job(), "cancel", root)
-    # a is replaced in its own, open window; the watermark stands at 104.
-    feed.send(*details(("a", "4", 108), ("x", "1", 115)))
-    jobs.run_available(job(), "cancel", root)
-    # c was sent at 104 + 10 < 115, outside its life time; x is replaced in its window.
-    feed.send(*details(("c", "9", 116), ("x", "2", 117), ("beat", "0", 9_000_000)))
-    out = jobs.run_available(job(), "cancel", root)
-    assert sorted((r.stt[-8:], float(r.paid)) for r in out.collect()) == [
-        ("00:01:40", 4.0 + 5.0 + 7.0), ("00:01:50", 9.0 + 2.0)]
-
-
-def test_cancel_out_equals_batch(spark, tmp_path):
-    feed = Feed(tmp_path / "in")
-    data = details(("a", "1", 100), ("a", "2", 100), ("a", "3", 109), ("a", "4", 120), ("b", "9", 5))
-    feed.send(*data, *details(("beat", "0", 9_000_000)))
-    fact = readers.read_fact(spark, feed.topic, ["id", "sku_id", "split_total_amount", "ts"],
-                             delay="0 seconds")
-    typed = fact.withColumn("paid", F.col("split_total_amount").cast("decimal(20,4)"))
-    sent = jobs.run_available(state.cancel_out(
-        typed.drop("split_total_amount"), "id", ["paid"], ["paid"], 10, 10_000), "cancel-batch")
-    batch = readers.read_fact(spark, feed.topic, ["id", "sku_id", "split_total_amount", "ts"], False)
-    want = keyed.cancel_out(batch.withColumn("paid", F.col("split_total_amount").cast("decimal(20,4)")),
-                            "id", ["paid"], ["paid"], 10)
-    cols = ["id", "ts", "paid"]
-    assert rows(sent.select(*cols)) == rows(want.select(*cols))
+def test_repeats_between_runs(spark, tmp_path):
+    """A line repeated in the same window, over the edge of two, late, and after its time to live."""
+    feed, columns = Feed(tmp_path / "in"), list(detail("a", 1, "1"))
+    roots = shared_dir(spark, "province"), shared_dir(spark, "sku")
+    batches = [[detail("a", 100, "3"), detail("b", 101, "5"), detail("c", 104, "7")],
+               [detail("a", 108, "4"), detail("x", 115, "1", order="o2")],
+               [detail("c", 116, "9"), detail("x", 117, "2", "s2"), detail("a", 104, "8")],
+               [detail("x", 127, "6"), detail("x", 127, "6.5"), detail("d", 9_000_000, "x")], [detail("a", 99, "1")]]
+    for batch in batches:
+        feed.send(*batch)
+        fact = lambda stream: readers.read_fact(spark, feed.topic, columns, stream)
+        order = ["split_total_amount"]
+        where = jobs.province_order(fact(True), order=order, root=roots[0])
+        want = trade.province_windows(fact(False), "10 seconds", order, trade.REPEAT_TTL)
+        assert rows(sinks.read_counted(spark, where).select(*want.columns)) == rows(want)
+        where = jobs.sku_order(fact(True), order=order, root=roots[1])
+        want = trade.sku_windows(fact(False), "10 seconds", order, trade.REPEAT_TTL)
+        assert rows(sinks.read_counted(spark, where).select(*want.columns)) == rows(want)
 
 
 def test_messages_and_targets(spark, tmp_path):
