@@ -7,9 +7,8 @@ cut into ranges of about ``RANGE`` tuples; the queue holds a range's tuples in t
 pushed, in memory or, beyond ``memory`` bytes, in a file, and only the range that is being taken out
 is sorted.  Tuples are taken in batches: as many as are certain to come before anything they induce.
 
-The order of the leftmost S suffixes comes from the same passes: started from them unsorted, the
-passes sort the pieces between them; the pieces' ranks form a text of at most half the length, which
-is sorted by recursion.  The prefixes that neighbouring seeds have in common are compared once; the
+The order of the leftmost S suffixes comes from recursion: the ranks of the pieces of text between
+them form a text of at most half the length, whose suffixes are sorted in the same way.  The prefixes that neighbouring seeds have in common are compared once; the
 passes carry them on: what two suffixes share is one symbol more than their successors share, and
 that is the least value met between those, which is kept for each symbol that may come in front.
 
@@ -248,32 +247,42 @@ def _merged(parts: list[np.ndarray]) -> np.ndarray:
     return front[np.argsort(2 * front[:, SYMBOL] + front[:, GIVEN], kind="stable")]
 
 
+def piece_names(text: Text, seeds: np.ndarray) -> np.ndarray:
+    """The rank of each piece of text from a seed up to the next one, equal pieces with equal ranks.
+
+    Pieces are compared a word of symbols at a time.  Behind its end a piece counts as greater than
+    any symbol: where one piece begins with another, the longer one goes on with an L symbol.
+    """
+    symbols, wide = text.symbols, 8 if text.symbols.dtype == np.uint8 and text.size < 256 else 1
+    length = np.append(np.diff(seeds) + 1, 1)
+    names, k = np.zeros(len(seeds), np.int64), 0
+    while True:
+        left = length - k
+        if wide == 8:
+            words = np.ndarray((len(symbols),), ">u8", buffer=np.append(symbols, np.zeros(8, np.uint8)).data, strides=(1,))
+            word = words[np.minimum(seeds + k, len(symbols) - 1)].astype(np.uint64)
+            beyond = np.clip(8 - left, 0, 8).astype(np.uint64) * np.uint64(8)
+            word |= np.where(beyond >= 64, ~np.uint64(0), (np.uint64(1) << np.minimum(beyond, 63)) - np.uint64(1))
+        else:
+            word = np.where(left > 0, symbols[np.minimum(seeds + k, len(symbols) - 1)].astype(np.int64), text.size)
+        order = np.lexsort((word, names))
+        fresh = (np.diff(names[order]) != 0) | (word[order][1:] != word[order][:-1])
+        names[order] = np.concatenate([[0], np.cumsum(fresh)])
+        k += wide
+        # Pieces that differ from all others, or have ended, need no further word.
+        same = np.bincount(names)[names] > 1
+        if not (same & (length > k)).any():
+            return names
+
+
 def seed_order(text: Text) -> np.ndarray:
     """The leftmost S positions in the order of their suffixes."""
     seeds = text.seeds()
-    by_symbol = seeds[np.argsort(text.symbols[seeds], kind="stable")]
-    falling, _, _ = induce(text, by_symbol, False)
-    rising, _, _ = induce(text, falling[::-1], True)
-    rising = rising[::-1]
-    is_seed = text.store.array(len(text), bool)
-    is_seed[seeds] = True
-    pieces = rising[is_seed[rising]]
-    # Pieces are equal if their symbols are; a piece goes up to the next seed.
-    number = np.searchsorted(seeds, pieces)
-    length = np.append(np.diff(seeds) + 1, 1)[number]
-    fresh = np.ones(len(pieces), bool)
-    pairs, k = np.flatnonzero(length[1:] == length[:-1]) + 1, 0
-    while len(pairs):
-        ended = length[pairs] <= k
-        fresh[pairs[ended]] = False
-        pairs = pairs[~ended]
-        pairs = pairs[text.symbols[pieces[pairs] + k] == text.symbols[pieces[pairs - 1] + k]]
-        k += 1
-    names = np.cumsum(fresh) - 1
-    if names[-1] + 1 == len(pieces):
-        return pieces
-    reduced = text.store.array(len(pieces), np.int64)
-    reduced[number] = names
+    names = piece_names(text, seeds)
+    if names.max() + 1 == len(seeds):
+        return seeds[np.argsort(names)]
+    reduced = text.store.array(len(seeds), np.int64)
+    reduced[:] = names
     return seeds[suffix_order(Text(reduced, text.store))]
 
 

@@ -7,7 +7,7 @@ A window is 200 bytes of one text.  Every window is looked for exactly once:
    each other with one anchor and class are a run, and all of them hold the same stretch of bytes
    around the anchor.  Its hash is the run's key.  Keys that occur once are dropped.
 2. Passages.  The bytes of a run's windows are a passage.  Equal passages meet as partial aggregates and
-   go on as one with a count.  A key with more than ``HOT_BYTES`` of different passages has its runs
+   go on as one with a count; their places find them again by key and a 128-bit digest.  A key with more than ``HOT_BYTES`` of different passages has its runs
    cut again into narrower classes, whose stretches are longer; the narrowest is the window itself.
 3. Sorting.  Passages are dealt to shards by key.  A shard writes them one after another, sorts the
    suffixes by induction (``induced``) with their common prefixes, and marks windows that share all
@@ -20,6 +20,7 @@ A complete window stands in exactly one passage, so no window is found equal to
 from __future__ import annotations
 
 import functools
+import hashlib
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +29,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from rillmart.operators.joins import attach_marks
 
 from . import induced
-from .common import add_columns, free, free_name, stored, texts_of
+from .common import add_columns, discard, free, free_name, stored, texts_of
 
 WINDOW, GRAM = 200, 16
 CLASSES = (93, 24, 6, 1)      # widths of the classes of offsets, for ever hotter keys
@@ -38,7 +39,7 @@ STRETCH = 1 << 18             # bytes hashed together
 _UP = 0x9E3779B97F4A7C15
 _DOWN = pow(_UP, -1, 1 << 64)
 _PLACE = np.uint64((1 << 24) - 1)
-PASSAGE = "key long, passage binary, offset int, row long, starts array<long>"
+PASSAGE = "key long, digest binary, passage binary, offset int, row long, starts array<long>"
 
 
 def _powers(base: int, n: int) -> np.ndarray:
@@ -116,11 +117,12 @@ def _occurrences(batches):
 
 
 def _rows(found: dict, row: int, out: list) -> None:
-    out += [(key, passage, offset, row, starts) for (key, passage), (offset, starts) in found.items()]
+    out += [(key, hashlib.blake2b(passage, digest_size=16).digest(), passage, offset, row, starts)
+            for (key, passage), (offset, starts) in found.items()]
 
 
 def _table(out: list) -> pa.RecordBatch:
-    types = [pa.int64(), pa.binary(), pa.int32(), pa.int64(), pa.list_(pa.int64())]
+    types = [pa.int64(), pa.binary(), pa.binary(), pa.int32(), pa.int64(), pa.list_(pa.int64())]
     return pa.RecordBatch.from_arrays([pa.array([o[k] for o in out], t) for k, t in enumerate(types)],
                                       [c.split()[0] for c in PASSAGE.split(", ")])
 
@@ -146,7 +148,7 @@ def _cut(width: int):
 
         for batch in batches:
             out = []
-            for _, passage, offset, row, starts in zip(*(c.to_pylist() for c in batch.columns)):
+            for _, _, passage, offset, row, starts in zip(*(c.to_pylist() for c in batch.columns)):
                 windows = np.arange(len(passage) - WINDOW + 1)
                 offsets = offset - windows
                 first = np.flatnonzero(np.concatenate([[True], np.diff(offsets // width) != 0])).tolist()
@@ -166,36 +168,38 @@ def _sort(batches):
     """Marked windows (first, end) of each passage; a shard's passages follow each other."""
     held, waiting = None, []
     for batch in batches:
-        for shard, key, passage, copies in zip(*(batch.column(c).to_pylist() for c in ("shard", "key", "passage", "copies"))):
+        names = ("shard", "key", "digest", "passage", "copies")
+        for shard, *passage in zip(*(batch.column(c).to_pylist() for c in names)):
             if shard != held and waiting:
                 yield _marked(waiting)
                 waiting = []
             held = shard
-            waiting.append((key, passage, copies))
+            waiting.append(passage)
     if waiting:
         yield _marked(waiting)
 
 
-def _marked(passages: list[tuple[int, bytes, int]]) -> pa.RecordBatch:
+def _marked(passages: list[tuple[int, bytes, bytes, int]]) -> pa.RecordBatch:
     # 0 ends the text, 1 parts passages, a byte is its value and two.
-    ends = np.cumsum([len(p) + 1 for _, p, _ in passages])
-    raw = np.frombuffer(b"\0".join(p for _, p, _ in passages) + b"\0\0", np.uint8)
-    symbols = raw.astype(np.uint8 if raw.max() < 254 else np.uint16) + 2
+    ends = np.cumsum([len(p) + 1 for _, _, p, _ in passages])
+    raw = np.frombuffer(b"\0".join(p for _, _, p, _ in passages) + b"\0\0", np.uint8)
+    dtype = np.uint8 if raw.max() < 254 else np.uint16
+    symbols = raw.astype(dtype) + dtype(2)
     symbols[ends - 1], symbols[-1] = 1, 0
-    found = induced.recurring(symbols.astype(np.uint8 if raw.max() < 254 else np.uint16), WINDOW)
-    keys, texts, spans = [], [], []
-    for (key, passage, copies), end in zip(passages, ends):
+    found = induced.recurring(symbols, WINDOW)
+    keys, digests, spans = [], [], []
+    for (key, digest, passage, copies), end in zip(passages, ends):
         at = int(end) - 1 - len(passage)
         n = len(passage) - WINDOW + 1
         hits = found[at:at + n] | (copies > 1)
         edges = np.flatnonzero(np.diff(np.concatenate([[False], hits, [False]])))
         if len(edges):
             keys.append(key)
-            texts.append(passage)
+            digests.append(digest)
             spans.append([{"first": int(a), "end": int(b)} for a, b in zip(edges[::2], edges[1::2])])
     return pa.RecordBatch.from_arrays(
-        [pa.array(keys, pa.int64()), pa.array(texts, pa.binary()),
-         pa.array(spans, pa.list_(pa.struct([("first", pa.int32()), ("end", pa.int32())])))], ["key", "passage", "spans"])
+        [pa.array(keys, pa.int64()), pa.array(digests, pa.binary()),
+         pa.array(spans, pa.list_(pa.struct([("first", pa.int32()), ("end", pa.int32())])))], ["key", "digest", "spans"])
 
 
 def _remove(columns):
@@ -230,36 +234,41 @@ def remove_repeats(docs: DataFrame, text_col: str = "text") -> DataFrame:
     seen = stored(texts.mapInArrow(_occurrences, "key long, row long, n long"), "keys")
     shared = seen.groupBy("key").agg(F.sum("n").alias("n")).where("n > 1").select("key")
     listed = attach_marks(seen.select("key", "row"), shared, ["key"]).groupBy("row").agg(F.collect_list("key").alias("keys"))
+    columns = [c.split()[0] for c in PASSAGE.split(", ")]
     passages = stored(texts.join(listed, "row").select("row", "text", "keys").mapInArrow(_passages, PASSAGE), "passages")
+    discard(seen)
     del seen, shared, listed
     marks = []
     for width in (*CLASSES[1:], None):
-        free(spark)
         # Equal passages under a key have equal offsets.
-        held = stored(passages.groupBy("key", "passage").agg(F.sum(F.size("starts")).alias("copies")), "distinct")
+        held = stored(passages.groupBy("key", "digest", "passage").agg(F.sum(F.size("starts")).alias("copies")), "distinct")
         sizes = held.groupBy("key").agg(F.sum(F.octet_length("passage")).alias("bytes"), F.sum("copies").alias("all"),
                                         F.count("*").alias("kinds")).where("all > 1")
         hot = F.col("bytes") > HOT_BYTES if width else F.lit(False)
         keys = stored(sizes.withColumn("hot", hot & (F.col("kinds") > 1)), "sizes")
         dealt = attach_marks(held, keys.where("NOT hot").select("key", "kinds"), ["key"])
         # A passage that is alone under its key shares its windows with its copies only.
-        alone = dealt.where("kinds = 1").select("key", "passage", F.array(F.struct(
+        alone = dealt.where("kinds = 1").select("key", "digest", F.array(F.struct(
             F.lit(0).alias("first"), (F.octet_length("passage") - WINDOW + 1).alias("end"))).alias("spans"))
         total = keys.where("NOT hot AND kinds > 1").agg(F.sum("bytes")).first()[0] or 0
-        shard = F.pmod(F.xxhash64("key"), F.lit(total // SHARD_BYTES + 1)).cast("int")
-        sorted_spans = dealt.where("kinds > 1").withColumn("shard", shard).repartition("shard") \
-            .sortWithinPartitions("shard").mapInArrow(_sort, "key long, passage binary, spans array<struct<first:int,end:int>>")
-        spans = stored(alone.unionAll(sorted_spans).withColumn("spans", F.explode("spans")), "spans")
-        met = passages.join(spans, ["key", "passage"])
+        shards = total // SHARD_BYTES + 1
+        shard = F.pmod(F.xxhash64("key"), F.lit(shards)).cast("int")
+        # As many tasks as shards: sorting takes far longer than what a shard's size suggests.
+        marked = dealt.where("kinds > 1").withColumn("shard", shard).repartition(shards, "shard") \
+            .sortWithinPartitions("shard").mapInArrow(_sort, "key long, digest binary, spans array<struct<first:int,end:int>>")
+        spans = stored(alone.unionAll(marked).withColumn("spans", F.explode("spans")), "spans")
+        del dealt, alone, marked
+        discard(held)
+        met = attach_marks(passages.select("key", "digest", "row", "starts"), spans, ["key", "digest"])
         marks.append(met.select("row", F.explode("starts").alias("at"), "spans.first", "spans.end").select(
             "row", (F.col("at") + F.col("first")).alias("start"), (F.col("at") + F.col("end") + WINDOW - 1).alias("stop")))
         if width is None or keys.where("hot").isEmpty():
             break
         again = attach_marks(passages, keys.where("hot").select("key"), ["key"])
-        passages = stored(again.select(*[c.split()[0] for c in PASSAGE.split(", ")]).mapInArrow(_cut(width), PASSAGE),
-                          "passages")
-    cuts = functools.reduce(DataFrame.unionAll, marks).groupBy("row").agg(
-        F.collect_list(F.struct("start", "stop")).alias("cuts"))
+        passages = stored(again.select(*columns).mapInArrow(_cut(width), PASSAGE), "passages")
+    cuts = stored(functools.reduce(DataFrame.unionAll, marks).groupBy("row").agg(
+        F.collect_list(F.struct("start", "stop")).alias("cuts")), "cuts")
+    free(spark)
     both = table.join(cuts, "row", "left").select(*inner.columns, "cuts").toDF(*own, free_name(own, "cuts"))
     out = add_columns(both, {"n_bytes": T.LongType(), "n_removed": T.LongType(), "n_spans": T.LongType(),
                              "kept_bytes": T.BinaryType()}, _remove, text_col, both.columns[-1])
