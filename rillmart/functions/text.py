@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Iterable, Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -23,20 +25,106 @@ def words(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0))
 
 
-def dictionary_words(text: Column, dictionary: list[str]) -> Column:
-    """Like ``words``, but a run of Chinese characters is cut into the longest
-    listed words, left to right; a character no word starts with stands alone.
+MAX_LIST_BYTES = 64 << 20
 
-    ``dictionary`` is a word list the caller ships with the job; it travels in
-    the task closure, so keep it to some hundred thousand words.
+
+class WordTrie:
+    """A word list as a trie in sorted arrays, walked from all places of a text at once.
+
+    An edge's key is state * symbols + symbol, where symbols are numbered by their order; looking
+    up the edges of all places that are still on a path is one binary search.
+    """
+
+    def __init__(self, words: Iterable[str]):
+        listed = sorted({w for w in words if w})
+        self.symbols = np.unique(_codes("".join(listed)))
+        states, edges, self.longest = {"": 0}, {}, max(map(len, listed), default=0)
+        for word in listed:
+            for end in range(1, len(word) + 1):
+                if word[:end] not in states:
+                    states[word[:end]] = len(states)
+                    edges[states[word[:end - 1]], word[end - 1]] = states[word[:end]]
+        known = dict(zip(map(chr, self.symbols.tolist()), range(len(self.symbols))))
+        found = sorted((s * len(known) + known[c], into) for (s, c), into in edges.items())
+        self.keys = np.array([k for k, _ in found], np.int64)
+        self.into = np.array([i for _, i in found], np.int64)
+        self.is_word = np.zeros(len(states), bool)
+        self.is_word[[states[w] for w in listed]] = True
+
+    def longest_at(self, codes: np.ndarray) -> np.ndarray:
+        """The length of the longest word that starts at each place, 0 if none does."""
+        out = np.zeros(len(codes), np.int64)
+        if not len(self.keys) or not len(codes):
+            return out
+        number = np.minimum(np.searchsorted(self.symbols, codes), len(self.symbols) - 1)
+        number = np.where(self.symbols[number] == codes, number, -1)
+        places, state = np.arange(len(codes)), np.zeros(len(codes), np.int64)
+        for length in range(1, self.longest + 1):
+            inside = places + length <= len(codes)
+            places, state = places[inside], state[inside]
+            symbol = number[places + length - 1]
+            key = state * len(self.symbols) + symbol
+            edge = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+            on = (symbol >= 0) & (self.keys[edge] == key)
+            places, state = places[on], self.into[edge[on]]
+            if not len(places):
+                break
+            ended = self.is_word[state]
+            out[places[ended]] = length
+        return out
+
+    def cut(self, text: str) -> Iterator[tuple[int, int]]:
+        """(start, end) of the longest listed words, left to right, none overlapping."""
+        length, end = self.longest_at(_codes(text)), 0
+        for at in np.flatnonzero(length).tolist():
+            if at >= end:
+                end = at + int(length[at])
+                yield at, end
+
+
+def _codes(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+
+
+def word_list(words: DataFrame, limit: int = MAX_LIST_BYTES) -> list[str]:
+    """The distinct words of a one-column table, which must not be larger than ``limit`` bytes."""
+    column = F.lower(F.col(words.columns[0])).alias("word")
+    distinct = words.select(column).where("word <> ''").distinct()
+    size = distinct.agg(F.sum(F.octet_length("word"))).first()[0] or 0
+    if size > limit:
+        raise ValueError(f"the word list has {size} bytes, more than {limit}")
+    return sorted(r.word for r in distinct.collect())
+
+
+def dictionary_words(text: Column, dictionary: Sequence[str], everywhere: bool = False) -> Column:
+    """Like ``words``, but a run of Chinese characters is cut into the longest listed words, left to
+    right; a character no word starts with stands alone.
+
+    ``everywhere`` cuts runs of other letters too; what lies between their listed words stands
+    as it is.  The list goes to the executors once, as a broadcast trie, so it is bounded by
+    ``MAX_LIST_BYTES``.  The texts of an Arrow batch are walked through together.
     """
-    known = frozenset(dictionary)
-    longest = max(map(len, known), default=1)
+    size = sum(len(w.encode()) for w in dictionary)
+    if size > MAX_LIST_BYTES:
+        raise ValueError(f"the word list has {size} bytes, more than {MAX_LIST_BYTES}")
+    context = SparkSession.getActiveSession().sparkContext
+    trie = context.broadcast(WordTrie(w.lower() for w in dictionary))
 
     @F.pandas_udf("array<string>")
     def cut(batch: pd.Series) -> pd.Series:
-        return batch.map(lambda runs: None if runs is None else
-                         [w for run in runs for w in _longest_match(run, known, longest)])
+        # Runs hold letters and digits only, so a line end parts them.
+        runs = [run for listed in batch if listed is not None for run in listed]
+        spans, out, start = list(trie.value.cut("\n".join(runs))), [], 0
+        at = 0
+        for run in runs:
+            end, found = start + len(run), []
+            while at < len(spans) and spans[at][0] < end:
+                found.append((spans[at][0] - start, spans[at][1] - start))
+                at += 1
+            out.append(_pieces(run, found, everywhere))
+            start = end + 1
+        pieces = iter(out)
+        return batch.map(lambda listed: None if listed is None else [w for _ in listed for w in next(pieces)])
 
     return cut(F.regexp_extract_all(F.lower(text), F.lit(RUN), F.lit(0)))
 
@@ -47,22 +135,24 @@ def _is_han(c: str) -> bool:
                                                "KANGXI RADICAL")) or c in "\u3005\u3007"
 
 
-def _longest_match(run: str, known: frozenset, longest: int) -> list[str]:
-    if not _is_han(run[0]):
+def _pieces(run: str, found: list[tuple[int, int]], everywhere: bool) -> list[str]:
+    """A run as its listed words and what lies between them."""
+    han = _is_han(run[0])
+    if not han and not everywhere:
         return [run]
-    out, start = [], 0
-    while start < len(run):
-        end = next((e for e in range(min(start + longest, len(run)), start + 1, -1)
-                    if run[start:e] in known), start + 1)
-        out.append(run[start:end])
-        start = end
+    out, last = [], 0
+    for start, end in [*found, (len(run), len(run))]:
+        between = run[last:start]
+        out += between if han else [between] if between else []
+        out += [run[start:end]] if end > start else []
+        last = end
     return out
 
 
 def explode_words(df: DataFrame, text: str, word: str = "keyword",
-                  dictionary: list[str] | None = None) -> DataFrame:
+                  dictionary: Sequence[str] | None = None, everywhere: bool = False) -> DataFrame:
     """One row per word: the lateral join with the segmenter."""
-    tokens = dictionary_words(F.col(text), dictionary) if dictionary else words(F.col(text))
+    tokens = dictionary_words(F.col(text), dictionary, everywhere) if dictionary else words(F.col(text))
     return df.select(*[c for c in df.columns if c != text], F.explode(tokens).alias(word))
 
 

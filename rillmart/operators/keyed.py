@@ -50,8 +50,8 @@ def login_days(df: DataFrame, user: str = "uid", ts: str = "ts") -> DataFrame:
 
 
 def first_days(df: DataFrame, device: Column, is_new: Column, ts: Column) -> DataFrame:
-    """(_mid, _first_day) of each device.  A device whose first row is not flagged new was known
-    before, so its first day counts as the day before that row.
+    """(_mid, _first_day, _from) of each device, ``_from`` being its first row's time.  A device whose
+    first row is not flagged new was known before, so its first day counts as the day before that row.
 
     Rows with the same ts and device are ordered with the flag '1' last.
     """
@@ -62,7 +62,7 @@ def first_days(df: DataFrame, device: Column, is_new: Column, ts: Column) -> Dat
               .groupBy("_mid").agg(F.min(F.struct("_ts", "_new")).alias("_f"))
               .select("_mid", millis_to_date(
                   F.when(F.col("_f._new"), F.col("_f._ts"))
-                  .otherwise(F.col("_f._ts") - DAY_MS)).alias("_first_day")))
+                  .otherwise(F.col("_f._ts") - DAY_MS)).alias("_first_day"), F.col("_f._ts").alias("_from")))
 
 
 def device_rows(lines: DataFrame, value: str = "value") -> DataFrame:
@@ -80,12 +80,23 @@ def repair_new_visitors(df: DataFrame, device: Column, is_new: Column, ts: Colum
     keep their flag."""
     flagged = F.coalesce(is_new, F.lit("")) == "1"
     firsts = first_days(df, device, is_new, ts) if firsts is None else firsts
-    joined = attach_marks(df.withColumn("_mid", device), firsts, ["_mid"], "left")
+    joined = attach_marks(df.withColumn("_mid", device), firsts.select("_mid", "_first_day"), ["_mid"], "left")
     stale = flagged & (F.col("_first_day") != millis_to_date(ts))
     return joined.withColumn("is_new_fixed", F.when(stale, "0").otherwise(is_new)) \
         .drop("_mid", "_first_day")
 
 
+def repair_by_terms(df: DataFrame, device: Column, is_new: Column, ts: Column, terms: DataFrame) -> DataFrame:
+    """``repair_new_visitors`` with first days that hold for a time: ``terms`` are (_mid, _first_day,
+    _from, _until), and each row of a device lies in just one of the device's."""
+    flagged = F.coalesce(is_new, F.lit("")) == "1"
+    inside = (F.col("_mid") == F.col("_of")) & ts.between(F.col("_from"), F.col("_until"))
+    joined = df.withColumn("_mid", device).join(terms.withColumnRenamed("_mid", "_of"), inside, "left")
+    stale = flagged & (F.col("_first_day") != millis_to_date(ts))
+    return joined.withColumn("is_new_fixed", F.when(stale, "0").otherwise(is_new)) \
+        .drop("_mid", "_of", "_first_day", "_from", "_until")
+
+
 def flag_first_of_day(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                       flag: str = "uv_ct", ts: str = "ts") -> DataFrame:
     """Keep every row; ``flag`` is 1 on the first row of its key and day (``ts`` in

@@ -75,6 +75,15 @@ def keyword(size: int, closed: str = "") -> str:
     FROM w {closed} GROUP BY stt, edt, cur_date, keyword"""
 
 
+DICTIONARY_WORDS = """
+WITH tok AS (SELECT unnest(string_split(lower(p_name || ' ' || p_type), ' ')) AS w FROM part),
+list AS (SELECT DISTINCT w FROM (SELECT w FROM tok UNION ALL SELECT w[1:3] FROM tok UNION ALL SELECT w[2:4] FROM tok)
+  WHERE len(w) > 1),
+pat AS (SELECT string_agg(w, '|' ORDER BY len(w) DESC, w) AS p FROM list),
+hits AS (SELECT lang, unnest(regexp_extract_all(lower(text), (SELECT p FROM pat))) AS word FROM documents)
+SELECT lang, word, count(*) AS n FROM hits GROUP BY lang, word"""
+
+
 # The client log after its dirty lines are gone, with the repaired visitor flag.
 LOG = f"""raw AS (SELECT * FROM v WHERE event_id % 97 <> 0),
 first AS (SELECT mid, CASE WHEN is_new = '1' THEN day
@@ -91,6 +100,18 @@ def log(select: str) -> str:
     return _with(VISITS, LOG) + select
 
 
+# First days that are forgotten a day after the row that set them: the next row starts a new term.
+def log_with_ttl(select: str, ttl: int = DAY) -> str:
+    return "WITH RECURSIVE" + _with(VISITS, f"""raw AS (SELECT * FROM v WHERE event_id % 97 <> 0),
+terms AS (SELECT mid, min(ms) AS start FROM raw GROUP BY mid
+  UNION ALL SELECT t.mid, min(r.ms) FROM terms t JOIN raw r ON r.mid = t.mid AND r.ms > t.start + {ttl} GROUP BY t.mid, t.start),
+first AS (SELECT mid, start, CASE WHEN min(is_new) = '1' THEN strftime(epoch_ms(start), {D})
+    ELSE strftime(epoch_ms(start - {DAY}), {D}) END AS first_day FROM terms JOIN raw USING (mid) WHERE ms = start GROUP BY mid, start),
+log AS (SELECT raw.*, CASE WHEN is_new = '1' AND first_day <> day THEN '0' ELSE is_new END AS fixed,
+    kind = 'purchase' AND k % 7 = 0 AS has_start, kind = 'error' AND k % 3 = 0 AS has_err
+  FROM raw JOIN first ON raw.mid = first.mid AND ms BETWEEN start AND start + {ttl})""").removeprefix("WITH") + select
+
+
 # --- change log --------------------------------------------------------------------------
 
 ORDERS = """o AS (SELECT *, CAST(epoch(o_orderdate) AS BIGINT) + o_orderkey % 86400 AS t FROM orders

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from rillmart import fixtures as fx, oracle as sql, schemas
 from rillmart.functions import timefmt
 from rillmart.functions.fields import amount, json_record
-from rillmart.functions.text import register_words
+from rillmart.functions.text import explode_words, register_words, word_list
 from rillmart.operators import changelog, dims, joins, keyed, routing
 from rillmart.operators.logsplit import split_log_json
 from rillmart.operators.windows import event_time
@@ -19,6 +19,8 @@ from rillmart.session import shared_dir, tune
 from rillmart.sources import readers, sinks
 from rillmart.sources.readers import Topic
 from rillmart.streaming import jobs
+from rillmart.streaming.lookups import DimVersions, RuleBook
+from rillmart.streaming.results import ResultTable
 
 SECOND, HOUR, DAY = 1_000, 3_600_000, 86_400_000
 Query = Callable[[SparkSession, str], DataFrame]
@@ -95,6 +97,20 @@ def keyword_pv_sql(spark, sf):
               GROUP BY window(et, '10 seconds'), t.word)""")
 
 
+@query("dictionary_words", sql.DICTIONARY_WORDS)
+def dictionary_words(spark, sf):
+    """How often the words of product names, and stretches of them, are cut out of each language's texts."""
+    part = fx.table(spark, sf, "part")
+    token = F.explode(F.split(F.lower(F.concat_ws(" ", "p_name", "p_type")), " ")).alias("w")
+    w = F.col("w")
+    drawn = part.select(token).distinct().select(F.explode(F.array(w, F.substring(w, 1, 3), F.substring(w, 2, 3))).alias("w"))
+    listed = word_list(drawn.where(F.char_length("w") > 1))
+    docs = fx.table(spark, sf, "documents").select("lang", "text")
+    cut = explode_words(docs, "text", "word", listed, everywhere=True)
+    known = spark.createDataFrame([(x,) for x in listed], "word string")
+    return cut.groupBy("lang", "word").agg(F.count("*").alias("n")).join(known, "word", "left_semi").select("lang", "word", "n")
+
+
 @query("daily_unique_flag", sql._with(sql.VISITS) + """SELECT event_id, mid, ms AS ts,
     CAST(row_number() OVER (PARTITION BY mid, day ORDER BY ms, event_id) = 1 AS INT) AS uv_ct FROM v""")
 def daily_unique_flag(spark, sf):
@@ -169,13 +185,14 @@ def log_split_page(spark, sf):
         F.col("actions").isNotNull().alias("empty_actions"), "ts")
 
 
-SENT_LOG = sql.log("""
+SENT = """
     SELECT 'err' AS topic, mid, fixed AS is_new, page_id, CAST(k AS VARCHAR) AS detail, ms AS ts FROM log WHERE has_err
     UNION ALL SELECT 'start', mid, fixed, page_id, 'icon', ms FROM log WHERE has_start
     UNION ALL SELECT 'page', mid, fixed, page_id, CAST(dur AS VARCHAR), ms FROM log WHERE NOT has_start
     UNION ALL SELECT 'display', mid, fixed, page_id, k || ':' || pos, ms
       FROM log, (VALUES (1), (2)) p(pos) WHERE NOT has_start AND pos <= k % 3
-    UNION ALL SELECT 'action', mid, fixed, page_id, 'favor_add', ms FROM log WHERE NOT has_start AND k % 2 = 1""")
+    UNION ALL SELECT 'action', mid, fixed, page_id, 'favor_add', ms FROM log WHERE NOT has_start AND k % 2 = 1"""
+SENT_LOG = sql.log(SENT)
 
 
 def sent_log(lines):
@@ -516,6 +533,17 @@ def page_view_stream(spark, sf, deal=None):
     return summed(spark, where, schemas.PAGE_VIEW, ["uv_ct", "sv_ct", "pv_ct", "dur_sum"])
 
 
+@query("stream_page_view_results", sql.page_view(10 * SECOND))
+def stream_page_view_results(spark, sf):
+    """Windows kept in a result table, all sent a second time under other batch numbers."""
+    changes, root = jobs.page_view(page_stream(spark, sf)), shared_dir(spark, "results")
+    sums = ["uv_ct", "sv_ct", "pv_ct", "dur_sum"]
+    table = ResultTable(spark, f"{root}/table", spark.read.parquet(changes).select(*schemas.PAGE_VIEW), sums)
+    table.load(changes, f"{root}/first", maxFilesPerTrigger="2")
+    table.load(changes, f"{root}/again", maxFilesPerTrigger="3")
+    return table.rows()
+
+
 def home_detail_stream(spark, sf, deal=None):
     where = jobs.home_detail_uv(page_stream(spark, sf, deal), "1 hour")
     return summed(spark, where, schemas.HOME_DETAIL_UV, ["home_uv_ct", "good_detail_uv_ct"])
@@ -553,6 +581,13 @@ def stream_log_split(spark, sf):
     return split_lines(spark, jobs.split_log(lines))
 
 
+@query("stream_log_split_ttl", sql.log_with_ttl(SENT))
+def stream_log_split_ttl(spark, sf):
+    """First days are forgotten after a day, in the middle of a micro-batch or between two."""
+    lines = readers.read_lines(spark, topic(spark, "log", fx.raw_log(fx.table(spark, sf, "events"))))
+    return split_lines(spark, jobs.split_log(lines, ttl=DAY))
+
+
 @query("stream_log_split_late", SENT_LOG)
 def stream_log_split_late(spark, sf):
     """Four files: every device's first record, then the other rows in no order of time."""
@@ -602,7 +637,7 @@ def out_of_order(spark, name, lines):
 WIDTH = 90 * 86_400
 
 
-def joined_folder(spark, sf, fact, tables, plan, deal, with_detail=False):
+def joined_folder(spark, sf, fact, tables, plan, deal, with_detail=False, dims=None):
     """A fact joined from the change log of some tables, and from order details as a topic."""
     log = fx.change_log(spark, sf, *tables)
     lines = deal(spark, "db", log.select(json_record(*log.columns).alias("value")))
@@ -611,11 +646,18 @@ def joined_folder(spark, sf, fact, tables, plan, deal, with_detail=False):
         rows = facts.published(detail_fact(spark, sf))
         details = deal(spark, "order-detail", rows.select(json_record(*rows.columns).alias("value")))
         sides["detail"] = readers.read_fact(spark, details, schemas.ORDER_DETAIL)
-    return jobs.join_facts(sides, lambda **s: facts.published(plan(**s)), facts.REACH[fact], fact, width=WIDTH)
+    return jobs.join_facts(sides, lambda **s: facts.published(plan(**s)), facts.REACH[fact], fact, width=WIDTH, dims=dims)
+
 
+def published_dictionary(spark, without=()):
+    """The dictionary as a dimension that streams look up."""
+    dic = DimVersions(spark, shared_dir(spark, "dic"), "dic_code string, dic_name string")
+    dic.publish(fx.dictionary(spark).where(~F.col("dic_code").isin(*without)))
+    return dic
 
-def joined_stream(spark, *args):
-    return sinks.read_counted(spark, joined_folder(spark, *args))
+
+def joined_stream(spark, *args, **more):
+    return sinks.read_counted(spark, joined_folder(spark, *args, **more))
 
 
 def order_detail_stream(spark, sf, deal=topic):
@@ -628,18 +670,18 @@ def order_cancel_stream(spark, sf, deal=topic):
 
 
 def pay_success_stream(spark, sf, deal=topic):
-    plan = functools.partial(facts.pay_success, dic=fx.dictionary(spark))
-    return joined_stream(spark, sf, "pay_success", ["payment_info"], plan, deal, True)
+    return joined_stream(spark, sf, "pay_success", ["payment_info"], facts.pay_success, deal, True,
+                         dims={"dic": published_dictionary(spark)})
 
 
 def refund_stream(spark, sf, deal=topic):
-    plan = functools.partial(facts.refund, dic=fx.dictionary(spark))
-    return joined_stream(spark, sf, "refund", ["order_info", "order_refund_info"], plan, deal)
+    return joined_stream(spark, sf, "refund", ["order_info", "order_refund_info"], facts.refund, deal,
+                         dims={"dic": published_dictionary(spark)})
 
 
 def refund_pay_stream(spark, sf, deal=topic):
-    plan = functools.partial(facts.refund_pay, dic=fx.dictionary(spark))
-    return joined_stream(spark, sf, "refund_pay", ["order_info", "order_refund_info", "refund_payment"], plan, deal)
+    return joined_stream(spark, sf, "refund_pay", ["order_info", "order_refund_info", "refund_payment"],
+                         facts.refund_pay, deal, dims={"dic": published_dictionary(spark)})
 
 
 for _name, _stream, _twin in (
@@ -658,6 +700,20 @@ def stream_comment(spark, sf):
     return jobs.run_available(rows, "comment")
 
 
+@query("stream_comment_live", sql.COMMENT + " WHERE dic_code <> '1203' OR o_orderkey % 3 = 0")
+def stream_comment_live(spark, sf):
+    """A code that is published between two rounds joins in the second one only."""
+    dic, root, where = published_dictionary(spark, ["1203"]), shared_dir(spark, "comment"), shared_dir(spark, "topic-db")
+    log = fx.change_log(spark, sf, "comment_info")
+    second = F.col("data")["id"].cast("bigint") % 3 == 0
+    for part in (log.where(~second), log.where(second)):
+        part.select(json_record(*log.columns).alias("value")).write.mode("append").text(where)
+        stream = readers.read_changelog(spark, Topic(where), delay=None)
+        out = jobs.with_dims(stream, facts.comment, {"dic": dic}, "comment", root)
+        dic.publish(fx.dictionary(spark))
+    return out
+
+
 for _name, _stream, _twin in (
         ("stream_page_view", page_view_stream, sql.page_view(10 * SECOND)),
         ("stream_home_detail_uv", home_detail_stream, sql.home_detail(HOUR)),
@@ -721,19 +777,41 @@ def stream_dim_sync(spark, sf):
                           ["id", "name", "segment", "balance"])
 
 
+@query("stream_dim_reset", sql.DIM_RESET)
+def stream_dim_reset(spark, sf):
+    """The dimension's rule is changed while the stream runs: its event comes in the third micro-batch."""
+    rows = numbered(fx.change_log(spark, sf, "customer_info"))
+    lines = out_of_order(spark, "db", rows.select(json_record(*rows.columns).alias("value")))
+    rule = fx.dim_rules(spark).where("source_table = 'customer_info'")
+    body, none = F.struct(*rule.columns), F.lit(None)
+
+    def event(op, ms):
+        old, new = (none, body) if op == "r" else (body, body)
+        return rule.select(F.lit(op).alias("op"), old.alias("before"), new.alias("after"), F.lit(ms).alias("ts_ms"),
+                           F.lit(ms).alias("offset")).select(json_record("op", "before", "after", "ts_ms", "offset").alias("value"))
+    config = shared_dir(spark, "topic-config")
+    for op, ms in (("r", 0), ("r", 1), ("u", 1_780_000_000_000)):
+        event(op, ms).coalesce(1).write.mode("append").text(config)
+    events = readers.read_config_changes(spark, Topic(config, options={"maxFilesPerTrigger": "1"}), schemas.DIM_RULE, True)
+    where = jobs.sync_dims(readers.read_changelog(spark, lines, delay=None), lambda: fx.dim_rules(spark), fx.DATABASE, config=events)
+    return dims.dim_table(sinks.read_dims(spark, where, name="dim_customer"), "dim_customer",
+                          ["name", "segment", "balance"])
+
+
 @query("stream_route_fact", sql.ROUTE_FACT)
 def stream_route_fact(spark, sf):
-    """Routing by rules that are read again for every micro-batch."""
+    """Routing by rules that are looked at in every micro-batch; each rule event is read once."""
+    return routed_facts(spark, sf)[0]
+
+
+def routed_facts(spark, sf):
     rows = fx.change_log(spark, sf, "order_info", "payment_info", "comment_info")
     lines = topic(spark, "db", rows.select(json_record(*rows.columns).alias("value")))
     config = fx.rule_log(spark, sf).withColumnRenamed("event_id", "offset")
     rule_lines = topic(spark, "rules", config.select(json_record(*config.columns).alias("value")))
-
-    def rules():
-        events = readers.read_config_changes(spark, rule_lines)
-        return routing.latest_rules(events, ["source_table", "source_type"], ["ts_ms", "offset"])
-
-    where = jobs.sync_facts(readers.read_changelog(spark, lines), rules)
+    book = RuleBook(spark, lambda: readers.read_config_changes(spark, rule_lines, stream=True), shared_dir(spark, "rules"),
+                    ["source_table", "source_type"], ["ts_ms", "offset"])
+    where = jobs.sync_facts(readers.read_changelog(spark, lines, delay=None), book.current)
     routed = spark.read.schema("sink_table string, data map<string,string>, ts bigint").parquet(where)
     return routed.select("sink_table", "ts", *[F.col("data")[c].alias(c) for c in (
-        "id", "user_id", "order_id", "order_status", "appraise")])
+        "id", "user_id", "order_id", "order_status", "appraise")]), book

@@ -6,6 +6,7 @@ that folder, so a batch that is run again after a failure leaves one copy.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -13,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from rillmart.functions.fields import json_record
 from rillmart.operators.dims import merge_cells, rows_of, to_cells
 from rillmart.operators.keyed import latest_per_key
+from rillmart.sources import files
 from rillmart.sources.readers import COUNT
 
 Writer = Callable[[DataFrame, int], None]
@@ -108,30 +110,41 @@ def read_counted(spark: SparkSession, where: str) -> DataFrame:
     return rows.withColumn(COUNT, F.explode(F.sequence(F.lit(1), F.col(COUNT)))).drop(COUNT)
 
 
-def read_summed(spark: SparkSession, where: str, keys: Sequence[str], sums: Sequence[str]) -> DataFrame:
-    """Current rows of a summary whose batches add to sums, or take from them.  A row all of whose
-    sums came to nothing is no row."""
-    rows = spark.read.parquet(where).groupBy(*keys).agg(*[F.sum(c).alias(c) for c in sums])
+def sum_rows(rows: DataFrame, keys: Sequence[str], sums: Sequence[str]) -> DataFrame:
+    """One row per key.  A row all of whose sums come to nothing is no row."""
+    summed = rows.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in sums])
     left = F.lit(False)
     for c in sums:
         left |= F.coalesce(F.col(c) != 0, F.lit(False))
-    return rows.where(left)
+    return summed.where(left)
+
+
+def read_summed(spark: SparkSession, where: str, keys: Sequence[str], sums: Sequence[str]) -> DataFrame:
+    """Current rows of a summary whose batches add to sums, or take from them."""
+    return sum_rows(spark.read.parquet(where), keys, sums)
+
+
+FENCE = "sink_table string, reset_ms bigint"
 
 
-def store_dims(where: str, order: Sequence[str]) -> Writer:
-    """Dimension sink: each micro-batch of routed changes adds its folded cells,
-    laid out by dimension so that a reader of one opens only its files."""
-    inner = write_batches(where, split_by=["sink_table"])
-    return lambda batch, batch_id: inner(to_cells(batch, order), batch_id)
+def store_fences(where: str) -> Writer:
+    """When rule changes emptied dimensions, beside the cells of ``store_dims``."""
+    return write_batches(f"{where}/_fences")
 
 
 def read_dims(spark: SparkSession, where: str, resets: DataFrame | None = None,
               name: str | None = None, ts: str = "ts") -> DataFrame:
-    """Current dimension rows (sink_table, row_key, data)."""
+    """Current dimension rows (sink_table, row_key, data), behind the last fence or reset of each."""
     cells = spark.read.parquet(where).drop("batch_id")
     if name:
         cells = cells.where(F.col("sink_table") == name)
-    return rows_of(merge_cells(cells), resets, ts)
+    fences = [] if resets is None else [resets.select("sink_table", "reset_ms")]
+    if files.exists(spark, f"{where}/_fences"):
+        # A path below the folder's name is read although the name starts with an underscore.
+        fences += [spark.read.schema(FENCE).parquet(f"{where}/_fences/{f}") for f in files.names(spark, f"{where}/_fences/batch_id=*")]
+    last = functools.reduce(DataFrame.unionByName, fences).groupBy("sink_table").agg(
+        F.max("reset_ms").alias("reset_ms")) if fences else None
+    return rows_of(merge_cells(cells), last, ts)
 
 
 def compact_dims(spark: SparkSession, where: str, into: str) -> None:

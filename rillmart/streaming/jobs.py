@@ -16,11 +16,12 @@ from rillmart.operators import keyed
 from rillmart.operators.changelog import dirty_records, etl_gate, parse_json
 from rillmart.operators.joins import attach_marks
 from rillmart.operators.logsplit import split_log_json
-from rillmart.operators.routing import route_dims, route_facts
+from rillmart.operators.routing import dim_resets, route_dims, route_facts
 from rillmart.operators.windows import REFERENCE_SIZE, event_time
 from rillmart.plans import trade, traffic
 from rillmart.session import shared_dir
 from rillmart.sources import sinks
+from rillmart.streaming.lookups import DimVersions
 from rillmart.streaming.store import PartStore, publish
 
 MILLIS = {"10 seconds": 10_000, "1 hour": 3_600_000, "1 day": 86_400_000}
@@ -157,17 +158,51 @@ def cart_add_uu(cart: DataFrame, size: str = REFERENCE_SIZE, name: str = "cart-a
 
 # --- client log -------------------------------------------------------------------------------
 
-FIRST_DAYS = "_mid string, _first_day string, bucket int"
+FIRST_DAYS = "_mid string, _first_day string, _from bigint, bucket int"
+EVER = (1 << 62) - 1
+
+
+def first_day_terms(fresh: DataFrame, old: DataFrame, ttl: int | None, where: str) -> DataFrame:
+    """(_mid, _first_day, _from, _until) for a micro-batch's rows of devices (_mid, _is_new, ts).
+
+    The terms stored for a device come first; a row behind the end of a term starts the next one,
+    with the rule for a device not seen before.  Every round starts one term for each device that
+    still has rows behind its last one, as an aggregate over those rows, so the rounds are as many
+    as terms fit into the time of one micro-batch.
+    """
+    spark, until = fresh.sparkSession, F.col("_from") + F.lit(ttl) if ttl else F.lit(EVER)
+
+    def written(rows: DataFrame, name: str) -> DataFrame:
+        rows.write.mode("overwrite").parquet(f"{where}/{name}={len(terms)}")
+        return spark.read.schema(rows.schema).parquet(f"{where}/{name}={len(terms)}")
+
+    columns = ["_mid", "_first_day", "_from", until.alias("_until"), F.col("_from").alias("_at")]
+    # What comes late falls into the stored term, as far as that is known.
+    terms = [old.select(*columns).withColumn("_from", F.lit(-EVER))]
+    ends = old.select(F.col("_mid").alias("_of"), until.alias("_until"))
+    behind = fresh.join(ends, F.col("_mid") == F.col("_of"), "left").where("_until IS NULL OR ts > _until")
+    while True:
+        behind = written(behind.select(*fresh.columns), "behind")
+        started = written(keyed.first_days(behind, F.col("_mid"), F.col("_is_new"), F.col("ts")), "started")
+        if started.isEmpty():
+            return fold(DataFrame.unionByName, terms)
+        terms.append(started.select(*columns))
+        ends = started.select(F.col("_mid").alias("_of"), until.alias("_until"))
+        behind = behind.join(ends, F.col("_mid") == F.col("_of")).where("ts > _until")
 
 
 def split_log(lines: DataFrame, name: str = "log-split", root: str | None = None, fmt: str = "json",
-              buckets: int = 1) -> str:
+              buckets: int = 1, ttl: int | None = None) -> str:
     """Raw client-log lines to the five traffic facts, below ``facts/topic=...``, and lines that
     are not records to ``dirty``, in one job.  Returns the folder.
 
     No line is late: a micro-batch's visitor flags are corrected as a whole, against the first
     days stored so far.  A device's first micro-batch sets its first day, a row per device is
     all that is kept, in ``buckets`` of devices of one folder each, and rows without a device pass.
+
+    With ``ttl`` a first day is forgotten that many milliseconds of event time after the row that set
+    it, and the next row sets it anew; what the store holds then shrinks to devices seen lately.  Time
+    goes on with the newest row: one that comes later than ``ttl`` behind it may start a term too.
     """
     def writer(where: str) -> sinks.Writer:
         held = PartStore(lines.sparkSession, f"{where}/first_days", FIRST_DAYS, ["bucket"])
@@ -175,23 +210,29 @@ def split_log(lines: DataFrame, name: str = "log-split", root: str | None = None
 
         def write(batch: DataFrame, batch_id: int) -> None:
             batch = batch.persist()
+            seen = keyed.device_rows(batch).withColumn("bucket", bucket(buckets, "_mid")).where("ts IS NOT NULL").persist()
             try:
                 held.clean(batch_id)
                 log = parse_json(batch, schemas.CLIENT_LOG, "drop")
                 mid, is_new, ts = F.col("common")["mid"], F.col("common")["is_new"], F.col("ts")
-                firsts = keyed.first_days(keyed.device_rows(batch), F.col("_mid"), F.col("_is_new"), ts)
-                firsts.withColumn("bucket", bucket(buckets, "_mid")).write.mode("overwrite").parquet(f"{where}/fresh")
-                fresh = batch.sparkSession.read.schema(FIRST_DAYS).parquet(f"{where}/fresh")
-                wanted = held.part_names(fresh)
+                wanted = held.part_names(seen)
                 old = held.read(batch_id, wanted)
-                known = old.join(fresh, "_mid", "left_semi").unionByName(fresh.join(old, "_mid", "left_anti"))
-                fixed = keyed.repair_new_visitors(log, mid, is_new, ts, known.drop("bucket"))
+                here = old.join(seen.select("_mid").distinct(), "_mid", "left_semi")
+                terms = first_day_terms(seen.drop("bucket"), here, ttl, f"{where}/terms")
+                fixed = keyed.repair_by_terms(log, mid, is_new, ts, terms.drop("_at"))
                 fixed = fixed.withColumn("common", traffic.with_flag(F.col("common"), F.col("is_new_fixed")))
                 facts(split_log_json(fixed.drop("is_new_fixed")), batch_id)
                 dirty(dirty_lines(batch), batch_id)
-                held.replace(batch_id, old.unionByName(fresh.join(old, "_mid", "left_anti")), wanted)
+                # The last term of each device; with a time to live, none that is over for all of them.
+                newest = max(held.index(batch_id)["notes"].get("newest", -EVER), seen.agg(F.max("ts")).first()[0] or -EVER)
+                begun = terms.select("_mid", "_first_day", F.col("_at").alias("_from")).withColumn("bucket", bucket(buckets, "_mid"))
+                kept = keyed.latest_per_key(old.unionByName(begun), ["_mid"], ["_from"])
+                if ttl:
+                    kept = kept.where(F.col("_from") >= newest - ttl)
+                held.replace(batch_id, kept, wanted, {"newest": newest})
             finally:
                 batch.unpersist()
+                seen.unpersist()
         return write
     return run_batches(lines, name, writer, root)
 
@@ -204,7 +245,8 @@ def dirty_lines(lines: DataFrame) -> DataFrame:
 
 def join_facts(sides: Mapping[str, DataFrame], plan: Callable[..., DataFrame], reach: int, name: str,
                root: str | None = None, width: int = 86_400, keep: int | None = None,
-               keys: Mapping[str, Column] | None = None, buckets: int = 1) -> str:
+               keys: Mapping[str, Column] | None = None, buckets: int = 1,
+               dims: Mapping[str, DimVersions] | None = None) -> str:
     """Rows derived from streams with ``et``, row for row the batch ``plan`` of all their rows so far.
     Returns the folder; ``sinks.read_counted`` reads it, ``readers.read_counted_changes`` as a stream.
 
@@ -218,7 +260,8 @@ def join_facts(sides: Mapping[str, DataFrame], plan: Callable[..., DataFrame], r
     value that all sides' rows of one result share, by ``buckets`` of it.  A micro-batch reads the
     parts near its rows and rewrites those its rows fall in.  With ``keep``, parts more than that many
     seconds older than the newest row of the batches before are deleted, and rows that old are
-    written to ``late`` instead.
+    written to ``late`` instead.  ``plan`` also gets ``dims``, each in the version that is the newest
+    when the micro-batch starts; results of earlier batches stay as they were.
     """
     width = max(width, reach)
     counted = {s for s, side in sides.items() if sinks.COUNT in side.columns}
@@ -241,8 +284,8 @@ def join_facts(sides: Mapping[str, DataFrame], plan: Callable[..., DataFrame], r
                          .agg(F.sum("_n").alias("_n")).where("_n <> 0"))
         return fold(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts).select(*some.columns)
 
-    def result(near: DataFrame, sign: int) -> DataFrame:
-        parts = {}
+    def result(near: DataFrame, sign: int, looked_up: dict[str, DataFrame]) -> DataFrame:
+        parts = dict(looked_up)
         for s in sides:
             own = near.where(F.col(s).isNotNull())
             if s in counted:
@@ -272,7 +315,8 @@ def join_facts(sides: Mapping[str, DataFrame], plan: Callable[..., DataFrame], r
             old = held.read(batch_id, wanted).withColumn("_slice", time_slice)
             near = attach_marks(old, slices, ["_slice", "bucket"]).select(*rows.columns)
             now = near.unionByName(new)
-            both = result(summed(now) if counted else now, 1).unionByName(result(near, -1))
+            looked_up = {d: v.current() for d, v in (dims or {}).items()}
+            both = result(summed(now) if counted else now, 1, looked_up).unionByName(result(near, -1, looked_up))
             publish(sinks.count_rows(both), f"{where}/facts", batch_id)
             last = new.agg(F.max(at)).first()[0]
             newest = max((n for n in (last, newest) if n is not None), default=None)
@@ -285,6 +329,18 @@ def join_facts(sides: Mapping[str, DataFrame], plan: Callable[..., DataFrame], r
     return run_batches(rows, name, writer, root) + "/facts"
 
 
+def with_dims(stream: DataFrame, plan: Callable[..., DataFrame], dims: Mapping[str, DimVersions], name: str,
+              root: str | None = None) -> DataFrame:
+    """A row-wise fact whose lookups see the dimension versions of each micro-batch's moment."""
+    shape = plan(stream, **{d: v.current() for d, v in dims.items()}).schema
+
+    def writer(where: str) -> sinks.Writer:
+        return lambda batch, n: publish(plan(batch, **{d: v.current() for d, v in dims.items()}), f"{where}/facts", n)
+
+    where = run_batches(stream, name, writer, root)
+    return stream.sparkSession.read.schema(shape).parquet(f"{where}/facts").drop("batch_id")
+
+
 # --- trade ------------------------------------------------------------------------------------
 #
 # A micro-batch works the windows its rows fall in out again, from the stored rows, and takes the
@@ -309,13 +365,34 @@ def sku_order(detail: DataFrame, size: str = REFERENCE_SIZE, order: Sequence[str
 # --- routing ------------------------------------------------------------------------------------
 
 def sync_dims(log: DataFrame, rules: Callable[[], DataFrame], database: str, name: str = "dims",
-              order: Sequence[str] = ("ts", "offset"), root: str | None = None) -> str:
+              order: Sequence[str] = ("ts", "offset"), root: str | None = None,
+              config: DataFrame | None = None) -> str:
     """Keep dimension tables up to date.  ``rules`` is called for every micro-batch, so
-    a rule change takes effect with the next one."""
+    a rule change takes effect with the next one.
+
+    ``config``, a stream of flat rule events, runs merged with the log: a change or removal of a
+    dimension's rule empties the dimension from the event's time on.  Its time is stored beside
+    the cells as a fence, and ``sinks.read_dims`` shows only what was written behind it, whichever of
+    the two came first.
+    """
+    rows = log.select(F.struct(*log.columns).alias("log"))
+    if config is not None:
+        rows = rows.unionByName(config.select(F.struct("op", "sink_table", "ts_ms").alias("rule")), allowMissingColumns=True)
+
     def writer(where: str) -> sinks.Writer:
-        store = sinks.store_dims(where, order)
-        return lambda batch, n: store(route_dims(etl_gate(batch, database), rules(), order), n)
-    return run_batches(log, name, writer, root)
+        store, fence = sinks.store_dims(where, order), sinks.store_fences(where)
+
+        def write(batch: DataFrame, batch_id: int) -> None:
+            batch = batch.persist()
+            try:
+                changes = batch.where("log IS NOT NULL").select("log.*")
+                store(route_dims(etl_gate(changes, database), rules(), order), batch_id)
+                if config is not None:
+                    fence(dim_resets(batch.where("rule IS NOT NULL").select("rule.*")), batch_id)
+            finally:
+                batch.unpersist()
+        return write
+    return run_batches(rows, name, writer, root)
 
 
 def sync_facts(log: DataFrame, rules: Callable[[], DataFrame], name: str = "facts",

@@ -1,6 +1,8 @@
 """Parsing, filters, routing and log splitting on hand-made records."""
 
 import json
+import random
+import re
 
 import pytest
 from conftest import rows
@@ -153,3 +155,26 @@ def test_names_and_json(spark):
     assert fields.camel_columns(df).columns == ["orderDetailId", "skuName"]
     assert df.select(fields.json_record(*df.columns)).collect()[0][0] == '{"order_detail_id":"1"}'
     assert df.select(fields.pair_key(F.lit("a"), F.lit("b"))).collect()[0][0] == "a:b"
+
+
+def test_trie_against_regular_expressions():
+    """Leftmost-longest cuts; signs of several planes, words that begin other words, line ends."""
+    rnd = random.Random(1)
+    for _ in range(200):
+        listed = {"".join(rnd.choice("ab中文😀") for _ in range(rnd.randrange(1, 5))) for _ in range(rnd.randrange(8))}
+        line = "".join(rnd.choice("ab中文😀\nc") for _ in range(rnd.randrange(40)))
+        pattern = "|".join(sorted(map(re.escape, listed), key=lambda w: -len(w)))
+        assert list(text.WordTrie(listed).cut(line)) == ([m.span() for m in re.finditer(pattern, line)] if listed else [])
+
+
+def test_words_everywhere(spark):
+    df = spark.createDataFrame([("Undergrowth 研究生命 x", ), (None,), ("",)], "t string")
+    cut = text.dictionary_words(F.col("t"), ["grow", "under", "und", "研究", "研究生", "命"], everywhere=True)
+    assert [r[0] for r in df.select(cut).collect()] == [["under", "grow", "th", "研究生", "命", "x"], None, []]
+
+
+def test_word_lists_are_bounded(spark):
+    words = spark.createDataFrame([("Aa",), ("aa",), ("",), (None,), ("b",)], "w string")
+    assert text.word_list(words) == ["aa", "b"]
+    with pytest.raises(ValueError):
+        text.word_list(words, limit=2)

@@ -13,6 +13,8 @@ from rillmart.session import shared_dir
 from rillmart.sources import readers, sinks
 from rillmart.sources.readers import Topic
 from rillmart.streaming import jobs
+from rillmart.streaming.results import ResultTable
+from rillmart.streaming.store import PartStore, publish
 
 BASE, DAY = 1_704_067_200_000, 86_400_000
 
@@ -122,6 +124,45 @@ def test_visitor_repair_loses_no_line(spark, tmp_path):
     assert rows(spark.read.text(f"{where}/dirty").select("value")) == [("[1",), ("not json {",)]
 
 
+def test_first_days_are_forgotten(spark, tmp_path):
+    """Terms of a day: within one micro-batch, over several, a late row, and what is left stored."""
+    feed, root = Feed(tmp_path / "in"), shared_dir(spark, "ttl")
+    batches = [[page("a", BASE + DAY // 2, is_new="1"), page("a", BASE + DAY + 5, is_new="1"),
+                page("a", BASE + 2 * DAY, is_new="1"), page("b", BASE, is_new="1")],
+               [page("a", BASE + 3 * DAY - 1, is_new="1"), page("b", BASE + DAY, is_new="1"), page("a", BASE + 7, is_new="1")],
+               [page("c", BASE + 9 * DAY, is_new="0"), page("c", BASE + 9 * DAY + 1, is_new="1")]]
+    for batch in batches:
+        feed.send(*batch)
+        where = jobs.split_log(readers.read_lines(spark, feed.topic), "ttl", root, ttl=DAY, buckets=2)
+    out = spark.read.schema("value string, topic string").json(f"{where}/facts").select(
+        F.from_json("value", schemas.CLIENT_LOG).alias("r")).select("r.*")
+    got = sorted((r.common["mid"], r.ts - BASE, r.common["is_new"]) for r in out.collect())
+    # a: the term of day 0 ends at noon of day 1; the next one starts on day 2 and holds day 2 only.
+    # b: its second row comes when time has gone on by more than a term, and its first day is forgotten.
+    assert got == [("a", 7, "0"), ("a", DAY // 2, "1"), ("a", DAY + 5, "0"), ("a", 2 * DAY, "1"),
+                   ("a", 3 * DAY - 1, "1"), ("b", 0, "1"), ("b", DAY, "1"), ("c", 9 * DAY, "0"), ("c", 9 * DAY + 1, "0")]
+    stored = PartStore(spark, f"{where}/first_days", jobs.FIRST_DAYS, ["bucket"]).read(3)
+    assert {r._mid for r in stored.collect()} <= {"a", "b", "c"} and stored.where("_mid = 'c'").count() == 1
+
+
+def test_result_table_takes_each_load_once(spark, tmp_path):
+    """A load that fails half-way, one that comes again, and other micro-batches over the same loads."""
+    shape = "stt string, cur_date string, n bigint"
+    rows_of = lambda *r: spark.createDataFrame(r, shape)
+    changes = str(tmp_path / "changes")
+    table = ResultTable(spark, str(tmp_path / "table"), rows_of(), ["n"])
+    publish(rows_of(("a", "d1", 2), ("b", "d2", 1)), changes, 0)
+    publish(rows_of(("a", "d1", 1)), changes, 1)
+    table.load(changes, str(tmp_path / "one"))
+    assert rows(table.rows()) == [("a", "d1", 3), ("b", "d2", 1)]
+    publish(rows_of(("a", "d1", -3), ("c", "d1", 5)), changes, 2)
+    publish(rows_of(("ignored", "d1", 9)), changes, 2)
+    table.load(changes, str(tmp_path / "two"), maxFilesPerTrigger="1")
+    table.load(changes, str(tmp_path / "one"))
+    assert rows(table.rows()) == [("b", "d2", 1), ("c", "d1", 5)]
+    assert rows(table.lines())[0] == ('{"stt":"b","cur_date":"d2","n":1}',)
+
+
 def detail(i, ts, paid, sku="s", order="o"):
     return {"id": i, "order_id": order, "sku_id": sku, "province_id": "p", "split_total_amount": paid,
             "split_original_amount": paid, "split_activity_amount": None, "split_coupon_amount": "0", "ts": ts}
