@@ -26,8 +26,8 @@ from .common import discard, free, stored, texts_of, worker_cache
 END_ID = 1
 MAX_VOCABULARY_BYTES = 64 << 20
 CACHED_WORDS = 900_000
-# A digit or Latin-1 letter in lower case, then signs up to white space.
-SIGNS = re.compile(rb"([0-9a-z]|\xc3[\x9f-\xb6\xb8-\xbf])([!-&(-/:-@\[-`{-~]+)(?=[ \t\n\r]|\Z)")
+# A digit or Latin-1 letter, then signs up to white space.
+SIGNS = re.compile(rb"([0-9A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])([!-&(-/:-@\[-`{-~]+)(?=[ \t\n\r]|\Z)")
 
 # Bytes of each of the four ranks under a control byte.
 LENGTHS = ((np.arange(256)[:, None] >> np.array([0, 2, 4, 6])) & 3).astype(np.uint8) + 1
@@ -67,26 +67,34 @@ def _load(path: str) -> bytes:
 
 
 def encode_texts(texts: list[bytes], tokenizer, cache: dict, kind: str) -> list[bytes]:
-    """Ids of each text, as integers of ``kind``.
-
-    The tokenizer drops white space, folds case and never joins across white space or from a letter
-    or digit to other signs than an apostrophe.  So it is given each distinct run of characters once,
-    in lower case and without its last signs, and what it said is remembered.
+    """Ids of each text, as integers of ``kind``: those the tokenizer gives for the whole text.
+
+    The tokenizer composes characters, folds case, drops white space, and never joins across white
+    space or from a letter or digit to other signs than an apostrophe.  So it is given each distinct
+    run of characters once, without its last signs, and what it said is remembered.  Runs of ASCII
+    alone that differ in case share what it said; others go to it as they are, since a letter and a
+    mark may compose in one case only.  A text that holds one of the tokenizer's added tokens is
+    given to it whole.
     """
-    split = [SIGNS.sub(rb"\1 \2", t.lower()).split() for t in texts]
+    added = [t.content.encode() for t in tokenizer.get_added_tokens_decoder().values()]
+    whole = {k: np.array(tokenizer.encode(t.decode("utf-8", "replace"), add_special_tokens=False).ids, kind).tobytes()
+             for k, t in enumerate(texts) if any(a in t for a in added)}
+    split = [() if k in whole else SIGNS.sub(rb"\1 \2", t).split() for k, t in enumerate(texts)]
     words = set().union(*split)
-    missing = list(words - cache.keys())
-    known = cache
+    missing, known = words - cache.keys(), cache
     if len(cache) + len(missing) > CACHED_WORDS:
         cache.clear()
-        missing, known = list(words), {}      # beyond what is remembered: this batch's own
-    for k in range(0, len(missing), 8192):
-        part = missing[k:k + 8192]
+        missing, known = words, {}            # beyond what is remembered: this batch's own
+    folded = {w: w.lower() if w.isascii() else w for w in missing}
+    fresh = list(set(folded.values()) - known.keys())
+    for k in range(0, len(fresh), 8192):
+        part = fresh[k:k + 8192]
         coded = tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in part],
                                             add_special_tokens=False)
         known.update(zip(part, [np.array(c.ids, kind).tobytes() for c in coded]))
+    known.update([(w, known[f]) for w, f in folded.items()])
     get = known.__getitem__
-    return [b"".join(map(get, w)) for w in split]
+    return [whole[k] if k in whole else b"".join(map(get, w)) for k, w in enumerate(split)]
 
 
 def tokenize(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text",
@@ -94,7 +102,9 @@ def tokenize(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_
     """(part, before, doc_id, n_tokens, ids) in ascending id order, ``end_id`` after each text.
 
     ``ids`` are little-endian unsigned 16- or 32-bit integers, by the vocabulary's size.  Null texts
-    count as empty, null ids come first; rows that repeat an id follow each other.
+    count as empty, null ids come first; rows that repeat an id follow each other.  Document ids
+    are integers, or texts of such.  Added tokens that stand in a text get their own id, as the
+    library has it.  Only these two columns are read.
     """
     spark = docs.sparkSession
     data = _load(tokenizer_path)
@@ -112,7 +122,6 @@ def tokenize(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_
         held = worker_cache("tokenfile")
         if held.get("model") != key:
             held.update(model=key, tokenizer=Tokenizer.from_buffer(model.value), words={})
-            held["tokenizer"].encode_special_tokens = True
         tokenizer = held["tokenizer"]
         kind = "<u2" if max(tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16 else "<u4"
         end, width, before = np.array([end_id], kind).tobytes(), int(kind[2]), 0
