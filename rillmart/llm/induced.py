@@ -23,6 +23,8 @@ import tempfile
 import numpy as np
 
 RANGE = 2048
+# A reduced text of so few symbols is sorted in memory, which ends the recursion.
+BASE = 1 << 17
 MEMORY = 256 << 20
 # Columns of a tuple; in the front, the last one tells induced (0) from given (1) tuples.
 POSITION, SYMBOL, COMMON, GIVEN = range(4)
@@ -286,10 +288,24 @@ def seed_order(text: Text) -> np.ndarray:
     return seeds[suffix_order(Text(reduced, text.store))]
 
 
+def doubled_order(symbols: np.ndarray) -> np.ndarray:
+    """All positions in the order of their suffixes, by ranks of 1, 2, 4, ... symbols."""
+    n, reach = len(symbols), 0
+    rank = np.append(symbols.astype(np.int64) + 1, 0)
+    while True:
+        # Without ``reach``, by the symbols alone.
+        key = rank[:-1] * (n + 2) + rank[np.minimum(np.arange(n) + reach, n)] if reach else rank[:-1].copy()
+        order = np.argsort(key, kind="stable")
+        rank[order] = np.concatenate([[0], np.cumsum(np.diff(key[order]) != 0)]) + 1
+        if rank[order[-1]] == n:
+            return order
+        reach = 2 * reach or 1
+
+
 def suffix_order(text: Text) -> np.ndarray:
     """All positions in the order of their suffixes."""
-    if len(text) == 1:
-        return np.zeros(1, np.int64)
+    if len(text) <= BASE:
+        return doubled_order(text.symbols)
     falling, _, _ = induce(text, seed_order(text), False)
     rising, _, _ = induce(text, falling[::-1], True)
     both = np.concatenate([falling, rising[::-1]])

@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import functools
 import hashlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -70,11 +71,13 @@ def stretch_of(offsets: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]
     return -first, WINDOW - last
 
 
-def _stretch_runs(data: np.ndarray) -> tuple[np.ndarray, ...]:
-    """(first window, end, offset of the anchor in the first window, key) of the runs of at most
-    ``STRETCH`` windows."""
+def _hashed_runs(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(first window, end, offset of the anchor in the first window, key) of the runs of texts that
+    stand one after another and end at ``ends``; ``STRETCH`` bytes and a window at most."""
     up, down = _tables()
     n, grams = len(data), len(data) - GRAM + 1
+    if n < WINDOW:
+        return tuple(np.zeros(0, np.int64) for _ in range(4))
     with np.errstate(over="ignore"):
         sums = np.zeros(n + 1, np.uint64)
         np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[:n], out=sums[1:])
@@ -84,36 +87,55 @@ def _stretch_runs(data: np.ndarray) -> tuple[np.ndarray, ...]:
             step = min(size, width - size)
             least, size = np.minimum(least[:-step], least[step:]), size + step
         anchor = (least & _PLACE).astype(np.int64)
-        offset = anchor - np.arange(len(anchor))
+        windows = np.arange(len(anchor))
+        offset = anchor - windows
         kind = offset // CLASSES[0]
-        start = np.flatnonzero(np.concatenate([[True], (anchor[1:] != anchor[:-1]) | (kind[1:] != kind[:-1])]))
+        end_of = np.repeat(ends, np.diff(ends, prepend=0))[:len(anchor)]
+        whole = windows + WINDOW <= end_of
+        turn = (anchor[1:] != anchor[:-1]) | (kind[1:] != kind[:-1]) | (end_of[1:] != end_of[:-1]) | (whole[1:] != whole[:-1])
+        start = np.flatnonzero(np.concatenate([[True], turn]))
+        stop = np.append(start[1:], len(anchor))
+        start, stop = start[whole[start]], stop[whole[start]]
         begin, end = stretch_of(offset[start], CLASSES[0])
         begin, end = anchor[start] + begin, anchor[start] + end
         key = _mix((sums[end] - sums[begin]) * down[begin] + kind[start].astype(np.uint64))
-    return start, np.append(start[1:], len(anchor)), offset[start], key.view(np.int64)
-
-
-def runs(text: bytes) -> tuple[np.ndarray, ...]:
-    """The runs of a whole text; none if it is shorter than a window."""
-    parts = []
-    for at in range(0, max(len(text) - WINDOW + 1, 0), STRETCH):
-        start, stop, offset, key = _stretch_runs(np.frombuffer(text[at:at + STRETCH + WINDOW - 1], np.uint8))
-        parts.append((start + at, stop + at, offset, key))
-    if not parts:
-        return tuple(np.zeros(0, np.int64) for _ in range(4))
-    return tuple(np.concatenate(c) for c in zip(*parts))
+    return start, stop, offset[start], key.view(np.int64)
+
+
+def runs(texts: list[bytes]) -> tuple[np.ndarray, ...]:
+    """(text, first window, end, offset of the anchor in the first window, key) of all runs; a text
+    shorter than a window has none.  Texts are hashed together, long ones in stretches."""
+    parts, at = [], 0
+    while at < len(texts):
+        if len(texts[at]) >= STRETCH:
+            for place in range(0, len(texts[at]) - WINDOW + 1, STRETCH):
+                data = np.frombuffer(texts[at][place:place + STRETCH + WINDOW - 1], np.uint8)
+                start, stop, offset, key = _hashed_runs(data, np.array([len(data)]))
+                parts.append((np.full(len(start), at), start + place, stop + place, offset, key))
+            at += 1
+            continue
+        last, size = at, 0
+        while last < len(texts) and size + len(texts[last]) < STRETCH:
+            size, last = size + len(texts[last]), last + 1
+        ends = np.cumsum([len(t) for t in texts[at:last]])
+        start, stop, offset, key = _hashed_runs(np.frombuffer(b"".join(texts[at:last]), np.uint8), ends)
+        text = np.searchsorted(ends, start, "right")
+        first = np.concatenate([[0], ends])[text]
+        parts.append((text + at, start - first, stop - first, offset, key))
+        at = last
+    parts.append(tuple(np.zeros(0, np.int64) for _ in range(5)))
+    return tuple(np.concatenate(c).astype(np.int64) for c in zip(*parts))
 
 
 def _occurrences(batches):
     for batch in batches:
-        keys, rows, counts = [], [], []
-        for row, text in zip(batch.column(0).to_pylist(), texts_of(batch.column(1))):
-            key, count = np.unique(runs(text)[3], return_counts=True)
-            keys.append(key)
-            rows.append(np.full(len(key), row))
-            counts.append(count)
-        columns = [np.concatenate([np.zeros(0, np.int64), *c]).astype(np.int64) for c in (keys, rows, counts)]
-        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["key", "row", "n"])
+        text, _, _, _, key = runs(texts_of(batch.column(1)))
+        order = np.lexsort((key, text))
+        text, key = text[order], key[order]
+        first = np.flatnonzero(np.concatenate([[True], (text[1:] != text[:-1]) | (key[1:] != key[:-1])])[:len(key)])
+        rows = batch.column(0).to_numpy()[text[first]]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(key[first]), pa.array(rows), pa.array(np.diff(np.append(first, len(key))))], ["key", "row", "n"])
 
 
 def _rows(found: dict, row: int, out: list) -> None:
@@ -130,14 +152,15 @@ def _table(out: list) -> pa.RecordBatch:
 def _passages(batches):
     """Each text's different passages under the keys listed for it, with the places of each."""
     for batch in batches:
-        out = []
-        for row, text, listed in zip(batch.column(0).to_pylist(), texts_of(batch.column(1)), batch.column(2)):
-            start, stop, offset, key = runs(text)
-            hit = np.isin(key, listed.values.to_numpy(zero_copy_only=False))
-            found = {}
-            for a, b, o, k in zip(start[hit].tolist(), stop[hit].tolist(), offset[hit].tolist(), key[hit].tolist()):
-                found.setdefault((k, text[a:b + WINDOW - 1]), (o, []))[1].append(a)
-            _rows(found, row, out)
+        out, texts, found, now = [], texts_of(batch.column(1)), {}, -1
+        rows, listed = batch.column(0).to_pylist(), batch.column(2)
+        for text, a, b, o, k in zip(*(c.tolist() for c in runs(texts))):
+            if text != now:
+                _rows(found, rows[now], out)
+                found, now, wanted, whole = {}, text, set(listed[text].values.to_pylist()), texts[text]
+            if k in wanted:
+                found.setdefault((k, whole[a:b + WINDOW - 1]), (o, []))[1].append(a)
+        _rows(found, rows[now] if rows else 0, out)
         yield _table(out)
 
 
@@ -165,7 +188,7 @@ def _cut(width: int):
 
 
 def _sort(batches):
-    """Marked windows (first, end) of each passage; a shard's passages follow each other."""
+    """Marked windows (first, end) of each passage; a shard's passages follow each other by key."""
     held, waiting = None, []
     for batch in batches:
         names = ("shard", "key", "digest", "passage", "copies")
@@ -180,25 +203,28 @@ def _sort(batches):
 
 
 def _marked(passages: list[tuple[int, bytes, bytes, int]]) -> pa.RecordBatch:
-    # 0 ends the text, 1 parts passages, a byte is its value and two.
-    ends = np.cumsum([len(p) + 1 for _, _, p, _ in passages])
-    raw = np.frombuffer(b"\0".join(p for _, _, p, _ in passages) + b"\0\0", np.uint8)
-    dtype = np.uint8 if raw.max() < 254 else np.uint16
-    symbols = raw.astype(dtype) + dtype(2)
-    symbols[ends - 1], symbols[-1] = 1, 0
-    found = induced.recurring(symbols, WINDOW)
-    keys, digests, spans = [], [], []
-    for (key, digest, passage, copies), end in zip(passages, ends):
-        at = int(end) - 1 - len(passage)
-        n = len(passage) - WINDOW + 1
-        hits = found[at:at + n] | (copies > 1)
-        edges = np.flatnonzero(np.diff(np.concatenate([[False], hits, [False]])))
-        if len(edges):
-            keys.append(key)
-            digests.append(digest)
-            spans.append([{"first": int(a), "end": int(b)} for a, b in zip(edges[::2], edges[1::2])])
+    kinds = Counter(p[0] for p in passages)
+    # A passage that is alone under its key shares its windows with its copies only.
+    marks = [(key, digest, [(0, len(passage) - WINDOW + 1)]) for key, digest, passage, copies in passages
+             if kinds[key] == 1 and copies > 1]
+    passages = [p for p in passages if kinds[p[0]] > 1]
+    if passages:
+        # 0 ends the text, 1 parts passages, a byte is its value and two.
+        ends = np.cumsum([len(p) + 1 for _, _, p, _ in passages])
+        raw = np.frombuffer(b"\0".join(p for _, _, p, _ in passages) + b"\0\0", np.uint8)
+        dtype = np.uint8 if raw.max() < 254 else np.uint16
+        symbols = raw.astype(dtype) + dtype(2)
+        symbols[ends - 1], symbols[-1] = 1, 0
+        found = induced.recurring(symbols, WINDOW)
+        for (key, digest, passage, copies), end in zip(passages, ends.tolist()):
+            at = end - 1 - len(passage)
+            hits = found[at:at + len(passage) - WINDOW + 1] | (copies > 1)
+            edges = np.flatnonzero(np.diff(np.concatenate([[False], hits, [False]]))).tolist()
+            if edges:
+                marks.append((key, digest, list(zip(edges[::2], edges[1::2]))))
+    spans = [[{"first": a, "end": b} for a, b in m[2]] for m in marks]
     return pa.RecordBatch.from_arrays(
-        [pa.array(keys, pa.int64()), pa.array(digests, pa.binary()),
+        [pa.array([m[0] for m in marks], pa.int64()), pa.array([m[1] for m in marks], pa.binary()),
          pa.array(spans, pa.list_(pa.struct([("first", pa.int32()), ("end", pa.int32())])))], ["key", "digest", "spans"])
 
 
@@ -206,14 +232,15 @@ def _remove(columns):
     for texts, cuts in columns:
         made = [[], [], [], []]
         for text, cut in zip(texts_of(texts), cuts.to_pylist()):
-            turns = np.zeros(len(text) + 1, np.int64)
-            if cut:
-                np.add.at(turns, [c["start"] for c in cut], 1)
-                np.add.at(turns, [c["stop"] for c in cut], -1)
-            gone = np.cumsum(turns[:-1]) > 0
-            edges = np.diff(np.concatenate([[0], gone.astype(np.int8)]))
-            for column, value in zip(made, (len(text), int(gone.sum()), int((edges > 0).sum()),
-                                            np.frombuffer(text, np.uint8)[~gone].tobytes() if cut else text)):
+            joined = []
+            for start, stop in sorted((c["start"], c["stop"]) for c in cut or ()):
+                if joined and start <= joined[-1][1]:
+                    joined[-1][1] = max(stop, joined[-1][1])
+                else:
+                    joined.append([start, stop])
+            kept = [text[a:b] for a, b in zip([0, *(j[1] for j in joined)], [*(j[0] for j in joined), len(text)])]
+            removed = sum(b - a for a, b in joined)
+            for column, value in zip(made, (len(text), removed, len(joined), b"".join(kept) if joined else text)):
                 column.append(value)
         yield [pa.array(m, t) for m, t in zip(made, (pa.int64(), pa.int64(), pa.int64(), pa.binary()))]
 
@@ -242,30 +269,32 @@ def remove_repeats(docs: DataFrame, text_col: str = "text") -> DataFrame:
     for width in (*CLASSES[1:], None):
         # Equal passages under a key have equal offsets.
         held = stored(passages.groupBy("key", "digest", "passage").agg(F.sum(F.size("starts")).alias("copies")), "distinct")
-        sizes = held.groupBy("key").agg(F.sum(F.octet_length("passage")).alias("bytes"), F.sum("copies").alias("all"),
-                                        F.count("*").alias("kinds")).where("all > 1")
+        # Bytes are in ``held`` from here on, places without them in ``places``.
+        places = stored(passages.drop("passage"), "places")
+        discard(passages)
+        sizes = held.groupBy("key").agg(F.sum(F.octet_length("passage")).alias("bytes"), F.count("*").alias("kinds")) \
+            .where("kinds > 1")
         hot = F.col("bytes") > HOT_BYTES if width else F.lit(False)
-        keys = stored(sizes.withColumn("hot", hot & (F.col("kinds") > 1)), "sizes")
-        dealt = attach_marks(held, keys.where("NOT hot").select("key", "kinds"), ["key"])
-        # A passage that is alone under its key shares its windows with its copies only.
-        alone = dealt.where("kinds = 1").select("key", "digest", F.array(F.struct(
-            F.lit(0).alias("first"), (F.octet_length("passage") - WINDOW + 1).alias("end"))).alias("spans"))
-        total = keys.where("NOT hot AND kinds > 1").agg(F.sum("bytes")).first()[0] or 0
-        shards = total // SHARD_BYTES + 1
+        keys = stored(sizes.withColumn("hot", hot), "sizes")
+        total = keys.where("NOT hot").agg(F.sum("bytes")).first()[0] or 0
+        hot_keys, shards = keys.where("hot").select("key"), total // SHARD_BYTES + 1
+        more = not hot_keys.isEmpty()
+        dealt = held.join(hot_keys, "key", "left_anti") if more else held
         shard = F.pmod(F.xxhash64("key"), F.lit(shards)).cast("int")
         # As many tasks as shards: sorting takes far longer than what a shard's size suggests.
-        marked = dealt.where("kinds > 1").withColumn("shard", shard).repartition(shards, "shard") \
-            .sortWithinPartitions("shard").mapInArrow(_sort, "key long, digest binary, spans array<struct<first:int,end:int>>")
-        spans = stored(alone.unionAll(marked).withColumn("spans", F.explode("spans")), "spans")
-        del dealt, alone, marked
-        discard(held)
-        met = attach_marks(passages.select("key", "digest", "row", "starts"), spans, ["key", "digest"])
+        marked = dealt.withColumn("shard", shard).repartition(shards, "shard").sortWithinPartitions("shard", "key") \
+            .mapInArrow(_sort, "key long, digest binary, spans array<struct<first:int,end:int>>")
+        spans = stored(marked.withColumn("spans", F.explode("spans")), "spans")
+        del dealt, marked
+        met = attach_marks(places.select("key", "digest", "row", "starts"), spans, ["key", "digest"])
         marks.append(met.select("row", F.explode("starts").alias("at"), "spans.first", "spans.end").select(
             "row", (F.col("at") + F.col("first")).alias("start"), (F.col("at") + F.col("end") + WINDOW - 1).alias("stop")))
-        if width is None or keys.where("hot").isEmpty():
+        if more:
+            again = attach_marks(places, held.join(hot_keys, "key", "left_semi").select("key", "digest", "passage"), ["key", "digest"])
+            passages = stored(again.select(*columns).mapInArrow(_cut(width), PASSAGE), "passages")
+        discard(held)
+        if not more:
             break
-        again = attach_marks(passages, keys.where("hot").select("key"), ["key"])
-        passages = stored(again.select(*columns).mapInArrow(_cut(width), PASSAGE), "passages")
     cuts = stored(functools.reduce(DataFrame.unionAll, marks).groupBy("row").agg(
         F.collect_list(F.struct("start", "stop")).alias("cuts")), "cuts")
     free(spark)

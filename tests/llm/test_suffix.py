@@ -68,17 +68,24 @@ def test_odd_texts(spark):
     check(spark, [(i, t if t is None or len(t) < 9000 else t[:6000]) for i, t in ODD])
 
 
-def test_long_text_in_stretches(monkeypatch):
+def test_texts_in_stretches(monkeypatch):
+    """Texts hashed together, and long ones in stretches, have the runs they have alone."""
     rnd = random.Random(1)
-    text = bytes(rnd.randrange(256) for _ in range(3000))
-    whole = suffix.runs(text)
-    keys = dict(zip((whole[0] + whole[2]).tolist(), whole[3].tolist()))
+    made = [bytes(rnd.randrange(256) for _ in range(n)) for n in (0, 250, 3, 3000, 199, 200, 650, 90, 701)]
+    alone = [sorted(zip(*(c.tolist() for c in suffix.runs([t])[1:]))) for t in made]
+    together = suffix.runs(made)
+    for k in range(len(made)):
+        mine = together[0] == k
+        assert sorted(zip(*(c[mine].tolist() for c in together[1:]))) == alone[k]
     suffix._tables.cache_clear()
     monkeypatch.setattr(suffix, "STRETCH", 700)
-    start, stop, offset, key = suffix.runs(text)
+    cut = suffix.runs(made)
     suffix._tables.cache_clear()
-    assert start[0] == 0 and stop[-1] == len(text) - suffix.WINDOW + 1 and (start[1:] == stop[:-1]).all()
-    assert set(key.tolist()) == set(whole[3].tolist()) and keys
+    for k, text in enumerate(made):
+        mine = cut[0] == k
+        windows = sorted(w for a, b in zip(cut[1][mine], cut[2][mine]) for w in range(a, b))
+        assert windows == list(range(max(len(text) - suffix.WINDOW + 1, 0)))
+        assert set(cut[4][mine].tolist()) == {r[3] for r in alone[k]}
 
 
 def test_empty_table(spark):
@@ -95,9 +102,11 @@ def test_query(spark):
 
 @pytest.mark.parametrize("tuples", [1, 7, 2048])
 @pytest.mark.parametrize("memory", [0, 1 << 30])
-def test_induced_sorting(monkeypatch, tuples, memory):
+@pytest.mark.parametrize("base", [1, 1 << 17])
+def test_induced_sorting(monkeypatch, tuples, memory, base):
     """In memory and through files, with small and large ranges of symbols."""
     monkeypatch.setattr(induced, "RANGE", tuples)
+    monkeypatch.setattr(induced, "BASE", base)
     rnd = random.Random(tuples)
     for _ in range(40):
         n, letters = rnd.randrange(1, 120), rnd.choice([1, 2, 3, 20, 250])
