@@ -108,13 +108,16 @@ def dictionary_words(text: Column, dictionary: Sequence[str], everywhere: bool =
     if size > MAX_LIST_BYTES:
         raise ValueError(f"the word list has {size} bytes, more than {MAX_LIST_BYTES}")
     context = SparkSession.getActiveSession().sparkContext
-    trie = context.broadcast(WordTrie(w.lower() for w in dictionary))
+    # Plain arrays, since a broadcast class would have to be importable on the executors.
+    fields = context.broadcast(vars(WordTrie(w.lower() for w in dictionary)))
 
     @F.pandas_udf("array<string>")
     def cut(batch: pd.Series) -> pd.Series:
+        trie = WordTrie(())
+        vars(trie).update(fields.value)
         # Runs hold letters and digits only, so a line end parts them.
         runs = [run for listed in batch if listed is not None for run in listed]
-        spans, out, start = list(trie.value.cut("\n".join(runs))), [], 0
+        spans, out, start = list(trie.cut("\n".join(runs))), [], 0
         at = 0
         for run in runs:
             end, found = start + len(run), []

@@ -13,7 +13,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from rillmart.functions.timefmt import DATE, DAY_MS, millis_to_date
-from rillmart.operators.changelog import parse_json
 from rillmart.operators.joins import attach_marks
 
 RETURN_AFTER_DAYS = 8
@@ -65,14 +64,6 @@ def first_days(df: DataFrame, device: Column, is_new: Column, ts: Column) -> Dat
                   .otherwise(F.col("_f._ts") - DAY_MS)).alias("_first_day"), F.col("_f._ts").alias("_from")))
 
 
-def device_rows(lines: DataFrame, value: str = "value") -> DataFrame:
-    """(_mid, _is_new, ts) of raw client-log lines that are records of a device.  Only these three
-    fields are parsed."""
-    narrow = parse_json(lines.select(value), "common struct<mid: string, is_new: string>, ts bigint", "drop", value)
-    return narrow.select(F.col("common.mid").alias("_mid"), F.col("common.is_new").alias("_is_new"), "ts") \
-        .where("_mid IS NOT NULL")
-
-
 def repair_new_visitors(df: DataFrame, device: Column, is_new: Column, ts: Column,
                         firsts: DataFrame | None = None) -> DataFrame:
     """Add ``is_new_fixed``: the flag '1' becomes '0' on every day but the device's first.
@@ -139,12 +130,34 @@ def moment_lasts(df: DataFrame, key: str, order: Sequence[str], ttl: int | None,
             .drop("_slice", "_next"))
 
 
-def survivors(df: DataFrame, key: str, order: Sequence[str], ttl: int | None,
-              carry: Sequence[str], ts: str = "ts") -> DataFrame:
-    """Rows that no later row of their key replaces: key, ts and ``carry``."""
-    lasts = moment_lasts(df, key, order, ttl, carry, ts).where(F.col("kept"))
-    return lasts.select(key, ts, *[F.col("_last")[c].alias(c) for c in carry
-                                   if c not in (key, ts)])
+def marked_moments(df: DataFrame, key: str, by: Sequence[str], order: Sequence[str], ttl: int | None,
+                   measures: dict[str, Column], ts: str = "ts", slice_seconds: int = 600) -> DataFrame:
+    """One row per (key, second, values of ``by``): ``by``, ts, and of its last row the measures if
+    no later row of the key follows within ``ttl`` seconds, zeros if one does.
+
+    A measure is null where no row of the second had it.  One pass over ``df``; slices of time are
+    cut as in ``moment_lasts``, so a window group is bounded by what one key sends in them.
+    """
+    last = F.max(F.struct(*order, *[c.alias(f"_{m}") for m, c in measures.items()])).alias("_last")
+    had = [F.max(c.isNotNull()).alias(f"_had_{m}") for m, c in measures.items()]
+    moments = df.groupBy(key, ts, *by).agg(last, *had)
+    rank = F.struct(F.col(ts), F.col("_last"), *by)
+    if ttl is None:
+        newest = moments.groupBy(key).agg(F.max(rank).alias("_newest"))
+        marked = attach_marks(moments, newest, [key]).withColumn("kept", rank.eqNullSafe(F.col("_newest")))
+    else:
+        width = max(slice_seconds, ttl + 1)
+        into = F.pmod(F.col(ts), F.lit(width))
+        home = F.col(ts) - into
+        shown = F.when(into <= ttl, F.array(home, home - width)).otherwise(F.array(home))
+        spread = moments.withColumn("_slice", F.explode(shown))
+        following = F.lead(ts).over(Window.partitionBy(key, "_slice").orderBy(ts, "_last", *by))
+        marked = spread.withColumn("_next", following).where(F.col("_slice") == home).withColumn(
+            "kept", F.coalesce(F.col("_next") - F.col(ts) > ttl, F.lit(True)))
+    zero = {m: F.when(F.col(f"_had_{m}"), F.lit(0)) for m in measures}
+    return marked.select(*by, ts, *[
+        F.when(F.col("kept"), F.coalesce(F.col("_last")[f"_{m}"], zero[m])).otherwise(zero[m]).cast("decimal(20,4)").alias(m)
+        for m in measures])
 
 
 def mark_superseded(df: DataFrame, key: str, order: Sequence[str], ttl: int | None,

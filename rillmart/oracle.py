@@ -248,6 +248,12 @@ def sku_order(size: int, *rep: str) -> str:
     LEFT JOIN region ON n_regionkey = r_regionkey"""
 
 
+SKU_TOTALS = _with(ORDERS, REPEATS) + "SELECT sku_id, " + ", ".join(
+    f"CAST(sum(CASE WHEN gone THEN 0 ELSE {c} END) AS DECIMAL(38,4)) AS {m}" for c, m in (
+        ("orig", "original_amount"), ("act", "activity_reduce_amount"), ("cou", "coupon_reduce_amount"),
+        ("tot", "order_amount"))) + " FROM rep GROUP BY sku_id"
+
+
 def detail_to_sku(size: int) -> str:
     """Product windows over the order details themselves, which do not repeat."""
     return sku_order(size, LINES, DETAIL, """rep AS (SELECT id, sku_id, ts, false AS gone,

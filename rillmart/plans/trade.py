@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from rillmart import schemas
 from rillmart.functions.fields import amount, total
 from rillmart.operators.joins import enrich
-from rillmart.operators.keyed import first_per_day, survivors
+from rillmart.operators.keyed import first_per_day, marked_moments
 from rillmart.operators.windows import REFERENCE_SIZE, event_time, tumble
 
 REPEAT_TTL = 10
@@ -38,16 +38,10 @@ def net_measures(detail: DataFrame, by: Sequence[str], measures: dict[str, str],
     """Rows whose measures sum up to the amounts without repeats.
 
     A repeated line cancels the one before it, in that one's window, so of all repeats
-    only the row nothing supersedes counts.  Every row is still there with zeros, since
-    a window whose lines were all cancelled is reported too.  Neither part looks at
-    single rows of a key after the shuffle.
+    only the row nothing supersedes counts.  The others are still there with zeros, since
+    a window whose lines were all cancelled is reported too.
     """
-    read = {out: amount(F.col(src)) for out, src in measures.items()}
-    zero = {out: F.when(c.isNotNull(), 0).cast("decimal(20,4)") for out, c in read.items()}
-    carry = list(dict.fromkeys([*by, *measures.values()]))
-    kept = survivors(detail, "id", order, ttl, carry)
-    return detail.select(*by, "ts", *[c.alias(o) for o, c in zero.items()]).unionByName(
-        kept.select(*by, "ts", *[c.alias(o) for o, c in read.items()]))
+    return marked_moments(detail, "id", by, order, ttl, {out: amount(F.col(src)) for out, src in measures.items()})
 
 
 def province_order(detail: DataFrame, province: DataFrame, size: str = REFERENCE_SIZE,
@@ -88,9 +82,11 @@ def sku_order(detail: DataFrame, products: DataFrame, size: str = REFERENCE_SIZE
 
 def sku_windows(detail: DataFrame, size: str, order: Sequence[str], ttl: int | None,
                 time_mode: str = "event") -> DataFrame:
-    rows = net_measures(detail, ["sku_id"], SKU_MEASURES, order, ttl)
-    return tumble(event_time(rows, "s"), size, ["sku_id"],
-                  [total(F.col(m)).alias(m) for m in SKU_MEASURES], time_mode=time_mode)
+    return sku_sums(event_time(net_measures(detail, ["sku_id"], SKU_MEASURES, order, ttl), "s"), size, time_mode)
+
+
+def sku_sums(rows: DataFrame, size: str, time_mode: str = "event") -> DataFrame:
+    return tumble(rows, size, ["sku_id"], [total(F.col(m)).alias(m) for m in SKU_MEASURES], time_mode=time_mode)
 
 
 def with_products(summed: DataFrame, products: DataFrame) -> DataFrame:

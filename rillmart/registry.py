@@ -410,21 +410,20 @@ def numbered(log):
     return log.withColumn("offset", F.xxhash64("table", "type", "ts", F.to_json("data")))
 
 
-def dim_changes(spark, sf):
-    log = changelog.etl_gate(fx.change_log(spark, sf, "customer_info", "order_info"),
-                             fx.DATABASE)
+def dim_changes(spark, sf, *tables):
+    log = changelog.etl_gate(fx.change_log(spark, sf, *tables), fx.DATABASE)
     log = numbered(log)
     return routing.route_dims(log, fx.dim_rules(spark), ORDER)
 
 
 @query("route_dim", sql.ROUTE_DIM)
 def route_dim(spark, sf):
-    return dim_changes(spark, sf).select("sink_table", "row_key", "op", "ts", *[
+    return dim_changes(spark, sf, "customer_info", "order_info").select("sink_table", "row_key", "op", "ts", *[
         F.col("data")[c].alias(c) for c in ("id", "name", "segment", "balance")])
 
 
 def folded_customers(spark, sf, resets=None):
-    routed = dim_changes(spark, sf).where("sink_table = 'dim_customer'")
+    routed = dim_changes(spark, sf, "customer_info")
     return dims.dim_table(dims.fold_dims(routed, ORDER, resets), "dim_customer",
                           ["id", "name", "segment", "balance"])
 
@@ -694,6 +693,13 @@ for _name, _stream, _twin in (
     query(f"{_name}_late", _twin)(functools.partial(_stream, deal=out_of_order))
 
 
+@query("stream_cart_add", sql.CART_ADD)
+def stream_cart_add(spark, sf):
+    log = fx.change_log(spark, sf, "cart_info")
+    lines = topic(spark, "db", log.select(json_record(*log.columns).alias("value")))
+    return jobs.run_available(facts.cart_add(readers.read_changelog(spark, lines, delay=None)), "cart-add")
+
+
 @query("stream_comment", sql.COMMENT)
 def stream_comment(spark, sf):
     rows = facts.comment(change_stream(spark, sf, "comment_info"), fx.dictionary(spark))
@@ -747,6 +753,14 @@ for _label, _size, _ms in (("", "1 day", DAY), ("_w10", "10 seconds", 10 * SECON
         query(f"{_name}{_label}_late", _twin(_ms))(functools.partial(_stream, size=_size, deal=out_of_order))
 
 
+@query("stream_sku_order_by_clock", sql.SKU_TOTALS)
+def stream_sku_order_by_clock(spark, sf):
+    """Windows of the wall clock differ from run to run; what a product has in all of them does not."""
+    where = jobs.sku_order_by_clock(repeated_stream(spark, sf, out_of_order), order=fx.TIE_BREAK, width=WIDTH)
+    return spark.read.parquet(where).groupBy("sku_id").agg(
+        *[F.sum(m).cast("decimal(38,4)").alias(m) for m in trade.SKU_MEASURES])
+
+
 @query("stream_order_detail_to_sku", sql.detail_to_sku(DAY))
 def stream_order_detail_to_sku(spark, sf):
     """Change log to order details to product windows: what the join takes back, the windows lose."""

@@ -20,7 +20,7 @@ from rillmart.operators.routing import dim_resets, route_dims, route_facts
 from rillmart.operators.windows import REFERENCE_SIZE, event_time
 from rillmart.plans import trade, traffic
 from rillmart.session import shared_dir
-from rillmart.sources import sinks
+from rillmart.sources import readers, sinks
 from rillmart.streaming.lookups import DimVersions
 from rillmart.streaming.store import PartStore, publish
 
@@ -210,11 +210,12 @@ def split_log(lines: DataFrame, name: str = "log-split", root: str | None = None
 
         def write(batch: DataFrame, batch_id: int) -> None:
             batch = batch.persist()
-            seen = keyed.device_rows(batch).withColumn("bucket", bucket(buckets, "_mid")).where("ts IS NOT NULL").persist()
+            log = parse_json(batch, schemas.CLIENT_LOG, "drop")
+            mid, is_new, ts = F.col("common")["mid"], F.col("common")["is_new"], F.col("ts")
+            seen = log.select(mid.alias("_mid"), is_new.alias("_is_new"), "ts").where(
+                "_mid IS NOT NULL AND ts IS NOT NULL").withColumn("bucket", bucket(buckets, "_mid")).persist()
             try:
                 held.clean(batch_id)
-                log = parse_json(batch, schemas.CLIENT_LOG, "drop")
-                mid, is_new, ts = F.col("common")["mid"], F.col("common")["is_new"], F.col("ts")
                 wanted = held.part_names(seen)
                 old = held.read(batch_id, wanted)
                 here = old.join(seen.select("_mid").distinct(), "_mid", "left_semi")
@@ -362,6 +363,26 @@ def sku_order(detail: DataFrame, size: str = REFERENCE_SIZE, order: Sequence[str
     return join_facts({"detail": detail}, plan, MILLIS[size] // 1000 + ttl, name, **store)
 
 
+def sku_order_by_clock(detail: DataFrame, size: str = REFERENCE_SIZE, order: Sequence[str] = (),
+                       ttl: int = trade.REPEAT_TTL, name: str = "sku-clock", root: str | None = None, **store) -> str:
+    """Windows by product on the wall clock: amounts, and what repeats take back of them, count in the
+    window in which their micro-batch runs.  Returns the folder; each batch's windows are final."""
+    spark, root = detail.sparkSession, root or shared_dir(detail.sparkSession, name)
+
+    def plan(detail: DataFrame) -> DataFrame:
+        return trade.net_measures(detail, ["sku_id"], trade.SKU_MEASURES, order, ttl)
+
+    moments = join_facts({"detail": detail}, plan, ttl, name, f"{root}/moments", **store)
+    shape = ", ".join(["sku_id string", "ts bigint", *[f"{m} decimal(20,4)" for m in trade.SKU_MEASURES]])
+
+    def writer(where: str) -> sinks.Writer:
+        def write(batch: DataFrame, batch_id: int) -> None:
+            signed = batch.withColumns({m: F.col(m) * F.col(sinks.COUNT) for m in trade.SKU_MEASURES})
+            publish(trade.sku_sums(signed, size, "processing"), f"{where}/windows", batch_id)
+        return write
+    return run_batches(readers.read_counted_changes(spark, moments, shape), name, writer, f"{root}/windows") + "/windows"
+
+
 # --- routing ------------------------------------------------------------------------------------
 
 def sync_dims(log: DataFrame, rules: Callable[[], DataFrame], database: str, name: str = "dims",

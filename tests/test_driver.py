@@ -13,7 +13,7 @@ from pyspark.sql import SparkSession
 import __spark_entry__ as entry
 spark = (SparkSession.builder.master("local[4]").config("spark.ui.enabled", "false")
          .config("spark.sql.session.timeZone", "America/New_York").getOrCreate())
-for name in ("stream_home_detail_uv", "stream_log_split", "stream_province_order"):
+for name in ("stream_home_detail_uv", "stream_log_split", "stream_province_order", "dictionary_words"):
     print("ROWS", name, entry.queries()[name](spark, "/root/testdata/sf0.001").count())
 """
 
@@ -24,4 +24,4 @@ def test_streams_run_outside_the_repository(tmp_path):
                           capture_output=True, timeout=300)
     found = [l.split("ROWS ")[1] for l in done.stdout.splitlines() if "ROWS " in l]
     assert found == ["stream_home_detail_uv 252", "stream_log_split 2504",
-                     "stream_province_order 1451"], done.stderr[-2000:]
+                     "stream_province_order 1451", "dictionary_words 38"], done.stderr[-2000:]
