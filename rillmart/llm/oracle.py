@@ -113,5 +113,6 @@ p AS (SELECT * FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_
 SELECT p.anchor_id, p.id AS positive_id, CAST(row_number() OVER w AS INT) AS rank, s.id AS negative_id,
   p.score AS positive_score, s.score AS negative_score
 FROM p JOIN s ON p.anchor_id = s.anchor_id AND NOT s.same AND 100 * s.score BETWEEN 30 * p.score AND 90 * p.score
-QUALIFY rank <= 10 WINDOW w AS (PARTITION BY p.anchor_id, p.id ORDER BY s.score DESC, s.id)
+WINDOW w AS (PARTITION BY p.anchor_id, p.id ORDER BY s.score DESC, s.id)
+QUALIFY row_number() OVER w <= 10
 """
