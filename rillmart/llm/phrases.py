@@ -9,11 +9,12 @@ pairs of documents or gathers a phrase's documents:
 2. Recurring windows.  Windows under the other anchors are counted by hash: a partial aggregate
    finds each window's first document (least id), and windows of one document are dropped.
 3. Automata.  The first documents supply the words of the recurring passages.  Passages go to
-   shards by anchor; a shard compiles an Aho-Corasick automaton, whose symbols are ten-word phrases
-   (numbered exactly, by their words), so a window is a path of five.
+   shards by anchor; a shard compiles an Aho-Corasick automaton over phrases of half a window, each
+   known by a pair of characters that stands for its exact words, so a window is a path of four.
 4. Search.  All passages of all documents that hold such an anchor stream through the automaton of
-   their shard, which reports every occurrence and its first document.  An anchor of many documents
-   has several shards: its passages are in each, its documents are dealt out among them.
+   their shard, which reports every occurrence and its first document.  A hot anchor has several
+   automata: its windows are dealt out by hash, and a document's passage goes to the parts that may
+   hold one of its windows; if a part still meets too many documents, it is copied for groups of them.
 
 Words are removed where a reported window's first document has a smaller id.
 """
@@ -24,15 +25,18 @@ import itertools
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from rillmart.operators.joins import attach_marks
 
 from .common import add_columns, discard, free, free_name, stored, texts_of
 
-WINDOW, PHRASE = 50, 10
-SHARD_WINDOWS = 20_000        # recurring windows under one automaton, about
+WINDOW, PHRASE = 50, 10       # words of a window, of an anchor
+HALF = WINDOW // 2
+SHARD_WINDOWS = 20_000        # recurring windows of one anchor under one automaton, about
 SALT_ROWS = 5_000             # documents of one anchor under one automaton, about
+REACH = WINDOW - PHRASE + 1   # windows that an anchor at one place can have
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 _POWERS = np.array([pow(0x9E3779B97F4A7C15, k, 1 << 64) for k in range(WINDOW)], np.uint64)
 
@@ -62,10 +66,9 @@ def anchors(words: list[bytes]):
         none = np.zeros(0, np.int64)
         return none, none, none, none
     phrase, window = _hashes(words)
-    reach = WINDOW - PHRASE + 1
     place = np.empty(len(window), np.int64)
     for k in range(0, len(window), 1 << 15):
-        part = np.lib.stride_tricks.sliding_window_view(phrase[k:k + (1 << 15) + reach - 1], reach)
+        part = np.lib.stride_tricks.sliding_window_view(phrase[k:k + (1 << 15) + REACH - 1], REACH)
         place[k:k + len(part)] = np.argmin(part, axis=1) + np.arange(k, k + len(part))
     first = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
     last = np.concatenate([first[1:], [len(place)]]) - 1
@@ -105,7 +108,7 @@ def _windows(batches):
             [pa.array(np.concatenate(x), pa.int64()) for x in (found, ids)], ["window", "id"])
 
 
-PASSAGE = "anchor long, salt int, stream boolean, row long, id long, words binary, places array<int>"
+PASSAGE = "anchor long, part int, stream boolean, row long, id long, words binary, places array<int>"
 
 
 def _rows(out: list[tuple]) -> pa.RecordBatch:
@@ -119,9 +122,9 @@ def _patterns(batches):
     """A first document's different passages, with the places of windows that recur."""
     for batch in batches:
         out = []
-        for doc, text, listed, salts, recurring in zip(
+        for doc, text, listed, recurring in zip(
                 batch.column(0).to_pylist(), texts_of(batch.column(1)),
-                *(batch.column(k).to_pylist() for k in (2, 3, 4))):
+                *(batch.column(k).to_pylist() for k in (2, 3))):
             words = text.split()
             runs, window = _wanted(words, listed)
             recurs = np.isin(window, np.array(recurring, np.int64))
@@ -130,8 +133,7 @@ def _patterns(batches):
                 marked = np.flatnonzero(recurs[f:l + 1])
                 if len(marked):
                     passages[b" ".join(words[f:l + WINDOW])] = k, marked.tolist()
-            for passage, (k, marked) in passages.items():
-                out += [(listed[k], s, False, None, doc, passage, marked) for s in range(salts[k])]
+            out += [(listed[k], 0, False, None, doc, passage, marked) for passage, (k, marked) in passages.items()]
         yield _rows(out)
 
 
@@ -139,35 +141,64 @@ def _streams(batches):
     """Every document's different passages, with the places where each stands."""
     for batch in batches:
         out = []
-        for row, doc, text, listed, salts in zip(
-                batch.column(0).to_pylist(), batch.column(1).to_pylist(), texts_of(batch.column(2)),
-                *(batch.column(k).to_pylist() for k in (3, 4))):
+        for row, doc, text, listed in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(),
+                                          texts_of(batch.column(2)), batch.column(3).to_pylist()):
             words = text.split()
             passages = {}
             for k, f, l in _wanted(words, listed)[0]:
                 passages.setdefault(b" ".join(words[f:l + WINDOW]), (k, []))[1].append(f)
-            for passage, (k, places) in passages.items():
-                out.append((listed[k], row % salts[k], True, row, doc, passage, places))
+            out += [(listed[k], 0, True, row, doc, passage, places) for passage, (k, places) in passages.items()]
         yield _rows(out)
 
 
+def _deal(batches):
+    """Passages of anchors with several parts, once for each part that may hold one of their windows.
+
+    A window's part follows from its hash.  Other rows pass as they are.
+    """
+    for batch in batches:
+        parts = batch.column("parts")
+        split = pc.greater(parts, 1)
+        yield batch.filter(pc.invert(split))
+        out = []
+        for r in batch.filter(split).to_pylist():
+            part = _hashes(r["words"].split())[1] % r["parts"]
+            for p in np.unique(part if r["stream"] else part[r["places"]]).tolist():
+                places = r["places"] if r["stream"] else [k for k in r["places"] if part[k] == p]
+                out.append({**r, "part": p, "places": places})
+        if out:
+            yield pa.RecordBatch.from_pylist(out, batch.schema)
+
+
 def _phrases(passage: bytes) -> list[bytes]:
     ends = np.flatnonzero(np.frombuffer(passage + b" ", np.uint8) == 32).tolist()
-    return [passage[a:b] for a, b in zip([0] + [e + 1 for e in ends], ends[PHRASE - 1:])]
+    return [passage[a:b] for a, b in zip([0] + [e + 1 for e in ends], ends[HALF - 1:])]
 
 
 class Shard:
-    """The passages of one shard and, once documents come, their automaton."""
+    """The passages of one shard and, once documents come, their automaton.
+
+    The library looks through a node's edges one by one, so phrases are not numbered by one symbol
+    each, which would give the root an edge for every window, but by a pair: 256 second
+    characters, and first ones from a range of their own, so that a match cannot start between them.
+    """
 
     def __init__(self):
-        self.numbers: dict[bytes, int] = {}
-        self.first: dict[tuple[int, ...], int] = {}
+        self.names: dict[bytes, str] = {}
+        self.first: dict[str, int] = {}
         self.automaton = None
 
+    def _name(self, phrase: bytes) -> str:
+        name = self.names.get(phrase)
+        if name is None:
+            high, low = divmod(len(self.names), 256)
+            name = self.names[phrase] = chr(0x10000 + high) + chr(1 + low)
+        return name
+
     def add(self, doc: int, passage: bytes, marked: list[int]) -> None:
-        phrases, numbers = _phrases(passage), self.numbers
+        phrases = _phrases(passage)
         for at in marked:
-            key = tuple([numbers.setdefault(p, len(numbers) + 1) for p in phrases[at:at + WINDOW - PHRASE + 1:PHRASE]])
+            key = self._name(phrases[at]) + self._name(phrases[at + HALF])
             self.first[key] = min(doc, self.first.get(key, doc))
 
     def search(self, passage: bytes) -> list[tuple[int, int]]:
@@ -177,15 +208,20 @@ class Shard:
         if not self.first:
             return []
         if self.automaton is None:
-            self.automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
+            self.automaton = ahocorasick.Automaton()
             for key, doc in self.first.items():
                 self.automaton.add_word(key, doc)
             self.automaton.make_automaton()
-        get = self.numbers.get
-        symbols = [get(p, 0) for p in _phrases(passage)]
-        back = WINDOW // PHRASE - 1
-        return [(r + PHRASE * (end - back), doc) for r in range(min(PHRASE, len(symbols)))
-                for end, doc in self.automaton.iter(tuple(symbols[r::PHRASE]))]
+        get = self.names.get
+        names = [get(p, "\0\0") for p in _phrases(passage)]
+        if len(names) - names.count("\0\0") < 2:
+            return []
+        # Every 25th phrase, from each of the first 25 on, as one text of equal stretches that end
+        # with a name of no phrase.
+        size = -(-len(names) // HALF) + 1
+        names += ["\0\0"] * (HALF * size - len(names))
+        text = "".join(itertools.chain.from_iterable(names[r::HALF] for r in range(HALF)))
+        return [(end // 2 // size + HALF * (end // 2 % size - 1), doc) for end, doc in self.automaton.iter(text)]
 
 
 def _search(batches):
@@ -225,6 +261,20 @@ def _remove(columns):
                pa.array(kept, pa.binary()).cast(pa.string())]
 
 
+def _hot(shared: DataFrame, patterns: DataFrame) -> DataFrame:
+    """(anchor, parts, salts) of anchors that need more than one automaton.
+
+    A part holds about ``SHARD_WINDOWS`` windows.  A passage goes to ``REACH`` parts at most, so
+    with more of them each meets fewer documents and is copied less.
+    """
+    many = patterns.groupBy("anchor").agg(F.sum(F.size("places")).alias("windows")) \
+        .where(F.col("windows") > SHARD_WINDOWS)
+    both = shared.where(F.col("n") > SALT_ROWS).join(many, "anchor", "full")
+    parts = F.ceil(F.coalesce("windows", F.lit(1)) / SHARD_WINDOWS).cast("int")
+    met = F.coalesce("n", F.lit(1)) * F.least(parts, F.lit(REACH)) / parts
+    return both.select("anchor", parts.alias("parts"), F.ceil(met / SALT_ROWS).cast("int").alias("salts"))
+
+
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with ``n_words``, ``n_removed`` and ``kept_text``.
 
@@ -241,35 +291,40 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     seen = stored(keyed.mapInArrow(_occurrences, "anchor long, id long"), "anchors")
     shared = seen.groupBy("anchor").agg(F.min("id").alias("a"), F.max("id").alias("b"),
                                         F.count("*").alias("n")).where("a < b")
-    salts = F.ceil(F.col("n") / SALT_ROWS).cast("int")
-    held = attach_marks(seen, shared.select("anchor", salts.alias("salts")), ["anchor"]).groupBy("id").agg(
-        F.collect_list(F.struct("anchor", "salts")).alias("held"))
+    shared = stored(shared.select("anchor", "n"), "shared")
+    held = attach_marks(seen, shared.select("anchor"), ["anchor"]).groupBy("id").agg(
+        F.collect_list("anchor").alias("anchors"))
     rows = inner.withColumn("row", F.monotonically_increasing_id()) \
         .join(held, key.cast("long") == F.col("id"), "left").drop("id") \
-        .withColumn("live", F.col("held").isNotNull())
+        .withColumn("live", F.col("anchors").isNotNull())
     table = stored(rows, "phrases", by="live")
     discard(seen)
-    del seen, shared, held, rows
-    live = table.where("live").select(
-        "row", key.cast("long").alias("id"), text.alias("text"), F.col("held.anchor").alias("anchors"),
-        F.col("held.salts").alias("salts"))
+    del seen, held, rows
+    live = table.where("live").select("row", key.cast("long").alias("id"), text.alias("text"), "anchors")
 
     windows = live.select("id", "text", "anchors").mapInArrow(_windows, "window long, id long")
     recurring = stored(windows.groupBy("window").agg(F.min("id").alias("first"), F.max("id").alias("last"))
                        .where("first < last").drop("last"), "windows")
     del windows
     free(docs.sparkSession)
-    count = recurring.count()
     owners = recurring.groupBy(F.col("first").alias("id")).agg(F.collect_list("window").alias("windows"))
-    patterns = live.join(owners, "id").select("id", "text", "anchors", "salts", "windows") \
-        .mapInArrow(_patterns, PASSAGE)
+    patterns = stored(live.join(owners, "id").select("id", "text", "anchors", "windows")
+                      .mapInArrow(_patterns, PASSAGE), "patterns")
+    hot = stored(_hot(shared, patterns), "hot")
     streams = live.mapInArrow(_streams, PASSAGE)
-    shards = count // SHARD_WINDOWS + int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = patterns.unionAll(streams).withColumn(
-        "shard", F.pmod(F.xxhash64("anchor", "salt"), F.lit(shards)).cast("int"))
+    dealt = patterns.unionAll(streams).join(hot, "anchor", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+    if not hot.where("parts > 1").isEmpty():
+        dealt = dealt.mapInArrow(_deal, dealt.schema)
+    salts = F.coalesce("salts", F.lit(1))
+    salt = F.when(F.col("stream"), F.array(F.pmod("row", salts))).otherwise(F.sequence(F.lit(0), salts - 1).cast("array<long>"))
+    dealt = dealt.withColumn("salt", F.explode(salt))
+    shards = recurring.count() // SHARD_WINDOWS + int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = dealt.select("stream", "row", "id", "words", "places", F.pmod(
+        F.xxhash64("anchor", "part", "salt"), F.lit(shards)).cast("int").alias("shard"))
     spans = dealt.repartition("shard").sortWithinPartitions("shard", "stream", "words") \
         .mapInArrow(_search, "row long, start long, stop long")
     cuts = stored(spans.groupBy("row").agg(F.collect_list(F.struct("start", "stop")).alias("cuts")), "cuts")
+    discard(patterns)
     del spans, dealt, streams, patterns, owners
     free(docs.sparkSession)
     cut = table.where("live").join(cuts, "row", "left")

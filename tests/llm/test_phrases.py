@@ -45,13 +45,48 @@ def test_many_shards_for_one_anchor(spark, monkeypatch):
     assert got == brute(rows)
 
 
+def test_windows_of_a_hot_anchor_are_dealt_out(spark, monkeypatch):
+    """One header over many different bodies that each have a copy: no shard holds all windows."""
+    monkeypatch.setattr(phrases, "SHARD_WINDOWS", 40)
+    monkeypatch.setattr(phrases, "SALT_ROWS", 7)
+    rng = random.Random(7)
+    text = lambda n: " ".join(rng.choices("abcdefgh", k=n))
+    header = text(45)
+    rows = [(k, f"{header} {body}") for j in range(20) for body in [text(60)] for k in (j, j + 50)]
+    hot, parts = phrases._hot, []
+
+    def noted(*tables):
+        parts.extend(r.parts for r in hot(*tables).collect())
+        return hot(*tables)
+
+    monkeypatch.setattr(phrases, "_hot", noted)
+    got = sorted((r.doc_id, r.n_words, r.n_removed, r.kept_text) for r in phrases.remove_repeats(docs(spark, rows)).collect())
+    assert got == brute(rows)
+    assert max(parts) > 2
+
+
+def test_parts_hold_each_window_once():
+    import pyarrow as pa
+    rng = random.Random(8)
+    passage = " ".join(rng.choices("abcdefgh", k=90)).encode()
+    schema = pa.schema([("anchor", pa.int64()), ("part", pa.int32()), ("stream", pa.bool_()), ("row", pa.int64()),
+                        ("id", pa.int64()), ("words", pa.binary()), ("places", pa.list_(pa.int32())), ("parts", pa.int32())])
+    row = dict(anchor=1, part=0, row=3, id=4, words=passage)
+    rows = [{**row, "stream": False, "places": list(range(41)), "parts": 5}, {**row, "stream": True, "places": [7], "parts": 5},
+            {**row, "stream": True, "places": [9], "parts": 1}]
+    out = [r for b in phrases._deal([pa.RecordBatch.from_pylist(rows, schema)]) for r in b.to_pylist()]
+    dealt = [r for r in out if not r["stream"]]
+    assert sorted(p for r in dealt for p in r["places"]) == list(range(41)) and len(dealt) > 1
+    assert {r["part"] for r in dealt} == {r["part"] for r in out if r["stream"] and r["parts"] == 5}
+    assert [r for r in out if r["parts"] == 1] == rows[2:]
+
+
 def test_a_passage_repeated_in_a_text_is_one_row(spark):
     text = ("over and again " * 400).encode()
     listed = phrases.anchors(text.split())[0].tolist()
     import pyarrow as pa
     batch = pa.RecordBatch.from_arrays(
-        [pa.array([1]), pa.array([1]), pa.array([text]), pa.array([sorted(set(listed))]),
-         pa.array([[1] * len(set(listed))])], list("abcde"))
+        [pa.array([1]), pa.array([1]), pa.array([text]), pa.array([sorted(set(listed))])], list("abcd"))
     assert len(listed) > 100 and sum(b.num_rows for b in phrases._streams([batch])) < 60
 
 
