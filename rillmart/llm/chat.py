@@ -34,21 +34,31 @@ def unescape(text: Column) -> Column:
 
 def log_of_turns(turns: DataFrame, conv: str = "conv_id", turn: str = "turn",
                  role: str = "role", text: str = "text") -> DataFrame:
-    """Plain turns as a log: each row is one message, streamed as two deltas.
+    """Plain turns as the log of a chat that ended with them.  Each row is one message.
 
-    Rows of one turn number stay apart and keep the table's order.
+    By the length of its text a message was streamed in two deltas, edited (a draft, then an edit
+    that starts the text and a delta that ends it) or generated anew (a draft, half a draft, then a
+    restart without text and two deltas).  Drafts are the text backwards.  Rows of one turn number
+    stay apart and keep the table's order.  A null text is empty; other columns are ignored.
     """
     whole = F.coalesce(F.col(f"`{text}`"), F.lit(""))
-    half = F.floor(F.char_length(whole) / 2).cast("int")
-    parts = F.array(F.substring(whole, F.lit(1), half),
-                    F.substring(whole, half + 1, F.char_length(whole)))
+    size = F.char_length(whole)
+    half = F.floor(size / 2).cast("int")
+    first, second, draft = F.substring(whole, F.lit(1), half), F.substring(whole, half + 1, size), F.reverse(whole)
+
+    def events(*of):
+        return F.array(*[F.struct(F.lit(kind).alias("kind"), said.alias("text")) for kind, said in of])
+
+    end = ("delta", second)
+    log = F.when(size % 3 == 0, events(("delta", first), end)) \
+        .when(size % 3 == 1, events(("delta", draft), ("edit", first), end)) \
+        .otherwise(events(("delta", draft), ("delta", F.substring(draft, F.lit(1), half)),
+                          ("regenerate", F.lit(None).cast("string")), ("delta", first), end))
     rows = turns.select(F.col(f"`{conv}`").alias("conv_id"), F.col(f"`{turn}`").alias("turn"),
                         F.monotonically_increasing_id().alias("message"),
-                        F.col(f"`{role}`").alias("role"), parts.alias("parts"))
-    rows = rows.select("conv_id", "turn", "message", "role",
-                       F.posexplode("parts").alias("seq", "text"))
-    return rows.select("conv_id", "turn", "message", F.col("seq").cast("long"),
-                       F.lit("delta").alias("kind"), "role", "text")
+                        F.col(f"`{role}`").alias("role"), log.alias("log"))
+    rows = rows.select("conv_id", "turn", "message", "role", F.posexplode("log").alias("seq", "event"))
+    return rows.select("conv_id", "turn", "message", F.col("seq").cast("long"), "event.kind", "role", "event.text")
 
 
 def fold(events: DataFrame) -> DataFrame:

@@ -49,6 +49,18 @@ def test_round_trip(spark):
     assert rows[2].loss == "" and rows[None].loss == "x" * 40_000
 
 
+def test_the_log_of_turns_needs_folding(spark):
+    """Its drafts are not part of what the messages end as."""
+    said = ["", "abc", "abcd", "abcde", "😀<>#\\g", None]
+    turns = spark.createDataFrame([(1, k, "user", t) for k, t in enumerate(said)],
+                                  "conv_id long, turn long, role string, text string")
+    log = chat.log_of_turns(turns)
+    assert {r.kind for r in log.collect()} == {"delta", "edit", "regenerate"}
+    assert {r.turn: r.text for r in chat.fold(log.repartition(3)).collect()} == {k: t or "" for k, t in enumerate(said)}
+    streamed = chat.fold(log.where("kind = 'delta'"))
+    assert {r.turn for r in streamed.collect() if r.text != (said[r.turn] or "")} == {2, 3}
+
+
 def test_empty_and_native(spark):
     empty = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
     out = chat.render(chat.fold(chat.log_of_turns(empty)))
