@@ -87,10 +87,11 @@ _SPELLED = re.compile(rf"(?<![A-Za-z])(?:plus[\s,-]+)?(?:(?:{_WORD}|dot|[0-9]+)(
                       rf"(?:{_WORD})[\s,-]+(?:{_WORD})(?:[\s,.-]+(?:{_WORD}|dot|[0-9]+)(?![A-Za-z]))*(?![A-Za-z])", re.I)
 _UNIT = re.compile(rf"plus|dot|{_WORD}|[0-9]", re.I)
 _BRACKET = re.compile(r"\s*[(\[{<]\s*(at|dot|@|\.)\s*[)\]}>]\s*|[_\s]+(at|dot)_+|_+(at|dot)[_\s]+", re.I)
-# Bare words need the whole form: NAME at HOST dot TOP.
+# Bare words need the whole form, NAME at HOST dot TOP.  In NAME at HOST.TOP the name must not be a
+# mere word or number, since "look at host.com" is prose.
 _BARE = re.compile(r"(?<=[A-Za-z0-9._%+-])(\s+at\s+)[A-Za-z0-9-]+(?:(?:\s+dot\s+|\.)[A-Za-z0-9-]+)*\s+dot\s+[A-Za-z0-9-]+"
                    r"|(?<=[A-Za-z0-9._%+-])@[A-Za-z0-9-]+(?:(?:\s+dot\s+|\.)[A-Za-z0-9-]+)*\s+dot\s+[A-Za-z0-9-]+"
-                   r"|(?<=[A-Za-z0-9._%+-])(\s+at\s+)[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"
+                   r"|(?<=[A-Za-z0-9._%+-])(?P<prose>\s+at\s+)[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"
                    r"|(?<![0-9A-Za-z])[0-9]{1,3}(?:\s+dot\s+[0-9]{1,3}){3}(?![0-9A-Za-z])", re.I)
 _GAP = re.compile(r"\s+(at|dot)\s+", re.I)
 _PLAIN = re.compile(r"[\x00-\x7f¡-¬®-ͯ]*")
@@ -146,6 +147,13 @@ def _bracket_edits(text: str):
 
 def _bare_edits(text: str):
     for m in _BARE.finditer(text):
+        if m["prose"]:
+            start = m.start()
+            while start and text[start - 1] in _LOCAL:
+                start -= 1
+            name = text[start:m.start()].strip(".-_%+")
+            if name.isalpha() or name.isdigit():
+                continue
         for g in _GAP.finditer(text, m.start(), m.end()):
             yield *g.span(), "@" if g[1].lower() == "at" else "."
 
@@ -156,8 +164,9 @@ def _digit_edits(text: str):
         for u in _UNIT.finditer(text, m.start(), m.end()):
             word = u.group().lower()
             new = {"plus": "+", "dot": "."}.get(word) or DIGITS.get(word, word)
-            # The gap before a digit goes with it.
-            yield at, u.end(), new
+            if at < u.start():
+                yield at, u.start(), ""
+            yield *u.span(), new
             at = u.end()
 
 
@@ -180,7 +189,8 @@ def find(text: str) -> list[tuple[str, int, int, bool]]:
             for kind, detect in DETECTORS.items():
                 for a, b in detect(plain):
                     s, e = starts[a], ends[b - 1]
-                    if any(changed[a:b]) and not any(x <= s and e <= y for x, y in base[kind] + added[kind]):
+                    # Characters that went without a trace make the source longer.
+                    if (any(changed[a:b]) or e - s > b - a) and not any(x <= s and e <= y for x, y in base[kind] + added[kind]):
                         added[kind].append((s, e))
     return [(k, s, e, b) for k in KINDS for s, e, b in sorted(
         [(*x, True) for x in base[k]] + [(*x, False) for x in added[k]])]
