@@ -191,7 +191,11 @@ def contaminated(n_hit, n_words):
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` that are not contaminated, with its columns."""
+    """The rows of ``docs`` that are not contaminated, with its columns.
+
+    Null and empty texts have no words and stay, as does everything if the benchmark is empty.
+    Rows are judged one by one: null and repeated ids do not matter, nor do clashing column names.
+    """
     marked = mark(docs, benchmark, **options)
     n_words, n_hit = (F.col(f"`{c}`") for c in marked.columns[-4:-2])
     return marked.where(~contaminated(n_hit, n_words)).select(

@@ -74,7 +74,11 @@ def duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
 
 def drop_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, with its columns."""
+    """The rows of ``docs`` that stay, one of each group of equal texts, with its columns.
+
+    Null counts as empty, so one null or empty text stays.  Ids may be null or repeat; columns may
+    have the operator's names.  An empty table gives none.
+    """
     kept = free_name(docs.columns, "kept")
     return duplicate_groups(docs, id_col, text_col).where(F.col(f"`{kept}`")).select(
         *[F.col(f"`{c}`") for c in docs.columns])

@@ -187,7 +187,11 @@ def near_duplicates(prints: DataFrame, id_col: str = "doc_id", print_col: str =
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                          radius: int = RADIUS) -> DataFrame:
-    """One row of each group of near duplicates, with the columns of ``docs``."""
+    """One row of each group of near duplicates, with the columns of ``docs``.
+
+    Null and empty texts have one fingerprint and so form a group.  Ids may be null or repeat;
+    columns may have the operator's names.  An empty table gives none.
+    """
     out = fingerprints(docs, text_col)
     out = near_duplicates(out, id_col, out.columns[-1], radius)
     return out.where(F.col(f"`{out.columns[-1]}`")).select(*[F.col(f"`{c}`") for c in docs.columns])

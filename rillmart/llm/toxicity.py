@@ -168,6 +168,10 @@ def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` that a model fitted on them does not call toxic, with its columns."""
+    """The rows of ``docs`` that a model fitted on them does not call toxic, with its columns.
+
+    Null counts as empty.  Rows with null or repeated ids are scored like others; of rows that
+    repeat an id one text is learnt from.  Without toxic labels all rows stay.
+    """
     out = score(docs, train(docs, labels, **options), options.get("text_col", "text"))
     return out.where(F.col(f"`{out.columns[-1]}`") == 0).select(*[F.col(f"`{c}`") for c in docs.columns])
