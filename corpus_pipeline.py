@@ -1,7 +1,9 @@
 """A pipeline over ``documents``: filter, deduplicate, decontaminate, encode.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; its result is written as Parquet and
-read again as the next stage's docs.  All stages but the last return the columns of documents.
+read again as the next stage's docs.  All stages but the last return the columns of documents,
+whatever else ``docs`` holds, and keep rows as they are.  Null texts count as empty; ids may be null
+or repeat; an empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -40,7 +42,10 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document, and whether they decode to its bytes."""
+    """Token ids of every document, and whether they decode to its bytes.
+
+    Needs the columns of documents and ignores others.  A null or empty text has no ids.
+    """
     prepare(spark)
     path = public_tokenizers.path(RANKS)
     rows = docs.select("doc_id", "text", "lang", "source", "n_chars")
