@@ -48,8 +48,11 @@ def route_dims(log: DataFrame, rules: DataFrame, keep: Sequence[str]) -> DataFra
 
 def route_facts(log: DataFrame, rules: DataFrame) -> DataFrame:
     """Change-log rows whose (table, type) has a fact rule: target and payload, with
-    the record's ts added to the payload."""
-    ruled = log.join(rules, (F.col("table") == F.col("source_table"))
+    the record's ts added to the payload.
+
+    There are as many rules as tables and types, however long their history, and a shuffle by those would
+    put a table's whole log into one task: the one place that asks for a broadcast."""
+    ruled = log.join(F.broadcast(rules), (F.col("table") == F.col("source_table"))
                      & (F.col("type") == F.col("source_type")))
     listed = keep_listed(F.col("data"), F.col("sink_columns"))
     without_ts = F.map_filter(listed, lambda name, _: name != "ts")
