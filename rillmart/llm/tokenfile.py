@@ -72,8 +72,8 @@ def encode_texts(texts: list[bytes], tokenizer, cache: dict, kind: str) -> list[
     The tokenizer composes characters, folds case, drops white space, and never joins across white
     space or from a letter or digit to other signs than an apostrophe.  So it is given each distinct
     run of characters once, without its last signs, and what it said is remembered.  Runs of ASCII
-    alone that differ in case share what it said; others go to it as they are, since a letter and a
-    mark may compose in one case only.  A text that holds one of the tokenizer's added tokens is
+    alone that differ in case share what it said, unless folding would make an added token; others go
+    to it as they are, since a letter and a mark may compose in one case only.  A text that holds one of the tokenizer's added tokens is
     given to it whole.
     """
     added = [t.content.encode() for t in tokenizer.get_added_tokens_decoder().values()]
@@ -86,6 +86,7 @@ def encode_texts(texts: list[bytes], tokenizer, cache: dict, kind: str) -> list[
         cache.clear()
         missing, known = words, {}            # beyond what is remembered: this batch's own
     folded = {w: w.lower() if w.isascii() else w for w in missing}
+    folded.update([(w, w) for w, f in folded.items() if any(a in f for a in added)])
     fresh = list(set(folded.values()) - known.keys())
     for k in range(0, len(fresh), 8192):
         part = fresh[k:k + 8192]

@@ -69,3 +69,9 @@ def test_empty_table(spark):
     path = shared_dir(spark, "files")
     tokenfile.write_tokens(docs(spark, EMPTY), PATH, path)
     assert tokenfile.read_tokens(spark, path).count() == 0
+
+
+def test_added_tokens_in_capitals_are_no_added_tokens():
+    texts = ["<|ENDOFTEXT|>a", "x <|EndOfText|>", "<|endoftext|>A <|ENDOFTEXT|>"]
+    got = tokenfile.encode_texts([t.encode() for t in texts], LIBRARY, {}, "<u2")
+    assert [np.frombuffer(g, "<u2").tolist() for g in got] == [LIBRARY.encode(t, add_special_tokens=False).ids for t in texts]
