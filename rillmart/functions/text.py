@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import unicodedata
 from collections.abc import Iterable, Iterator, Sequence
 
@@ -26,6 +27,7 @@ def words(text: Column) -> Column:
 
 
 MAX_LIST_BYTES = 64 << 20
+CUT_CHARS = 1 << 20
 
 
 class WordTrie:
@@ -73,6 +75,26 @@ class WordTrie:
             out[places[ended]] = length
         return out
 
+    def cut_runs(self, runs: Sequence[str], chars: int = CUT_CHARS) -> Iterator[list[tuple[int, int]]]:
+        """Spans of listed words in each run of letters.  Runs are walked through together, about
+        ``chars`` characters at a time, so that the arrays are bounded."""
+        first = 0
+        while first < len(runs):
+            last, held = first, 0
+            while last < len(runs) and (last == first or held < chars):
+                held += len(runs[last]) + 1
+                last += 1
+            # Runs hold letters and digits only, so a line end parts them.
+            spans, at, start = list(self.cut("\n".join(runs[first:last]))), 0, 0
+            for run in runs[first:last]:
+                end, found = start + len(run), []
+                while at < len(spans) and spans[at][0] < end:
+                    found.append((spans[at][0] - start, spans[at][1] - start))
+                    at += 1
+                yield found
+                start = end + 1
+            first = last
+
     def cut(self, text: str) -> Iterator[tuple[int, int]]:
         """(start, end) of the longest listed words, left to right, none overlapping."""
         length, end = self.longest_at(_codes(text)), 0
@@ -115,18 +137,8 @@ def dictionary_words(text: Column, dictionary: Sequence[str], everywhere: bool =
     def cut(batch: pd.Series) -> pd.Series:
         trie = WordTrie(())
         vars(trie).update(fields.value)
-        # Runs hold letters and digits only, so a line end parts them.
         runs = [run for listed in batch if listed is not None for run in listed]
-        spans, out, start = list(trie.cut("\n".join(runs))), [], 0
-        at = 0
-        for run in runs:
-            end, found = start + len(run), []
-            while at < len(spans) and spans[at][0] < end:
-                found.append((spans[at][0] - start, spans[at][1] - start))
-                at += 1
-            out.append(_pieces(run, found, everywhere))
-            start = end + 1
-        pieces = iter(out)
+        pieces = map(_pieces, runs, trie.cut_runs(runs), itertools.repeat(everywhere))
         return batch.map(lambda listed: None if listed is None else [w for _ in listed for w in next(pieces)])
 
     return cut(F.regexp_extract_all(F.lower(text), F.lit(RUN), F.lit(0)))
