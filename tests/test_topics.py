@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from rillmart import registry
 from rillmart.plans import trade
-from rillmart.sources import files, readers
+from rillmart.sources import files, readers, sinks
 
 T = 1_704_067_200
 
@@ -37,6 +37,13 @@ def test_topics_without_rows(spark):
     assert readers.read_lines(spark, topic, False).count() == 0
 
 
+def test_keyed_tables_are_read_by_column(spark, tmp_path):
+    table = spark.createDataFrame([("a", 1, "x", "p"), ("a", 2, "y", "q"), ("b", 1, None, "r")], "id string, ts int, v string, w string")
+    sinks.upsert(str(tmp_path / "t"), ["id"], ["ts"])(table, 0)
+    got = sinks.read_upserted(spark, str(tmp_path / "t"), ["id"], ["ts"], columns=["v"])
+    assert got.columns == ["id", "ts", "v"] and rows(got) == [("a", 2, "y"), ("b", 1, None)]
+
+
 @pytest.mark.parametrize("job, windows, changes", [("sku", trade.sku_windows, trade.sku_changes),
                                                    ("province", trade.province_windows, trade.province_changes)])
 def test_differences_of_windows(spark, job, windows, changes):
