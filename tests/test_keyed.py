@@ -7,6 +7,7 @@ from datetime import datetime, timezone
 from conftest import rows
 from pyspark.sql import functions as F
 
+from rillmart import fixtures
 from rillmart.operators import keyed
 from rillmart.plans import trade
 
@@ -99,6 +100,28 @@ def test_slices_are_complete(spark):
         assert got == {i for i, gone in superseded(data, 10).items() if not gone}
 
 
+def test_superseded_rows_where_keys_lie_together(spark):
+    """Each key lies whole in its group: the rows are shuffled to their group and to their second, and no more."""
+    data = repeats(7) + [("d1", 5, 900, 1), ("d1", 5, 900, 2), (None, 5, 901, 1), ("d1", None, 902, 1)]
+    df = spark.createDataFrame([((k or "x")[-1], k, *r) for k, *r in data],
+                               "place string, id string, ts bigint, n int, amount int")
+    for ttl in (0, 3, 10, None):
+        plain = keyed.mark_superseded(df, "id", ["n"], ttl)
+        near = keyed.mark_superseded(df.repartition(4, "place"), "id", ["n"], ttl, near=["place"], carry=["amount"])
+        assert rows(near) == rows(plain) and near.count() == len(data) - 2, ttl
+    near = keyed.mark_superseded(df.repartition(4, "place"), "id", ["n"], 10, near=["place"], carry=["amount"])
+    plan = near._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(id") == 2 and "_slice" not in "".join(
+        line for line in plan.splitlines() if "Exchange" in line)
+
+
+def test_ids_tell_orders(spark, tmp_path):
+    """An id is the order's number and one digit for the line; line 15 of order 1 is called as line 5 of order 2."""
+    for name, lines, want in (("plain", [(1, 0), (2, 9)], True), ("stray", [(1, 15), (2, 5)], False), ("null", [(1, None)], False)):
+        spark.createDataFrame(lines, "l_orderkey bigint, l_linenumber int").write.parquet(f"{tmp_path}/{name}/lineitem.parquet")
+        assert fixtures.ids_tell_orders(spark, f"{tmp_path}/{name}") == want
+
+
 def test_cancel_out(spark):
     data = repeats(5)
     df = spark.createDataFrame(data, "id string, ts bigint, n int, amount int")
