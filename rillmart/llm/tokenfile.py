@@ -14,7 +14,6 @@ within a part, ascend with doc_id.
 from __future__ import annotations
 
 import os
-import re
 import zlib
 
 import numpy as np
@@ -26,28 +25,44 @@ from .common import discard, free, stored, texts_of, worker_cache
 END_ID = 1
 MAX_VOCABULARY_BYTES = 64 << 20
 CACHED_WORDS = 900_000
-# A digit or Latin-1 letter, then signs up to white space.
-SIGNS = re.compile(rb"([0-9A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])([!-&(-/:-@\[-`{-~]+)(?=[ \t\n\r]|\Z)")
+# Between runs that are encoded together; each run has its own piece of text, and this is one, too.
+PARTER, TOGETHER = "\x01", 32
+
+
+def _among(*places: bytes) -> np.ndarray:
+    table = np.zeros(256, bool)
+    table[list(b"".join(places))] = True
+    return table
+
+
+SPACE = _among(b" \t\n\r\x0b\x0c")
+SIGN = _among(bytes(range(0x21, 0x27)), bytes(range(0x28, 0x30)), b":;<=>?@[\\]^_`{|}~")
+PLAIN = _among(b"0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ")
+# Second bytes of Latin-1 letters.
+LATIN = _among(bytes(range(0x80, 0x97)), bytes(range(0x98, 0xb7)), bytes(range(0xb8, 0xc0)))
 
 # Bytes of each of the four ranks under a control byte.
 LENGTHS = ((np.arange(256)[:, None] >> np.array([0, 2, 4, 6])) & 3).astype(np.uint8) + 1
 
 
 def pack(ranks: np.ndarray) -> tuple[bytes, bytes]:
-    """(control bytes, data bytes) of unsigned 32-bit ranks."""
-    ranks = ranks.astype("<u4")
-    size = 1 + (ranks > 0xFF).astype(np.uint8) + (ranks > 0xFFFF) + (ranks > 0xFFFFFF)
+    """(control bytes, data bytes) of unsigned 16- or 32-bit ranks."""
+    width = 2 if ranks.dtype.itemsize <= 2 else 4
+    ranks = ranks.astype(f"<u{width}", copy=False)
+    used = np.ones((len(ranks), width), bool)
+    for k in range(1, width):
+        used[:, k] = ranks > (1 << 8 * k) - 1
     codes = np.zeros(-(-len(ranks) // 4) * 4, np.uint8)
-    codes[:len(ranks)] = size - 1
-    control = (codes.reshape(-1, 4) << np.array([0, 2, 4, 6], np.uint8)).sum(axis=1, dtype=np.uint8)
-    used = np.arange(4) < size[:, None]
-    return control.tobytes(), ranks.view(np.uint8).reshape(-1, 4)[used].tobytes()
+    for k in range(1, width):
+        codes[:len(ranks)] += used[:, k]
+    control = codes[::4] | codes[1::4] << 2 | codes[2::4] << 4 | codes[3::4] << 6
+    return control.tobytes(), ranks.view(np.uint8).reshape(-1, width)[used].tobytes()
 
 
 def unpack(control: bytes, data: bytes, n: int) -> np.ndarray:
     """The ``n`` ranks of ``pack``."""
-    size = LENGTHS[np.frombuffer(control, np.uint8)].ravel()[:n].astype(np.int64)
-    start = np.cumsum(size) - size
+    size = LENGTHS[np.frombuffer(control, np.uint8)].ravel()[:n]
+    start = np.cumsum(size, dtype=np.int64) - size
     padded = np.frombuffer(data + bytes(4), np.uint8)
     out = padded[start].astype(np.uint32)
     for k in (1, 2, 3):
@@ -66,6 +81,43 @@ def _load(path: str) -> bytes:
     return data
 
 
+def split_runs(texts: list[bytes]) -> tuple[pa.Array, np.ndarray]:
+    """The runs of characters between white space, and where each text's runs begin and the last one's end.
+    Signs at the end of a run that follow a digit or Latin-1 letter are a run of their own."""
+    data = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)
+    sign, inside = SIGN[data], ~SPACE[data]
+    turns = np.flatnonzero(sign[1:] != sign[:-1]) + 1
+    starts, ends = (turns[1::2], turns[2::2]) if sign[0] else (turns[::2], turns[1::2])
+    before = data[starts - 1]
+    last = ~inside[ends] & (PLAIN[before] | (LATIN[before] & (data[starts - 2] == 0xC3)))
+    begins = inside.copy()
+    begins[1:] &= ~inside[:-1]
+    begins[starts[last]] = True
+    stops = inside & np.append(begins[1:] | ~inside[1:], True)
+    begin = np.flatnonzero(begins)
+    offsets = np.append(0, np.cumsum(np.flatnonzero(stops) + 1 - begin))
+    runs = pa.Array.from_buffers(pa.large_binary(), len(begin),
+                                 [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(data[inside])])
+    places = np.cumsum([0] + [len(t) + 1 for t in texts])
+    return runs, np.searchsorted(begin, places)
+
+
+def _coded(runs: list[bytes], tokenizer, kind: str) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all runs, one after another, and how many each has."""
+    parter = tokenizer.encode(PARTER, add_special_tokens=False).ids
+    mark, end = PARTER.encode(), f" {PARTER} ".encode()
+    joined = len(parter) == 1 and not any(mark in r for r in runs)
+    if joined:
+        lines = [end.join(runs[k:k + TOGETHER]).decode("utf-8", "replace") for k in range(0, len(runs), TOGETHER)]
+        coded = tokenizer.encode_batch_fast(lines, add_special_tokens=False)
+        flat = np.array([i for c in coded for i in (*c.ids, parter[0])], kind)
+        at = np.flatnonzero(flat == parter[0])
+        if len(at) == len(runs):
+            return np.delete(flat, at), np.diff(at, prepend=-1) - 1
+    coded = tokenizer.encode_batch_fast([r.decode("utf-8", "replace") for r in runs], add_special_tokens=False)
+    return np.array([i for c in coded for i in c.ids], kind), np.array([len(c) for c in coded], np.int64)
+
+
 def encode_texts(texts: list[bytes], tokenizer, cache: dict, kind: str) -> list[bytes]:
     """Ids of each text, as integers of ``kind``: those the tokenizer gives for the whole text.
 
@@ -73,29 +125,43 @@ def encode_texts(texts: list[bytes], tokenizer, cache: dict, kind: str) -> list[
     space or from a letter or digit to other signs than an apostrophe.  So it is given each distinct
     run of characters once, without its last signs, and what it said is remembered.  Runs of ASCII
     alone that differ in case share what it said, unless folding would make an added token; others go
-    to it as they are, since a letter and a mark may compose in one case only.  A text that holds one of the tokenizer's added tokens is
-    given to it whole.
+    to it as they are, since a letter and a mark may compose in one case only.  A few runs are given to it
+    together, with a control character between them.  A text that holds one of the tokenizer's added
+    tokens is given to it whole.
     """
+    if not texts:
+        return []
     added = [t.content.encode() for t in tokenizer.get_added_tokens_decoder().values()]
     whole = {k: np.array(tokenizer.encode(t.decode("utf-8", "replace"), add_special_tokens=False).ids, kind).tobytes()
              for k, t in enumerate(texts) if any(a in t for a in added)}
-    split = [() if k in whole else SIGNS.sub(rb"\1 \2", t).split() for k, t in enumerate(texts)]
-    words = set().union(*split)
-    missing, known = words - cache.keys(), cache
-    if len(cache) + len(missing) > CACHED_WORDS:
-        cache.clear()
-        missing, known = words, {}            # beyond what is remembered: this batch's own
-    folded = {w: w.lower() if w.isascii() else w for w in missing}
-    folded.update([(w, w) for w, f in folded.items() if any(a in f for a in added)])
-    fresh = list(set(folded.values()) - known.keys())
-    for k in range(0, len(fresh), 8192):
-        part = fresh[k:k + 8192]
-        coded = tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in part],
-                                            add_special_tokens=False)
-        known.update(zip(part, [np.array(c.ids, kind).tobytes() for c in coded]))
-    known.update([(w, known[f]) for w, f in folded.items()])
-    get = known.__getitem__
-    return [whole[k] if k in whole else b"".join(map(get, w)) for k, w in enumerate(split)]
+    runs, firsts = split_runs([b"" if k in whole else t for k, t in enumerate(texts)])
+    met = runs.dictionary_encode()
+    words, met = met.dictionary.to_numpy(zero_copy_only=False).tolist(), met.indices.to_numpy()
+    rows = cache.setdefault("rows", {})
+    row = list(map(rows.get, words))
+    missing = [w for w, r in zip(words, row) if r is None]
+    if not rows or len(rows) + len(missing) > CACHED_WORDS:
+        rows.clear()                          # beyond what is remembered: from this batch on
+        cache.update(ids=np.zeros(0, kind), sizes=np.zeros(0, np.int64))
+        missing, row = words, [None] * len(words)
+    folded = [w.lower() if w.isascii() else w for w in missing]
+    if any(a in b"\n".join(folded) for a in added):
+        folded = [w if any(a in f for a in added) else f for w, f in zip(missing, folded)]
+    fresh = [f for f in dict.fromkeys(folded) if f not in rows]
+    found = [_coded(fresh[k:k + 8192], tokenizer, kind) for k in range(0, len(fresh), 8192)]
+    rows.update(zip(fresh, range(len(cache["sizes"]), len(cache["sizes"]) + len(fresh))))
+    known = [rows[f] for f in folded]
+    rows.update(zip(missing, known))
+    for name, parts in zip(("ids", "sizes"), zip(*found)):
+        cache[name] = np.concatenate([cache[name], *parts])
+    late = iter(known)
+    row = np.array([next(late) if r is None else r for r in row], np.int64)
+    begin = np.cumsum(cache["sizes"]) - cache["sizes"]
+    sizes, begin = cache["sizes"][row][met], begin[row][met]
+    ends = np.append(0, np.cumsum(sizes))
+    ids = cache["ids"][np.repeat(begin - ends[:-1], sizes) + np.arange(ends[-1])]
+    cuts = ends[firsts].tolist()
+    return [whole[k] if k in whole else ids[a:b].tobytes() for k, (a, b) in enumerate(zip(cuts, cuts[1:]))]
 
 
 def tokenize(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text",
@@ -148,10 +214,10 @@ def frequencies(tokens: DataFrame) -> DataFrame:
     def run(batches):
         counts = np.zeros(0, np.int64)
         for batch in batches:
-            for n, ids in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                found = np.bincount(_raw(ids, n), minlength=len(counts))
-                found[:len(counts)] += counts
-                counts = found
+            ids = _raw(b"".join(batch.column(1).to_pylist()), sum(batch.column(0).to_pylist()))
+            found = np.bincount(ids, minlength=len(counts))
+            found[:len(counts)] += counts
+            counts = found
         ids = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(counts[ids], pa.int64())],
                                          ["id", "tokens"])
@@ -168,7 +234,7 @@ def write_tokens(docs: DataFrame, tokenizer_path: str, path: str, **options) ->
     counted = [(r["id"], r["tokens"]) for r in frequencies(tokens).collect()]
     counted.sort(key=lambda r: (-r[1], r[0]))
     size = max((i for i, _ in counted), default=-1) + 1
-    rank = np.zeros(size, np.uint32)
+    rank = np.zeros(size, np.uint16 if len(counted) <= 1 << 16 else np.uint32)
     rank[[i for i, _ in counted]] = np.arange(len(counted))
     ranks = spark.sparkContext.broadcast(rank)
     spark.createDataFrame([(k, i, n) for k, (i, n) in enumerate(counted)], "rank long, id long, tokens long") \

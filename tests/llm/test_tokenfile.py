@@ -75,3 +75,18 @@ def test_added_tokens_in_capitals_are_no_added_tokens():
     texts = ["<|ENDOFTEXT|>a", "x <|EndOfText|>", "<|endoftext|>A <|ENDOFTEXT|>"]
     got = tokenfile.encode_texts([t.encode() for t in texts], LIBRARY, {}, "<u2")
     assert [np.frombuffer(g, "<u2").tolist() for g in got] == [LIBRARY.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_runs_given_together(monkeypatch):
+    """Runs with the control character that parts others, texts without runs, and a memory of five runs."""
+    texts = ["a\x01b \x01 c", "", " \n", "x\x01", "\x01\x01", "!a? b'!.", "́e é! ÷!", *[f"word{k}, Word{k}" for k in range(40)], "<|endoftext|>!"]
+    runs, firsts = tokenfile.split_runs([t.encode() for t in texts])
+    runs = [[r.decode() for r in runs[a:b].to_pylist()] for a, b in zip(firsts.tolist(), firsts[1:].tolist())]
+    assert runs[:7] == [["a\x01b", "\x01", "c"], [], [], ["x\x01"], ["\x01\x01"], ["!a", "?", "b'!."], ["́e", "é", "!", "÷!"]]
+    want = [LIBRARY.encode(t, add_special_tokens=False).ids for t in texts]
+    for held in (tokenfile.CACHED_WORDS, 5):
+        monkeypatch.setattr(tokenfile, "CACHED_WORDS", held)
+        cache: dict = {}
+        for part in (texts, texts[7:20], texts[::-1]):
+            got = tokenfile.encode_texts([t.encode() for t in part], LIBRARY, cache, "<u2")
+            assert [np.frombuffer(g, "<u2").tolist() for g in got] == [want[texts.index(t)] for t in part]
