@@ -22,7 +22,7 @@ import tempfile
 
 import numpy as np
 
-RANGE = 2048
+RANGE = 8192
 # A reduced text of so few symbols is sorted in memory, which ends the recursion.
 BASE = 1 << 17
 MEMORY = 256 << 20

@@ -260,12 +260,16 @@ def remove_repeats(docs: DataFrame, text_col: str = "text") -> DataFrame:
     texts = table.select("row", F.col(f"c{own.index(text_col)}").alias("text"))
     seen = stored(texts.mapInArrow(_occurrences, "key long, row long, n long"), "keys")
     shared = seen.groupBy("key").agg(F.sum("n").alias("n")).where("n > 1").select("key")
-    listed = attach_marks(seen.select("key", "row"), shared, ["key"]).groupBy("row").agg(F.collect_list("key").alias("keys"))
+    # Stored, so that the shuffles of the keys are gone when the texts are shuffled.
+    listed = stored(attach_marks(seen.select("key", "row"), shared, ["key"])
+                    .groupBy("row").agg(F.collect_list("key").alias("keys")), "listed")
+    discard(seen)
+    del seen, shared
     columns = [c.split()[0] for c in PASSAGE.split(", ")]
     passages = stored(texts.join(listed, "row").select("row", "text", "keys").mapInArrow(_passages, PASSAGE), "passages")
-    discard(seen)
-    del seen, shared, listed
-    marks = []
+    discard(listed)
+    del listed
+    marks, read = [], []
     for width in (*CLASSES[1:], None):
         # Equal passages under a key have equal offsets.
         held = stored(passages.groupBy("key", "digest", "passage").agg(F.sum(F.size("starts")).alias("copies")), "distinct")
@@ -293,10 +297,14 @@ def remove_repeats(docs: DataFrame, text_col: str = "text") -> DataFrame:
             again = attach_marks(places, held.join(hot_keys, "key", "left_semi").select("key", "digest", "passage"), ["key", "digest"])
             passages = stored(again.select(*columns).mapInArrow(_cut(width), PASSAGE), "passages")
         discard(held)
+        read += [places, keys, spans]
         if not more:
             break
     cuts = stored(functools.reduce(DataFrame.unionAll, marks).groupBy("row").agg(
         F.collect_list(F.struct("start", "stop")).alias("cuts")), "cuts")
+    for gone in read:
+        discard(gone)
+    del marks, read, places, keys, spans, met, held, passages, sizes, hot_keys
     free(spark)
     both = table.join(cuts, "row", "left").select(*inner.columns, "cuts").toDF(*own, free_name(own, "cuts"))
     out = add_columns(both, {"n_bytes": T.LongType(), "n_removed": T.LongType(), "n_spans": T.LongType(),

@@ -1,6 +1,7 @@
 """Byte-wise substring dedup against counting all windows in Python."""
 
 import hashlib
+import os
 import random
 from collections import Counter
 
@@ -121,3 +122,18 @@ def test_induced_sorting(monkeypatch, tuples, memory, base):
             seen = Counter(raw[i:i + length] for i in range(len(raw) - length + 1))
             want = [i + length <= len(raw) and seen[raw[i:i + length]] > 1 for i in range(len(raw))]
             assert induced.recurring(symbols, length, memory).tolist() == want
+
+
+def test_tables_no_later_step_reads_are_gone(spark, monkeypatch):
+    """Of the tables a job stores, the texts and the cuts stay for the result."""
+    made, store = [], suffix.stored
+
+    def stored(df, name):
+        made.append((name, store(df, name)))
+        return made[-1][1]
+
+    monkeypatch.setattr(suffix, "stored", stored)
+    text = "".join(chr(97 + k * k % 23) + str(k) for k in range(120))
+    out = suffix.remove_repeats(docs(spark, [(1, text), (2, "x" + text), (3, "short")]))
+    assert {name for name, df in made if os.path.exists(df.stored_at.removeprefix("file:"))} == {"texts", "cuts"}
+    assert sorted(r.n_removed for r in out.collect()) == [0, len(text), len(text)]
