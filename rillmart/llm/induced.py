@@ -23,8 +23,9 @@ import tempfile
 import numpy as np
 
 RANGE = 8192
-# A reduced text of so few symbols is sorted in memory, which ends the recursion.
-BASE = 1 << 17
+# A reduced text of so few symbols is sorted in memory (some 50 MB), which ends the recursion.  A shard
+# of text is reduced to a third, so its first reduced text is the last one.
+BASE = 1 << 20
 MEMORY = 256 << 20
 # Columns of a tuple; in the front, the last one tells induced (0) from given (1) tuples.
 POSITION, SYMBOL, COMMON, GIVEN = range(4)

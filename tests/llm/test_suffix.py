@@ -124,6 +124,19 @@ def test_induced_sorting(monkeypatch, tuples, memory, base):
             assert induced.recurring(symbols, length, memory).tolist() == want
 
 
+def test_a_shard_is_induced_once(monkeypatch):
+    """Passes over a reduced text, many small batches each, cost more than all else."""
+    passes, induce = [], induced.induce
+    monkeypatch.setattr(induced, "induce", lambda text, *rest: passes.append(len(text)) or induce(text, *rest))
+    rnd = np.random.default_rng(5)
+    symbols = np.append(rnd.integers(1, 40, suffix.SHARD_BYTES), 0).astype(np.uint8)
+    symbols[-301:-1] = symbols[1000:1300]
+    found = induced.recurring(symbols, suffix.WINDOW)
+    n = len(symbols)
+    assert np.flatnonzero(found).tolist() == [*range(1000, 1101), *range(n - 301, n - 200)]
+    assert passes == [n, n]
+
+
 def test_tables_no_later_step_reads_are_gone(spark, monkeypatch):
     """Of the tables a job stores, the texts and the cuts stay for the result."""
     made, store = [], suffix.stored
