@@ -9,7 +9,8 @@ net of its points, taken farthest first until the node's covering radius has hal
 With |q| the length of an anchor's vector and c, r a node's centre and radius, each inner product
 below the node lies in c.q -+ |q|r.  An anchor descends into the node of the greatest upper bound
 first; nodes whose range misses all its windows, or lies below what the windows already hold, are
-skipped, and the points of the leaves it reaches are multiplied out exactly.
+skipped, and the points of the leaves it reaches are multiplied out exactly.  The anchors of a block
+descend together: a leaf is one matrix product with the anchors that reach it.
 
 The anchors go to every shard in blocks, twice: for the best positives, whose scores give the
 windows, and for the best negatives of each window.  Every shard answers with its own best few, so
@@ -22,6 +23,7 @@ import io
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .common import stored
@@ -29,7 +31,9 @@ from .common import stored
 SHARD_ROWS = 8192             # rows of one tree, about
 BLOCK_ROWS = 1024             # anchors of one block, about
 FANOUT, LEAF_ROWS = 16, 64    # children of a node and points of a leaf, at most (equal points aside)
-AT_ONCE = 16                  # nodes an anchor opens in one step
+AT_ONCE = 16                  # nodes an anchor opens in one step, at first
+TOGETHER = 256                # points of several leaves in one product, at most
+PRODUCTS = 1 << 18            # of points and anchors that are held at once, about
 EXACT = 2.0 ** 53             # products up to here are exact in doubles
 
 ROW = "id long, label long, vector binary, anchor boolean, shard int"
@@ -42,7 +46,7 @@ def _pack(scale: float):
         for batch in batches:
             lists = batch.column("vector")
             flat = np.floor(lists.flatten().to_numpy(zero_copy_only=False).astype(np.float64) * scale)
-            ends = np.cumsum([len(v) for v in lists.to_pylist()])
+            ends = np.cumsum(pc.list_value_length(lists).to_numpy())
             vectors = [v.tobytes() for v in np.split(flat, ends[:-1])] if len(ends) else []
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), batch.column("label"), pa.array(vectors, pa.binary()),
@@ -116,6 +120,10 @@ class CoverTree:
         q = [int(x) for x in query]
         return np.array([sum(int(a) * b for a, b in zip(p, q)) for p in self.points[at]], object)
 
+    def products(self, at: np.ndarray, queries: np.ndarray) -> np.ndarray:
+        """Inner products of some points (rows) with queries (columns)."""
+        return self.points[at] @ queries.T
+
     def bounds(self, queries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(least, greatest) inner product of each query below each node."""
         size = np.sqrt((queries * queries).sum(1))[:, None]
@@ -169,6 +177,96 @@ def descend(tree: CoverTree, query: np.ndarray, least: np.ndarray, greatest: np.
                     floors[w] = last if exact else max(floors[w], last - abs(last) * 1e-9 - 1)
 
 
+def descend_together(tree: CoverTree, queries: np.ndarray, own: np.ndarray, labels: np.ndarray, same: bool,
+                     lows: np.ndarray, highs: np.ndarray, k: int) -> tuple[np.ndarray, ...]:
+    """What ``descend`` finds for each query, as (query, window, score, id), where doubles are exact.
+
+    ``lows`` and ``highs`` have a row for each query and a column for each window.
+    """
+    width = lows.shape[1]
+    least, greatest = tree.bounds(queries)
+    # A node of one label has nothing for a query that looks for the others, and the reverse.
+    useful = ~tree.only | ((tree.labels[tree.start] == labels[:, None]) == same)
+    inner, leaves = np.flatnonzero(tree.children), np.flatnonzero(tree.children == 0)
+    open_nodes, floors, at_once = np.zeros(least.shape, bool), lows.copy(), AT_ONCE
+    open_nodes[:, 0] = True
+    best = [np.zeros(0, np.int64), np.zeros(0), np.zeros(0, np.int64)]      # query and window, score, id
+    waiting, held = [], 0                                                   # query, score, id
+
+    def settle():
+        asked, scores, ids = (np.concatenate(c) for c in zip(*waiting))
+        parts = [best]
+        for w in range(width):
+            inside = np.flatnonzero((scores >= floors[asked, w]) & (scores <= highs[asked, w]))
+            parts.append([asked[inside] * width + w, scores[inside], ids[inside]])
+        group, scores, ids = (np.concatenate(c) for c in zip(*parts))
+        order = np.lexsort((ids, -scores, group))
+        group = group[order]
+        starts = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]])[:len(group)])
+        rank = np.arange(len(group)) - np.repeat(starts, np.diff(np.append(starts, len(group))))
+        best[:] = group[rank < k], scores[order[rank < k]], ids[order[rank < k]]
+        floors.flat[group[rank == k - 1]] = scores[order[rank == k - 1]]
+        waiting.clear()
+
+    while True:
+        wanted = np.zeros(least.shape, bool)
+        for w in range(width):
+            wanted |= (greatest >= floors[:, w, None]) & (least <= highs[:, w, None])
+        open_nodes &= wanted & useful
+        if not open_nodes.any():
+            return best[0] // width, best[0] % width, best[1].astype(np.int64), best[2]
+        now = open_nodes.copy()
+        if at_once < now.shape[1]:
+            up = np.where(open_nodes, greatest, -np.inf)
+            now &= up >= np.partition(up, -at_once, axis=1)[:, -at_once, None]
+        open_nodes &= ~now
+        for node in inner[now[:, inner].any(0)]:
+            open_nodes[:, tree.child[node]:tree.child[node] + tree.children[node]] |= now[:, node, None]
+        reached = leaves[now[:, leaves].any(0)]
+        bottom, top = floors.min(1), highs.max(1)
+        for group in gathered(tree, reached[np.argsort(tree.start[reached])], now):
+            here = np.flatnonzero(now[:, group].any(1))
+            rows = spread(tree.start[group], tree.stop[group])
+            leaf = np.repeat(group, tree.stop[group] - tree.start[group])
+            step = max(PRODUCTS // len(here), 1)
+            for at, of in ((rows[j:j + step], leaf[j:j + step]) for j in range(0, len(rows), step)):
+                scores, ids = tree.products(at, queries[here]), tree.ids[at]
+                inside = (scores >= bottom[here]) & (scores <= top[here])
+                inside &= ((tree.labels[at, None] == labels[here]) == same) & (ids[:, None] != own[here])
+                row, by = np.nonzero(inside)
+                if len(group) > 1:
+                    meant = now[here[by], of[row]]
+                    row, by = row[meant], by[meant]
+                waiting.append((here[by], scores[row, by], ids[row]))
+                held += len(row)
+                if held > PRODUCTS:
+                    settle()
+                    bottom, held = floors.min(1), 0
+        if waiting:
+            settle()
+            held = 0
+        # What is left now may count; many small steps would cost more than they skip.
+        at_once *= 16 if len(reached) else 1
+
+
+def gathered(tree: CoverTree, leaves: np.ndarray, now: np.ndarray):
+    """Leaves in groups for one product each, where at least a quarter of it is asked for."""
+    sizes = (tree.stop - tree.start)[leaves]
+    asked = now[:, leaves].T
+    group, rows, pairs, who = [], 0, 0, None
+    for leaf, size, mine in zip(leaves.tolist(), sizes.tolist(), asked):
+        count = size * int(np.count_nonzero(mine))
+        if group:
+            both = who | mine
+            if rows + size > TOGETHER or 4 * (pairs + count) < (rows + size) * np.count_nonzero(both):
+                yield np.array(group)
+                group, rows, pairs = [], 0, 0
+        who = both if group else mine
+        group, rows, pairs = [*group, leaf], rows + size, pairs + count
+    if group:
+        yield np.array(group)
+
+
 def _build(batches):
     for batch in batches:
         shards, trees = [], []
@@ -200,17 +298,28 @@ def _search(positives: int, negatives: int, low: int, high: int):
                 rows, out = queries.as_py(), []
                 width = tree.points.shape[1]
                 vectors = matrix([r["vector"] for r in rows], width)[:, :width]
-                least, greatest = tree.bounds(vectors)
                 longest = np.sqrt((tree.points ** 2).sum(1)).max()
-                for k, r in enumerate(rows):
-                    exact = np.sqrt((vectors[k] ** 2).sum()) * longest < EXACT
-                    known = r["positives"]
-                    windows = ([(-np.inf, np.inf)] if known is None else
-                               [share(p["score"], low, high) for p in known])
-                    found = descend(tree, vectors[k], least[k], greatest[k], r["id"], r["label"], known is None,
-                                    windows, positives if known is None else negatives, exact)
-                    out += [(r["number"], w, i, s) for w, hits in enumerate(found) for s, i in hits]
-                yield pa.RecordBatch.from_arrays([pa.array([o[c] for o in out], pa.int64()) for c in range(4)],
+                exact = np.sqrt((vectors ** 2).sum(1)) * longest < EXACT
+                number, own, labels = (np.array([r[c] for r in rows], np.int64) for c in ("number", "id", "label"))
+                # All queries of a turn look for the same: positives, or negatives.
+                same = rows[0]["positives"] is None
+                k = positives if same else negatives
+                windows = [[(-np.inf, np.inf)] if same else [share(p["score"], low, high) for p in r["positives"]]
+                           for r in rows]
+                if exact.any():
+                    at, wide = np.flatnonzero(exact), max(map(len, windows))
+                    # What fills up the list of windows holds no score.
+                    edges = np.array([windows[q] + [(np.inf, -np.inf)] * (wide - len(windows[q])) for q in at], float)
+                    query, window, score, found = descend_together(
+                        tree, vectors[at], own[at], labels[at], same, edges[:, :, 0], edges[:, :, 1], k)
+                    out.append((number[at[query]], window, found, score))
+                for q in np.flatnonzero(~exact).tolist():
+                    least, greatest = tree.bounds(vectors[q:q + 1])
+                    best = descend(tree, vectors[q], least[0], greatest[0], rows[q]["id"], rows[q]["label"], same,
+                                   windows[q], k, False)
+                    hits = [(rows[q]["number"], w, i, s) for w, some in enumerate(best) for s, i in some]
+                    out.append(tuple(np.array([h[c] for h in hits], np.int64) for c in range(4)))
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c), pa.int64()) for c in zip(*out)],
                                                  ["number", "positive", "id", "score"])
     return search
 

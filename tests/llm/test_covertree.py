@@ -93,3 +93,43 @@ def test_nodes_are_skipped_and_cover_their_points():
     best = covertree.descend(tree, query[0], least[0], greatest[0], -1, 0, True, [(-np.inf, np.inf)], 5, True)
     assert [s for s, _ in best[0]] == sorted((points @ query[0]).astype(int), reverse=True)[:5]
     assert sum(seen) < 1200
+
+
+def together(tree, points, who, same, windows, k):
+    """Results of a block of queries by (query, window), sizes of its products."""
+    sizes = []
+    tree.products = lambda at, q: sizes.append((len(at), len(q))) or covertree.CoverTree.products(tree, at, q)
+    edges = np.array(windows, float)
+    found = covertree.descend_together(tree, points[who], who, who % 3, same, edges[:, :, 0], edges[:, :, 1], k)
+    best = {(q, w): [] for q in range(len(who)) for w in range(edges.shape[1])}
+    for q, w, s, i in sorted(zip(*(c.tolist() for c in found)), key=lambda f: (-f[2], f[3])):
+        best[q, w].append((s, i))
+    return best, sizes
+
+
+@pytest.mark.parametrize("same", [True, False])
+@pytest.mark.parametrize("held", [1, 1 << 18])
+@pytest.mark.parametrize("spreads", [(5000, 20), (0, 300)])
+def test_anchors_descend_together(monkeypatch, same, held, spreads):
+    """They find what each finds alone; in clusters they skip nodes, elsewhere they share products."""
+    monkeypatch.setattr(covertree, "PRODUCTS", held)
+    rnd = np.random.default_rng(4)
+    points = np.floor(np.repeat(rnd.normal(0, spreads[0], (40, 8)), 50, 0) + rnd.normal(0, spreads[1], (2000, 8)))
+    points[::9] = points[9]          # more equal points than a leaf holds otherwise
+    ids = np.arange(2000)
+    tree, who = covertree.CoverTree(points, ids, ids % 3), ids[::20]
+    scores = points[who] @ points.T
+    top = np.sort(scores, 1)[:, -3:].tolist()
+    windows = [[(-np.inf, np.inf)] * 3 if same else [covertree.share(int(s), 30, 90) for s in row] for row in top]
+    best, sizes = together(tree, points, who, same, windows, 7)
+    for q, me in enumerate(who.tolist()):
+        fit = [(int(s), i) for i, s in enumerate(scores[q].tolist()) if i != me and (i % 3 == me % 3) == same]
+        for w, (low, high) in enumerate(windows[q]):
+            assert best[q, w] == sorted((f for f in fit if low <= f[0] <= high), key=lambda f: (-f[0], f[1]))[:7]
+    work = sum(a * b for a, b in sizes)
+    if spreads[0]:
+        assert work < 0.6 * scores.size
+    else:
+        # Alone, each anchor multiplied points out in some ten steps of its own.
+        assert held == 1 or len(sizes) < 4 * len(who)
+        assert work < 3 * scores.size
