@@ -16,6 +16,76 @@ from rillmart.sources import readers, sinks
 from rillmart.streaming import jobs
 
 
+def test_time_is_cut_where_parts_are_large(monkeypatch):
+    monkeypatch.setattr(jobs, "SPAN", 100)
+    assert jobs.time_spans({}, 10, 1) == jobs.time_spans({3: 60, 4: 40}, 10, 1) == [(None, None)]
+    assert jobs.time_spans({5: 50, 3: 60, 4: 40}, 10, 1) == [(None, 50), (50, None)]
+    assert jobs.time_spans({-1: 10, 0: 400}, 100, 10) == [(None, 0), (0, 25), (25, 50), (50, 75), (75, None)]
+    # No finer than twice the reach.
+    assert jobs.time_spans({0: 10_000}, 100, 20) == [(None, 50), (50, None)]
+    assert jobs.time_spans({0: 10_000}, 20, 20) == [(None, None)]
+
+
+def cut(monkeypatch, spark):
+    """Let every micro-batch be cut as finely as it may be; returns how many spans each had."""
+    seen, whole = [], jobs.publish
+    monkeypatch.setattr(jobs, "SPAN", 1)
+
+    def publish(frames, where, batch_id):
+        seen.append(1 if hasattr(frames, "write") else len(frames))
+        whole(frames, where, batch_id)
+    monkeypatch.setattr(jobs, "publish", publish)
+    return seen
+
+
+def details(k, ts):
+    return [{"id": str(k % 7), "order_id": f"o{k % 7}", "sku_id": f"s{k % 3}", "province_id": f"p{k % 2}", "sku_num": "1",
+             "split_original_amount": str(k), "split_activity_amount": None, "split_coupon_amount": "1",
+             "split_total_amount": str(2 * k), "ts": ts}]
+
+
+@pytest.mark.parametrize("job", ["province", "clock"])
+def test_windows_in_spans(spark, tmp_path, monkeypatch, job):
+    """Repeats that follow within ten seconds, over cuts and window bounds; only what the windows read is stored."""
+    seen, feed, root = cut(monkeypatch, spark), Feed(tmp_path / "in"), shared_dir(spark, "spans")
+    for batch in [[r for k in range(n, 20, 2) for r in details(k, T + 9 * k + k % 4)] for n in (1, 0)]:
+        feed.send(*batch)
+        rows_in = readers.read_fact(spark, feed.topic, schemas.ORDER_DETAIL)
+        read = readers.read_fact(spark, feed.topic, schemas.ORDER_DETAIL, False)
+        where = (jobs.province_order if job == "province" else jobs.sku_order_by_clock)(rows_in, root=root, width=80)
+        if job == "clock":
+            got = spark.read.parquet(where).groupBy("sku_id").agg(*[F.sum(m).alias(m) for m in trade.SKU_MEASURES])
+            net = trade.net_measures(read, ["sku_id"], trade.SKU_MEASURES, (), trade.REPEAT_TTL)
+            want = net.groupBy("sku_id").agg(*[F.sum(m).alias(m) for m in trade.SKU_MEASURES])
+            zero = lambda df: rows(df.na.fill(0).select("sku_id", *[F.col(m).cast("double") for m in trade.SKU_MEASURES]))
+            assert zero(got) == zero(want)
+            continue
+        want = trade.province_windows(read, "10 seconds", (), trade.REPEAT_TTL)
+        assert rows(sinks.read_counted(spark, where).select(*want.columns)) == rows(want)
+    assert max(seen) > 1
+    sides = f"{root}/moments/data/sides/data" if job == "clock" else where.replace("/facts", "/sides/data")
+    stored = spark.read.parquet(sides).schema["detail"].dataType.names
+    assert "sku_num" not in stored and "split_total_amount" in stored and ("order_id" in stored) == (job == "province")
+
+
+def test_shuffles_go_when_an_action_ends(spark):
+    def left():
+        found = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().iterator()
+        names = set()
+        while found.hasNext():
+            names.add(found.next().getName())
+        return {n for n in names if n.startswith("shuffle_")}
+    registry.tune(spark)
+    before = left()
+    counted = spark.range(10_000).groupBy((F.col("id") % 100).alias("k")).count()
+    assert len(counted.collect()) == 100
+    until = time.time() + 20
+    while left() - before and time.time() < until:
+        time.sleep(0.2)
+    assert not left() - before
+    assert len(counted.collect()) == 100
+
+
 def test_a_published_batch_is_a_micro_batch(spark, tmp_path):
     """However many files it has."""
     where = str(tmp_path / "changes")
