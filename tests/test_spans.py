@@ -38,6 +38,25 @@ def cut(monkeypatch, spark):
     return seen
 
 
+def test_facts_in_spans(spark, tmp_path, monkeypatch):
+    """Lines and their orders, activities and coupons on both sides of cuts, and as far apart as they may be."""
+    seen, feed, root = cut(monkeypatch, spark), Feed(tmp_path / "in"), shared_dir(spark, "spans")
+    times = [T + 20 * k + d for k in range(6) for d in (0, 19)]
+    batches = [[line(f"{t}-{k}", f"o{t}", t) for t in times for k in (1, 2)],
+               [change("order_info", t + (10 if t % 3 else -10), id=f"o{t}", user_id="u") for t in times]
+               + [change("order_detail_coupon", t + 10, order_detail_id=f"{t}-1", coupon_id="c") for t in times]
+               + [change("order_detail_activity", t - 10, order_detail_id=f"{t}-2", activity_id="a") for t in times[::2]]]
+    for batch in batches:
+        feed.send(*batch)
+        log = readers.read_changelog(spark, feed.topic, delay=None).drop("pt")
+        where = jobs.join_facts({"log": log}, lambda log: registry.owned(facts.order_detail(log)), facts.REACH["order_detail"],
+                                "spans", root, width=100, marked=True, spans=True)
+        read = readers.read_changelog(spark, feed.topic, False)
+        got, want = sinks.read_counted(spark, where), facts.published(facts.order_detail(read))
+        assert rows(got.select(*schemas.ORDER_DETAIL)) == rows(want)
+    assert max(seen) > 2 and got.columns == want.columns
+
+
 def details(k, ts):
     return [{"id": str(k % 7), "order_id": f"o{k % 7}", "sku_id": f"s{k % 3}", "province_id": f"p{k % 2}", "sku_num": "1",
              "split_original_amount": str(k), "split_activity_amount": None, "split_coupon_amount": "1",
@@ -86,6 +105,24 @@ def test_shuffles_go_when_an_action_ends(spark):
     assert len(counted.collect()) == 100
 
 
+def test_details_are_derived_in_steps(spark, tmp_path):
+    """Line numbers above 9 and null ones give ids that lines of several orders share."""
+    at = datetime.datetime(2024, 1, 1)
+    shapes = {
+        "orders": [(k, k % 3, "P", 1.0, at, "x") for k in (1, 2, 3, 12)] + [(1, 1, "F", 2.0, at, "y")],
+        "customer": [(k, "c", k, 1.0, "m") for k in range(3)],
+        "part": [(k, f"part {k}", "b", "t", 1, 2.5) for k in range(1, 31)],
+        "lineitem": [(o, p, 5 * p, n, 3.0, 10.0 + p, 0.1, 0.05, "R", "F", at) for o in (1, 2, 3, 12)
+                     for n, p in ((0, 3), (1, 6), (10, 9), (12, 30), (None, 15))] * 2}
+    for name, some in shapes.items():
+        spark.createDataFrame(some, fx.SCHEMAS[name]).write.parquet(f"{tmp_path}/{name}.parquet")
+    registry.tune(spark, "UTC")
+    want = facts.published(registry.detail_fact(spark, str(tmp_path)))
+    got = registry.detail_rows(spark, str(tmp_path))
+    assert got.columns == want.columns and rows(got) == rows(want)
+    assert got.where("id = '20'").select("order_id").distinct().count() == 2
+
+
 def test_a_published_batch_is_a_micro_batch(spark, tmp_path):
     """However many files it has."""
     where = str(tmp_path / "changes")
